@@ -37,14 +37,9 @@ def write_json_array(df: DataFrame, path: str, order: Sequence[str]) -> None:
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Full rebuild as Parquet, rows of one partition value brought together before writing.
 
-    Rows are spread by value and a hash of the row, so a value holding much of the table is written by several
-    tasks.
+    The rebalance hint lets Spark split the tasks of a value that holds much of the table and merge small ones.
     """
-    writer = df
-    if partition_by:
-        spread = F.pmod(F.xxhash64(*df.columns), F.lit(8))
-        writer = df.repartition(*[F.col(c) for c in partition_by], spread)
-    out = writer.write.mode("overwrite")
-    if partition_by:
-        out = out.partitionBy(*partition_by)
-    out.parquet(path)
+    if not partition_by:
+        df.write.mode("overwrite").parquet(path)
+        return
+    df.hint("rebalance", *[F.col(c) for c in partition_by]).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
