@@ -59,7 +59,7 @@ def state_deaths(deaths: DataFrame, facts: DataFrame, abbreviations: DataFrame,
         .select(
             "State",
             "Week_Of_Year",
-            F.col("AvgDeaths").alias(f"AvgDeaths_to_{base_year}"),
+            F.col("AvgDeaths").alias(f"AvgDeaths_{base_year - 5}_{base_year}"),
             f"Week_Ending_Date{y1}",
             f"Week_Ending_Date{y2}",
             *[f"Deaths{y}" for y in (base_year, y1, y2)],

@@ -6,11 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clamp_zero, guarded_ratio, numeric_text, parse_date, rate_per
-from ..operators.panel import earlier, rolling_calendar
+from ..operators.panel import earlier, rolling_calendar, rolling_rows, series_windows
 from ..operators.report import first_last_change, first_last_pct, trailing_days
 from ..operators.rollup import pivot_rate, with_total
-from ..operators.panel import rolling_rows
-from ..operators.panel import series_windows
 from ..sources.calendar import in_calendar
 
 # Test outcomes as published, and the column each is counted in.
