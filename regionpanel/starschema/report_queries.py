@@ -1 +1,320 @@
-"""To come."""
+"""Snapshots, rankings, buckets and short series."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import (
+    bubble_radius,
+    guarded_ratio,
+    outbreak_direction,
+    percent_label,
+    reaches,
+    shade_bucket,
+    size_band,
+    trend_bucket,
+    upper_limit,
+)
+from ..operators.panel import calendar_change
+from ..operators.ranks import rank_panels
+from ..operators.report import latest_day, recent_points, record_high, share_under, top_k
+from ..plans.counties import (
+    county_averages_export,
+    county_base,
+    county_progress,
+    county_rate_export,
+    county_snapshot,
+)
+from .panel_queries import region_dim
+from .registry import query
+from .tables import (
+    ND,
+    PROGRESS_DOUBLES,
+    RD,
+    SQL_BASE,
+    SQL_NATION_DIM,
+    SQL_PROGRESS,
+    SQL_REGION_DIM,
+    code,
+    county_totals,
+    event_days,
+    nation_day,
+    nation_people,
+    region_day,
+    sql_event_days,
+    sql_totals,
+    table,
+)
+
+_NATION_PROGRESS = f"""{ND}, {sql_totals("nd", "nation")}, {SQL_BASE}, {SQL_NATION_DIM}, {SQL_PROGRESS}"""
+_REGION_PROGRESS = f"""{RD}, {sql_totals("rd", "region")}, {SQL_BASE}, {SQL_REGION_DIM}, {SQL_PROGRESS}"""
+
+
+def nation_base(spark, sf):
+    return county_base(county_totals(nation_day(spark, sf), "nation"))
+
+
+def nation_dim(spark, sf):
+    """Nations as counties of their region."""
+    return nation_people(spark, sf).select(
+        code(F.col("n_nationkey")).alias("FIPS"),
+        F.col("n_name").alias("County"),
+        F.col("r_name").alias("State"),
+        F.lit("1.5").alias("Lat"),
+        F.lit("-2.5").alias("Long_"),
+        F.col("population").alias("Population"),
+    )
+
+
+def nation_progress(spark, sf):
+    return county_progress(nation_base(spark, sf), nation_dim(spark, sf))
+
+
+def region_progress(spark, sf):
+    base = county_base(county_totals(region_day(spark, sf), "region"))
+    return county_progress(base, region_dim(spark, sf))
+
+
+@query(
+    "latest_snapshot",
+    f"""WITH {_NATION_PROGRESS}
+SELECT p.* EXCLUDE ("Date", "Avg7DayDeathsIncrease"), CAST("Date" AS VARCHAR) AS "Date", "County", substr("State", 1, 2) AS "State",
+  '1.5' AS "Lat", '-2.5' AS "Long_", "Population"
+FROM progress p JOIN dim ON p."FIPS" = dim."FIPS" WHERE "Date" = (SELECT max("Date") FROM progress)""",
+    doubles=[c for c in PROGRESS_DOUBLES if c != "Avg7DayDeathsIncrease"],
+)
+def latest_snapshot(spark, sf):
+    states = table(spark, sf, "region").select(
+        F.col("r_name").alias("State"), F.substring("r_name", 1, 2).alias("StateAbbrev")
+    )
+    dim = nation_dim(spark, sf)
+    return county_snapshot(county_progress(nation_base(spark, sf), dim), dim, states)
+
+
+@query(
+    "trailing_days",
+    f"""WITH {ND}, {sql_totals("nd", "nation")}, {SQL_BASE}
+SELECT "FIPS", "Date", "Avg7DayConfirmedIncrease", "Avg7DayDeathsIncrease" FROM base WHERE "Date" >= (SELECT max("Date") FROM base) - 30""",
+    dates=['"Date"'],
+    doubles=["Avg7DayConfirmedIncrease", "Avg7DayDeathsIncrease"],
+)
+def trailing_days_query(spark, sf):
+    return county_averages_export(nation_base(spark, sf))
+
+
+@query(
+    "trailing_rates",
+    f"""WITH {_NATION_PROGRESS}
+SELECT "FIPS", "Date", "CasesPer100k" FROM progress WHERE "Date" >= (SELECT max("Date") FROM base) - 30""",
+    dates=['"Date"'],
+    doubles=["CasesPer100k"],
+)
+def trailing_rates(spark, sf):
+    return county_rate_export(nation_progress(spark, sf), nation_base(spark, sf))
+
+
+@query(
+    "top_k_metric",
+    """SELECT c_custkey, cents FROM customer LEFT JOIN
+  (SELECT o_custkey, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents FROM orders GROUP BY 1) ON c_custkey = o_custkey
+ORDER BY coalesce(cents, 0) DESC, c_custkey LIMIT 100""",
+)
+def top_k_metric(spark, sf):
+    totals = (
+        table(spark, sf, "orders")
+        .groupBy(F.col("o_custkey").alias("c_custkey"))
+        .agg(F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("cents"))
+    )
+    customers = table(spark, sf, "customer").select("c_custkey").join(totals, "c_custkey", "left")
+    return top_k(customers, "cents", ["c_custkey"], 100)
+
+
+@query(
+    "threshold_flag",
+    f"""WITH {_REGION_PROGRESS}
+SELECT "FIPS", "Date", coalesce("CasesPer100k" >= 12000, false) AS outbreak,
+  CASE WHEN "CasesPer100k" >= 12000 AND "OneWeekCasesPer100kChange" > 0 THEN 'up' WHEN "CasesPer100k" >= 12000 THEN 'down' ELSE 'none' END AS direction
+FROM progress""",
+    dates=['"Date"'],
+)
+def threshold_flag(spark, sf):
+    flag = reaches(F.col("CasesPer100k"), 12000)
+    return region_progress(spark, sf).select(
+        "FIPS",
+        "Date",
+        flag.alias("outbreak"),
+        outbreak_direction(flag, F.col("OneWeekCasesPer100kChange")).alias("direction"),
+    )
+
+
+@query(
+    "flagged_count",
+    f"""WITH {_NATION_PROGRESS}
+SELECT "Date", count(*) FILTER ("CasesPer100k" >= 25) AS flagged, count(*) AS counties FROM progress GROUP BY 1""",
+    dates=['"Date"'],
+)
+def flagged_count(spark, sf):
+    flag = reaches(F.col("CasesPer100k"))
+    return (
+        nation_progress(spark, sf)
+        .groupBy("Date")
+        .agg(F.count(F.when(flag, 1)).alias("flagged"), F.count(F.lit(1)).alias("counties"))
+    )
+
+
+@query(
+    "shade_bucket",
+    """SELECT o_orderkey, CASE WHEN o_totalprice / 400 < 25 THEN NULL WHEN o_totalprice / 400 <= 50 THEN 50 WHEN o_totalprice / 400 <= 75 THEN 75
+  WHEN o_totalprice / 400 <= 100 THEN 100 WHEN o_totalprice / 400 <= 200 THEN 200 WHEN o_totalprice / 400 <= 500 THEN 500
+  WHEN o_totalprice / 400 <= 1000 THEN 1000 WHEN o_totalprice / 400 <= 10000000 THEN 10000000 END AS shade FROM orders""",
+)
+def shade_bucket_query(spark, sf):
+    return table(spark, sf, "orders").select("o_orderkey", shade_bucket(F.col("o_totalprice") / 400).alias("shade"))
+
+
+@query(
+    "trend_bucket",
+    f"""WITH {RD}, t AS (
+  SELECT t.region, t.day, t.n - e.n AS d, CASE WHEN e.n > 0 THEN (t.n - e.n) / e.n END AS p
+  FROM rd t JOIN rd e ON e.region = t.region AND e.day = t.day - 14)
+SELECT region, day, CASE WHEN d > 0 THEN CASE WHEN p IS NULL OR p <= 0.25 THEN 'up1' WHEN p <= 0.5 THEN 'up2' WHEN p <= 0.75 THEN 'up3'
+    WHEN p <= 1 THEN 'up4' ELSE 'up5' END
+  WHEN d < 0 THEN CASE WHEN p IS NULL OR p >= -0.25 THEN 'down1' WHEN p >= -0.5 THEN 'down2' WHEN p >= -0.75 THEN 'down3'
+    WHEN p >= -1 THEN 'down4' ELSE 'none' END
+  ELSE 'none' END AS trend FROM t""",
+    dates=["day"],
+)
+def trend_bucket_query(spark, sf):
+    changes = calendar_change(region_day(spark, sf).select("region", "day", "n"), "region", "day", "n", 14)
+    return changes.select("region", "day", trend_bucket(F.col("change"), F.col("change_pct")).alias("trend"))
+
+
+@query(
+    "bubble_radius",
+    """SELECT c_custkey, CAST(floor(sqrt(c_acctbal * (0.05 * 2589988) / 3.14)) AS BIGINT) AS radius
+FROM customer WHERE c_acctbal > 0 AND floor(sqrt(c_acctbal * (0.05 * 2589988) / 3.14)) > 0""",
+)
+def bubble_radius_query(spark, sf):
+    radius = bubble_radius(F.col("c_acctbal"), 0.05)
+    return table(spark, sf, "customer").select("c_custkey", radius.alias("radius")).filter("radius is not null")
+
+
+@query(
+    "size_band_filter",
+    """SELECT c_custkey, c_mktsegment, CASE WHEN c_acctbal * 10 < 30000 THEN 'small' WHEN c_acctbal * 10 <= 90000 THEN 'medium' ELSE 'large' END AS band,
+  c_mktsegment = 'BUILDING' AND c_acctbal * 10 >= 30000 AND c_acctbal * 10 <= 90000 AS shown FROM customer""",
+)
+def size_band_filter(spark, sf):
+    band = size_band(F.col("c_acctbal") * 10)
+    shown = (F.col("c_mktsegment") == "BUILDING") & (band == "medium")
+    return table(spark, sf, "customer").select("c_custkey", "c_mktsegment", band.alias("band"), shown.alias("shown"))
+
+
+@query(
+    "percent_label",
+    f"""WITH {ND}, t AS (SELECT nation, day, round(n_f / n, 4) * 100 AS share, round((n_f - n_o) / n, 4) * 100 AS gap FROM nd)
+SELECT nation, day, printf('%.2f%%', share) AS share, CASE WHEN gap > 0 THEN '+' ELSE '' END || printf('%.2f%%', gap) AS gap FROM t""",
+    dates=["day"],
+)
+def percent_label_query(spark, sf):
+    return nation_day(spark, sf).select(
+        "nation",
+        "day",
+        percent_label(guarded_ratio(F.col("n_f"), F.col("n"))).alias("share"),
+        percent_label(guarded_ratio(F.col("n_f") - F.col("n_o"), F.col("n")), signed=True).alias("gap"),
+    )
+
+
+@query(
+    "bucket_counts",
+    """SELECT CASE WHEN c IS NULL OR c = 0 THEN 0 WHEN c <= 100 THEN 100 WHEN c <= 200 THEN 200 WHEN c <= 300 THEN 300 WHEN c <= 400 THEN 400
+  WHEN c <= 500 THEN 500 WHEN c <= 600 THEN 600 WHEN c <= 700 THEN 700 WHEN c <= 800 THEN 800 WHEN c <= 900 THEN 900 WHEN c <= 1000 THEN 1000
+  WHEN c <= 5000 THEN 5000 WHEN c <= 10000 THEN 10000 ELSE 100000 END AS upper_limit, count(*) AS n
+FROM (SELECT floor(o_totalprice / 100) AS c FROM orders) GROUP BY 1""",
+)
+def bucket_counts(spark, sf):
+    label = upper_limit(F.floor(F.col("o_totalprice") / 100))
+    return table(spark, sf, "orders").groupBy(label.alias("upper_limit")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "rising_fast_counts",
+    f"""WITH {_NATION_PROGRESS}
+SELECT "Date", CASE WHEN "Confirmed" <= 100 THEN 100 WHEN "Confirmed" <= 200 THEN 200 WHEN "Confirmed" <= 300 THEN 300 WHEN "Confirmed" <= 400 THEN 400
+  WHEN "Confirmed" <= 500 THEN 500 WHEN "Confirmed" <= 600 THEN 600 WHEN "Confirmed" <= 700 THEN 700 WHEN "Confirmed" <= 800 THEN 800
+  WHEN "Confirmed" <= 900 THEN 900 WHEN "Confirmed" <= 1000 THEN 1000 WHEN "Confirmed" <= 5000 THEN 5000 WHEN "Confirmed" <= 10000 THEN 10000
+  ELSE 100000 END AS upper_limit, count(*) AS n
+FROM progress WHERE "TwoWeekAvg7DayConfirmedIncreasePct" > 0.5 GROUP BY 1, 2""",
+    dates=['"Date"'],
+)
+def rising_fast_counts(spark, sf):
+    rising = nation_progress(spark, sf).filter(F.col("TwoWeekAvg7DayConfirmedIncreasePct") > 0.5)
+    return rising.groupBy("Date", upper_limit(F.col("Confirmed")).alias("upper_limit")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "record_high_trend",
+    f"""WITH {sql_event_days("user_id")},
+last AS (SELECT max(day) AS d FROM ed),
+record AS (SELECT user_id, day AS rd, cents AS rc, row_number() OVER (PARTITION BY user_id ORDER BY cents DESC, day DESC) AS rn FROM ed)
+SELECT s.day, s.user_id, s.cents, CAST(rd AS VARCHAR) AS "RecordHighDate", rc AS "RecordHigh", s.cents - rc AS "FromHigh",
+  CASE WHEN s.cents - e.cents > 0 THEN '+' ELSE '' END || CAST(s.cents - e.cents AS VARCHAR) AS "ChangeLast2Weeks",
+  CASE WHEN s.cents - e.cents > 0 THEN 'Trending Up' ELSE 'Trending Down' END AS "TrendLast2Weeks"
+FROM ed s JOIN last ON s.day = d JOIN record r ON r.user_id = s.user_id AND rn = 1 JOIN ed e ON e.user_id = s.user_id AND e.day = s.day - 14""",
+    dates=["day"],
+)
+def record_high_trend(spark, sf):
+    return record_high(event_days(spark, sf, "user_id"), "user_id", "day", "cents")
+
+
+@query(
+    "rank_panels",
+    f"""WITH {sql_event_days("user_id")},
+latest AS (SELECT user_id, CAST(floor((row_number() OVER (ORDER BY cents DESC, user_id) - 1) / 10) AS INTEGER) AS panel
+  FROM ed WHERE day = (SELECT max(day) FROM ed))
+SELECT user_id, day, cents, panel FROM ed JOIN latest USING (user_id)""",
+    dates=["day"],
+)
+def rank_panels_query(spark, sf):
+    return rank_panels(event_days(spark, sf, "user_id"), "user_id", "day", "cents")
+
+
+@query(
+    "sparkline_arrays",
+    f"""WITH {ND}, recent AS (SELECT *, row_number() OVER (PARTITION BY nation ORDER BY day DESC) AS rn FROM nd QUALIFY rn <= 15)
+SELECT nation, array_to_string(list(CAST(n AS VARCHAR) ORDER BY day), ',') AS points, CAST(max(day) AS VARCHAR) AS last_day FROM recent GROUP BY 1""",
+)
+def sparkline_arrays(spark, sf):
+    recent = recent_points(nation_day(spark, sf), "nation", "day", ["n"], 15)
+    values = F.transform("points", lambda p: p["n"].cast("string"))
+    return recent.select(
+        "nation", F.array_join(values, ",").alias("points"), F.element_at("points", -1)["day"].alias("last_day")
+    )
+
+
+@query(
+    "share_under_threshold",
+    f"""WITH {_NATION_PROGRESS},
+latest AS (SELECT p.*, "State" FROM progress p JOIN dim ON p."FIPS" = dim."FIPS" WHERE "Date" = (SELECT max("Date") FROM progress))
+SELECT "State", CAST(sum(CASE WHEN "CasesPer100k" < 2500 THEN 1 ELSE 0 END) AS BIGINT) AS under, count(*) AS total,
+  sum(CASE WHEN "CasesPer100k" < 2500 THEN 1 ELSE 0 END) / count(*) AS share
+FROM latest GROUP BY 1""",
+    doubles=["share"],
+)
+def share_under_threshold(spark, sf):
+    dim = nation_dim(spark, sf)
+    latest = latest_day(county_progress(nation_base(spark, sf), dim), "Date").join(dim.select("FIPS", "State"), "FIPS")
+    return share_under(latest, "State", "CasesPer100k", 2500)
+
+
+@query(
+    "distinct_states",
+    """SELECT DISTINCT o_orderstatus AS status, year(o_orderdate) AS year FROM orders""",
+)
+def distinct_states(spark, sf):
+    return (
+        table(spark, sf, "orders")
+        .select(F.col("o_orderstatus").alias("status"), F.year("o_orderdate").alias("year"))
+        .distinct()
+        .orderBy("status", "year")
+    )

@@ -1 +1,208 @@
-"""To come."""
+"""Readers and writers on files that Spark writes from the tables into the shared folder."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import numeric_text, parse_date
+from ..operators.report import features, join_features
+from ..session import new_folder
+from ..sinks import write_json, write_json_array, write_table, write_tsv
+from ..sources import Contract, ingest_daily_files, ingest_delimited, ingest_json_rows, same_content
+from ..sources.calendar import expand_days
+from ..streaming import ingest_new_files
+from .registry import query
+from .tables import ND, nation_day, table
+
+
+@query(
+    "calendar_dim",
+    """WITH span AS (SELECT CAST(min(o_orderdate) AS DATE) AS lo, CAST(max(o_orderdate) AS DATE) AS hi FROM orders),
+days AS (SELECT lo + CAST(i AS INTEGER) AS d FROM span, range(0, 100000) t(i) WHERE lo + CAST(i AS INTEGER) < hi)
+SELECT d AS "Date", d - 1 AS "Minus1Day", d - 7 AS "Minus7Days", d - 14 AS "Minus14Days", d - 30 AS "Minus30Days", coalesce(n, 0) AS orders
+FROM days LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS o, count(*) AS n FROM orders GROUP BY 1) ON o = d""",
+    dates=['"Date"', "Minus1Day", "Minus7Days", "Minus14Days", "Minus30Days"],
+)
+def calendar_dim(spark, sf):
+    days = table(spark, sf, "orders").groupBy(F.to_date("o_orderdate").alias("Date")).agg(F.count(F.lit(1)).alias("n"))
+    span = days.agg(F.min("Date").alias("first"), F.max("Date").alias("end"))
+    dated = expand_days(span, "first", "end").join(days, "Date", "left")
+    return dated.withColumn("orders", F.coalesce(F.col("n"), F.lit(0))).drop("n")
+
+
+ORDER_FILE = Contract("order_file", "orders", ("order_key", "order_day", "order_status", "total"), sep="\t")
+
+
+def _order_text(spark, sf):
+    return table(spark, sf, "orders").select(
+        F.col("o_orderkey").cast("string").alias("order key"),
+        F.date_format("o_orderdate", "MM/dd/yyyy").alias("order-day"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("order.status"),
+        F.round(F.col("o_totalprice") * 100).cast("long").cast("string").alias("total"),
+    )
+
+
+_ORDERS_BACK = """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, nullif(o_orderstatus, 'P') AS status,
+  CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders"""
+
+
+def _orders_back(raw):
+    return raw.select(
+        numeric_text(F.col("order_key")).alias("o_orderkey"),
+        parse_date(F.col("order_day"), "MM/dd/yyyy").alias("day"),
+        F.col("order_status").alias("status"),
+        numeric_text(F.col("total")).alias("cents"),
+    )
+
+
+@query("ingest_delimited", _ORDERS_BACK, dates=["day"])
+def ingest_delimited_query(spark, sf):
+    path = new_folder(spark, "orders-tsv")
+    write_tsv(_order_text(spark, sf), path)
+    return _orders_back(ingest_delimited(spark, path, ORDER_FILE))
+
+
+@query("ingest_new_files", _ORDERS_BACK, dates=["day"])
+def ingest_new_files_query(spark, sf):
+    drop, kept, state = (new_folder(spark, n) for n in ("drop", "kept", "state"))
+    text = _order_text(spark, sf)
+    urgent = F.col("`order.status`").isNull()
+    for part in (text.filter(urgent), text.filter(~urgent)):
+        part.write.mode("append").option("sep", "\t").option("header", True).csv(drop)
+        ingest_new_files(spark, drop, ORDER_FILE, kept, state)
+    return _orders_back(spark.read.parquet(kept))
+
+
+@query(
+    "daily_files_union",
+    f"""WITH {ND}
+SELECT strftime(date_trunc('month', day), '%Y%m%d') AS "Date", CAST(nation AS VARCHAR) AS "FIPS", 'County, ' || nation AS "Admin2",
+  CAST(n AS VARCHAR) AS "Confirmed", CAST(n_f AS VARCHAR) AS "Deaths"
+FROM nd WHERE day >= DATE '1996-01-01'""",
+)
+def daily_files_union(spark, sf):
+    # A writer names its folders but not its files, so each report is a folder here: one per month, two layouts.
+    root = new_folder(spark, "daily")
+    fields = ["FIPS", "Admin2", "Confirmed", "Deaths"]
+    rows = nation_day(spark, sf).select(
+        "day",
+        F.date_format(F.trunc("day", "month"), "MM-dd-yyyy").alias("d"),
+        F.col("nation").cast("string").alias("FIPS"),
+        F.concat(F.lit("County, "), F.col("nation").cast("string")).alias("Admin2"),
+        F.col("n").cast("string").alias("Confirmed"),
+        F.col("n_f").cast("string").alias("Deaths"),
+    )
+    rows = rows.withColumn("file", F.concat("d", F.lit(".csv"))).repartition("file")
+    old = rows.filter(F.year("day") < 1999).select("file", "Admin2", "Deaths", "FIPS", F.lit("x").alias("Extra"), "Confirmed")
+    new = rows.filter(F.year("day") >= 1999).select("file", "FIPS", "Admin2", "Confirmed", "Deaths")
+    for name, part in (("old", old), ("new", new)):
+        part.write.option("header", True).option("quoteAll", True).partitionBy("file").csv(f"{root}/{name}")
+    return ingest_daily_files(spark, f"{root}/*/*/*.csv", fields, "19960101")
+
+
+@query(
+    "json_rows_ingest",
+    """SELECT CAST(c_custkey AS VARCHAR) AS cust_key, c_name AS name, CAST(c_nationkey AS VARCHAR) AS nation FROM customer""",
+)
+def json_rows_ingest(spark, sf):
+    # One document per thousand customers, each with its own header row.
+    header = F.array(F.lit("cust key"), F.lit("name"), F.lit("nation"))
+    row = F.array(F.col("c_custkey").cast("string"), F.col("c_name"), F.col("c_nationkey").cast("string"))
+    docs = (
+        table(spark, sf, "customer")
+        .groupBy(F.floor(F.col("c_custkey") / 1000))
+        .agg(F.collect_list(row).alias("rows"))
+        .select(F.to_json(F.concat(F.array(header), F.col("rows"))).alias("value"))
+    )
+    path = new_folder(spark, "json-rows")
+    docs.write.option("maxRecordsPerFile", 1).text(path)
+    return ingest_json_rows(spark, f"{path}/*.txt", ["cust_key", "name", "nation"], "ISO-8859-1")
+
+
+@query(
+    "feature_left_join",
+    """SELECT lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS "FIPS",
+  '{"type":"Point","id":' || c_custkey || '}' AS geometry, n, n IS NOT NULL AS has_info
+FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1) ON o_custkey = c_custkey""",
+)
+def feature_left_join(spark, sf):
+    state = F.lpad(F.col("c_nationkey").cast("string"), 2, "0")
+    county = F.lpad(F.col("c_custkey").cast("string"), 9, "0")
+    customer = table(spark, sf, "customer")
+    feature = F.struct(
+        F.struct(state.alias("STATE"), county.alias("COUNTY")).alias("properties"),
+        F.struct(F.lit("Point").alias("type"), F.col("c_custkey").alias("id")).alias("geometry"),
+    )
+    # A feature collection per thousand customers.
+    docs = (
+        customer.groupBy(F.floor(F.col("c_custkey") / 1000))
+        .agg(F.collect_list(feature).alias("features"))
+        .select(F.to_json(F.struct("features")).alias("value"))
+    )
+    metrics = (
+        table(spark, sf, "orders")
+        .filter("o_orderpriority = '1-URGENT'")
+        .groupBy(F.col("o_custkey").alias("c_custkey"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .join(customer.select("c_custkey", "c_nationkey"), "c_custkey")
+        .select(F.concat(state, county).alias("FIPS"), "n")
+    )
+    return join_features(features(docs), metrics, "FIPS")
+
+
+@query(
+    "table_fingerprint",
+    """SELECT count(*) AS table_rows, true AS same_after_shuffle, false AS same_after_edit, false AS same_with_copy FROM orders""",
+)
+def table_fingerprint(spark, sf):
+    orders = table(spark, sf, "orders")
+    shuffled = orders.repartition(3, "o_custkey").select(*reversed(orders.columns))
+    edited = orders.withColumn(
+        "o_orderpriority", F.when(F.col("o_orderkey") == 1, "0-NONE").otherwise(F.col("o_orderpriority"))
+    )
+    copied = orders.unionByName(orders.filter("o_orderkey = 1"))
+    checks = {
+        "same_after_shuffle": same_content(orders, shuffled),
+        "same_after_edit": same_content(orders, edited),
+        "same_with_copy": same_content(orders, copied),
+    }
+    return orders.agg(F.count(F.lit(1)).alias("table_rows"), *[F.lit(v).alias(k) for k, v in checks.items()])
+
+
+_ND_TEXT = f"""WITH {ND} SELECT nation, day, n, nullif(n_f, 0) AS n_f FROM nd"""
+
+
+def _exported(spark, sf):
+    return nation_day(spark, sf).select("nation", "day", "n", F.nullif(F.col("n_f"), F.lit(0)).alias("n_f"))
+
+
+SHAPE = "nation int, day date, n long, n_f long"
+
+
+@query("export_tsv", _ND_TEXT, dates=["day"])
+def export_tsv(spark, sf):
+    path = new_folder(spark, "export-tsv")
+    write_tsv(_exported(spark, sf), path, ["nation", "day"])
+    return spark.read.schema(SHAPE).option("header", True).option("sep", "\t").csv(path)
+
+
+@query("export_json", _ND_TEXT, dates=["day"])
+def export_json(spark, sf):
+    path = new_folder(spark, "export-json")
+    write_json(_exported(spark, sf), path, ["nation", "day"])
+    return spark.read.schema(SHAPE).json(path)
+
+
+@query("export_json_array", _ND_TEXT, dates=["day"])
+def export_json_array(spark, sf):
+    path = new_folder(spark, "export-json-array")
+    write_json_array(_exported(spark, sf), path, ["nation", "day"])
+    line = F.regexp_replace("value", r"^\[|[,\]]$", "")
+    return spark.read.text(path).select(F.from_json(line, SHAPE).alias("r")).select("r.*")
+
+
+@query("export_table", _ND_TEXT, dates=["day"])
+def export_table(spark, sf):
+    path = new_folder(spark, "export-table")
+    write_table(_exported(spark, sf).withColumn("year", F.year("day")), path, ["year"])
+    return spark.read.parquet(path).drop("year")

@@ -1 +1,152 @@
-"""To come."""
+"""Correlations, lines, histograms and quantiles on orders, customers and nation-days."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators.panel import lagged_pair
+from ..operators.ranks import global_position, quantiles
+from ..operators.stats import corr_by, corr_matrix, equal_width_edges, fit_line, histogram, log1p_columns
+from .registry import query
+from .tables import ND, nation_day, table
+
+
+def _corr(x: str, y: str) -> str:
+    return f"covar_pop({x}, {y}) / nullif(stddev_pop({x}) * stddev_pop({y}), 0)"
+
+
+@query(
+    "corr_by_date",
+    f"""WITH {ND} SELECT day, {_corr("n", "cents")} AS corr FROM nd GROUP BY 1""",
+    dates=["day"],
+    doubles=["corr"],
+)
+def corr_by_date(spark, sf):
+    return corr_by(nation_day(spark, sf), "day", "n", "cents")
+
+
+@query(
+    "corr_by_date_lagged",
+    f"""WITH {ND}, pairs AS (SELECT a.day, a.n, b.cents FROM nd a JOIN nd b ON a.nation = b.nation AND b.day = a.day + 14)
+SELECT day, {_corr("n", "cents")} AS corr FROM pairs GROUP BY 1""",
+    dates=["day"],
+    doubles=["corr"],
+)
+def corr_by_date_lagged(spark, sf):
+    # Cases of a day against deaths two weeks later.
+    return corr_by(lagged_pair(nation_day(spark, sf), "nation", "day", "n", "cents", 14), "day", "n", "cents")
+
+
+@query(
+    "corr_by_date_lagged_back",
+    f"""WITH {ND}, pairs AS (SELECT a.day, a.n, b.cents FROM nd a JOIN nd b ON a.nation = b.nation AND b.day = a.day - 14)
+SELECT day, {_corr("n", "cents")} AS corr FROM pairs GROUP BY 1""",
+    dates=["day"],
+    doubles=["corr"],
+)
+def corr_by_date_lagged_back(spark, sf):
+    # The same with the pairing turned round: each day against two weeks earlier.
+    return corr_by(lagged_pair(nation_day(spark, sf), "nation", "day", "n", "cents", -14), "day", "n", "cents")
+
+
+def customer_figures(spark, sf):
+    """Orders, spending in thousands and balance per customer, one outlying segment left out."""
+    totals = (
+        table(spark, sf, "orders")
+        .groupBy(F.col("o_custkey").alias("c_custkey"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            (F.sum(F.round(F.col("o_totalprice") * 100).cast("long")) / F.lit(100000.0)).alias("spent"),
+        )
+    )
+    customers = table(spark, sf, "customer").filter("c_mktsegment <> 'MACHINERY' and c_acctbal > 0")
+    return customers.join(totals, "c_custkey").select("c_custkey", "n", "spent", F.col("c_acctbal").alias("balance"))
+
+
+_FIGURES = """figures AS (
+  SELECT c_custkey, n, spent, c_acctbal AS balance FROM customer JOIN (
+    SELECT o_custkey, count(*) AS n, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) / 100000.0 AS spent FROM orders GROUP BY 1)
+  ON o_custkey = c_custkey WHERE c_mktsegment <> 'MACHINERY' AND c_acctbal > 0)"""
+
+
+def _matrix_sql(source: str) -> str:
+    pairs = (("n", "spent"), ("n", "balance"), ("spent", "balance"))
+    return " UNION ALL ".join(f"SELECT '{x}' AS x, '{y}' AS y, {_corr(x, y)} AS corr FROM {source}" for x, y in pairs)
+
+
+@query("corr_attribute", f"""WITH {_FIGURES} {_matrix_sql("figures")}""", doubles=["corr"])
+def corr_attribute(spark, sf):
+    return corr_matrix(customer_figures(spark, sf), ["n", "spent", "balance"])
+
+
+@query(
+    "corr_log1p",
+    f"""WITH {_FIGURES}, logs AS (SELECT ln(1 + n) AS n, ln(1 + spent) AS spent, ln(1 + balance) AS balance FROM figures)
+{_matrix_sql("logs")}""",
+    doubles=["corr"],
+)
+def corr_log1p(spark, sf):
+    columns = ["n", "spent", "balance"]
+    return corr_matrix(log1p_columns(customer_figures(spark, sf), columns), columns)
+
+
+@query(
+    "regression_line",
+    f"""WITH {_FIGURES} SELECT count(*) AS points, covar_pop(n, spent) / nullif(var_pop(spent), 0) AS slope,
+  avg(n) - covar_pop(n, spent) / nullif(var_pop(spent), 0) * avg(spent) AS intercept FROM figures""",
+    doubles=["slope", "intercept"],
+)
+def regression_line(spark, sf):
+    return fit_line(customer_figures(spark, sf), "spent", "n")
+
+
+@query(
+    "histogram_edges",
+    """SELECT CAST(least(floor(p / 25), 39) AS INTEGER) AS bin, least(floor(p / 25), 39) * 25.0 AS bin_from,
+  least(floor(p / 25), 39) * 25.0 + 25.0 AS bin_to, count(*) AS n
+FROM (SELECT o_totalprice / 400 AS p FROM orders) WHERE p BETWEEN 0 AND 1000 GROUP BY ALL""",
+    doubles=["bin_from", "bin_to"],
+)
+def histogram_edges(spark, sf):
+    orders = table(spark, sf, "orders").select((F.col("o_totalprice") / 400).alias("p"))
+    return histogram(orders, "p", range(0, 1001, 25))
+
+
+@query(
+    "histogram_by_limit",
+    """SELECT b.i AS bin, CAST(b.i * 100 AS DOUBLE) AS bin_from, CAST(b.i * 100 + 100 AS DOUBLE) AS bin_to,
+  (SELECT count(*) FROM lineitem WHERE l_extendedprice / 50 >= b.i * 100 AND (l_extendedprice / 50 < b.i * 100 + 100 OR (b.i = 9 AND l_extendedprice / 50 = 1000))) AS n
+FROM (SELECT CAST(i AS INTEGER) AS i FROM range(10) t(i)) b""",
+    doubles=["bin_from", "bin_to"],
+)
+def histogram_by_limit(spark, sf):
+    lines = table(spark, sf, "lineitem").select((F.col("l_extendedprice") / 50).alias("p"))
+    return histogram(lines, "p", range(0, 1001, 100))
+
+
+@query(
+    "equal_width_edges",
+    """WITH r AS (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM orders)
+SELECT CAST(i AS INTEGER) AS edge_no, lo + (hi - lo) / 5 * i - CASE WHEN i = 0 THEN (hi - lo) * 0.001 ELSE 0 END AS edge FROM r, range(6) t(i)""",
+    doubles=["edge"],
+)
+def equal_width_edges_query(spark, sf):
+    return equal_width_edges(table(spark, sf, "orders"), "o_totalprice", 5)
+
+
+@query(
+    "quantile_median",
+    """SELECT quantile_disc(o_totalprice, 0.2) AS q20, quantile_disc(o_totalprice, 0.9) AS q90, median(o_totalprice) AS median FROM orders""",
+    doubles=["q20", "q90", "median"],
+)
+def quantile_median(spark, sf):
+    return quantiles(table(spark, sf, "orders"), "o_totalprice", {"q20": 0.2, "q90": 0.9}, "median")
+
+
+@query(
+    "global_position",
+    """SELECT o_orderkey, row_number() OVER (ORDER BY o_orderpriority, o_orderkey DESC) AS position FROM orders""",
+)
+def global_position_query(spark, sf):
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    return global_position(orders, [F.col("o_orderpriority"), F.col("o_orderkey").desc()]).select("o_orderkey", "position")
