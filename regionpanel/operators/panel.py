@@ -23,23 +23,36 @@ def _names(key: str | Sequence[str]) -> list[str]:
 
 
 def by_day(key: str | Sequence[str], date: str) -> WindowSpec:
-    """Window per entity in day order, its range frames counted in days."""
-    return Window.partitionBy(*_names(key)).orderBy(F.unix_date(F.col(date)))
+    """Window per entity in day order, for frames counted in rows."""
+    return Window.partitionBy(*_names(key)).orderBy(date)
 
 
-def days_back(key: str | Sequence[str], date: str, days: int) -> WindowSpec:
-    """The frame holding exactly the row ``days`` calendar days earlier; empty when that day is missing."""
-    return by_day(key, date).rangeBetween(-days, -days)
+def _edge(offset: int) -> str:
+    if offset == 0:
+        return "CURRENT ROW"
+    return f"{abs(offset)} {'PRECEDING' if offset < 0 else 'FOLLOWING'}"
 
 
-def earlier(value: Column | str, key: str | Sequence[str], date: str, days: int) -> Column:
-    """The value ``days`` calendar days earlier."""
-    return F.max(value).over(days_back(key, date, days))
+def over_days(aggregate: str, key: str | Sequence[str], date: str, first: int, last: int) -> Column:
+    """SQL aggregate over the entity's rows from ``first`` to ``last`` calendar days off, by date and not by row.
+
+    Written in SQL since only there a frame on a DATE column is counted in days; ordering by the date itself
+    lets all windows of a panel share one sort.
+    """
+    keys = ", ".join(f"`{k}`" for k in _names(key))
+    return F.expr(
+        f"{aggregate} OVER (PARTITION BY {keys} ORDER BY `{date}` RANGE BETWEEN {_edge(first)} AND {_edge(last)})"
+    )
+
+
+def earlier(value: str, key: str | Sequence[str], date: str, days: int) -> Column:
+    """The value ``days`` calendar days earlier; NULL when that day is missing."""
+    return over_days(f"max(`{value}`)", key, date, -days, -days)
 
 
 def has_earlier(key: str | Sequence[str], date: str, days: int) -> Column:
     """Whether the entity has a row ``days`` calendar days earlier, be its values known or not."""
-    return F.count(F.lit(1)).over(days_back(key, date, days)) > 0
+    return over_days("count(1)", key, date, -days, -days) > 0
 
 
 def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -88,8 +101,12 @@ def rolling_calendar(
     df: DataFrame, key: str | Sequence[str], date: str, measures: Mapping[str, str], days: int = 7
 ) -> DataFrame:
     """Sum over the last ``days`` calendar days divided by ``days``, missing days counting as zero."""
-    frame = by_day(key, date).rangeBetween(-(days - 1), 0)
-    return df.withColumns({new: F.sum(m).over(frame) / F.lit(float(days)) for m, new in measures.items()})
+    return df.withColumns(
+        {
+            new: over_days(f"sum(`{m}`)", key, date, -(days - 1), 0) / F.lit(float(days))
+            for m, new in measures.items()
+        }
+    )
 
 
 def base_panel(
@@ -132,9 +149,12 @@ def lagged_pair(
     df: DataFrame, key: str | Sequence[str], date: str, lead: str, follow: str, days: int
 ) -> DataFrame:
     """Each day's ``lead`` with the ``follow`` of ``days`` days later (earlier when negative); unpaired days go."""
-    frame = by_day(key, date).rangeBetween(days, days)
+    there = {
+        "_follow": over_days(f"max(`{follow}`)", key, date, days, days),
+        "_n": over_days("count(1)", key, date, days, days),
+    }
     return (
-        df.withColumns({"_follow": F.max(follow).over(frame), "_n": F.count(F.lit(1)).over(frame)})
+        df.withColumns(there)
         .filter("_n > 0")
         .select(*_names(key), date, lead, F.col("_follow").alias(follow))
     )

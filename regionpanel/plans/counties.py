@@ -20,7 +20,6 @@ from ..functions import (
 from ..functions.codes import HOME_COUNTRY
 from ..operators.panel import (
     base_panel,
-    days_back,
     dedupe,
     earlier,
     entities_with_data,
@@ -28,7 +27,7 @@ from ..operators.panel import (
     keep_entities,
     latest_per,
 )
-from ..operators.report import latest_day, trailing_days
+from ..operators.report import trailing_days
 from ..operators.rollup import patch_group
 
 TOTALS = ("Confirmed", "Deaths", "Recovered", "Active")
@@ -63,12 +62,17 @@ def regions_with_data(clean: DataFrame) -> DataFrame:
 
 
 def filtered_daily(clean: DataFrame) -> DataFrame:
-    """One row per code and day; of repeated rows the one with the higher counts."""
-    rows = clean.filter("ShouldHaveFIPS = 1").withColumn("Date", parse_date(F.col("Date"), "yyyyMMdd"))
-    kept = keep_entities(rows, regions_with_data(clean), "FIPS")
-    rest = [F.col(c).desc_nulls_last() for c in kept.columns if c not in ("FIPS", "Date", "Confirmed", "Deaths")]
+    """One row per code and day; of repeated rows the one with the higher counts.
+
+    Repeats go before the codes are looked up: they are dropped ahead of each shuffle, so a code with a great
+    many copies reaches the join with one row per day.
+    """
+    rows = clean.filter("ShouldHaveFIPS = 1 and FIPS is not null").withColumn(
+        "Date", parse_date(F.col("Date"), "yyyyMMdd")
+    )
+    rest = [F.col(c).desc_nulls_last() for c in rows.columns if c not in ("FIPS", "Date", "Confirmed", "Deaths")]
     order = [F.col("Confirmed").desc_nulls_last(), F.col("Deaths").desc_nulls_last(), *rest]
-    return dedupe(kept, ["FIPS", "Date"], order)
+    return keep_entities(dedupe(rows, ["FIPS", "Date"], order), regions_with_data(clean), "FIPS")
 
 
 def county_population(counties: DataFrame, states: DataFrame) -> DataFrame:
@@ -178,7 +182,7 @@ def county_progress(base: DataFrame, dim: DataFrame) -> DataFrame:
         change_pct(avg_d, F.col("_ad30")).alias("MonthAvg7DayDeathsIncreasePct"),
         rate_per(grown(14), F.col("Population"), clamp=True).alias("CasesPer100k"),
     )
-    week_ago = F.max("CasesPer100k").over(days_back("FIPS", "Date", 7))
+    week_ago = earlier("CasesPer100k", "FIPS", "Date", 7)
     return (
         wide.withColumns({"_week_ago": week_ago, "_has_week_ago": has_earlier("FIPS", "Date", 7)})
         .filter("_has_week_ago")
@@ -218,37 +222,39 @@ SNAPSHOT_MEASURES = (
 )
 
 
-def county_snapshot(progress: DataFrame, counties: DataFrame, states: DataFrame) -> DataFrame:
-    """The latest day of the progress panel with place names: the rate-of-change export, 31 columns."""
-    place = counties.join(states.select("State", "StateAbbrev"), "State").select(
-        "FIPS", "County", F.col("StateAbbrev").alias("State"), "Lat", "Long_", "Population"
-    )
-    return (
-        latest_day(progress, "Date")
-        .join(place, "FIPS")
-        .select(
-            "FIPS",
-            iso_date(F.col("Date")).alias("Date"),
-            "County",
-            "State",
-            "Lat",
-            "Long_",
-            *SNAPSHOT_MEASURES,
-            "Population",
-            "CasesPer100k",
-            "OneWeekCasesPer100kChange",
-            "OneWeekCasesPer100kChangePct",
-        )
-    )
+def latest_progress(base: DataFrame, dim: DataFrame) -> DataFrame:
+    """The latest day of the progress panel, from the month of base rows it looks at.
+
+    That day is the last on which some code has a row a week earlier, too. Finding it takes a count over codes
+    and dates alone; the wide windows then run over 31 days instead of the whole history.
+    """
+    known = base.select("FIPS", "Date").join(dim.select("FIPS"), "FIPS", "left_semi")
+    last = known.withColumn("_has", has_earlier("FIPS", "Date", 7)).filter("_has").agg(F.max("Date")).scalar()
+    month = base.filter((F.col("Date") >= F.date_sub(last, 30)) & (F.col("Date") <= last))
+    return county_progress(month, dim).filter(F.col("Date") == last)
 
 
-def snapshot_window(base: DataFrame) -> DataFrame:
-    """The part of the base panel the latest progress rows look at: the latest day and 30 days back.
+def county_snapshot(latest: DataFrame, counties: DataFrame, states: DataFrame) -> DataFrame:
+    """Progress rows of the latest day with place names: the rate-of-change export, 31 columns.
 
-    Feeding this to `county_progress` gives the same latest rows from a month of partitions, provided some code
-    has rows both on the latest day and a week before it.
+    ``latest`` is the result of `latest_progress`, or of `latest_day` on a stored progress panel.
     """
-    return trailing_days(base, "Date", 30)
+    place = counties.join(states.select("State", "StateAbbrev"), "State").select(
+        "FIPS", "County", F.col("StateAbbrev").alias("State"), "Lat", "Long_", "Population"
+    )
+    return latest.join(place, "FIPS").select(
+        "FIPS",
+        iso_date(F.col("Date")).alias("Date"),
+        "County",
+        "State",
+        "Lat",
+        "Long_",
+        *SNAPSHOT_MEASURES,
+        "Population",
+        "CasesPer100k",
+        "OneWeekCasesPer100kChange",
+        "OneWeekCasesPer100kChangePct",
+    )
 
 
 def county_averages_export(base: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 

@@ -17,8 +17,7 @@ from ..operators.panel import (
     rolling_calendar,
     rolling_rows,
 )
-from ..operators.report import latest_day
-from ..plans.counties import county_base, county_progress, snapshot_window
+from ..plans.counties import county_base, county_progress, latest_progress
 from .registry import query
 from .tables import (
     ND,
@@ -207,7 +206,7 @@ SELECT * FROM progress WHERE "Date" = (SELECT max("Date") FROM progress)""",
 )
 def panel_progress_latest(spark, sf):
     base = county_base(county_totals(region_day(spark, sf), "region"))
-    return latest_day(county_progress(snapshot_window(base), region_dim(spark, sf)), "Date")
+    return latest_progress(base, region_dim(spark, sf))
 
 
 @query(

@@ -17,13 +17,14 @@ from ..functions import (
 )
 from ..operators.panel import calendar_change
 from ..operators.ranks import rank_panels
-from ..operators.report import latest_day, recent_points, record_high, share_under, top_k
+from ..operators.report import recent_points, record_high, share_under, top_k
 from ..plans.counties import (
     county_averages_export,
     county_base,
     county_progress,
     county_rate_export,
     county_snapshot,
+    latest_progress,
 )
 from .panel_queries import region_dim
 from .registry import query
@@ -88,7 +89,7 @@ def latest_snapshot(spark, sf):
         F.col("r_name").alias("State"), F.substring("r_name", 1, 2).alias("StateAbbrev")
     )
     dim = nation_dim(spark, sf)
-    return county_snapshot(county_progress(nation_base(spark, sf), dim), dim, states)
+    return county_snapshot(latest_progress(nation_base(spark, sf), dim), dim, states)
 
 
 @query(
@@ -303,7 +304,7 @@ FROM latest GROUP BY 1""",
 )
 def share_under_threshold(spark, sf):
     dim = nation_dim(spark, sf)
-    latest = latest_day(county_progress(nation_base(spark, sf), dim), "Date").join(dim.select("FIPS", "State"), "FIPS")
+    latest = latest_progress(nation_base(spark, sf), dim).join(dim.select("FIPS", "State"), "FIPS")
     return share_under(latest, "State", "CasesPer100k", 2500)
 
 

@@ -9,8 +9,23 @@ from ..functions import week_ending, week_number
 from ..operators.panel import by_day
 
 
+# Declared, so that opening a table starts no job to read its footers.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def order_days(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
@@ -20,27 +35,22 @@ def order_days(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     great many orders to the skew handling of the join. Grouping combines before the shuffle.
     """
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderstatus", "o_totalprice")
+    placed = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
     if entity == "region":
         nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-        customer = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        key = F.col("n_regionkey")
-    else:
-        key = F.col("c_nationkey")
-    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderstatus", "o_totalprice")
+        placed = placed.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    key = F.col("n_regionkey" if entity == "region" else "c_nationkey")
 
     def with_status(s: str):
         return F.count(F.when(F.col("o_orderstatus") == s, 1))
 
-    return (
-        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .groupBy(key.alias(entity), F.to_date("o_orderdate").alias("day"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            with_status("F").alias("n_f"),
-            with_status("O").alias("n_o"),
-            with_status("P").alias("n_p"),
-            F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("cents"),
-        )
+    return placed.groupBy(key.alias(entity), F.to_date("o_orderdate").alias("day")).agg(
+        F.count(F.lit(1)).alias("n"),
+        with_status("F").alias("n_f"),
+        with_status("O").alias("n_o"),
+        with_status("P").alias("n_p"),
+        F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("cents"),
     )
 
 
@@ -59,10 +69,11 @@ def code(entity: Column) -> Column:
 
 def county_totals(days: DataFrame, entity: str) -> DataFrame:
     """Day counts as running totals under the county panel's column names."""
-    upto = by_day(entity, "day").rowsBetween(Window.unboundedPreceding, 0)
-    return days.select(
-        F.col("day").alias("Date"),
-        code(F.col(entity)).alias("FIPS"),
+    coded = days.withColumns({"Date": F.col("day"), "FIPS": code(F.col(entity))})
+    upto = by_day("FIPS", "Date").rowsBetween(Window.unboundedPreceding, 0)
+    return coded.select(
+        "Date",
+        "FIPS",
         F.sum("n").over(upto).alias("Confirmed"),
         F.sum("n_f").over(upto).alias("Deaths"),
         F.sum("n_o").over(upto).alias("Recovered"),
