@@ -6,6 +6,7 @@ from .daily_files import ingest_daily_files
 from .delimited import ingest_delimited, reload_table
 from .fingerprint import fingerprint, same_content
 from .json_rows import ingest_json_rows
+from .seeds import state_abbreviations
 
 __all__ = [
     "CONTRACTS",
@@ -18,4 +19,5 @@ __all__ = [
     "reload_table",
     "same_content",
     "source",
+    "state_abbreviations",
 ]

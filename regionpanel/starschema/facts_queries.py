@@ -9,7 +9,7 @@ from ..functions import rate_per
 from ..operators.panel import by_day, earlier, rolling_rows
 from ..operators.report import first_last_change, first_last_pct, latest_nonnull, recent_points
 from ..operators.rollup import pivot_rate, with_total
-from ..plans.states import nation_facts, positivity, state_averages_export, state_facts, state_progress
+from ..plans.states import clean_tests, nation_facts, positivity, state_averages_export, state_facts, state_progress
 from .registry import query
 from .tables import (
     ND,
@@ -121,7 +121,13 @@ SELECT pos.*, "Avg7DayPositivityRate" FROM pos LEFT JOIN pos7 ON pos.state = pos
     doubles=["positivityRate", "Avg7DayPositivityRate"],
 )
 def pivot_rate_rolling(spark, sf):
-    return positivity(_order_tests(spark, sf), ORDER_OUTCOMES, FIRST, END)
+    delivered = _order_tests(spark, sf).select(
+        "state",
+        F.date_format("Date", "yyyy/MM/dd").alias("date"),
+        "overall_outcome",
+        F.col("new_results").cast("string").alias("new_results_reported"),
+    )
+    return positivity(clean_tests(delivered), ORDER_OUTCOMES, FIRST, END)
 
 
 @query(

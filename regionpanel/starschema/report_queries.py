@@ -26,6 +26,7 @@ from ..plans.counties import (
     county_snapshot,
     latest_progress,
 )
+from ..plans.reports import county_shapes, county_table, outbreak_circles
 from .panel_queries import region_dim
 from .registry import query
 from .tables import (
@@ -319,3 +320,90 @@ def distinct_states(spark, sf):
         .distinct()
         .orderBy("status", "year")
     )
+
+
+def _snapshot(spark, sf):
+    states = table(spark, sf, "region").select(F.col("r_name").alias("State"), F.col("r_name").alias("StateAbbrev"))
+    dim = nation_dim(spark, sf)
+    return county_snapshot(latest_progress(nation_base(spark, sf), dim), dim, states)
+
+
+def _joined(column: str):
+    """A series in whole thousandths as one text."""
+    return F.array_join(F.transform(column, lambda x: F.round(x * 1000).cast("long").cast("string")), ",")
+
+
+_LATEST = """latest AS (
+  SELECT p.*, "County", "State", "Population" FROM progress p JOIN dim ON p."FIPS" = dim."FIPS"
+  WHERE "Date" = (SELECT max("Date") FROM progress))"""
+
+
+def _sql_series(source: str, column: str, name: str, points: int) -> str:
+    return f"""SELECT "FIPS", array_to_string(list(CAST(CAST(round({column} * 1000) AS BIGINT) AS VARCHAR) ORDER BY "Date"), ',') AS {name}
+  FROM (SELECT *, row_number() OVER (PARTITION BY "FIPS" ORDER BY "Date" DESC) AS rn FROM {source}
+    WHERE "Date" >= (SELECT max("Date") FROM base) - 30) WHERE rn <= {points} GROUP BY 1"""
+
+
+@query(
+    "county_table",
+    f"""WITH {_NATION_PROGRESS}, {_LATEST},
+cs AS ({_sql_series("base", '"Avg7DayConfirmedIncrease"', '"ConfirmedSeries"', 15)}),
+ds AS ({_sql_series("base", '"Avg7DayDeathsIncrease"', '"DeathsSeries"', 15)})
+SELECT l."FIPS", "County", "State", "Population",
+  CASE WHEN "Population" < 30000 THEN 'small' WHEN "Population" <= 90000 THEN 'medium' ELSE 'large' END AS "SizeBand",
+  "Confirmed", "ConfirmedIncrease", "ConfirmedIncreasePct", "ConfirmedSeries", "TwoWeekAvg7DayConfirmedIncreasePct",
+  "Deaths", "DeathsIncrease", "DeathsIncreasePct", "DeathsSeries", "TwoWeekAvg7DayDeathsIncreasePct"
+FROM latest l LEFT JOIN cs ON cs."FIPS" = l."FIPS" LEFT JOIN ds ON ds."FIPS" = l."FIPS\"""",
+    doubles=[
+        "ConfirmedIncreasePct",
+        "TwoWeekAvg7DayConfirmedIncreasePct",
+        "DeathsIncreasePct",
+        "TwoWeekAvg7DayDeathsIncreasePct",
+    ],
+)
+def county_table_query(spark, sf):
+    shown = county_table(_snapshot(spark, sf), county_averages_export(nation_base(spark, sf)))
+    return shown.withColumns({c: _joined(c) for c in ("ConfirmedSeries", "DeathsSeries")})
+
+
+@query(
+    "outbreak_circles",
+    f"""WITH {_NATION_PROGRESS}, {_LATEST},
+top AS (SELECT *, CAST("MonthConfirmedIncrease" AS DOUBLE) AS m FROM latest ORDER BY coalesce(m, 0) DESC, "FIPS" LIMIT 100),
+sized AS (SELECT *, CASE WHEN m > 0 THEN CAST(floor(sqrt(m * (0.05 * 2589988) / 3.14)) AS BIGINT) END AS r FROM top)
+SELECT "FIPS", "County", "State", '1.5' AS "Lat", '-2.5' AS "Long_", "CasesPer100k" >= 25 AS "OutbreakFlag",
+  CASE WHEN "CasesPer100k" < 25 THEN 'none' WHEN "OneWeekCasesPer100kChange" > 0 THEN 'up' ELSE 'down' END AS "Direction", m AS "Metric", r AS "Radius"
+FROM sized WHERE r > 0""",
+    doubles=["Metric"],
+)
+def outbreak_circles_query(spark, sf):
+    return outbreak_circles(_snapshot(spark, sf), "month")
+
+
+@query(
+    "county_shapes",
+    f"""WITH {_NATION_PROGRESS}, {_LATEST},
+cs AS ({_sql_series("base", '"Avg7DayConfirmedIncrease"', '"ConfirmedSeries"', 15)}),
+rs AS ({_sql_series("progress", '"CasesPer100k"', '"RateSeries"', 31)})
+SELECT d."FIPS", 'P' || c_custkey AS geometry, l."County", l."State", "CasesPer100k",
+  CASE WHEN "CasesPer100k" < 25 THEN NULL WHEN "CasesPer100k" <= 50 THEN 50 WHEN "CasesPer100k" <= 75 THEN 75 WHEN "CasesPer100k" <= 100 THEN 100
+    WHEN "CasesPer100k" <= 200 THEN 200 WHEN "CasesPer100k" <= 500 THEN 500 WHEN "CasesPer100k" <= 1000 THEN 1000 WHEN "CasesPer100k" <= 10000000 THEN 10000000 END AS "Shade",
+  CASE WHEN l."FIPS" IS NULL THEN NULL
+    WHEN d2 > 0 THEN CASE WHEN p2 IS NULL OR p2 <= 0.25 THEN 'up1' WHEN p2 <= 0.5 THEN 'up2' WHEN p2 <= 0.75 THEN 'up3' WHEN p2 <= 1 THEN 'up4' ELSE 'up5' END
+    WHEN d2 < 0 THEN CASE WHEN p2 IS NULL OR p2 >= -0.25 THEN 'down1' WHEN p2 >= -0.5 THEN 'down2' WHEN p2 >= -0.75 THEN 'down3' WHEN p2 >= -1 THEN 'down4' ELSE 'none' END
+    ELSE 'none' END AS "Trend",
+  "ConfirmedSeries", "RateSeries", l."FIPS" IS NOT NULL AS has_info
+FROM (SELECT lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS "FIPS", c_custkey FROM customer) d
+  LEFT JOIN (SELECT *, "TwoWeekAvg7DayConfirmedIncrease" AS d2, "TwoWeekAvg7DayConfirmedIncreasePct" AS p2 FROM latest) l ON l."FIPS" = d."FIPS"
+  LEFT JOIN cs ON cs."FIPS" = l."FIPS" LEFT JOIN rs ON rs."FIPS" = l."FIPS\"""",
+    doubles=["CasesPer100k"],
+)
+def county_shapes_query(spark, sf):
+    # A customer stands for an outline; the nation's code is shared by all of its outlines.
+    shapes = table(spark, sf, "customer").select(
+        code(F.col("c_nationkey")).alias("FIPS"), F.concat(F.lit("P"), F.col("c_custkey").cast("string")).alias("geometry")
+    )
+    base = nation_base(spark, sf)
+    rates = county_rate_export(nation_progress(spark, sf), base)
+    shown = county_shapes(shapes, _snapshot(spark, sf), county_averages_export(base), rates)
+    return shown.withColumns({c: _joined(c) for c in ("ConfirmedSeries", "RateSeries")})

@@ -12,12 +12,11 @@ from ..operators.rollup import (
     patch_group,
     prior_year_delta,
     share_of_total,
-    union_eras,
     yearly_total,
     yoy_weeks,
 )
 from ..plans.cases import weekly_report
-from ..plans.deaths import state_deaths
+from ..plans.deaths import clean_weekly_deaths, state_deaths
 from .registry import query
 from .tables import ND, NW, nation_day, nation_weeks, table
 
@@ -86,7 +85,6 @@ def interval_bucket_sum(spark, sf):
     return bucket_sum(nation_day(spark, sf), ends, "nation", "day", "n", "end_date", "total")
 
 
-# A week of the year can lie on two rows only where the year starts inside it; those differ in year.
 @query(
     "yoy_weeks",
     f"""WITH {NW}
@@ -241,27 +239,23 @@ def dedupe_keep_max(spark, sf):
     return dedupe(orders, ["o_custkey", "o_orderstatus"], order)
 
 
-@query(
-    "union_eras",
-    f"""WITH {ND}
-SELECT nation, CAST(year(day) AS INTEGER) AS year, day, n AS total FROM nd""",
-    dates=["day"],
-)
+@query("union_eras", f"WITH {NW} SELECT * FROM nw", dates=["Week_Ending_Date"])
 def union_eras_query(spark, sf):
-    days = nation_day(spark, sf)
-    new = days.filter(F.year("day") >= 1998).select(
-        "nation", F.year("day").alias("MMWR_Year"), F.date_format("day", "yyyy-MM-dd").alias("end"), F.col("n").alias("All_Cause")
-    )
-    old = days.filter(F.year("day") < 1998).select(
-        "nation", F.year("day").alias("MMWR_Year"), F.date_format("day", "M/d/yyyy").alias("end"), F.col("n").alias("All__Cause")
-    )
-
-    def era(df, count, pattern):
-        return df.select(
-            "nation", F.col("MMWR_Year").alias("year"), F.to_date("end", pattern).alias("day"), F.col(count).alias("total")
+    # Weekly rows as delivered in two eras: other date formats, other spelling of the count.
+    weeks = nation_weeks(spark, sf)
+
+    def delivered(rows, pattern: str, count: str):
+        return rows.select(
+            F.col("State").alias("Jurisdiction_of_Occurrence"),
+            F.col("Year").cast("string").alias("MMWR_Year"),
+            F.col("Week_Of_Year").cast("string").alias("MMWR_Week"),
+            F.date_format("Week_Ending_Date", pattern).alias("Week_Ending_Date"),
+            F.col("All_Cause").cast("string").alias(count),
         )
 
-    return union_eras(era(new, "All_Cause", "yyyy-MM-dd"), era(old, "All__Cause", "M/d/yyyy"))
+    new = delivered(weeks.filter("Year >= 1998"), "yyyy-MM-dd", "All_Cause")
+    old = delivered(weeks.filter("Year < 1998"), "M/d/yyyy", "All__Cause")
+    return clean_weekly_deaths(new, old)
 
 
 @query(
