@@ -39,7 +39,8 @@ def quantiles(df: DataFrame, value: str, probs: dict[str, float], median: str |
     """
     counts = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
     upto = global_position(counts, [F.col(value)], "_n", "_upto")
-    n = upto.agg(F.max("_upto")).scalar()
+    upto = upto.withColumn("_all", upto.agg(F.max("_upto")).scalar())
+    n = F.col("_all")
     wanted = {name: F.greatest(F.ceil(F.lit(q) * n), F.lit(1)) for name, q in probs.items()}
     if median:
         wanted["_low"] = F.floor((n + 1) / 2)

@@ -65,11 +65,11 @@ def record_high(df: DataFrame, key: str, date: str, value: str, days: int = 14)
     Record, latest value and earlier value come out of one grouping. Entities lacking a row on the latest day or
     ``days`` days before it are dropped. The newest of equal records counts.
     """
-    last = df.agg(F.max(date)).scalar()
-    now = F.col(date) == last
-    then = F.col(date) == F.date_sub(last, days)
+    now = F.col(date) == F.col("_last")
+    then = F.col(date) == F.date_sub("_last", days)
     seen = (
-        df.groupBy(key)
+        df.withColumn("_last", df.agg(F.max(date)).scalar())
+        .groupBy(key)
         .agg(
             F.max(F.struct(F.col(value), F.col(date))).alias("_record"),
             F.max(F.when(now, F.col(date))).alias(date),
