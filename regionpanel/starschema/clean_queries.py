@@ -17,6 +17,7 @@ from ..functions import (
 from ..plans.cases import case_level
 from ..plans.counties import clean_daily, county_base, county_dim, county_population, filtered_daily
 from ..plans.states import clean_state_daily, state_dim
+from ..session import settle
 from .registry import query
 from .tables import ND, code, nation_day, nation_people, table
 
@@ -209,7 +210,7 @@ FROM i WINDOW w AS (PARTITION BY "FIPS" ORDER BY "Date" ROWS 6 PRECEDING)""",
     doubles=["Avg7DayConfirmedIncrease", "Avg7DayDeathsIncrease"],
 )
 def county_facts(spark, sf):
-    return county_base(filtered_daily(clean_daily(raw_county_rows(spark, sf))))
+    return county_base(filtered_daily(settle(clean_daily(raw_county_rows(spark, sf)))))
 
 
 @query(
@@ -240,7 +241,7 @@ def entity_dim(spark, sf):
         (F.col("n_nationkey") + 50000).cast("string").alias("CP03_2014_2018_062E"),
         (F.col("n_nationkey") + 30.5).cast("string").alias("CP05_2014_2018_018E"),
     )
-    filtered = filtered_daily(clean_daily(raw_county_rows(spark, sf)))
+    filtered = filtered_daily(settle(clean_daily(raw_county_rows(spark, sf))))
     return county_dim(filtered, county_population(counties, states), survey)
 
 

@@ -10,6 +10,7 @@ from ..operators.panel import by_day, earlier, rolling_rows
 from ..operators.report import first_last_change, first_last_pct, latest_nonnull, recent_points
 from ..operators.rollup import pivot_rate, with_total
 from ..plans.states import clean_tests, nation_facts, positivity, state_averages_export, state_facts, state_progress
+from ..session import settle
 from .registry import query
 from .tables import (
     ND,
@@ -27,11 +28,11 @@ from .tables import (
 FIRST, END = "1996-01-01", "2001-01-01"
 
 
-def _order_states(spark, sf):
+def _order_states(days):
     """Nation-days as state counts; the nation number stands for the abbreviation."""
     upto = by_day("nation", "day").rowsBetween(Window.unboundedPreceding, 0)
     unknown = F.lit(None).cast("long")
-    return nation_day(spark, sf).select(
+    return days.select(
         F.col("day").alias("Date"),
         F.col("nation").cast("string").alias("state"),
         F.sum("n").over(upto).alias("positive"),
@@ -44,9 +45,8 @@ def _order_states(spark, sf):
     )
 
 
-def _order_tests(spark, sf):
+def _order_tests(days):
     """Orders per nation, day and status as test results."""
-    days = nation_day(spark, sf)
     status = F.array(
         *[
             F.struct(F.lit(s).alias("overall_outcome"), F.col(c).alias("new_results"))
@@ -109,8 +109,9 @@ FROM states s LEFT JOIN rated r ON r.state = s.state AND r."Date" = s."Date"
     doubles=["positivityRate", "CasesPer100k", "Avg7DayPositiveIncrease", "Avg7DayDeathIncrease", "Avg7DayPositivityRate"],
 )
 def entity_facts(spark, sf):
-    tests = positivity(_order_tests(spark, sf), ORDER_OUTCOMES, FIRST, END)
-    return state_facts(_order_states(spark, sf), _nation_dim(spark, sf), tests, FIRST, END)
+    days = settle(nation_day(spark, sf))
+    tests = positivity(_order_tests(days), ORDER_OUTCOMES, FIRST, END)
+    return state_facts(_order_states(days), _nation_dim(spark, sf), tests, FIRST, END)
 
 
 @query(
@@ -121,7 +122,7 @@ SELECT pos.*, "Avg7DayPositivityRate" FROM pos LEFT JOIN pos7 ON pos.state = pos
     doubles=["positivityRate", "Avg7DayPositivityRate"],
 )
 def pivot_rate_rolling(spark, sf):
-    delivered = _order_tests(spark, sf).select(
+    delivered = _order_tests(nation_day(spark, sf)).select(
         "state",
         F.date_format("Date", "yyyy/MM/dd").alias("date"),
         "overall_outcome",
@@ -164,7 +165,8 @@ FROM base b LEFT JOIN one_week o ON b.date = o.date LEFT JOIN base e ON e.date =
     doubles=["Avg7DayPositiveIncrease", "Avg7DayTotalTestResultsIncrease", "CasesPer100k"],
 )
 def national_series(spark, sf):
-    return nation_facts(_order_states(spark, sf), _nation_dim(spark, sf))
+    days = settle(nation_day(spark, sf))
+    return nation_facts(_order_states(days), _nation_dim(spark, sf))
 
 
 @query(
@@ -176,7 +178,8 @@ FROM base n JOIN base w ON w.date BETWEEN n.date - 6 AND n.date WHERE n.date >=
     doubles=["Avg7DayPositiveIncrease"],
 )
 def national_trend(spark, sf):
-    nation = nation_facts(_order_states(spark, sf), _nation_dim(spark, sf))
+    days = settle(nation_day(spark, sf))
+    nation = nation_facts(_order_states(days), _nation_dim(spark, sf))
     return nation.filter(F.col("date") >= F.lit("2000-03-01").cast("date")).select("date", "Avg7DayPositiveIncrease")
 
 
@@ -359,7 +362,7 @@ def state_progress_query(spark, sf):
     first, end = "2024-01-01", "2025-01-01"
     tests = positivity(_event_outcomes(spark, sf), EVENT_OUTCOMES, first, end)
     people = spark.createDataFrame([], "State string, StateAbbrev string, Population long")
-    facts = state_facts(_user_states(spark, sf), people, tests, first, end)
+    facts = settle(state_facts(_user_states(spark, sf), people, tests, first, end))
     table_rows = state_progress(state_averages_export(facts))
 
     def text(c: str):

@@ -18,6 +18,7 @@ from ..operators.panel import (
     rolling_rows,
 )
 from ..plans.counties import county_base, county_progress, latest_progress
+from ..session import settle
 from .registry import query
 from .tables import (
     ND,
@@ -205,7 +206,7 @@ SELECT * FROM progress WHERE "Date" = (SELECT max("Date") FROM progress)""",
     doubles=PROGRESS_DOUBLES,
 )
 def panel_progress_latest(spark, sf):
-    base = county_base(county_totals(region_day(spark, sf), "region"))
+    base = settle(county_base(county_totals(region_day(spark, sf), "region")))
     return latest_progress(base, region_dim(spark, sf))
 
 

@@ -27,6 +27,7 @@ from ..plans.counties import (
     latest_progress,
 )
 from ..plans.reports import county_shapes, county_table, outbreak_circles
+from ..session import settle
 from .panel_queries import region_dim
 from .registry import query
 from .tables import (
@@ -68,6 +69,11 @@ def nation_dim(spark, sf):
     )
 
 
+def stored_base(spark, sf):
+    """The base panel written once, for queries that look at it several times."""
+    return settle(nation_base(spark, sf))
+
+
 def nation_progress(spark, sf):
     return county_progress(nation_base(spark, sf), nation_dim(spark, sf))
 
@@ -90,7 +96,7 @@ def latest_snapshot(spark, sf):
         F.col("r_name").alias("State"), F.substring("r_name", 1, 2).alias("StateAbbrev")
     )
     dim = nation_dim(spark, sf)
-    return county_snapshot(latest_progress(nation_base(spark, sf), dim), dim, states)
+    return county_snapshot(latest_progress(stored_base(spark, sf), dim), dim, states)
 
 
 @query(
@@ -101,7 +107,7 @@ SELECT "FIPS", "Date", "Avg7DayConfirmedIncrease", "Avg7DayDeathsIncrease" FROM
     doubles=["Avg7DayConfirmedIncrease", "Avg7DayDeathsIncrease"],
 )
 def trailing_days_query(spark, sf):
-    return county_averages_export(nation_base(spark, sf))
+    return county_averages_export(stored_base(spark, sf))
 
 
 @query(
@@ -112,7 +118,8 @@ SELECT "FIPS", "Date", "CasesPer100k" FROM progress WHERE "Date" >= (SELECT max(
     doubles=["CasesPer100k"],
 )
 def trailing_rates(spark, sf):
-    return county_rate_export(nation_progress(spark, sf), nation_base(spark, sf))
+    base = stored_base(spark, sf)
+    return county_rate_export(county_progress(base, nation_dim(spark, sf)), base)
 
 
 @query(
@@ -266,7 +273,7 @@ FROM ed s JOIN last ON s.day = d JOIN record r ON r.user_id = s.user_id AND rn =
     dates=["day"],
 )
 def record_high_trend(spark, sf):
-    return record_high(event_days(spark, sf, "user_id"), "user_id", "day", "cents")
+    return record_high(settle(event_days(spark, sf, "user_id")), "user_id", "day", "cents")
 
 
 @query(
@@ -278,7 +285,7 @@ SELECT user_id, day, cents, panel FROM ed JOIN latest USING (user_id)""",
     dates=["day"],
 )
 def rank_panels_query(spark, sf):
-    return rank_panels(event_days(spark, sf, "user_id"), "user_id", "day", "cents")
+    return rank_panels(settle(event_days(spark, sf, "user_id")), "user_id", "day", "cents")
 
 
 @query(
@@ -305,7 +312,7 @@ FROM latest GROUP BY 1""",
 )
 def share_under_threshold(spark, sf):
     dim = nation_dim(spark, sf)
-    latest = latest_progress(nation_base(spark, sf), dim).join(dim.select("FIPS", "State"), "FIPS")
+    latest = latest_progress(stored_base(spark, sf), dim).join(dim.select("FIPS", "State"), "FIPS")
     return share_under(latest, "State", "CasesPer100k", 2500)
 
 
@@ -322,10 +329,10 @@ def distinct_states(spark, sf):
     )
 
 
-def _snapshot(spark, sf):
+def _snapshot(spark, sf, base):
     states = table(spark, sf, "region").select(F.col("r_name").alias("State"), F.col("r_name").alias("StateAbbrev"))
     dim = nation_dim(spark, sf)
-    return county_snapshot(latest_progress(nation_base(spark, sf), dim), dim, states)
+    return county_snapshot(latest_progress(base, dim), dim, states)
 
 
 def _joined(column: str):
@@ -362,7 +369,8 @@ FROM latest l LEFT JOIN cs ON cs."FIPS" = l."FIPS" LEFT JOIN ds ON ds."FIPS" = l
     ],
 )
 def county_table_query(spark, sf):
-    shown = county_table(_snapshot(spark, sf), county_averages_export(nation_base(spark, sf)))
+    base = stored_base(spark, sf)
+    shown = county_table(_snapshot(spark, sf, base), county_averages_export(base))
     return shown.withColumns({c: _joined(c) for c in ("ConfirmedSeries", "DeathsSeries")})
 
 
@@ -377,7 +385,7 @@ FROM sized WHERE r > 0""",
     doubles=["Metric"],
 )
 def outbreak_circles_query(spark, sf):
-    return outbreak_circles(_snapshot(spark, sf), "month")
+    return outbreak_circles(_snapshot(spark, sf, stored_base(spark, sf)), "month")
 
 
 @query(
@@ -403,7 +411,7 @@ def county_shapes_query(spark, sf):
     shapes = table(spark, sf, "customer").select(
         code(F.col("c_nationkey")).alias("FIPS"), F.concat(F.lit("P"), F.col("c_custkey").cast("string")).alias("geometry")
     )
-    base = nation_base(spark, sf)
-    rates = county_rate_export(nation_progress(spark, sf), base)
-    shown = county_shapes(shapes, _snapshot(spark, sf), county_averages_export(base), rates)
+    base = stored_base(spark, sf)
+    rates = county_rate_export(county_progress(base, nation_dim(spark, sf)), base)
+    shown = county_shapes(shapes, _snapshot(spark, sf, base), county_averages_export(base), rates)
     return shown.withColumns({c: _joined(c) for c in ("ConfirmedSeries", "RateSeries")})

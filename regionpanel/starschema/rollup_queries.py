@@ -17,6 +17,7 @@ from ..operators.rollup import (
 )
 from ..plans.cases import weekly_report
 from ..plans.deaths import clean_weekly_deaths, state_deaths
+from ..session import settle
 from .registry import query
 from .tables import ND, NW, nation_day, nation_weeks, table
 
@@ -81,8 +82,9 @@ SELECT nation, end_date, CAST(sum(n) AS BIGINT) AS total FROM nd JOIN ends ON da
     dates=["end_date"],
 )
 def interval_bucket_sum(spark, sf):
-    ends = nation_weeks(spark, sf).select(F.col("Week_Ending_Date").alias("end_date"))
-    return bucket_sum(nation_day(spark, sf), ends, "nation", "day", "n", "end_date", "total")
+    days = settle(nation_day(spark, sf))
+    ends = nation_weeks(days).select(F.col("Week_Ending_Date").alias("end_date"))
+    return bucket_sum(days, ends, "nation", "day", "n", "end_date", "total")
 
 
 @query(
@@ -94,7 +96,7 @@ LEFT JOIN nw c ON a."State" = c."State" AND a."Week_Of_Year" = c."Week_Of_Year"
 WHERE a."Year" = {BASE_YEAR}""",
 )
 def yoy_weeks_query(spark, sf):
-    return yoy_weeks(nation_weeks(spark, sf), "State", "Year", "Week_Of_Year", "All_Cause", BASE_YEAR)
+    return yoy_weeks(nation_weeks(nation_day(spark, sf)), "State", "Year", "Week_Of_Year", "All_Cause", BASE_YEAR)
 
 
 _EXCESS = f"""{NW},
@@ -124,7 +126,7 @@ excess AS (
     doubles=["AvgDeaths_1994_1999", "Excess2000", "ExcessPct2000", "Excess2001", "ExcessPct2001"],
 )
 def excess_over_baseline_query(spark, sf):
-    days = nation_day(spark, sf)
+    days = settle(nation_day(spark, sf))
     facts = days.select(
         F.concat(F.lit("N"), F.col("nation").cast("string")).alias("state"),
         F.col("day").alias("Date"),
@@ -133,7 +135,7 @@ def excess_over_baseline_query(spark, sf):
     short = table(spark, sf, "nation").select(
         F.col("n_name").alias("state"), F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("abbreviation")
     )
-    return state_deaths(nation_weeks(spark, sf), facts, short, BASE_YEAR)
+    return state_deaths(nation_weeks(days), facts, short, BASE_YEAR)
 
 
 @query(
@@ -141,13 +143,14 @@ def excess_over_baseline_query(spark, sf):
     f"""WITH {_EXCESS}, m AS (SELECT "State", avg("Covid19DeathsForWeek") AS avg_reported, avg("Excess2000") AS avg_excess FROM excess GROUP BY 1)
 SELECT *, avg_excess - avg_reported AS diff, (avg_excess - avg_reported) / nullif(avg_reported, 0) * 100 AS diff_pct FROM m""",
     doubles=["avg_reported", "avg_excess", "diff", "diff_pct"],
+    places=9,
 )
 def excess_vs_reported(spark, sf):
     return mean_gap(excess_over_baseline_query.__wrapped__(spark, sf), "State", "Covid19DeathsForWeek", "Excess2000")
 
 
 def _yearly(spark, sf):
-    return yearly_total(nation_weeks(spark, sf), "Year", "All_Cause", "Deaths")
+    return yearly_total(nation_weeks(nation_day(spark, sf)), "Year", "All_Cause", "Deaths")
 
 
 _YEARLY = f"""{NW}, yearly AS (SELECT "Year", sum("All_Cause") / 1000.0 AS "Deaths" FROM nw GROUP BY 1)"""
@@ -165,7 +168,7 @@ _DELTA = f"""{_YEARLY}, delta AS (
 
 @query("prior_year_delta", f"WITH {_DELTA} SELECT * FROM delta", doubles=["Deaths", "DeathsPriorYear", "Delta"])
 def prior_year_delta_query(spark, sf):
-    return prior_year_delta(_yearly(spark, sf), "Year", "Deaths")
+    return prior_year_delta(settle(_yearly(spark, sf)), "Year", "Deaths")
 
 
 @query(
@@ -174,7 +177,7 @@ def prior_year_delta_query(spark, sf):
     doubles=["mean_delta"],
 )
 def mean_prior_year_delta(spark, sf):
-    delta = prior_year_delta(_yearly(spark, sf), "Year", "Deaths")
+    delta = prior_year_delta(settle(_yearly(spark, sf)), "Year", "Deaths")
     return delta.filter(F.col("Year") <= BASE_YEAR).agg(F.avg("Delta").alias("mean_delta"))
 
 
@@ -242,7 +245,7 @@ def dedupe_keep_max(spark, sf):
 @query("union_eras", f"WITH {NW} SELECT * FROM nw", dates=["Week_Ending_Date"])
 def union_eras_query(spark, sf):
     # Weekly rows as delivered in two eras: other date formats, other spelling of the count.
-    weeks = nation_weeks(spark, sf)
+    weeks = settle(nation_weeks(nation_day(spark, sf)))
 
     def delivered(rows, pattern: str, count: str):
         return rows.select(

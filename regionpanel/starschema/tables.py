@@ -108,9 +108,8 @@ def nation_people(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def nation_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders per nation, year and week under the weekly deaths table's column names."""
-    days = nation_day(spark, sf_dir)
+def nation_weeks(days: DataFrame) -> DataFrame:
+    """Nation-days per nation, year and week under the weekly deaths table's column names."""
     return days.groupBy(
         F.concat(F.lit("NATION_"), F.col("nation").cast("string")).alias("State"),
         F.year("day").alias("Year"),
