@@ -12,7 +12,7 @@ def parse_date(col: Column, formats: str | Iterable[str]) -> Column:
     """Text to DATE, the first format that fits; text that fits none gives NULL."""
     if isinstance(formats, str):
         formats = (formats,)
-    return F.coalesce(*[F.try_to_timestamp(col, F.lit(f)).cast("date") for f in formats])
+    return F.coalesce(*[F.try_to_date(col, f) for f in formats])
 
 
 def iso_date(day: Column) -> Column:

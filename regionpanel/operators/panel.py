@@ -64,6 +64,17 @@ def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataF
     return ranked.filter("_rn = 1").drop("_rn")
 
 
+def require_unique(df: DataFrame, keys: Sequence[str], name: str = "frame") -> DataFrame:
+    """The frame itself; raises when two rows share a key or a key is missing. Counts, so it runs a job."""
+    missing = F.lit(False)
+    for k in keys:
+        missing = missing | F.col(k).isNull()
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter((F.col("_n") > 1) | missing).first()
+    if repeated is not None:
+        raise ValueError(f"{name}: {', '.join(keys)} is no key, for instance {tuple(repeated)[:-1]}")
+    return df
+
+
 def latest_per(df: DataFrame, key: str | Sequence[str], date: str, *tie_break: Column) -> DataFrame:
     """The latest row of each entity."""
     return dedupe(df, _names(key), [F.col(date).desc_nulls_last(), *tie_break])

@@ -7,12 +7,23 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.panel import require_unique
 from ..operators.report import latest_day
 from ..sinks import write_json, write_table, write_tsv
 from ..sources import ingest_daily_files, ingest_delimited, ingest_json_rows, reload_table, source
 from ..sources.seeds import state_abbreviations
 from . import cases, counties, deaths, states
 
+KEYS = {
+    "county_daily": ["FIPS", "Date"],
+    "county_population": ["FIPS"],
+    "county_dim": ["FIPS"],
+    "state_dim": ["State"],
+    "state_tests": ["state", "Date"],
+    "state_facts": ["state", "Date"],
+    "weekly_deaths": ["State", "Year", "Week_Of_Year"],
+}
+
 
 def read_sources(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
     """All delivered sources as text tables by contract name."""
@@ -33,7 +44,7 @@ def build(spark: SparkSession, paths: Mapping[str, str], out: str) -> dict[str,
     """Write all tables below ``out/tables`` and all exports below ``out/exports``; returns the stored tables.
 
     Tables that several others read are stored before they are used, panels by month. Raw tables are replaced
-    only when their content has changed.
+    only when their content has changed. Tables with a key are checked for it, since the windows rest on it.
     """
     raw = read_sources(spark, paths)
     for name, df in raw.items():
@@ -45,10 +56,11 @@ def build(spark: SparkSession, paths: Mapping[str, str], out: str) -> dict[str,
         path = f"{out}/tables/{name}"
         if by_month:
             write_table(df.withColumn("month", F.trunc(by_month, "month")), path, ["month"])
-            tables[name] = spark.read.parquet(path).drop("month")
+            stored = spark.read.parquet(path).drop("month")
         else:
             write_table(df, path)
-            tables[name] = spark.read.parquet(path)
+            stored = spark.read.parquet(path)
+        tables[name] = require_unique(stored, KEYS[name], name) if name in KEYS else stored
         return tables[name]
 
     short = src["state_abbreviations"]

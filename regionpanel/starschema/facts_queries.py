@@ -151,16 +151,14 @@ def entity_rate_14(spark, sf):
 @query(
     "national_series",
     f"""WITH {_STATES},
-us_pop AS (SELECT sum(population) AS population FROM people WHERE state IN (SELECT state FROM states)),
-base AS (
-  SELECT "Date" AS date, CAST(sum(positive) AS BIGINT) AS positive, CAST(sum("positiveIncrease") AS BIGINT) AS "positiveIncrease",
-    CAST(sum("totalTestResultsIncrease") AS BIGINT) AS "totalTestResultsIncrease" FROM states GROUP BY 1),
-one_week AS (
-  SELECT n.date, sum(w."positiveIncrease") / 7.0 AS "Avg7DayPositiveIncrease", sum(w."totalTestResultsIncrease") / 7.0 AS "Avg7DayTotalTestResultsIncrease"
-  FROM base n JOIN base w ON w.date BETWEEN n.date - 6 AND n.date GROUP BY 1)
-SELECT b.date, b.positive, b."positiveIncrease", b."totalTestResultsIncrease", "Avg7DayPositiveIncrease", "Avg7DayTotalTestResultsIncrease",
-  (b.positive - e.positive) * 100000.0 / nullif((SELECT population FROM us_pop), 0) AS "CasesPer100k"
-FROM base b LEFT JOIN one_week o ON b.date = o.date LEFT JOIN base e ON e.date = b.date - 14""",
+daily AS (
+  SELECT "Date" AS date, CAST(sum(positive) AS BIGINT) AS positive, CAST(sum("positiveIncrease") AS BIGINT) AS cases,
+    CAST(sum("totalTestResultsIncrease") AS BIGINT) AS tests FROM states GROUP BY 1)
+SELECT t.date, t.positive, t.cases AS "positiveIncrease", t.tests AS "totalTestResultsIncrease",
+  sum(t.cases) OVER seven / 7.0 AS "Avg7DayPositiveIncrease", sum(t.tests) OVER seven / 7.0 AS "Avg7DayTotalTestResultsIncrease",
+  (t.positive - e.positive) * 100000.0 / nullif((SELECT sum(population) FROM people WHERE state IN (SELECT state FROM states)), 0) AS "CasesPer100k"
+FROM daily t LEFT JOIN daily e ON e.date = t.date - 14
+WINDOW seven AS (ORDER BY t.date RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW)""",
     dates=["date"],
     doubles=["Avg7DayPositiveIncrease", "Avg7DayTotalTestResultsIncrease", "CasesPer100k"],
 )
@@ -171,9 +169,10 @@ def national_series(spark, sf):
 
 @query(
     "national_trend",
-    f"""WITH {RD}, base AS (SELECT day AS date, sum(n) AS n FROM rd GROUP BY 1)
-SELECT n.date, sum(w.n) / 7.0 AS "Avg7DayPositiveIncrease"
-FROM base n JOIN base w ON w.date BETWEEN n.date - 6 AND n.date WHERE n.date >= DATE '2000-03-01' GROUP BY 1""",
+    f"""WITH {RD}, daily AS (SELECT day AS date, sum(n) AS n FROM rd GROUP BY 1)
+SELECT * FROM (
+  SELECT date, sum(n) OVER (ORDER BY date RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW) / 7.0 AS "Avg7DayPositiveIncrease" FROM daily)
+WHERE date >= DATE '2000-03-01'""",
     dates=["date"],
     doubles=["Avg7DayPositiveIncrease"],
 )

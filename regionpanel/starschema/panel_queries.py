@@ -220,20 +220,19 @@ def lagged_pair_query(spark, sf):
     return lagged_pair(nation_day(spark, sf), "nation", "day", "n", "cents", 14)
 
 
-_DOUBLING = """
-SELECT {key}, day, CAST(round(CAST(v / nullif((v - ev) / nullif(CAST(days AS DOUBLE), 0), 0) / 2 AS DECIMAL(38, 9)), 2) AS DOUBLE) AS doubling_days
-FROM (
-  SELECT t2.{key}, t2.day, t2.v, t1.v AS ev, t2.day - t1.day AS days,
-    row_number() OVER (PARTITION BY t2.{key}, t2.day ORDER BY t1.day DESC) AS rn
-  FROM points t1 JOIN points t2 ON t1.{key} = t2.{key} AND t1.day < t2.day AND t1.v <= t2.v / 2)
-WHERE rn = 1"""
+_DOUBLING = """,
+halves AS (
+  SELECT t.{key}, t.day, t.v, max(e.day) AS half_day FROM points t JOIN points e USING ({key})
+  WHERE e.day < t.day AND 2 * e.v <= t.v GROUP BY ALL)
+SELECT h.{key}, h.day,
+  CAST(round(CAST(h.v / nullif((h.v - e.v) / CAST(h.day - half_day AS DOUBLE), 0) / 2 AS DECIMAL(38, 9)), 2) AS DOUBLE) AS doubling_days
+FROM halves h JOIN points e ON e.{key} = h.{key} AND e.day = half_day"""
 
 
 @query(
     "doubling_time",
     f"""WITH {sql_event_days("event_type")},
-points AS (SELECT event_type, day, CAST(sum(n) OVER (PARTITION BY event_type ORDER BY day) AS BIGINT) AS v FROM ed)
-{_DOUBLING.format(key="event_type")}""",
+points AS (SELECT event_type, day, CAST(sum(n) OVER (PARTITION BY event_type ORDER BY day) AS BIGINT) AS v FROM ed){_DOUBLING.format(key="event_type")}""",
     dates=["day"],
     doubles=["doubling_days"],
 )
@@ -245,8 +244,7 @@ def doubling_time_query(spark, sf):
 
 @query(
     "doubling_time_falling",
-    f"""WITH {RD}, points AS (SELECT region, day, n AS v FROM rd)
-{_DOUBLING.format(key="region")}""",
+    f"""WITH {RD}, points AS (SELECT region, day, n AS v FROM rd){_DOUBLING.format(key="region")}""",
     dates=["day"],
     doubles=["doubling_days"],
 )

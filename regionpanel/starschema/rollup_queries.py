@@ -45,12 +45,12 @@ _LINE_CASES = """cases AS (
 @query(
     "share_of_total",
     f"""WITH {_LINE_CASES},
-totals AS (SELECT week_ending_date, count(*) AS cases_total, sum(death_flag) AS death_total FROM cases GROUP BY 1)
-SELECT g.week_ending_date, race_ethnicity_combined, cases, death, icu, cases_total, cases / nullif(cases_total, 0) AS cases_pct,
-  death / nullif(death_total, 0) AS death_pct
-FROM (SELECT week_ending_date, race_ethnicity_combined, count(*) AS cases, CAST(sum(death_flag) AS BIGINT) AS death,
-    CAST(sum(icu_flag) AS BIGINT) AS icu FROM cases GROUP BY 1, 2) g
-LEFT JOIN totals t ON g.week_ending_date = t.week_ending_date""",
+grouped AS (
+  SELECT week_ending_date, race_ethnicity_combined, count(*) AS cases, CAST(sum(death_flag) AS BIGINT) AS death,
+    CAST(sum(icu_flag) AS BIGINT) AS icu FROM cases GROUP BY 1, 2)
+SELECT *, CAST(sum(cases) OVER week AS BIGINT) AS cases_total, cases / sum(cases) OVER week AS cases_pct,
+  death / nullif(sum(death) OVER week, 0) AS death_pct
+FROM grouped WINDOW week AS (PARTITION BY week_ending_date)""",
     dates=["week_ending_date"],
     doubles=["cases_pct", "death_pct"],
 )

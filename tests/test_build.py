@@ -6,7 +6,8 @@ import json
 import pytest
 
 from regionpanel.plans import counties, reports, states
-from regionpanel.plans.build import build
+from regionpanel.operators.panel import require_unique
+from regionpanel.plans.build import KEYS, build
 
 DAYS = [dt.date(2020, 3, 22) + dt.timedelta(days=n) for n in range(45)]
 HEAD = "FIPS,Admin2,Province_State,Country_Region,Last_Update,Lat,Long_,Confirmed,Deaths,Recovered,Active,Combined_Key"
@@ -82,21 +83,21 @@ def built(spark, delivered, tmp_path_factory):
 
 def test_keys_are_unique(built):
     tables, _ = built
-    keys = {
-        "county_daily": ["FIPS", "Date"],
-        "county_base": ["FIPS", "Date"],
-        "county_progress": ["FIPS", "Date"],
-        "county_dim": ["FIPS"],
-        "state_dim": ["State"],
-        "state_facts": ["state", "Date"],
-        "nation_facts": ["date"],
-        "state_deaths": ["State", "Week_Of_Year"],
-    }
-    for name, key in keys.items():
+    more = {"county_base": ["FIPS", "Date"], "county_progress": ["FIPS", "Date"], "nation_facts": ["date"], "state_deaths": ["State", "Week_Of_Year"]}
+    for name, key in {**KEYS, **more}.items():
         df = tables[name]
         assert df.count() == df.select(key).distinct().count() > 0, name
 
 
+def test_repeated_and_missing_keys_raise(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), (None, 3)], "k string, v int")
+    require_unique(df, ["k", "v"][1:])
+    with pytest.raises(ValueError, match="'a'"):
+        require_unique(df.filter("k is not null"), ["k"])
+    with pytest.raises(ValueError, match="None"):
+        require_unique(df.filter("v > 1"), ["k"])
+
+
 def test_counties(built):
     tables, _ = built
     assert {r.FIPS for r in tables["county_base"].select("FIPS").distinct().collect()} == {"01001", "36061", "00072"}
