@@ -10,24 +10,34 @@ from pyspark.sql import functions as F
 from ..session import settle
 
 
+# Layout of monotonically_increasing_id: the partition in the upper bits, the row's number in it in the lower 33.
+ROW_BITS = 33
+
+
 def global_position(df: DataFrame, order: Sequence[Column], amount: str | None = None, out: str = "position") -> DataFrame:
     """Running count (or running sum of ``amount``) of the frame in ``order``; end ``order`` with a unique column.
 
-    The frame is cut into ordered slices of about equal size. Each slice counts for itself and adds the total
-    of the slices before it. The totals are one row per slice, so their window and broadcast stay small.
+    The frame is cut into ordered slices of about equal size, each sorted for itself, and written with the rows'
+    numbers. A position is the number inside the slice plus the totals of the slices before it. These totals are
+    one row per slice, so their window and broadcast stay small.
     """
-    step = F.lit(1).cast("long") if amount is None else F.col(amount)
-    cut = df.repartitionByRange(*order).withColumn("_slice", F.spark_partition_id())
-    cut = settle(cut, "ranked")
-    totals = cut.groupBy("_slice").agg(F.sum(step).alias("_total"))
+    cut = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    cut = settle(cut, "ranked").withColumn("_slice", F.shiftright("_id", ROW_BITS))
+    if amount is None:
+        inside = F.col("_id").bitwiseAND(F.lit((1 << ROW_BITS) - 1)) + 1
+        total = F.count(F.lit(1))
+    else:
+        upto = Window.partitionBy("_slice").orderBy("_id").rowsBetween(Window.unboundedPreceding, 0)
+        inside, total = F.sum(amount).over(upto), F.sum(amount)
+    totals = cut.groupBy("_slice").agg(total.alias("_total"))
     before = totals.select(
         "_slice", (F.sum("_total").over(Window.orderBy("_slice")) - F.col("_total")).alias("_before")
     )
-    inside = Window.partitionBy("_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        cut.join(F.broadcast(before), "_slice")
-        .withColumn(out, F.col("_before") + F.sum(step).over(inside))
-        .drop("_slice", "_before")
+        cut.withColumn("_inside", inside)
+        .join(F.broadcast(before), "_slice")
+        .withColumn(out, F.col("_before") + F.col("_inside"))
+        .drop("_id", "_slice", "_inside", "_before")
     )
 
 
