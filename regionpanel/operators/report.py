@@ -123,7 +123,10 @@ FEATURE_TYPE = T.StructType(
 
 
 def features(documents: DataFrame, text: str = "value", key: str = "FIPS") -> DataFrame:
-    """GeoJSON feature collections as one row per feature: key and geometry text."""
+    """GeoJSON feature collections as one row per feature: key and geometry text.
+
+    A collection is one JSON text and parsed by one task; its features spread from there.
+    """
     parsed = documents.select(F.explode(F.from_json(F.col(text), FEATURE_TYPE)["features"]).alias("f"))
     return parsed.select(
         F.concat(F.col("f.properties.STATE"), F.col("f.properties.COUNTY")).alias(key), F.col("f.geometry").alias("geometry")

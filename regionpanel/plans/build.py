@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from ..operators.panel import require_unique
 from ..operators.report import latest_day
 from ..sinks import write_json, write_table, write_tsv
-from ..sources import ingest_daily_files, ingest_delimited, ingest_json_rows, reload_table, source
+from ..sources import fingerprint, ingest_daily_files, ingest_delimited, ingest_json_rows, source
 from ..sources.seeds import state_abbreviations
 from . import cases, counties, deaths, states
 
@@ -24,6 +26,51 @@ KEYS = {
     "weekly_deaths": ["State", "Year", "Week_Of_Year"],
 }
 
+# The delivered sources each table rests on, directly or through other tables.
+_COUNTY = {"county_daily"}
+_PLACES = {"county_population", "state_population", "county_survey"}
+_STATE_DIM = {"state_population", "state_abbreviations"}
+_STATE = {"state_daily", "tests", *_STATE_DIM}
+_WEEKLY = {"weekly_deaths_new", "weekly_deaths_old"}
+NEEDS = {
+    "county_clean": _COUNTY,
+    "county_daily": _COUNTY,
+    "county_population": {"county_population", "state_population"},
+    "county_dim": _COUNTY | _PLACES,
+    "county_base": _COUNTY,
+    "county_progress": _COUNTY | _PLACES,
+    "state_dim": _STATE_DIM,
+    "state_tests": {"tests"},
+    "state_facts": _STATE,
+    "nation_facts": _STATE,
+    "weekly_deaths": _WEEKLY,
+    "state_deaths": _STATE | _WEEKLY,
+    "case_level": {"cases"},
+    "cases_by_week": {"cases"},
+}
+
+
+def _keep(spark: SparkSession, out: str, name: str, mark: str, write: Callable[[], None]) -> None:
+    """Run ``write`` unless the table is noted as made from ``mark``.
+
+    The note is withdrawn before and set after the table is written, so a build that dies in between makes the
+    table again next time.
+    """
+    path = f"{out}/made_from/{name}"
+    try:
+        noted = spark.read.text(path).first()
+    except AnalysisException:
+        noted = None
+    if noted is not None and noted["value"] == mark:
+        return
+
+    def note(text: str) -> None:
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+    note("unfinished")
+    write()
+    note(mark)
+
 
 def read_sources(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
     """All delivered sources as text tables by contract name."""
@@ -43,24 +90,31 @@ def read_sources(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, Dat
 def build(spark: SparkSession, paths: Mapping[str, str], out: str) -> dict[str, DataFrame]:
     """Write all tables below ``out/tables`` and all exports below ``out/exports``; returns the stored tables.
 
-    Tables that several others read are stored before they are used, panels by month. Raw tables are replaced
-    only when their content has changed. Tables with a key are checked for it, since the windows rest on it.
+    Tables that several others read are stored before they are used, panels by month. Only raw tables whose
+    content has changed and the tables resting on them are made again. Tables with a key are checked for it,
+    since the windows rest on it.
     """
     raw = read_sources(spark, paths)
+    marks = {name: "{} rows, {}".format(*fingerprint(df).first()) for name, df in raw.items()}
     for name, df in raw.items():
-        reload_table(df, f"{out}/raw/{name}")
+        _keep(spark, out, f"raw/{name}", marks[name], partial(write_table, df, f"{out}/raw/{name}"))
     src = {name: spark.read.parquet(f"{out}/raw/{name}") for name in raw}
     tables: dict[str, DataFrame] = {}
 
     def store(name: str, df: DataFrame, by_month: str | None = None) -> DataFrame:
         path = f"{out}/tables/{name}"
-        if by_month:
-            write_table(df.withColumn("month", F.trunc(by_month, "month")), path, ["month"])
-            stored = spark.read.parquet(path).drop("month")
-        else:
-            write_table(df, path)
-            stored = spark.read.parquet(path)
-        tables[name] = require_unique(stored, KEYS[name], name) if name in KEYS else stored
+
+        def write() -> None:
+            if by_month:
+                write_table(df.withColumn("month", F.trunc(by_month, "month")), path, ["month"])
+            else:
+                write_table(df, path)
+            if name in KEYS:
+                require_unique(spark.read.parquet(path), KEYS[name], name)
+
+        mark = "; ".join(f"{n}: {marks[n]}" for n in sorted(NEEDS[name]))
+        _keep(spark, out, f"tables/{name}", mark, write)
+        tables[name] = spark.read.parquet(path).drop("month")
         return tables[name]
 
     short = src["state_abbreviations"]

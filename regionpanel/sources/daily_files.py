@@ -36,7 +36,7 @@ def _layouts(spark: SparkSession, path: str, fields: Sequence[str], since: str)
     )
     names = F.array(*[F.lit(f) for f in fields])
     cells = F.split(F.regexp_replace("value", '[﻿"\\r]', ""), ",")
-    is_header = F.size(F.array_intersect(F.transform(cells, F.trim), names)) >= 2
+    is_header = F.size(F.array_intersect(F.transform(cells, F.trim), names)) >= min(2, len(fields))
     per_file = (
         lines.filter(F.col("day") >= since)
         .groupBy("file")

@@ -4,28 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import week_ending, week_number
 from ..operators.panel import by_day
 
 
-# Declared, so that opening a table starts no job to read its footers.
-SCHEMAS = {
-    "region": "r_regionkey int, r_name string",
-    "nation": "n_nationkey int, n_name string, n_regionkey int",
-    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
-    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
-    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double,"
-    " o_orderdate timestamp_ntz, o_orderpriority string",
-    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double,"
-    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
-    " l_shipdate timestamp_ntz",
-    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
-}
+# Schemas by path, read from the footers once: opening a table again starts no job.
+_schemas: dict[str, StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def order_days(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:

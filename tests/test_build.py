@@ -7,7 +7,7 @@ import pytest
 
 from regionpanel.plans import counties, reports, states
 from regionpanel.operators.panel import require_unique
-from regionpanel.plans.build import KEYS, build
+from regionpanel.plans.build import KEYS, NEEDS, build
 
 DAYS = [dt.date(2020, 3, 22) + dt.timedelta(days=n) for n in range(45)]
 HEAD = "FIPS,Admin2,Province_State,Country_Region,Last_Update,Lat,Long_,Confirmed,Deaths,Recovered,Active,Combined_Key"
@@ -216,9 +216,29 @@ def test_old_state_feed(spark):
     assert (a.positiveIncrease, a.PositivityRate, b.PositivityRate, b.hospitalized) == (0, -0.1, None, 3)
 
 
-# Rewrites the tables the tests above read, so it comes last.
-def test_second_build_gives_the_same(spark, delivered, built):
+# Rewrites tables the tests above read, so it comes last.
+def test_second_build_makes_only_what_changed(spark, delivered, built, tmp_path):
     tables, out = built
     before = sorted(map(str, tables["county_progress"].collect()))
+
+    def files():
+        return {name: {p.name for p in (out / "tables" / name).rglob("*.parquet")} for name in NEEDS}
+
+    first = files()
     again = build(spark, delivered, str(out))
+    assert files() == first
     assert sorted(map(str, again["county_progress"].collect())) == before
+
+    more = tmp_path / "cases.tsv"
+    with open(delivered["cases"], "rb") as f:
+        text = f.read()
+    more.write_bytes(text + text.splitlines(keepends=True)[-1])
+    third = build(spark, {**delivered, "cases": str(more)}, str(out))
+    second = files()
+    assert {name for name in NEEDS if second[name] != first[name]} == {"case_level", "cases_by_week"}
+    assert third["case_level"].count() == 4
+
+    # A note withdrawn by a build that died makes the table again.
+    spark.createDataFrame([("unfinished",)], "value string").write.mode("overwrite").text(f"{out}/made_from/tables/state_dim")
+    build(spark, {**delivered, "cases": str(more)}, str(out))
+    assert {name for name in NEEDS if files()[name] != second[name]} == {"state_dim"}
