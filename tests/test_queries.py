@@ -58,3 +58,38 @@ def test_repeats_go_before_the_shuffle(spark):
 def test_only_needed_columns_are_read(spark):
     plan = plan_of(spark, "share_of_total")
     assert re.search(r"ReadSchema: struct<l_returnflag:string,l_linestatus:string,l_shipdate:timestamp_ntz>", plan)
+
+
+def test_customer_with_a_third_of_all_orders_is_split(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from regionpanel.starschema.tables import nation_day, table
+
+    # Thresholds lowered to the size of the test, broadcast off as for a customer table too large for it.
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    orders = table(spark, LARGER_DIR, "orders").withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(30))))
+    hot = F.when(F.col("copy") <= 11, F.lit(7).cast("long")).otherwise(F.col("o_custkey"))
+    orders.withColumn("o_custkey", hot).drop("copy").repartition(16).write.parquet(f"{tmp_path}/orders.parquet")
+    for name in ("customer", "nation"):
+        table(spark, LARGER_DIR, name).write.parquet(f"{tmp_path}/{name}.parquet")
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        days = nation_day(spark, str(tmp_path))
+        total = sum(r.n for r in days.collect())
+        plan = days._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert total == 15000 * 30
+    assert "SortMergeJoin(skew=true)" in plan
