@@ -19,7 +19,7 @@ from ..plans.cases import weekly_report
 from ..plans.deaths import clean_weekly_deaths, state_deaths
 from ..session import settle
 from .registry import query
-from .tables import ND, NW, nation_day, nation_weeks, table
+from .tables import NW, nation_day, nation_weeks, table
 
 BASE_YEAR = 1999
 
