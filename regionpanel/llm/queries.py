@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import licenses, lines, mixing, quality, sharding, tokens
+from . import licenses, lines, mixing, ngram_join, quality, sharding, tokens
 from .common import read, settle
 from .sql import SQL  # noqa: F401
 
@@ -93,3 +93,10 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("runs").alias("n_runs"),
         F.md5("text").alias("kept_md5"),
     )
+
+
+@query
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingles and group of every document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join.jaccard_groups(docs).drop("text_hash")
