@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import licenses, lines, mixing, ngram_join, quality, sharding, tokens
+from . import decontaminate, licenses, lines, mixing, ngram_join, quality, sharding, tokens
 from .common import read, settle
 from .sql import SQL  # noqa: F401
 
@@ -100,3 +100,10 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingles and group of every document."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return ngram_join.jaccard_groups(docs).drop("text_hash")
+
+
+@query
+def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item and how much of it is there."""
+    out = decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("text_hash")
+    return out.withColumn("score", F.round("score", 6))
