@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, lines, mixing, ngram_join, quality, sharding, tokens
+from . import decontaminate, licenses, lines, mixing, ngram_join, paragraphs, quality, sharding, tokens
 from .common import read, settle
 from .sql import SQL  # noqa: F401
 
@@ -107,3 +107,9 @@ def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, with the item and how much of it is there."""
     out = decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("text_hash")
     return out.withColumn("score", F.round("score", 6))
+
+
+@query
+def op4_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every repeated paragraph with its cluster's earliest one, and whether it goes."""
+    return paragraphs.duplicate_paragraphs(read(spark, sf_dir, "documents")).drop("text_hash")
