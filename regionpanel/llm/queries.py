@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, lines, mixing, ngram_join, paragraphs, quality, sharding, tokens
+from . import decontaminate, licenses, lines, mixing, ngram_join, paragraphs, quality, sharding, suffix_dedup, tokens
 from .common import read, settle
 from .sql import SQL  # noqa: F401
 
@@ -113,3 +113,10 @@ def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every repeated paragraph with its cluster's earliest one, and whether it goes."""
     return paragraphs.duplicate_paragraphs(read(spark, sf_dir, "documents")).drop("text_hash")
+
+
+@query
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the bytes of repeats."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.without_repeats(docs, bytes_too=False).drop("text_hash", "kept")

@@ -97,3 +97,29 @@ SELECT d.doc_id, coalesce(len(string_split(d.text, chr(10))), 0) AS n_lines, coa
     coalesce(n_runs, 0) AS n_runs, CASE WHEN d.text IS NULL THEN NULL ELSE md5(coalesce(kept, '')) END AS kept_md5
 FROM documents d LEFT JOIN removed USING (doc_id) LEFT JOIN rest USING (doc_id)
 """
+
+_L = 100
+SQL["op6_suffix_dedup"] = f"""
+WITH d AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), s AS (
+    SELECT doc_id, i, substr(h, 2 * i + 1, {2 * _L}) AS w FROM (SELECT doc_id, h, unnest(range(0, n - {_L} + 1)) AS i FROM d WHERE n >= {_L})
+), later AS (
+    SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS nth FROM s) WHERE nth > 1
+), runs AS (
+    SELECT doc_id, min(i) AS a, max(i) + {_L} AS b FROM (
+        SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM (
+            SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + {_L} THEN 0 ELSE 1 END AS new FROM later
+        )
+    ) GROUP BY doc_id, run
+), gaps AS (
+    SELECT doc_id, b AS x, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS y FROM runs
+    UNION ALL SELECT doc_id, 0, min(a) FROM runs GROUP BY doc_id
+), kept AS (
+    SELECT doc_id, string_agg(substr(h, 2 * x + 1, 2 * (coalesce(y, n) - x)), '' ORDER BY x) AS h FROM gaps JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT d.doc_id, d.n AS n_bytes, coalesce(g.removed, 0) AS n_removed, coalesce(g.spans, 0) AS n_spans,
+    sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN (SELECT doc_id, sum(b - a) AS removed, count(*) AS spans FROM runs GROUP BY doc_id) g USING (doc_id)
+LEFT JOIN kept USING (doc_id)
+"""
