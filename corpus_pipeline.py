@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from regionpanel.llm import mixing, quality, sharding  # noqa: E402
+from regionpanel.llm import decontaminate, mixing, ngram_join, quality, sharding  # noqa: E402
 from regionpanel.llm.common import read, settle  # noqa: E402
 from regionpanel.llm.queries import weighted_sources  # noqa: E402
 
@@ -26,6 +26,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar ones, that with the smallest id."""
+    return ngram_join.one_of_each_group(docs)
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.clean(docs, read(spark, sf_dir, "benchmark"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixture: parts of documents as blocks take them, some twice, so that sources weigh 5, 2, 1 in turn.
 
@@ -45,6 +55,8 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("benchmark_leaks", benchmark_leaks),
     ("mix_sources", mix_sources),
     ("shard", shard),
 ]

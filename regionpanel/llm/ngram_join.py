@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, row_hash, settle, words_of
+from .common import bounded, row_hash, settle, word_count, words_of
 from .components import components
 from .shingles import BITS, mixed, pack, shingles, unpack, word_hashes
 
@@ -282,7 +282,7 @@ def grouped(lists: DataFrame, links: DataFrame | None) -> DataFrame:
 
 
 def jaccard_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, ranges: int | None = None) -> DataFrame:
-    """``doc_id``, ``text_hash``, ``n_shingles`` and ``component_id`` (the group's smallest id) of every document.
+    """``doc_id``, ``text_hash``, ``n_shingles``, ``component_id`` (the group's smallest id) and ``group`` of every document.
 
     ``ranges`` is the number of hash ranges for counting tokens, four times the shuffle partitions by default.
     """
@@ -301,4 +301,16 @@ def jaccard_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     members = settle(members.join(of, "class", "left").withColumn("group", F.coalesce("group", "class")), "grouped")
     least = members.filter("n > 0").groupBy("group").agg(F.min("doc_id").alias("component_id"))
     out = members.join(least, "group", "left")
-    return out.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return out.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "group")
+
+
+def one_of_each_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` that stay: the smallest id of every group, and all rows without words."""
+    groups = jaccard_groups(docs, doc_id, text, percent).filter("n_shingles > 0")
+    place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash")
+    stay = groups.groupBy("group").agg(F.min(place).alias("p")).select(F.col("p.doc_id").alias("_id"), F.col("p.text_hash").alias("_hash"))
+    rows = docs.withColumn("_own", F.col(doc_id).cast("long")).withColumn("_of", row_hash(F.col(text)))
+    words = rows.filter(word_count(F.col(text)) > 0)
+    words = words.join(stay, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_of") == F.col("_hash")), "left_semi")
+    words = words.dropDuplicates(["_own", "_of"])
+    return words.unionByName(rows.filter(word_count(F.col(text)) == 0)).select(*docs.columns)

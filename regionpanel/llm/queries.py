@@ -99,7 +99,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingles and group of every document."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return ngram_join.jaccard_groups(docs).drop("text_hash")
+    return ngram_join.jaccard_groups(docs).drop("text_hash", "group")
 
 
 @query
