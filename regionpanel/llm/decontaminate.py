@@ -19,12 +19,13 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from itertools import chain
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.core.broadcast import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded, row_hash
@@ -225,13 +226,15 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
 def clean(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no item is found, with all their columns."""
     for index in indexes(items, item_id, item_text):
-        sent = docs.sparkSession.sparkContext.broadcast(index)
+        docs = docs.filter(~_holds_item(docs.sparkSession.sparkContext.broadcast(index))(F.col(text)))
+    return docs
 
-        def found(texts: pd.Series, sent=sent) -> pd.Series:
-            hits = sent.value.scan([t if isinstance(t, str) else None for t in texts])
-            out = np.zeros(len(texts), dtype=bool)
-            out[[h[0] for h in hits]] = True
-            return pd.Series(out)
 
-        docs = docs.filter(~F.pandas_udf(found, "boolean")(F.col(text)))
-    return docs
+def _holds_item(sent: Broadcast) -> Callable[[Column], Column]:
+    def found(texts: pd.Series) -> pd.Series:
+        hits = sent.value.scan([t if isinstance(t, str) else None for t in texts])
+        out = np.zeros(len(texts), dtype=bool)
+        out[[h[0] for h in hits]] = True
+        return pd.Series(out)
+
+    return F.pandas_udf(found, "boolean")
