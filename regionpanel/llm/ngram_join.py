@@ -36,7 +36,7 @@ from .shingles import BITS, mixed, pack, shingles, unpack, word_hashes
 
 PERCENT = 75
 #: Words of a chunk of documents; what a task holds in memory follows from it.
-CHUNK_WORDS = 3_000_000
+CHUNK_WORDS = 500_000
 #: Longest prefix extension that is weighed, and the cost of checking a pair in posting entries.
 MOST_MATCHES = 6
 CHECK_COST = 40.0
