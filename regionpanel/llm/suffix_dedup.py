@@ -37,7 +37,7 @@ from .shingles import mixed, pack, unpack
 
 LENGTH = 100
 GRAM = 24
-CHUNK_BYTES = 6_000_000
+CHUNK_BYTES = 2_000_000
 HOT_SEGMENTS = 4_000
 #: Symbols of one collection that a task builds at a time.
 COLLECTION_BYTES = 400_000
