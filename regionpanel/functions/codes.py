@@ -28,8 +28,11 @@ def numeric_text(col: Column) -> Column:
 
 
 def repair_code(code: Column, flag: Column, length: int = CODE_LENGTH) -> Column:
-    """Re-pad codes that lost leading zeros or gained a decimal part (``1001.0`` -> ``01001``)."""
+    """Re-pad codes that lost leading zeros or gained a decimal part (``1001.0`` -> ``01001``).
+
+    A code of more digits than ``length`` is no code and gives NULL; cutting it would make it another one.
+    """
     broken = (flag == 1) & (F.length(code) != length) & (F.length(code) > 0)
-    padded = numeric_text(code).cast("string")
-    # lpad also cuts longer text to the wanted length.
-    return F.when(broken, F.lpad(padded, length, "0")).otherwise(code)
+    digits = numeric_text(code).cast("string")
+    padded = F.when(F.length(digits) <= length, F.lpad(digits, length, "0"))
+    return F.when(broken, padded).otherwise(code)

@@ -2,8 +2,8 @@
 
 from .calendar import calendar
 from .contracts import CONTRACTS, Contract, source
-from .daily_files import ingest_daily_files
-from .delimited import ingest_delimited, reload_table
+from .daily_files import ingest_daily_files, read_daily_files
+from .delimited import good_rows, ingest_delimited, read_by_name, reject_summary, rejects, reload_table
 from .fingerprint import fingerprint, same_content
 from .json_rows import ingest_json_rows
 from .seeds import state_abbreviations
@@ -13,9 +13,14 @@ __all__ = [
     "Contract",
     "calendar",
     "fingerprint",
+    "good_rows",
     "ingest_daily_files",
     "ingest_delimited",
     "ingest_json_rows",
+    "read_by_name",
+    "read_daily_files",
+    "reject_summary",
+    "rejects",
     "reload_table",
     "same_content",
     "source",

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The calendar the state and nation tables are tied to; the last day itself is left out.
+# The days a generated calendar has by default; the last day itself is left out.
 CALENDAR_FIRST = "2020-01-01"
 CALENDAR_END = "2025-12-31"
 MILESTONES = {"Minus1Day": 1, "Minus7Days": 7, "Minus14Days": 14, "Minus30Days": 30}
@@ -32,6 +32,9 @@ def expand_days(ends: DataFrame, first: str, end: str, milestones: Mapping[str,
     return days.withColumns({name: F.date_sub("Date", back) for name, back in milestones.items()})
 
 
-def in_calendar(day: Column, first: str = CALENDAR_FIRST, end: str = CALENDAR_END) -> Column:
-    """Whether the calendar holds the day; the calendar has no gaps, so no join is needed."""
-    return (day >= F.lit(first).cast("date")) & (day < F.lit(end).cast("date"))
+def in_calendar(day: Column, first: str | None = CALENDAR_FIRST, end: str | None = None) -> Column:
+    """Whether the calendar holds the day; the calendar has no gaps, so no join is needed, and no end but a given one."""
+    known = day.isNotNull()
+    if first:
+        known = known & (day >= F.lit(first).cast("date"))
+    return known & (day < F.lit(end).cast("date")) if end else known

@@ -6,71 +6,55 @@ from collections import defaultdict
 from collections.abc import Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions import clean_name
 from .contracts import COUNTY_DAILY_FIELDS
-from .delimited import require
+from .delimited import MALFORMED, clean_names, first_lines, good_rows, layouts, read_layout, require
 
 # Reports are named by day, and older ones have another layout.
-DAY_IN_PATH = r"(\d{2})-(\d{2})-(\d{4})\.csv"
+DAY_IN_NAME = r"(\d{2})-(\d{2})-(\d{4})\.csv"
 FIRST_DAY = "20200322"
 
 
-def _day(path):
-    """``yyyyMMdd`` out of the path; empty when the path names no day."""
-    parts = [F.regexp_extract(path, DAY_IN_PATH, i) for i in (3, 1, 2)]
-    return F.concat(*parts)
+def file_day(path: Column, part: int = -1) -> Column:
+    """``yyyyMMdd`` out of one part of a path, its last by default; empty when that names no day."""
+    name = F.element_at(F.split(path, "/"), part)
+    return F.concat(*[F.regexp_extract(name, DAY_IN_NAME, i) for i in (3, 1, 2)])
 
 
-def _layouts(spark: SparkSession, path: str, fields: Sequence[str], since: str) -> dict[str, list[str]]:
-    """Header line -> files that have it.
-
-    One row per file reaches the driver, the same listing Spark itself keeps there to plan the scan. The header
-    is told from data by holding column names as its cells, in whatever order.
-    """
-    lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("file"), _day(F.col("_metadata.file_path")).alias("day")
-    )
-    names = F.array(*[F.lit(f) for f in fields])
-    cells = F.split(F.regexp_replace("value", '[﻿"\\r]', ""), ",")
-    is_header = F.size(F.array_intersect(F.transform(cells, F.trim), names)) >= min(2, len(fields))
-    per_file = (
-        lines.filter(F.col("day") >= since)
-        .groupBy("file")
-        .agg(F.max(F.when(is_header, F.array_join(cells, ","))).alias("header"))
-    )
-    found: dict[str, list[str]] = defaultdict(list)
-    for row in per_file.toLocalIterator():
-        if row["header"] is None:
-            raise ValueError(f"{row['file']}: no header line")
-        found[row["header"]].append(unquote(row["file"]))
-    return found
-
-
-def ingest_daily_files(
-    spark: SparkSession, path: str, fields: Sequence[str] = COUNTY_DAILY_FIELDS, since: str = FIRST_DAY
+def read_daily_files(
+    spark: SparkSession, path: str, fields: Sequence[str] = COUNTY_DAILY_FIELDS, since: str = FIRST_DAY, part: int = -1
 ) -> DataFrame:
-    """Date plus ``fields`` as text from all daily files from ``since`` on, columns picked by header name.
+    """Date, ``fields`` and `MALFORMED` as text from all daily files from ``since`` on, columns picked by header name.
 
-    Files with the same header are read together, so there are as many scans as layouts, not as files.
+    Files with the same header are read together, so there are as many scans as layouts, not as files. A file whose
+    name holds no day raises. ``part`` is the part of the path that names the day, counted from the end.
     """
+    day = file_day(F.col("_metadata.file_path"), part)
+    undated = spark.read.format("binaryFile").load(path).select(F.col("path")).filter(file_day(F.col("path"), part) == "").first()
+    if undated is not None:
+        raise ValueError(f"{undated['path']}: the name holds no day")
+    found = first_lines(spark, path, "UTF-8", day >= since)
+    files: dict[str, list[str]] = defaultdict(list)
+    for row in found.select("file", "header").toLocalIterator():
+        files[row["header"]].append(unquote(row["file"]))
     whole = None
-    for header, files in sorted(_layouts(spark, path, fields, since).items()):
-        names = [clean_name(c) for c in header.split(",")]
-        require(names, fields, files[0])
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        part = (
-            spark.read.option("header", True)
-            .option("multiLine", True)
-            .option("escape", '"')
-            .schema(schema)
-            .csv(files)
-            .select(_day(F.col("_metadata.file_path")).alias("Date"), *fields)
-        )
-        whole = part if whole is None else whole.unionByName(part)
+    for header, (broken, _) in layouts(found).items():
+        if len(set(fields) & {c.strip() for c in header.split(",")}) < min(2, len(fields)):
+            raise ValueError(f"{files[header][0]}: no header line")
+        names = clean_names(header.split(","), files[header][0])
+        require(names, fields, files[header][0])
+        rows = read_layout(spark, sorted(files[header]), names, ",", "UTF-8", broken)
+        rows = rows.select(day.alias("Date"), *fields, MALFORMED)
+        whole = rows if whole is None else whole.unionByName(rows)
     if whole is None:
         raise ValueError(f"{path}: no daily file from {since} on")
     return whole
+
+
+def ingest_daily_files(
+    spark: SparkSession, path: str, fields: Sequence[str] = COUNTY_DAILY_FIELDS, since: str = FIRST_DAY, part: int = -1
+) -> DataFrame:
+    """The rows of `read_daily_files` that fit their header."""
+    return good_rows(read_daily_files(spark, path, fields, since, part))

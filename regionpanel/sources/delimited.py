@@ -1,17 +1,24 @@
-"""Delimited files as all-text tables."""
+"""Delimited files as all-text tables, columns bound by header name."""
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Sequence
+from collections import Counter, defaultdict
+from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from ..functions import clean_name
 from .contracts import Contract
 from .fingerprint import same_content
 
+#: Holds the text of a record whose cells do not fit its header.
+MALFORMED = "_malformed"
+MARKS = '[﻿"\\r]'
+
 
 def require(columns: Sequence[str], needed: Sequence[str], where: str) -> None:
     present = {c.lower() for c in columns}
@@ -20,24 +27,119 @@ def require(columns: Sequence[str], needed: Sequence[str], where: str) -> None:
         raise ValueError(f"{where}: missing columns {', '.join(missing)}")
 
 
-def ingest_delimited(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
-    """All columns of the file(s) as text under cleaned header names, blanks as NULL.
+def clean_names(header: Sequence[str], where: str) -> list[str]:
+    """Cleaned header names; two that fall together raise."""
+    names = [clean_name(c) for c in header]
+    twice = [n for n, count in Counter(n.lower() for n in names).items() if count > 1]
+    if twice:
+        raise ValueError(f"{where}: columns fall together: {', '.join(twice)}")
+    return names
+
+
+def first_lines(spark: SparkSession, paths: str | Sequence[str], encoding: str, keep: Column | None = None) -> DataFrame:
+    """``file``, its first line ``header``, and whether a quoted cell of it holds a line break (``broken``).
+
+    Only lines of a file's first block are compared; of the others nothing but quotes is counted. ``keep`` is a
+    condition on the file's path, checked before its lines are looked at.
+    """
+    path = F.col("_metadata.file_path")
+    lines = spark.read.option("encoding", encoding).text(paths)
+    lines = lines.filter(keep) if keep is not None else lines
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
+    rows = lines.select(
+        path.alias("file"),
+        F.when(F.col("_metadata.file_block_start") == 0, F.struct(F.monotonically_increasing_id().alias("at"), "value")).alias("line"),
+        (quotes % 2 == 1).alias("odd"),
+    )
+    rows = rows.groupBy("file").agg(F.min("line")["value"].alias("header"), F.max("odd").alias("broken"))
+    return rows.withColumn("header", F.regexp_replace("header", MARKS, ""))
+
+
+def read_layout(
+    spark: SparkSession, files: str | Sequence[str], names: Sequence[str], sep: str, encoding: str, broken: bool
+) -> DataFrame:
+    """Files of one header as text columns ``names`` and `MALFORMED`.
 
-    Columns beyond the contract are kept; missing ones raise.
+    Cells may hold quoted line breaks only where ``broken`` says so; else Spark may split a file over tasks.
     """
-    raw = (
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, MALFORMED]])
+    return (
         spark.read.option("header", True)
-        .option("sep", contract.sep)
-        .option("encoding", contract.encoding)
+        .option("sep", sep)
+        .option("encoding", encoding)
         .option("escape", '"')
-        .csv(path)
+        .option("multiLine", broken)
+        .option("columnNameOfCorruptRecord", MALFORMED)
+        # Else only the cells a query asks for are counted, and a record that does not fit goes unseen.
+        .option("columnPruning", False)
+        .schema(schema)
+        .csv(files)
     )
-    names = [clean_name(c) for c in raw.columns]
-    twice = [n for n, count in Counter(n.lower() for n in names).items() if count > 1]
-    if twice:
-        raise ValueError(f"{contract.name}: columns fall together: {', '.join(twice)}")
-    require(names, contract.columns, contract.name)
-    return raw.toDF(*names)
+
+
+def layouts(found: DataFrame) -> dict[str, tuple[bool, int]]:
+    """Distinct headers with whether cells hold line breaks and the number of files; as many rows as layouts."""
+    rows = found.groupBy("header").agg(F.max("broken").alias("broken"), F.count(F.lit(1)).alias("files")).collect()
+    return {r["header"]: (r["broken"], r["files"]) for r in sorted(rows, key=lambda r: r["header"])}
+
+
+def read_by_name(
+    spark: SparkSession, paths: str | Sequence[str], contract: Contract, file_column: str | None = None
+) -> DataFrame:
+    """All columns of the files as text under cleaned header names, blanks as NULL, and `MALFORMED`.
+
+    Every file's cells are bound by its own header, so files may order their columns differently and have more of
+    them. Files of one header are read together: all at once if there is only one, else by list, the same listing
+    Spark keeps on the driver to plan a scan. ``file_column`` names a further column with the file's name.
+    """
+    where = contract.name
+    found = first_lines(spark, paths, contract.encoding)
+    kinds = layouts(found)
+    if not kinds:
+        raise ValueError(f"{where}: no file with a header line at {paths}")
+    files: dict[str, list[str]] = defaultdict(list)
+    if len(kinds) > 1:
+        for row in found.select("file", "header").toLocalIterator():
+            files[row["header"]].append(unquote(row["file"]))
+    whole = None
+    for header, (broken, _) in kinds.items():
+        names = clean_names(header.split(contract.sep), where)
+        require(names, contract.columns, where)
+        part = read_layout(spark, sorted(files[header]) if len(kinds) > 1 else paths, names, contract.sep, contract.encoding, broken)
+        if file_column:
+            part = part.withColumn(file_column, F.col("_metadata.file_name"))
+        whole = part if whole is None else whole.unionByName(part, allowMissingColumns=True)
+    return whole.select(*[c for c in whole.columns if c != MALFORMED], MALFORMED)
+
+
+def good_rows(df: DataFrame) -> DataFrame:
+    return df.filter(F.col(MALFORMED).isNull()).drop(MALFORMED)
+
+
+def rejects(df: DataFrame, source: str) -> DataFrame:
+    """Text of the records whose cells do not fit their header: ``source``, ``reason``, ``record``."""
+    bad = df.filter(F.col(MALFORMED).isNotNull())
+    return bad.select(F.lit(source).alias("source"), F.lit("cells do not fit the header").alias("reason"), F.col(MALFORMED).alias("record"))
+
+
+def reject_summary(df: DataFrame, source: str, typed: Mapping[str, Column]) -> DataFrame:
+    """One row: ``source``, records ``delivered`` = ``good`` + ``rejected``, and ``lost``: by column the good records
+    whose text ``typed`` could not read. ``df`` is the result of `read_by_name`, read once."""
+    bad = F.col(MALFORMED).isNotNull()
+    unread = [F.count_if(~bad & F.col(c).isNotNull() & value.isNull()).alias(c) for c, value in typed.items()]
+    return df.agg(
+        F.count(F.lit(1)).alias("delivered"), F.count_if(~bad).alias("good"), F.count_if(bad).alias("rejected"),
+        (F.struct(*unread) if unread else F.lit(None).cast("struct<none:long>")).alias("lost"),
+    ).withColumn("source", F.lit(source))
+
+
+def ingest_delimited(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
+    """All columns of the file(s) as text under cleaned header names, blanks as NULL.
+
+    Columns beyond the contract are kept; missing ones raise. Records that do not fit their header are left out;
+    `read_by_name` with `rejects` gives them.
+    """
+    return good_rows(read_by_name(spark, path, contract))
 
 
 def reload_table(df: DataFrame, path: str) -> bool:

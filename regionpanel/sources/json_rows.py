@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import clean_name
-from .delimited import require
+from .delimited import clean_names, require
 
 
 def ingest_json_rows(
@@ -16,18 +15,19 @@ def ingest_json_rows(
 ) -> DataFrame:
     """All cells as text, columns named by the header of the first file; every file has its own header row.
 
-    Cells are picked by header name, so files may order their columns differently. A file is one JSON value and
-    is parsed by one task; many files spread over many tasks.
+    Cells are picked by header name, so files may order their columns differently; cells a row does not have are
+    NULL, cells beyond the header are left out. A file is one JSON value and is parsed by one task; many files spread
+    over many tasks. A file is held as one cell, so it may not exceed 2 GB.
     """
     text = F.decode(F.col("content"), encoding)
-    docs = spark.read.format("binaryFile").load(path).select(
-        F.from_json(text, "array<array<string>>").alias("rows")
-    )
+    docs = spark.read.format("binaryFile").load(path).select(F.from_json(text, "array<array<string>>").alias("rows"))
     header = docs.select(F.col("rows")[0].alias("h")).filter("h is not null").first()
     if header is None:
         raise ValueError(f"{path}: no header row")
-    names = [clean_name(c) for c in header["h"]]
+    names = clean_names(header["h"], path)
     require(names, columns, path)
-    cells = docs.select(F.col("rows")[0].alias("h"), F.posexplode("rows").alias("at", "cells")).filter("at > 0")
-    by_name = F.map_from_arrays("h", "cells")
-    return cells.select(*[F.try_element_at(by_name, F.lit(raw)).alias(n) for raw, n in zip(header["h"], names)])
+    # The place of each column is looked up once per file, not per row.
+    places = [F.array_position(F.col("rows")[0], raw).cast("int").alias(f"at{i}") for i, raw in enumerate(header["h"])]
+    cells = docs.select(*places, F.posexplode("rows").alias("_row", "cells")).filter("_row > 0")
+    picked = [F.when(F.col(f"at{i}") > 0, F.try_element_at("cells", F.col(f"at{i}"))).alias(n) for i, n in enumerate(names)]
+    return cells.select(*picked)

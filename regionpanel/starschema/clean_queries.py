@@ -51,13 +51,12 @@ def flag_predicate(spark, sf):
 
 @query(
     "code_repair",
-    """SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN CAST(c_custkey AS VARCHAR)
-  WHEN length(CAST(c_custkey AS VARCHAR)) <= 5 THEN lpad(CAST(c_custkey AS VARCHAR), 5, '0')
-  ELSE left(CAST(c_custkey AS VARCHAR), 5) END AS code
-FROM customer""",
+    """SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN CAST(k AS VARCHAR) WHEN k < 100000 THEN lpad(CAST(k AS VARCHAR), 5, '0') END AS code
+FROM (SELECT *, CASE WHEN c_custkey % 7 = 0 THEN 123400 + c_custkey ELSE c_custkey END AS k FROM customer)""",
 )
 def code_repair(spark, sf):
-    key = F.col("c_custkey").cast("string")
+    # Every seventh key has six digits, many of them with the same first five.
+    key = F.when(F.col("c_custkey") % 7 == 0, F.col("c_custkey") + 123400).otherwise(F.col("c_custkey")).cast("string")
     # Keys of four digits would gain a sixth character and stay recognisable; plain five-digit codes pass as they are.
     text = F.when((F.col("c_mktsegment") == "BUILDING") & (F.length(key) != 3), F.concat(key, F.lit(".0"))).otherwise(key)
     raw = F.when(F.col("c_acctbal") < 0, key).otherwise(text)

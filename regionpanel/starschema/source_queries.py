@@ -8,7 +8,7 @@ from ..functions import numeric_text, parse_date
 from ..operators.report import features, join_features
 from ..session import new_folder
 from ..sinks import write_json, write_json_array, write_table, write_tsv
-from ..sources import Contract, ingest_daily_files, ingest_delimited, ingest_json_rows, same_content
+from ..sources import Contract, ingest_daily_files, ingest_delimited, ingest_json_rows, read_by_name, reject_summary, same_content
 from ..sources.calendar import expand_days
 from ..streaming import ingest_new_files
 from .registry import query
@@ -55,24 +55,57 @@ def _orders_back(raw):
     )
 
 
+def _two_layouts(text):
+    """The rows as files of two layouts: other column orders, and columns nobody asked for between the wanted ones."""
+    urgent = F.col("`order.status`").isNull()
+    note = F.concat(F.lit('a "quoted"\nline for '), F.col("`order key`"))
+    first = text.filter(urgent).select("order key", note.alias("note"), "order-day", "`order.status`", "total")
+    second = text.filter(~urgent).select("total", "`order.status`", F.lit("0").alias("other total"), "order-day", "order key")
+    return first, second
+
+
+def _write_tsv(part, path):
+    part.write.mode("append").option("sep", "\t").option("header", True).option("escape", '"').csv(path)
+
+
 @query("ingest_delimited", _ORDERS_BACK, dates=["day"])
 def ingest_delimited_query(spark, sf):
     path = new_folder(spark, "orders-tsv")
-    write_tsv(_order_text(spark, sf), path)
+    for part in _two_layouts(_order_text(spark, sf)):
+        _write_tsv(part, path)
     return _orders_back(ingest_delimited(spark, path, ORDER_FILE))
 
 
 @query("ingest_new_files", _ORDERS_BACK, dates=["day"])
 def ingest_new_files_query(spark, sf):
     drop, kept, state = (new_folder(spark, n) for n in ("drop", "kept", "state"))
-    text = _order_text(spark, sf)
-    urgent = F.col("`order.status`").isNull()
-    for part in (text.filter(urgent), text.filter(~urgent)):
-        part.write.mode("append").option("sep", "\t").option("header", True).csv(drop)
+    for part in _two_layouts(_order_text(spark, sf)):
+        _write_tsv(part, drop)
         ingest_new_files(spark, drop, ORDER_FILE, kept, state)
     return _orders_back(spark.read.parquet(kept))
 
 
+@query(
+    "reject_counts",
+    """SELECT 'order_file' AS source, count(*) FILTER (o_orderkey % 10 <> 0) AS good, count(*) FILTER (o_orderkey % 10 = 0) AS rejected,
+  count(*) AS delivered, count(*) FILTER (o_orderkey % 10 = 5) AS bad_total FROM orders""",
+)
+def reject_counts(spark, sf):
+    # Every tenth order has a cell too many; the total of every tenth other one is no number.
+    path = new_folder(spark, "dirty")
+    key = F.col("`order key`").cast("long")
+    total = F.when(key % 10 == 5, F.lit("n/a")).otherwise(F.col("total"))
+    cells = [F.coalesce(c, F.lit("")) for c in (F.col("`order key`"), F.col("`order-day`"), F.col("`order.status`"), total)]
+    line = F.concat_ws("\t", *cells, F.when(key % 10 == 0, F.lit("extra")))
+    text = _order_text(spark, sf).select(line.alias("line"))
+    # The header is a file's first line, so it goes into each file as its smallest.
+    header = spark.range(1).select(F.lit("\t".join(["order key", "order-day", "order.status", "total"])).alias("line"))
+    text.unionByName(header).coalesce(1).orderBy(F.col("line").rlike("^[0-9]")).write.text(path)
+    raw = read_by_name(spark, f"{path}/*.txt", ORDER_FILE)
+    counts = reject_summary(raw, "order_file", {"total": numeric_text(F.col("total"))})
+    return counts.select("source", "good", "rejected", "delivered", F.col("lost.total").alias("bad_total"))
+
+
 @query(
     "daily_files_union",
     f"""WITH {ND}
@@ -97,17 +130,19 @@ def daily_files_union(spark, sf):
     new = rows.filter(F.year("day") >= 1999).select("file", "FIPS", "Admin2", "Confirmed", "Deaths")
     for name, part in (("old", old), ("new", new)):
         part.write.option("header", True).option("quoteAll", True).partitionBy("file").csv(f"{root}/{name}")
-    return ingest_daily_files(spark, f"{root}/*/*/*.csv", fields, "19960101")
+    return ingest_daily_files(spark, f"{root}/*/*/*.csv", fields, "19960101", part=-2)
 
 
 @query(
     "json_rows_ingest",
-    """SELECT CAST(c_custkey AS VARCHAR) AS cust_key, c_name AS name, CAST(c_nationkey AS VARCHAR) AS nation FROM customer""",
+    """SELECT CAST(c_custkey AS VARCHAR) AS cust_key, c_name AS name, CASE WHEN c_nationkey <> 3 THEN CAST(c_nationkey AS VARCHAR) END AS nation FROM customer""",
 )
 def json_rows_ingest(spark, sf):
     # One document per thousand customers, each with its own header row.
     header = F.array(F.lit("cust key"), F.lit("name"), F.lit("nation"))
     row = F.array(F.col("c_custkey").cast("string"), F.col("c_name"), F.col("c_nationkey").cast("string"))
+    # Rows of one nation end before their last cell, rows of another have a cell too many.
+    row = F.when(F.col("c_nationkey") == 3, F.slice(row, 1, 2)).when(F.col("c_nationkey") == 4, F.concat(row, F.array(F.lit("x")))).otherwise(row)
     docs = (
         table(spark, sf, "customer")
         .groupBy(F.floor(F.col("c_custkey") / 1000))
@@ -121,30 +156,33 @@ def json_rows_ingest(spark, sf):
 
 @query(
     "feature_left_join",
-    """SELECT lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS "FIPS",
-  '{"type":"Point","id":' || c_custkey || '}' AS geometry, n, n IS NOT NULL AS has_info
-FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1) ON o_custkey = c_custkey""",
+    """SELECT lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || lpad(CAST(k AS VARCHAR), 9, '0') AS "FIPS",
+  '{"type":"Point","id":' || k || '}' AS geometry, n, n IS NOT NULL AS has_info
+FROM (SELECT c_nationkey, c_custkey AS k FROM customer UNION ALL SELECT c_nationkey, 900000000 + c_custkey FROM customer WHERE c_custkey % 10 = 0)
+LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) ON o_custkey = k""",
 )
 def feature_left_join(spark, sf):
     state = F.lpad(F.col("c_nationkey").cast("string"), 2, "0")
     county = F.lpad(F.col("c_custkey").cast("string"), 9, "0")
-    customer = table(spark, sf, "customer")
+    customer = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    # Some outlines have codes that no customer has.
+    unknown = customer.filter("c_custkey % 10 = 0").withColumn("c_custkey", F.col("c_custkey") + 900_000_000)
     feature = F.struct(
         F.struct(state.alias("STATE"), county.alias("COUNTY")).alias("properties"),
         F.struct(F.lit("Point").alias("type"), F.col("c_custkey").alias("id")).alias("geometry"),
     )
     # A feature collection per thousand customers.
     docs = (
-        customer.groupBy(F.floor(F.col("c_custkey") / 1000))
+        customer.unionByName(unknown)
+        .groupBy(F.floor(F.col("c_custkey") / 1000))
         .agg(F.collect_list(feature).alias("features"))
         .select(F.to_json(F.struct("features")).alias("value"))
     )
     metrics = (
         table(spark, sf, "orders")
-        .filter("o_orderpriority = '1-URGENT'")
         .groupBy(F.col("o_custkey").alias("c_custkey"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .join(customer.select("c_custkey", "c_nationkey"), "c_custkey")
+        .join(customer, "c_custkey")
         .select(F.concat(state, county).alias("FIPS"), "n")
     )
     return join_features(features(docs), metrics, "FIPS")
@@ -152,7 +190,8 @@ def feature_left_join(spark, sf):
 
 @query(
     "table_fingerprint",
-    """SELECT count(*) AS table_rows, true AS same_after_shuffle, false AS same_after_edit, false AS same_with_copy FROM orders""",
+    """SELECT count(*) AS table_rows, true AS same_after_shuffle, false AS same_after_edit, false AS same_with_copy,
+  false AS same_after_move, false AS same_after_rename FROM orders""",
 )
 def table_fingerprint(spark, sf):
     orders = table(spark, sf, "orders")
@@ -161,7 +200,12 @@ def table_fingerprint(spark, sf):
         "o_orderpriority", F.when(F.col("o_orderkey") == 1, "0-NONE").otherwise(F.col("o_orderpriority"))
     )
     copied = orders.unionByName(orders.filter("o_orderkey = 1"))
+    # A value that stands in the neighbouring column, which is blank, and the other way round.
+    left = orders.select("o_orderkey", F.col("o_custkey").alias("a"), F.lit(None).cast("long").alias("b"))
+    right = orders.select("o_orderkey", F.lit(None).cast("long").alias("a"), F.col("o_custkey").alias("b"))
     checks = {
+        "same_after_move": same_content(left, right),
+        "same_after_rename": same_content(orders, orders.withColumnRenamed("o_custkey", "o_by")),
         "same_after_shuffle": same_content(orders, shuffled),
         "same_after_edit": same_content(orders, edited),
         "same_with_copy": same_content(orders, copied),

@@ -2,32 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.contracts import Contract
+from ..sources.delimited import good_rows, read_by_name, rejects
 
+FILE_LISTING = "path string, modificationTime timestamp, length long, content binary"
 
-def ingest_new_files(spark: SparkSession, path: str, contract: Contract, table: str, state: str) -> None:
+
+def ingest_new_files(
+    spark: SparkSession, path: str, contract: Contract, table: str, state: str, rejected: str | None = None, files: int = 10_000
+) -> None:
     """Append the rows of files not seen before to the Parquet table, all columns as text.
 
-    Reads what is there and stops. ``state`` keeps the list of files done, so a rerun after a failure neither
-    skips nor repeats a file. The files must have the contract's columns in its order.
+    Reads what is there and stops. ``state`` keeps the list of files done; each batch of at most ``files`` files is a
+    partition of the table, written over when a run has to repeat it, so a failure neither skips nor repeats a file.
+    Columns are bound by each file's own header. Records that do not fit it go to the table ``rejected``, if given.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in contract.columns])
-    new = (
-        spark.readStream.schema(schema)
-        .option("header", True)
-        .option("sep", contract.sep)
-        .option("encoding", contract.encoding)
-        .csv(path)
-        .withColumn("source_file", F.col("_metadata.file_name"))
-    )
-    query = (
-        new.writeStream.format("parquet")
-        .option("checkpointLocation", state)
-        .trigger(availableNow=True)
-        .start(table)
+    arrived = (
+        spark.readStream.format("binaryFile").schema(FILE_LISTING).option("maxFilesPerTrigger", files).load(path).select("path")
     )
+
+    def load(batch: DataFrame, number: int) -> None:
+        paths = [r["path"] for r in batch.select("path").distinct().collect()]
+        if not paths:
+            return
+        rows = read_by_name(batch.sparkSession, paths, contract, "source_file")
+        good_rows(rows).write.mode("overwrite").parquet(f"{table}/batch={number}")
+        if rejected:
+            rejects(rows, contract.name).write.mode("overwrite").parquet(f"{rejected}/batch={number}")
+
+    query = arrived.writeStream.foreachBatch(load).option("checkpointLocation", state).trigger(availableNow=True).start()
     query.awaitTermination()
