@@ -16,10 +16,21 @@ def latest_day(df: DataFrame, date: str) -> DataFrame:
     return df.filter(F.col(date) == df.agg(F.max(date)).scalar())
 
 
-def trailing_days(df: DataFrame, date: str, days: int, of: DataFrame | None = None) -> DataFrame:
-    """Rows from ``days`` days before the latest day on, that day found in ``of`` if given."""
-    last = (df if of is None else of).agg(F.max(date)).scalar()
-    return df.filter(F.col(date) >= F.date_sub(last, days))
+def last_date(df: DataFrame, date: str, month: str | None = None) -> Column:
+    """The latest day; with a partition column ``month`` only its newest partition is read for it."""
+    if month is None or month not in df.columns:
+        return df.agg(F.max(date)).scalar()
+    return df.filter(F.col(month) == df.agg(F.max(month)).scalar()).agg(F.max(date)).scalar()
+
+
+def trailing_days(df: DataFrame, date: str, days: int, of: DataFrame | None = None, month: str | None = None) -> DataFrame:
+    """Rows from ``days`` days before the latest day on, that day found in ``of`` if given.
+
+    ``month`` names a partition column holding the first of the date's month: older partitions are not read.
+    """
+    first = F.date_sub(last_date(df if of is None else of, date, month), days)
+    rows = df.filter(F.col(date) >= first)
+    return rows.filter(F.col(month) >= F.trunc(first, "month")) if month in df.columns else rows
 
 
 def top_k(df: DataFrame, metric: str, tie: Sequence[str], k: int = 100) -> DataFrame:

@@ -2,19 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from .. import __version__
+from ..functions import numeric_text
 from ..operators.panel import require_unique
 from ..operators.report import latest_day
 from ..sinks import write_json, write_table, write_tsv
-from ..sources import fingerprint, ingest_daily_files, ingest_delimited, ingest_json_rows, source
+from ..sources import (
+    fingerprint,
+    good_rows,
+    ingest_json_rows,
+    read_by_name,
+    read_daily_files,
+    reject_summary,
+    rejects,
+    source,
+)
+from ..sources.calendar import CALENDAR_FIRST
+from ..sources.daily_files import FIRST_DAY
 from ..sources.seeds import state_abbreviations
 from . import cases, counties, deaths, states
+from .counties import MONTH
 
 KEYS = {
     "county_daily": ["FIPS", "Date"],
@@ -72,74 +87,144 @@ def _keep(spark: SparkSession, out: str, name: str, mark: str, write: Callable[[
     note(mark)
 
 
-def read_sources(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
-    """All delivered sources as text tables by contract name."""
-    raw = {}
+def read_sources(
+    spark: SparkSession, paths: Mapping[str, str], since: str = FIRST_DAY
+) -> tuple[dict[str, DataFrame], set[str]]:
+    """Delivered sources as text tables by contract name, and which of them tell malformed records (`MALFORMED`)."""
+    raw, telling = {}, set()
     for name, path in paths.items():
         if name == "county_daily":
-            raw[name] = ingest_daily_files(spark, path)
+            raw[name] = read_daily_files(spark, path, since=since)
         elif name == "county_survey":
             contract = source(name)
             raw[name] = ingest_json_rows(spark, path, contract.columns, contract.encoding)
+            continue
         else:
-            raw[name] = ingest_delimited(spark, path, source(name))
+            raw[name] = read_by_name(spark, path, source(name))
+        telling.add(name)
     raw.setdefault("state_abbreviations", state_abbreviations(spark))
-    return raw
+    return raw, telling
+
+
+#: Columns that must be numbers where they are not blank, to count what a delivery loses.
+NUMBERS = {
+    "county_daily": ("Confirmed", "Deaths"),
+    "state_daily": ("tot_cases", "new_case", "tot_death", "new_death"),
+    "tests": ("new_results_reported",),
+    "weekly_deaths_new": ("All_Cause",),
+    "weekly_deaths_old": ("All__Cause",),
+    "county_population": ("POPESTIMATE2019",),
+    "state_population": ("POPESTIMATE2019",),
+}
 
 
-def build(spark: SparkSession, paths: Mapping[str, str], out: str) -> dict[str, DataFrame]:
-    """Write all tables below ``out/tables`` and all exports below ``out/exports``; returns the stored tables.
+def _arrive(spark: SparkSession, raw: Mapping[str, DataFrame], telling: set[str], out: str) -> dict[str, str]:
+    """Parse every delivery once, into ``out/arrived``; replace ``out/raw`` where the content is new; returns marks.
 
-    Tables that several others read are stored before they are used, panels by month. Only raw tables whose
-    content has changed and the tables resting on them are made again. Tables with a key are checked for it,
-    since the windows rest on it.
+    ``out/rejects`` gets the records that do not fit their header, ``out/tables/reject_counts`` a row per source:
+    delivered = good + rejected, and the good records a number could not be read from.
     """
-    raw = read_sources(spark, paths)
-    marks = {name: "{} rows, {}".format(*fingerprint(df).first()) for name, df in raw.items()}
+    marks, counts = {}, None
     for name, df in raw.items():
-        _keep(spark, out, f"raw/{name}", marks[name], partial(write_table, df, f"{out}/raw/{name}"))
+        write_table(df, f"{out}/arrived/{name}")
+        arrived = spark.read.schema(df.schema).parquet(f"{out}/arrived/{name}")
+        good = good_rows(arrived) if name in telling else arrived
+        marks[name] = "{} rows, {}, version {}".format(*fingerprint(good).first(), __version__)
+        _keep(spark, out, f"raw/{name}", marks[name], partial(write_table, good, f"{out}/raw/{name}"))
+        if name in telling:
+            write_table(rejects(arrived, name), f"{out}/rejects/{name}")
+            typed = {c: numeric_text(F.col(c)) for c in NUMBERS.get(name, ())}
+            summary = reject_summary(arrived, name, typed)
+            lost = [F.col(f"lost.{c}") for c in typed]
+            summary = summary.select("source", "delivered", "good", "rejected", (sum(lost[1:], lost[0]) if lost else F.lit(0).cast("long")).alias("unread_numbers"))
+            counts = summary if counts is None else counts.unionByName(summary)
+    if counts is not None:
+        write_table(counts.coalesce(1), f"{out}/tables/reject_counts")
+    return marks
+
+
+def build(
+    spark: SparkSession, paths: Mapping[str, str], out: str, since: str = FIRST_DAY, first: str | None = CALENDAR_FIRST, end: str | None = None
+) -> dict[str, DataFrame]:
+    """Write all tables below ``out/tables`` and all exports below ``out/exports``; returns the stored tables.
+
+    Tables are made for the sources that are given; those that rest on others are left out. Only raw tables whose
+    content has changed and the tables and exports resting on them are made again. A table with a key is written
+    aside and checked first, so a bad delivery leaves the table of the last good one in place. ``since`` is the first
+    day of the daily files, ``first`` and ``end`` bound the days with state rates and means; no end by default.
+    """
+    raw, telling = read_sources(spark, paths, since)
+    marks = _arrive(spark, raw, telling, out)
     src = {name: spark.read.parquet(f"{out}/raw/{name}") for name in raw}
     tables: dict[str, DataFrame] = {}
+    span = f"{since}, {first}, {end}"
 
-    def store(name: str, df: DataFrame, by_month: str | None = None) -> DataFrame:
+    def mark_of(names: Iterable[str]) -> str:
+        return "; ".join(f"{n}: {marks[n]}" for n in sorted({n for t in names for n in NEEDS[t]})) + f"; {span}"
+
+    def store(name: str, make: Callable[[], DataFrame], by_month: str | None = None) -> None:
+        if not NEEDS[name] <= set(src):
+            return
         path = f"{out}/tables/{name}"
 
         def write() -> None:
+            df = make()
+            if name in KEYS:
+                write_table(df, f"{out}/aside/{name}")
+                df = spark.read.schema(df.schema).parquet(f"{out}/aside/{name}")
+                require_unique(df, KEYS[name], name)
             if by_month:
-                write_table(df.withColumn("month", F.trunc(by_month, "month")), path, ["month"])
+                write_table(df.withColumn(MONTH, F.trunc(by_month, "month")), path, [MONTH])
             else:
                 write_table(df, path)
-            if name in KEYS:
-                require_unique(spark.read.parquet(path), KEYS[name], name)
-
-        mark = "; ".join(f"{n}: {marks[n]}" for n in sorted(NEEDS[name]))
-        _keep(spark, out, f"tables/{name}", mark, write)
-        tables[name] = spark.read.parquet(path).drop("month")
-        return tables[name]
-
-    short = src["state_abbreviations"]
-    clean = store("county_clean", counties.clean_daily(src["county_daily"]))
-    filtered = store("county_daily", counties.filtered_daily(clean), "Date")
-    people = store("county_population", counties.county_population(src["county_population"], src["state_population"]))
-    county_dim = store("county_dim", counties.county_dim(filtered, people, src["county_survey"]))
-    base = store("county_base", counties.county_base(filtered), "Date")
-    progress = store("county_progress", counties.county_progress(base, county_dim), "Date")
-
-    state_dim = store("state_dim", states.state_dim(src["state_population"], short))
-    tests = store("state_tests", states.positivity(states.clean_tests(src["tests"])), "Date")
-    facts = store("state_facts", states.state_facts(states.clean_state_daily(src["state_daily"]), state_dim, tests), "Date")
-    store("nation_facts", states.nation_facts(facts, state_dim))
-
-    weekly = store("weekly_deaths", deaths.clean_weekly_deaths(src["weekly_deaths_new"], src["weekly_deaths_old"]))
-    store("state_deaths", deaths.state_deaths(weekly, facts, short))
-    level = store("case_level", cases.case_level(src["cases"]))
-    store("cases_by_week", cases.weekly_report(level))
-
-    exports = f"{out}/exports"
-    snapshot = counties.county_snapshot(latest_day(progress, "Date"), county_dim, state_dim)
-    write_json(snapshot, f"{exports}/counties_rate_of_change", ["FIPS", "Date"])
-    write_tsv(counties.county_averages_export(base), f"{exports}/counties_7day_avg", ["Date", "FIPS"])
-    write_tsv(counties.county_rate_export(progress, base), f"{exports}/counties_casesper100k", ["FIPS", "Date"])
-    write_tsv(states.state_averages_export(facts), f"{exports}/states_7day_avg", ["State", "Date"])
-    write_json(state_dim, f"{exports}/state_population", ["State"])
-    return tables
+
+        _keep(spark, out, f"tables/{name}", mark_of([name]), write)
+        tables[name] = spark.read.parquet(path)
+
+    def t(name: str) -> DataFrame:
+        return tables[name].drop(MONTH)
+
+    store("county_clean", lambda: counties.clean_daily(src["county_daily"]))
+    store("county_daily", lambda: counties.filtered_daily(t("county_clean")), "Date")
+    store("county_population", lambda: counties.county_population(src["county_population"], src["state_population"]))
+    store("county_dim", lambda: counties.county_dim(t("county_daily"), t("county_population"), src["county_survey"]))
+    store("county_base", lambda: counties.county_base(t("county_daily")), "Date")
+    store("county_progress", lambda: counties.county_progress(t("county_base"), t("county_dim")), "Date")
+    store("state_dim", lambda: states.state_dim(src["state_population"], src["state_abbreviations"]))
+    store("state_tests", lambda: states.positivity(states.clean_tests(src["tests"]), first=first, end=end), "Date")
+    store(
+        "state_facts",
+        lambda: states.state_facts(states.clean_state_daily(src["state_daily"]), t("state_dim"), t("state_tests"), first, end),
+        "Date",
+    )
+    store("nation_facts", lambda: states.nation_facts(t("state_facts"), t("state_dim")))
+    store("weekly_deaths", lambda: deaths.clean_weekly_deaths(src["weekly_deaths_new"], src["weekly_deaths_old"]))
+    store("state_deaths", lambda: deaths.state_deaths(t("weekly_deaths"), t("state_facts"), src["state_abbreviations"]))
+    store("case_level", lambda: cases.case_level(src["cases"]))
+    store("cases_by_week", lambda: cases.weekly_report(t("case_level")))
+
+    def snapshot() -> DataFrame:
+        return counties.county_snapshot(latest_day(t("county_progress"), "Date"), t("county_dim"), t("state_dim"))
+
+    exports = {
+        "counties_rate_of_change": (("county_progress", "county_dim", "state_dim"), write_json, snapshot, ["FIPS", "Date"]),
+        "counties_7day_avg": (("county_base",), write_tsv, lambda: counties.county_averages_export(tables["county_base"]), ["Date", "FIPS"]),
+        "counties_casesper100k": (
+            ("county_progress", "county_base"),
+            write_tsv,
+            lambda: counties.county_rate_export(tables["county_progress"], tables["county_base"]),
+            ["FIPS", "Date"],
+        ),
+        "states_7day_avg": (("state_facts",), write_tsv, lambda: states.state_averages_export(tables["state_facts"]), ["State", "Date"]),
+        "state_population": (("state_dim",), write_json, lambda: t("state_dim"), ["State"]),
+        "cases_by_week": (("cases_by_week",), write_tsv, lambda: t("cases_by_week"), ["week_ending_date", "race_ethnicity_combined"]),
+    }
+
+    def export(name: str) -> None:
+        needs, write, make, order = exports[name]
+        _keep(spark, out, f"exports/{name}", mark_of(needs), lambda: write(make(), f"{out}/exports/{name}", order))
+
+    # Exports do not depend on each other, so their jobs run side by side.
+    with ThreadPoolExecutor(len(exports)) as pool:
+        list(pool.map(export, [n for n, (needs, *_) in exports.items() if set(needs) <= set(tables)]))
+    return {name: df.drop(MONTH) for name, df in tables.items()}

@@ -31,6 +31,11 @@ from ..operators.report import trailing_days
 from ..operators.rollup import patch_group
 
 TOTALS = ("Confirmed", "Deaths", "Recovered", "Active")
+#: Partition column of stored panels: the first of the date's month.
+MONTH = "month"
+EXPORT_DAYS = 30
+#: Days before a row that its changes look at.
+REACH = 30
 
 # Codes that repeat a territory, a city reported under one of its five counties, and the code
 # under which a territory's own total is added.
@@ -257,13 +262,28 @@ def county_snapshot(latest: DataFrame, counties: DataFrame, states: DataFrame) -
     )
 
 
-def county_averages_export(base: DataFrame) -> DataFrame:
+def _with_month(df: DataFrame, *columns: str) -> DataFrame:
+    """The columns, and the partition column if the frame is read from a table stored by month."""
+    return df.select(*columns, *[c for c in (MONTH,) if c in df.columns])
+
+
+def county_averages_export(base: DataFrame, days: int = EXPORT_DAYS) -> DataFrame:
     """7-day means of the last 30 days."""
-    return trailing_days(
-        base.select("FIPS", "Date", "Avg7DayConfirmedIncrease", "Avg7DayDeathsIncrease"), "Date", 30
-    )
+    columns = ("FIPS", "Date", "Avg7DayConfirmedIncrease", "Avg7DayDeathsIncrease")
+    return trailing_days(_with_month(base, *columns), "Date", days, month=MONTH).select(*columns)
 
 
-def county_rate_export(progress: DataFrame, base: DataFrame) -> DataFrame:
+def county_rate_export(progress: DataFrame, base: DataFrame, days: int = EXPORT_DAYS) -> DataFrame:
     """Rates of the last 30 days, counted back from the latest day of the base panel."""
-    return trailing_days(progress.select("FIPS", "Date", "CasesPer100k"), "Date", 30, of=base)
+    columns = ("FIPS", "Date", "CasesPer100k")
+    return trailing_days(_with_month(progress, *columns), "Date", days, of=base, month=MONTH).select(*columns)
+
+
+def recent_rate_export(base: DataFrame, dim: DataFrame, days: int = EXPORT_DAYS) -> DataFrame:
+    """`county_rate_export` of a progress panel that is made only for the days it shows.
+
+    The frames look back ``REACH`` days, so they run over that many more, not over the whole history.
+    """
+    near = trailing_days(base, "Date", days + REACH, month=MONTH).drop(MONTH)
+    columns = ("FIPS", "Date", "CasesPer100k")
+    return trailing_days(county_progress(near, dim).select(*columns), "Date", days, of=near)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,10 @@ from ..functions import bubble_radius, outbreak_direction, reaches, shade_bucket
 from ..operators.report import join_features, recent_points, top_k
 
 RECENT_POINTS = 15
+RATE_DAYS = 30
+#: The columns the pages are sorted by at first.
+COUNTY_ORDER = "TwoWeekAvg7DayConfirmedIncreasePct"
+STATE_ORDER = "positiveChangePct"
 
 # The metric each view of the outbreak map ranks by; the percentages scale their circles by 100.
 VIEWS = {
@@ -38,8 +44,7 @@ def _series(averages: DataFrame, columns: dict[str, str]) -> DataFrame:
 def county_table(snapshot: DataFrame, averages: DataFrame) -> DataFrame:
     """The sortable county table: latest figures, size band and the last points of both means.
 
-    ``averages`` is the county averages export. Sort by `TwoWeekAvg7DayConfirmedIncreasePct`, largest first,
-    when showing it.
+    ``averages`` is the county averages export. `shown_first` gives the order of the page.
     """
     series = _series(averages, {"Avg7DayConfirmedIncrease": "ConfirmedSeries", "Avg7DayDeathsIncrease": "DeathsSeries"})
     return snapshot.join(series, "FIPS", "left").select(
@@ -61,6 +66,20 @@ def county_table(snapshot: DataFrame, averages: DataFrame) -> DataFrame:
     )
 
 
+def shown_first(df: DataFrame, column: str, tie: Sequence[str]) -> DataFrame:
+    """Rows in the order a page shows them: largest ``column`` first, unknown last, ties by ``tie``."""
+    return df.orderBy(F.col(column).desc_nulls_last(), *tie)
+
+
+def sorted_county_table(snapshot: DataFrame, averages: DataFrame) -> DataFrame:
+    return shown_first(county_table(snapshot, averages), COUNTY_ORDER, ["FIPS"])
+
+
+def sorted_state_table(progress: DataFrame) -> DataFrame:
+    """`state_progress` in the order of its page."""
+    return shown_first(progress, STATE_ORDER, ["State"])
+
+
 def outbreak_circles(snapshot: DataFrame, view: str = "outbreak", sq_miles: float = 0.05, k: int = 100) -> DataFrame:
     """Circles of one map view: all outbreaks, or the ``k`` codes leading in the view's metric.
 
@@ -102,6 +121,7 @@ def county_shapes(shapes: DataFrame, snapshot: DataFrame, averages: DataFrame, r
 
 
 def _rate_series(rates: DataFrame) -> DataFrame:
-    """All points of the rate export, 31 days per code at most."""
+    """All points of the rate export's last 31 days per code."""
+    rates = rates.filter(F.col("Date") >= F.date_sub(rates.agg(F.max("Date")).scalar(), RATE_DAYS))
     points = rates.groupBy("FIPS").agg(F.array_sort(F.collect_list(F.struct("Date", "CasesPer100k"))).alias("points"))
     return points.select("FIPS", F.col("points.CasesPer100k").alias("RateSeries"))

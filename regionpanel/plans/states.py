@@ -9,7 +9,7 @@ from ..functions import clamp_zero, guarded_ratio, numeric_text, parse_date, rat
 from ..operators.panel import earlier, rolling_calendar, rolling_rows, series_windows
 from ..operators.report import first_last_change, first_last_pct, trailing_days
 from ..operators.rollup import pivot_rate, with_total
-from ..sources.calendar import in_calendar
+from ..sources.calendar import CALENDAR_FIRST, in_calendar
 
 # Test outcomes as published, and the column each is counted in.
 TEST_OUTCOMES = {"Negative": "negative", "Positive": "positive", "Inconclusive": "inconclusive"}
@@ -71,7 +71,9 @@ def clean_tests(raw: DataFrame) -> DataFrame:
     )
 
 
-def positivity(tests: DataFrame, outcomes=TEST_OUTCOMES, first: str | None = None, end: str | None = None) -> DataFrame:
+def positivity(
+    tests: DataFrame, outcomes=TEST_OUTCOMES, first: str | None = CALENDAR_FIRST, end: str | None = None
+) -> DataFrame:
     """Test outcomes side by side per state and day, the positive share, and its 7-day calendar mean."""
     wide = pivot_rate(
         tests, ["state", "Date"], "overall_outcome", "new_results", outcomes, "positive", "totalTests", "positivityRate"
@@ -81,14 +83,13 @@ def positivity(tests: DataFrame, outcomes=TEST_OUTCOMES, first: str | None = Non
 
 
 def _only_in_calendar(df: DataFrame, columns: list[str], first: str | None, end: str | None) -> DataFrame:
-    """Blank columns on days the calendar does not hold."""
-    span = {k: v for k, v in (("first", first), ("end", end)) if v}
-    known = in_calendar(F.col("Date"), **span)
+    """Blank columns on days the calendar does not hold; without ``end`` it goes on as long as the data."""
+    known = in_calendar(F.col("Date"), first, end)
     return df.withColumns({c: F.when(known, F.col(c)) for c in columns})
 
 
 def state_facts(
-    states: DataFrame, dim: DataFrame, tests: DataFrame, first: str | None = None, end: str | None = None
+    states: DataFrame, dim: DataFrame, tests: DataFrame, first: str | None = CALENDAR_FIRST, end: str | None = None
 ) -> DataFrame:
     """Counts, two-week rate, 7-day calendar means and positivity per state and day, 14 columns.
 
@@ -150,7 +151,7 @@ def nation_facts(facts: DataFrame, dim: DataFrame) -> DataFrame:
 
 def state_averages_export(facts: DataFrame, days: int = 28) -> DataFrame:
     """Counts and means of the last four weeks under the names the report pages read."""
-    return trailing_days(facts, "Date", days).select(
+    return trailing_days(facts, "Date", days, month="month").select(
         F.col("state").alias("State"),
         "Date",
         "positive",

@@ -19,15 +19,17 @@ from ..operators.panel import calendar_change
 from ..operators.ranks import rank_panels
 from ..operators.report import recent_points, record_high, share_under, top_k
 from ..plans.counties import (
+    MONTH,
     county_averages_export,
     county_base,
     county_progress,
-    county_rate_export,
     county_snapshot,
     latest_progress,
+    recent_rate_export,
 )
 from ..plans.reports import county_shapes, county_table, outbreak_circles
-from ..session import settle
+from ..session import new_folder
+from ..sinks import write_table
 from .panel_queries import region_dim
 from .registry import query
 from .tables import (
@@ -70,8 +72,10 @@ def nation_dim(spark, sf):
 
 
 def stored_base(spark, sf):
-    """The base panel written once, for queries that look at it several times."""
-    return settle(nation_base(spark, sf))
+    """The base panel written once by month, for queries that look at it several times."""
+    path = new_folder(spark, "base")
+    write_table(nation_base(spark, sf).withColumn(MONTH, F.trunc("Date", "month")), path, [MONTH])
+    return spark.read.parquet(path)
 
 
 def nation_progress(spark, sf):
@@ -118,8 +122,7 @@ SELECT "FIPS", "Date", "CasesPer100k" FROM progress WHERE "Date" >= (SELECT max(
     doubles=["CasesPer100k"],
 )
 def trailing_rates(spark, sf):
-    base = stored_base(spark, sf)
-    return county_rate_export(county_progress(base, nation_dim(spark, sf)), base)
+    return recent_rate_export(stored_base(spark, sf), nation_dim(spark, sf))
 
 
 @query(
@@ -412,6 +415,6 @@ def county_shapes_query(spark, sf):
         code(F.col("c_nationkey")).alias("FIPS"), F.concat(F.lit("P"), F.col("c_custkey").cast("string")).alias("geometry")
     )
     base = stored_base(spark, sf)
-    rates = county_rate_export(county_progress(base, nation_dim(spark, sf)), base)
+    rates = recent_rate_export(base, nation_dim(spark, sf))
     shown = county_shapes(shapes, _snapshot(spark, sf, base), county_averages_export(base), rates)
     return shown.withColumns({c: _joined(c) for c in ("ConfirmedSeries", "RateSeries")})
