@@ -7,7 +7,8 @@ smallest hash marks a place, and the ``PASSAGE_WORDS`` words from there on are a
 ``ANCHOR_WINDOW + PASSAGE_WORDS - 1`` words (50) that two documents share holds the same one in both. Its digest decides
 alone, for equal passages have a similarity of 1.
 
-Equal paragraphs are one class, whose earliest place stands for it; classes that are similar enough are linked, in each
+Features that meet no other (digests and band keys) are sorted out first, so only paragraphs that may have a repeat are
+kept. Equal paragraphs are one class, whose earliest place stands for it; classes that are similar enough are linked, in each
 band to one leader, which costs rows in proportion to the bucket. Connected classes are a cluster. The earliest
 paragraph of a cluster stays and all others go.
 
@@ -17,16 +18,15 @@ text hash, then place; rows alike in id and text count once; a paragraph repeate
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, row_hash, settle
+from .chunked import among, second_look
+from .common import row_hash, settle
 from .components import components
-from .shingles import SHINGLE_WORDS, mixed, shingles, word_hashes
+from .shingles import BITS, SHINGLE_WORDS, mixed, shingles, word_hashes
 
 PERCENT = 75
 MIN_WORDS = 20
@@ -34,9 +34,8 @@ PASSAGE_WORDS = 28
 ANCHOR_WINDOW = 23
 #: At a similarity of 0.75 a pair collides in one of the bands with a probability of 1 - (1 - 0.75^2)^8 = 0.9987.
 BANDS, ROWS = 8, 2
-BATCH_BYTES = 8_000_000
 
-UNIT = "doc_id long, text_hash long, start long, words long, kind string, digest long, check long"
+UNIT = "doc_id long, text_hash long, start long, words long, kind string, digest long, bands array<long>, line string"
 
 
 def window_minima(x: np.ndarray, ends: np.ndarray, width: int) -> np.ndarray:
@@ -62,89 +61,83 @@ def window_minima(x: np.ndarray, ends: np.ndarray, width: int) -> np.ndarray:
     return np.unique(best[whole])
 
 
-def digests(hashes: np.ndarray, starts: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two numbers that tell runs of words apart, from running sums of hashes weighted by place."""
-    weight = mixed(np.arange(int(words.max(initial=0)), dtype=np.uint64) + np.uint64(11))
-    out = []
-    for salt in (1, 2):
-        h = mixed(hashes + np.uint64(salt))
-        at = np.repeat(starts, words) + np.arange(words.sum()) - np.repeat(np.cumsum(words) - words, words)
-        inside = np.arange(words.sum()) - np.repeat(np.cumsum(words) - words, words)
-        total = np.add.reduceat(h[at] * (weight[inside] | np.uint64(1)), np.cumsum(words) - words) if len(words) else np.zeros(0, np.uint64)
-        out.append((mixed(total ^ words.astype(np.uint64)) >> np.uint64(1)).astype(np.int64))
-    return out[0], out[1]
-
+class Paragraphs:
+    """Lines and passages of some texts: document, start in words, length in words and digest; band keys of lines.
 
-class Batch:
-    """Paragraphs of some texts as arrays."""
+    Words are taken in lower case (A to Z). All digests are made of the texts' shingle hashes: a line's from the sum
+    of its shingles, a passage's from shingles that cover it.
+    """
 
-    def __init__(self, texts: list[str | None]):
-        lines = [[line.split() for line in t.encode("utf-8", "surrogatepass").split(b"\n")] if t else [] for t in texts]
+    def __init__(self, raw: list[bytes]):
+        lines = [[line.split() for line in r.lower().split(b"\n")] for r in raw]
         per_line = np.array([len(x) for d in lines for x in d], dtype=np.int64)
-        line_doc = np.repeat(np.arange(len(texts)), [len(d) for d in lines])
-        self.words = np.bincount(line_doc, weights=per_line, minlength=len(texts)).astype(np.int64)
-        self.hashes = word_hashes([w for d in lines for x in d for w in x])
-        self.offset = np.r_[0, np.cumsum(self.words)]
-        line_start = np.cumsum(per_line) - per_line
+        line_doc = np.repeat(np.arange(len(raw)), [len(d) for d in lines])
+        words = np.bincount(line_doc, weights=per_line, minlength=len(raw)).astype(np.int64)
+        h, of = shingles(word_hashes([w for d in lines for x in d for w in x]), words)
+        size = np.bincount(of, minlength=len(raw)).astype(np.int64)
+        shift = (np.cumsum(size) - size) - (np.cumsum(words) - words)  # from a document's words to its shingles
+        begin = np.cumsum(words) - words
+
         long = per_line >= MIN_WORDS
-        self.line_start, self.line_words, self.line_doc = line_start[long], per_line[long], line_doc[long]
-
-    def passages(self) -> tuple[np.ndarray, np.ndarray]:
-        """Start and document of the content-defined passages."""
-        h, of = shingles(self.hashes, self.words)
-        size = np.maximum(self.words - SHINGLE_WORDS + 1, (self.words > 0).astype(np.int64))
-        ends = np.repeat(np.cumsum(size), size)
-        at = window_minima(h, ends, ANCHOR_WINDOW)
-        doc = of[at]
-        place = at - (np.cumsum(size) - size)[doc] + self.offset[doc]
-        whole = place + PASSAGE_WORDS <= self.offset[doc + 1]
-        return place[whole], doc[whole]
-
-    def signatures(self) -> np.ndarray:
-        """Band keys of the lines, one row each."""
-        if not len(self.line_start):
-            return np.zeros((0, BANDS), dtype=np.int64)
-        at = np.repeat(self.line_start, self.line_words) + np.arange(self.line_words.sum()) - np.repeat(np.cumsum(self.line_words) - self.line_words, self.line_words)
-        h, of = shingles(self.hashes[at], self.line_words)
-        first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
-        out = np.zeros((len(first), BANDS), dtype=np.int64)
+        self.line_doc, self.line_words = line_doc[long], per_line[long]
+        start = (np.cumsum(per_line) - per_line)[long]
+        self.line_start = start - begin[self.line_doc]
+        first = start + shift[self.line_doc]
+        pairs = np.empty(2 * len(first), dtype=np.int64)
+        pairs[::2], pairs[1::2] = first, first + self.line_words - SHINGLE_WORDS + 1
+        closed = np.append(h, np.uint64(0))
+
+        def over(operation: np.ufunc, x: np.ndarray) -> np.ndarray:
+            return operation.reduceat(x, pairs)[::2] if len(pairs) else np.zeros(0, dtype=np.uint64)
+
+        spread = mixed(closed)
+        self.line_digest = mixed(over(np.add, spread) ^ self.line_words.astype(np.uint64))
+        self.bands = np.zeros((len(first), BANDS), dtype=np.uint64)
         for band in range(BANDS):
             key = np.full(len(first), band + 1, dtype=np.uint64)
             for row in range(ROWS):
-                salt = np.uint64((band * ROWS + row + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
-                key = mixed(key ^ np.minimum.reduceat(mixed(h ^ salt), first))
-            out[:, band] = (key >> np.uint64(1)).astype(np.int64)
-        return out
-
-
-def units(texts: DataFrame) -> DataFrame:
-    """Every paragraph: place, kind, two digests, and for lines the band keys and the text."""
-
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sizes = [len(t) if isinstance(t, str) else 1 for t in batch["text"]]
-            for a, z in bounded(sizes, BATCH_BYTES):
-                part = batch.iloc[a:z]
-                raw = [t if isinstance(t, str) else None for t in part["text"]]
-                b = Batch(raw)
-                place, doc = b.passages()
-                starts = np.r_[b.line_start, place]
-                of = np.r_[b.line_doc, doc]
-                words = np.r_[b.line_words, np.full(len(place), PASSAGE_WORDS)]
-                if not len(starts):
-                    continue
-                one, two = digests(b.hashes, starts, words)
-                lines = len(b.line_start)
-                kept = [x for t in raw if t for x in t.split("\n") if len(x.encode("utf-8", "surrogatepass").split()) >= MIN_WORDS]
-                yield pd.DataFrame(
-                    {
-                        "doc_id": part["doc_id"].astype("Int64").iloc[of].to_numpy(), "text_hash": part["text_hash"].to_numpy()[of],
-                        "start": starts - b.offset[of], "words": words, "kind": ["line"] * lines + ["passage"] * len(place),
-                        "digest": one, "check": two, "bands": [*b.signatures(), *[None] * len(place)], "line": [*kept, *[None] * len(place)],
-                    }
-                )
-
-    return texts.mapInPandas(rows, UNIT + ", bands array<long>, line string")
+                odd = np.uint64((0x9E3779B97F4A7C15 * (2 * (band * ROWS + row) + 1)) & ((1 << 64) - 1))
+                key = mixed(key ^ over(np.minimum, spread * odd))
+            self.bands[:, band] = key
+
+        at = window_minima(h, np.repeat(np.cumsum(size), size), ANCHOR_WINDOW)
+        doc = of[at]
+        place = at - shift[doc] - begin[doc]
+        whole = place + PASSAGE_WORDS <= words[doc]
+        self.passage_doc, self.passage_start = doc[whole], place[whole]
+        total = np.zeros(int(whole.sum()), dtype=np.uint64)
+        for k, step in enumerate([*range(0, PASSAGE_WORDS - SHINGLE_WORDS, SHINGLE_WORDS), PASSAGE_WORDS - SHINGLE_WORDS]):
+            total = mixed(total + h[at[whole] + step] + np.uint64(k + 1))
+        self.passage_digest = total
+
+    def features(self) -> np.ndarray:
+        """Everything by which paragraphs may meet, as often as it occurs."""
+        return np.r_[self.line_digest, self.passage_digest, self.bands.reshape(-1)] >> np.uint64(64 - BITS)
+
+
+def paragraph_features(raw: list[bytes]) -> np.ndarray:
+    return Paragraphs(raw).features()
+
+
+def meeting_paragraphs(ids: pd.Series, hashes: np.ndarray, raw: list[bytes], found: np.ndarray) -> pd.DataFrame:
+    """Paragraphs of a chunk's texts with a digest or band key in ``found``."""
+    p = Paragraphs(raw)
+    short = np.uint64(64 - BITS)
+    lines = np.flatnonzero(among(p.line_digest >> short, found) | among((p.bands >> short).reshape(-1), found).reshape(-1, BANDS).any(axis=1))
+    passages = np.flatnonzero(among(p.passage_digest >> short, found))
+    text = [x for r in raw for x in r.split(b"\n") if len(x.split()) >= MIN_WORDS]
+    doc = np.r_[p.line_doc[lines], p.passage_doc[passages]]
+    nothing = [None] * len(passages)
+    return pd.DataFrame(
+        {
+            "doc_id": ids.iloc[doc].to_numpy(), "text_hash": hashes[doc], "start": np.r_[p.line_start[lines], p.passage_start[passages]],
+            "words": np.r_[p.line_words[lines], np.full(len(passages), PASSAGE_WORDS)],
+            "kind": ["line"] * len(lines) + ["passage"] * len(passages),
+            "digest": (np.r_[p.line_digest[lines], p.passage_digest[passages]] >> np.uint64(1)).astype(np.int64),
+            "bands": [*(p.bands[lines] >> np.uint64(1)).astype(np.int64), *nothing],
+            "line": [*(text[i].decode("utf-8", "surrogatepass") for i in lines), *nothing],
+        }
+    )
 
 
 def line_jaccard(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -178,11 +171,12 @@ def line_links(lines: DataFrame) -> DataFrame:
     return both.filter(F.pandas_udf(line_jaccard, "boolean")("x", "y")).select("a", "b")
 
 
-def duplicate_paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def duplicate_paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ranges: int | None = None) -> DataFrame:
     """Every paragraph that has a repeat: ``doc_id``, ``text_hash``, ``start``, ``words`` (in words), ``kind``,
     ``cluster_doc_id`` and ``cluster_start`` of the cluster's earliest paragraph, and ``removed``."""
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), row_hash(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
-    rows = units(texts).withColumn("key", F.struct("kind", "words", "digest", "check"))
+    ranges = ranges or 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = second_look(texts, paragraph_features, meeting_paragraphs, UNIT, ranges).withColumn("key", F.struct("kind", "words", "digest"))
     rows = settle(rows.withColumn("place", F.struct("doc_id", "text_hash", "start")), "paragraphs")
     of = components(line_links(rows.filter("kind = 'line'")))
     of = of.select(F.col("node").alias("key"), F.col("component").alias("cluster"))
