@@ -116,20 +116,30 @@ def good_rows(df: DataFrame) -> DataFrame:
     return df.filter(F.col(MALFORMED).isNull()).drop(MALFORMED)
 
 
-def rejects(df: DataFrame, source: str) -> DataFrame:
-    """Text of the records whose cells do not fit their header: ``source``, ``reason``, ``record``."""
+def rejects(df: DataFrame, source: str, column: str | None = None) -> DataFrame:
+    """The records whose cells do not fit their header: ``source``, ``reason``, ``cell``, ``record`` (their text).
+
+    ``cell`` is what was read into ``column``, one that every file has; the first by default.
+    """
     bad = df.filter(F.col(MALFORMED).isNotNull())
-    return bad.select(F.lit(source).alias("source"), F.lit("cells do not fit the header").alias("reason"), F.col(MALFORMED).alias("record"))
+    # Spark refuses to read the malformed text alone, so a cell comes with it.
+    return bad.select(
+        F.lit(source).alias("source"),
+        F.lit("cells do not fit the header").alias("reason"),
+        F.col(column or df.columns[0]).alias("cell"),
+        F.col(MALFORMED).alias("record"),
+    )
 
 
 def reject_summary(df: DataFrame, source: str, typed: Mapping[str, Column]) -> DataFrame:
     """One row: ``source``, records ``delivered`` = ``good`` + ``rejected``, and ``lost``: by column the good records
-    whose text ``typed`` could not read. ``df`` is the result of `read_by_name`, read once."""
+    whose text ``typed`` could not read (without ``typed``, those whose first cell is blank). ``df`` is the result of `read_by_name`, read once."""
     bad = F.col(MALFORMED).isNotNull()
     unread = [F.count_if(~bad & F.col(c).isNotNull() & value.isNull()).alias(c) for c, value in typed.items()]
+    unread = unread or [F.count_if(~bad & F.col(df.columns[0]).isNull()).alias("blank_first_cell")]
     return df.agg(
         F.count(F.lit(1)).alias("delivered"), F.count_if(~bad).alias("good"), F.count_if(bad).alias("rejected"),
-        (F.struct(*unread) if unread else F.lit(None).cast("struct<none:long>")).alias("lost"),
+        F.struct(*unread).alias("lost"),
     ).withColumn("source", F.lit(source))
 
 

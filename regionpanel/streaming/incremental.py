@@ -30,7 +30,7 @@ def ingest_new_files(
         rows = read_by_name(batch.sparkSession, paths, contract, "source_file")
         good_rows(rows).write.mode("overwrite").parquet(f"{table}/batch={number}")
         if rejected:
-            rejects(rows, contract.name).write.mode("overwrite").parquet(f"{rejected}/batch={number}")
+            rejects(rows, contract.name, contract.columns[0]).write.mode("overwrite").parquet(f"{rejected}/batch={number}")
 
     query = arrived.writeStream.foreachBatch(load).option("checkpointLocation", state).trigger(availableNow=True).start()
     query.awaitTermination()

@@ -216,6 +216,77 @@ def test_old_state_feed(spark):
     assert (a.positiveIncrease, a.PositivityRate, b.PositivityRate, b.hospitalized) == (0, -0.1, None, 3)
 
 
+def test_reject_counts(spark, built):
+    _, out = built
+    counts = {r.source: r for r in spark.read.parquet(f"{out}/tables/reject_counts").collect()}
+    assert all(r.delivered == r.good + r.rejected for r in counts.values())
+    assert counts["county_daily"].delivered == 9 * len(DAYS) and counts["county_daily"].rejected == 0
+    assert counts["state_daily"].unread_numbers == 0
+
+
+def test_weekly_report_is_exported_in_order(spark, built):
+    _, out = built
+    files = sorted((out / "exports/cases_by_week").glob("*.csv"))
+    lines = [x.split("\t") for p in files for x in p.read_text().splitlines()]
+    head = lines[0]
+    rows = [dict(zip(head, x)) for x in lines if x != head]
+    order = [(r["week_ending_date"], r["race_ethnicity_combined"]) for r in rows]
+    assert order == sorted(order) and len(order) == 2
+
+
+def test_default_orders(spark, built):
+    tables, _ = built
+    latest = counties.latest_progress(tables["county_base"], tables["county_dim"])
+    snapshot = counties.county_snapshot(latest, tables["county_dim"], tables["state_dim"])
+    shown = [r[reports.COUNTY_ORDER] for r in reports.sorted_county_table(snapshot, counties.county_averages_export(tables["county_base"])).collect()]
+    known = [v for v in shown if v is not None]
+    assert known == sorted(known, reverse=True) and shown[: len(known)] == known
+    progress = states.state_progress(states.state_averages_export(tables["state_facts"]))
+    shown = [r[reports.STATE_ORDER] for r in reports.sorted_state_table(progress).collect()]
+    known = [v for v in shown if v is not None]
+    assert known == sorted(known, reverse=True) and len(shown) == 3
+
+
+def test_trailing_exports_read_the_last_months_only(spark, built):
+    _, out = built
+    base = spark.read.parquet(f"{out}/tables/county_base")
+    plan = counties.county_averages_export(base)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan and plan.count("month") > 2
+    progress = spark.read.parquet(f"{out}/tables/county_progress")
+    full = counties.county_rate_export(progress, base).collect()
+    dim = spark.read.parquet(f"{out}/tables/county_dim")
+    assert sorted(map(str, counties.recent_rate_export(base, dim).collect())) == sorted(map(str, full)) and len(full) == 3 * 31
+
+
+def test_partial_build_and_later_days(spark, tmp_path):
+    late = [dt.date(2026, 1, 1) + dt.timedelta(days=n) for n in range(20)]
+    states_file = tmp_path / "states.tsv"
+    lines = ["submission_date\tstate\ttot_cases\tnew_case\ttot_death\tnew_death"]
+    lines += [f"{d:%m/%d/%Y}\tAL\t{10 * n}\t10\t{n}\t1" for n, d in enumerate(late)]
+    states_file.write_text("\n".join(lines) + "\n")
+    tests_file = tmp_path / "tests.tsv"
+    tests_file.write_text("state\tdate\toverall_outcome\tnew_results_reported\n" + "".join(f"AL\t{d:%Y/%m/%d}\tPositive\t4\n" for d in late))
+    people = tmp_path / "people.csv"
+    people.write_text("NAME,STATE,POPESTIMATE2019\nAlabama,1,2000\n")
+    paths = {"state_daily": str(states_file), "tests": str(tests_file), "state_population": str(people)}
+    tables = build(spark, paths, f"{tmp_path}/out")
+    assert set(tables) == {"state_dim", "state_tests", "state_facts", "nation_facts"}
+    last = tables["state_facts"].filter(f"Date = '{late[-1]}'").first()
+    assert (last.CasesPer100k, last.Avg7DayPositiveIncrease, last.Avg7DayPositivityRate) == (140 * 100000 / 2000, 10.0, 1.0)
+
+
+def test_bad_delivery_leaves_the_good_table(spark, tmp_path):
+    people = tmp_path / "people.csv"
+    people.write_text("NAME,STATE,POPESTIMATE2019\nAlabama,1,2000\n")
+    build(spark, {"state_population": str(people)}, f"{tmp_path}/out")
+    people.write_text("NAME,STATE,POPESTIMATE2019\nAlabama,1,2000\nAlabama,1,3000\n")
+    with pytest.raises(ValueError, match="Alabama"):
+        build(spark, {"state_population": str(people)}, f"{tmp_path}/out")
+    assert [r.Population for r in spark.read.parquet(f"{tmp_path}/out/tables/state_dim").collect()] == [2000]
+    people.write_text("NAME,STATE,POPESTIMATE2019\nAlabama,1,4000\n")
+    assert build(spark, {"state_population": str(people)}, f"{tmp_path}/out")["state_dim"].first().Population == 4000
+
+
 # Rewrites tables the tests above read, so it comes last.
 def test_second_build_makes_only_what_changed(spark, delivered, built, tmp_path):
     tables, out = built

@@ -176,3 +176,82 @@ def test_ingest_new_files_once_each(spark, tmp_path):
 def test_contracts_are_complete():
     assert len(sources.CONTRACTS) == 13
     assert all(set(c.key) - {"Date"} <= set(c.columns) for c in sources.CONTRACTS.values())
+
+
+# Binding by header name, malformed records, changes of content.
+
+NEEDED = Contract("f", "f", ("state", "tot_cases", "new_case"), sep="\t")
+
+
+def two_layouts(tmp_path):
+    (tmp_path / "1.tsv").write_text('date\tconf_cases\tstate\tnew_case\tnote\ttot_cases\n1\t90\tOH\t7\t"two\nlines"\t10\n')
+    (tmp_path / "2.tsv").write_text("tot_cases\tstate\tnew_case\n5\tTX\t\n6\tNY\t2\n")
+    return f"{tmp_path}/*.tsv"
+
+
+def test_columns_are_bound_by_each_files_header(spark, tmp_path):
+    df = sources.ingest_delimited(spark, two_layouts(tmp_path), NEEDED)
+    assert rows_of(df.select("state", "tot_cases", "new_case", "note"), "state") == [
+        ("NY", "6", "2", None),
+        ("OH", "10", "7", "two\nlines"),
+        ("TX", "5", None, None),
+    ]
+
+
+def test_new_files_are_bound_by_their_header(spark, tmp_path):
+    drop = tmp_path / "drop"
+    drop.mkdir()
+    two_layouts(drop)
+    sources_args = (spark, str(drop), NEEDED, f"{tmp_path}/table", f"{tmp_path}/state")
+    ingest_new_files(*sources_args, rejected=f"{tmp_path}/rejected")
+    (drop / "3.tsv").write_text("state\tnew_case\ttot_cases\nAL\t1\t2\nAK\t1\n")
+    ingest_new_files(*sources_args, rejected=f"{tmp_path}/rejected")
+    got = rows_of(spark.read.parquet(f"{tmp_path}/table").select("state", "tot_cases", "new_case"), "state")
+    assert got == [("AL", "2", "1"), ("NY", "6", "2"), ("OH", "10", "7"), ("TX", "5", None)]
+    assert [r.record for r in spark.read.parquet(f"{tmp_path}/rejected").collect()] == ["AK\t1"]
+
+
+def test_records_that_do_not_fit_are_told(spark, tmp_path):
+    path = tmp_path / "a.tsv"
+    path.write_text("state\ttot_cases\tnew_case\nOH\t1\tx\nTX\t1\nNY\t1\t2\t3\nAL\t4\t\n")
+    raw = sources.read_by_name(spark, str(path), NEEDED)
+    assert rows_of(sources.good_rows(raw).select("state"), "state") == [("AL",), ("OH",)]
+    assert {r.record for r in sources.rejects(raw, "f").collect()} == {"TX\t1", "NY\t1\t2\t3"}
+    n = F.col("new_case").try_cast("long")
+    r = sources.reject_summary(raw, "f", {"new_case": n}).first()
+    assert (r.delivered, r.good, r.rejected, r.lost.new_case) == (4, 2, 2, 1)
+
+
+def test_undated_daily_file_raises(spark, tmp_path):
+    path = daily(tmp_path, {"03-22-2020.csv": "FIPS,Admin2,Confirmed\n39001,Adams,1\n", "2020-03-24.csv": "FIPS,Admin2,Confirmed\n39001,Adams,2\n"})
+    with pytest.raises(ValueError, match="holds no day"):
+        sources.ingest_daily_files(spark, path, FIELDS)
+
+
+def test_day_of_a_folder_does_not_count(spark, tmp_path):
+    folder = tmp_path / "04-05-2021.csv"
+    folder.mkdir()
+    (folder / "03-22-2020.csv").write_text("FIPS,Admin2,Confirmed\n39001,Adams,1\n")
+    assert sources.ingest_daily_files(spark, f"{folder}/*.csv", FIELDS).first().Date == "20200322"
+
+
+def test_ragged_json_rows(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[["a","b","c"],["1"],["2","3","4","5"],[]]')
+    df = sources.ingest_json_rows(spark, f"{tmp_path}/a.json")
+    assert sorted(map(tuple, df.collect()), key=str) == [("1", None, None), ("2", "3", "4"), (None, None, None)]
+
+
+def test_fingerprint_sees_blanks_and_names(spark):
+    one = spark.createDataFrame([(None, 5)], "a int, b int")
+    other = spark.createDataFrame([(5, None)], "a int, b int")
+    assert not sources.same_content(one, other)
+    assert not sources.same_content(one, one.withColumnRenamed("a", "c"))
+    assert not sources.same_content(one.limit(0), one.limit(0).withColumnRenamed("a", "c"))
+    assert sources.same_content(one, one.select("b", "a"))
+
+
+def test_long_codes_are_not_cut(spark):
+    from regionpanel.functions import repair_code
+
+    df = spark.createDataFrame([("123456",), ("123457.0",), ("1001.0",), ("12345",), ("x",)], "c string")
+    assert [r[0] for r in df.select(repair_code(F.col("c"), F.lit(1))).collect()] == [None, None, "01001", "12345", None]
