@@ -7,7 +7,7 @@ holds more rows than the calendar has days, however many source rows an entity h
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -214,8 +214,8 @@ def doubling_time(
     """Doubling time from the latest earlier day whose value was at most half of today's.
 
     Days without such an earlier day are dropped. For totals known never to fall, the search is one window in
-    value order. Totals that can fall take one pass per entity over a stack of candidate days; neither forms
-    pairs of days.
+    value order. Totals that can fall are searched by numpy over all entities of a batch; neither forms pairs of days.
+    A day that occurs twice for an entity raises.
     """
     points = df.select(key, date, value).filter(F.col(key).isNotNull() & F.col(value).isNotNull())
     found = _half_by_value(points, key, date, value) if non_decreasing else _half_by_scan(points, key, date, value)
@@ -246,29 +246,56 @@ def _half_by_value(points: DataFrame, key: str, date: str, value: str) -> DataFr
     )
 
 
+def _latest_half(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """For each place the latest one before it, not before ``starts``, with at most half its value; -1 if there is none.
+
+    ``least[k]`` holds minima over the 2**k places up to each place. From the widest on, a stretch whose minimum is
+    above the half is skipped, so a search takes as many steps as the logarithm of the days, for all rows at once.
+    """
+    n = len(values)
+    at, half = np.arange(n) - 1, values / 2
+    least = [values]
+    while 1 << len(least) < n:
+        step = 1 << (len(least) - 1)
+        wide = least[-1].copy()
+        wide[step:] = np.minimum(wide[step:], least[-1][:-step])
+        least.append(wide)
+    for k in range(len(least) - 1, -1, -1):
+        fits = at - (1 << k) + 1 >= starts
+        skip = fits & (least[k][np.where(fits, at, 0)] > half)
+        at = np.where(skip, at - (1 << k), at)
+    return np.where(at >= starts, at, -1)
+
+
 def _half_by_scan(points: DataFrame, key: str, date: str, value: str) -> DataFrame:
     kinds = dict(points.dtypes)
     schema = f"`{key}` {kinds[key]}, `{date}` date, `{value}` double, _half_date date, _half_value double"
 
-    def scan(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(date, ignore_index=True)
+    def search(rows: pd.DataFrame) -> pd.DataFrame:
+        names = rows[key].to_numpy()
+        new = np.r_[True, names[1:] != names[:-1]]
+        days = rows[date].to_numpy()
+        if (~new[1:] & (days[1:] == days[:-1])).any():
+            raise ValueError("a day occurs twice for an entity")
+        starts = np.maximum.accumulate(np.where(new, np.arange(len(rows)), 0))
         values = rows[value].to_numpy(dtype="float64")
-        # The stack keeps days no later day undercuts, so its values rise from bottom to top.
-        stack_value = np.empty(len(values))
-        stack_day = np.empty(len(values), dtype="int64")
-        top = 0
-        half = np.full(len(values), -1, dtype="int64")
-        for day, v in enumerate(values):
-            at = int(np.searchsorted(stack_value[:top], v / 2, side="right"))
-            if at:
-                half[day] = stack_day[at - 1]
-            top = int(np.searchsorted(stack_value[:top], v, side="left"))
-            stack_value[top], stack_day[top] = v, day
-            top += 1
+        half = _latest_half(values, starts)
         hit = half >= 0
         out = rows.loc[hit, [key, date, value]].reset_index(drop=True)
-        out["_half_date"] = rows[date].to_numpy()[half[hit]]
+        out["_half_date"] = days[half[hit]]
         out["_half_value"] = values[half[hit]]
         return out
 
-    return points.groupBy(key).applyInPandas(scan, schema)
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # An entity may go on in the next batch, so the last one of each waits for it.
+        waiting: list[pd.DataFrame] = []
+        for batch in batches:
+            rows = pd.concat([*waiting, batch], ignore_index=True)
+            last = rows[key] == rows[key].iloc[-1] if len(rows) else []
+            waiting = [rows[last]] if len(rows) else []
+            if len(rows) and not last.all():
+                yield search(rows[~last].reset_index(drop=True))
+        if waiting:
+            yield search(waiting[0].reset_index(drop=True))
+
+    return points.repartition(key).sortWithinPartitions(key, date).mapInPandas(scan, schema)

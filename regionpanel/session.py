@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -26,7 +28,8 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the cluster names it; a temporary one only in local mode."""
+    """Folder every executor can reach, as the cluster names it; a temporary one only in local mode, which goes
+    when the process ends."""
     named = spark.conf.get(CHECKPOINT_SETTING, None)
     if named:
         return named.rstrip("/")
@@ -36,6 +39,7 @@ def shared_folder(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
     made = tempfile.mkdtemp(prefix="regionpanel-")
+    atexit.register(shutil.rmtree, made, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(made)
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 

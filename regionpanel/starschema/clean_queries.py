@@ -24,16 +24,8 @@ from .tables import ND, code, nation_day, nation_people, table
 
 @query(
     "flag_predicate",
-    """WITH t AS (
-  SELECT o_orderkey,
-    CASE WHEN o_orderstatus = 'P' THEN 'CA' ELSE 'US' END AS country,
-    CASE o_orderpriority WHEN '1-URGENT' THEN 'Unassigned' WHEN '2-HIGH' THEN 'Unknown' WHEN '3-MEDIUM' THEN 'Out of ' || o_orderstatus
-      WHEN '5-LOW' THEN NULL ELSE 'Adams' END AS county,
-    CASE WHEN o_totalprice > 400000 THEN 'Recovered' WHEN o_totalprice >= 50000 THEN 'Ohio' END AS province
-  FROM orders)
-SELECT o_orderkey, CASE WHEN country = 'US' AND coalesce(county, '') <> 'Unassigned' AND coalesce(county, '') <> 'Unknown'
-  AND coalesce(county, '') NOT LIKE 'Out of%' AND coalesce(county, '') NOT LIKE 'Out-of-%' AND province <> 'Recovered' THEN 1 ELSE 0 END AS flag
-FROM t""",
+    """SELECT o_orderkey, CAST(o_orderstatus <> 'P' AND o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM')
+  AND o_totalprice BETWEEN 50000 AND 400000 AS INTEGER) AS flag FROM orders""",
 )
 def flag_predicate(spark, sf):
     orders = table(spark, sf, "orders")

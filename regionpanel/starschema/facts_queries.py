@@ -68,43 +68,30 @@ def _nation_dim(spark, sf):
 
 ORDER_OUTCOMES = {"F": "negative", "O": "positive", "P": "inconclusive"}
 
+_WEEK = "PARTITION BY nation ORDER BY day RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW"
+_UPTO = "PARTITION BY nation ORDER BY day ROWS UNBOUNDED PRECEDING"
+_SHOWN = f"day >= DATE '{FIRST}' AND day < DATE '{END}'"
+
 _STATES = f"""{ND},
-states AS (
-  SELECT day AS "Date", CAST(nation AS VARCHAR) AS state,
-    CAST(sum(n) OVER w AS BIGINT) AS positive, n AS "positiveIncrease",
-    CAST(sum(n_f) OVER w AS BIGINT) AS death, n_f AS "deathIncrease",
-    CAST(NULL AS BIGINT) AS hospitalized, CAST(NULL AS BIGINT) AS "hospitalizedIncrease", n_o AS "totalTestResultsIncrease"
-  FROM nd WINDOW w AS (PARTITION BY nation ORDER BY day ROWS UNBOUNDED PRECEDING)),
-calendar AS (SELECT CAST(d AS DATE) AS d FROM range(TIMESTAMP '{FIRST}', TIMESTAMP '{END}', INTERVAL 1 DAY) t(d)),
-people AS (SELECT CAST(n_nationkey AS VARCHAR) AS state, (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey) AS population FROM nation),
-rated AS (
-  SELECT s."Date", s.state, (s.positive - e.positive) * 100000.0 / nullif(population, 0) AS "CasesPer100k"
-  FROM states s JOIN calendar ON s."Date" = d JOIN people USING (state)
-  LEFT JOIN states e ON e.state = s.state AND e."Date" = s."Date" - 14),
-means AS (
-  SELECT s1.state, s1."Date", sum(s2."positiveIncrease") / 7.0 AS "Avg7DayPositiveIncrease", sum(s2."deathIncrease") / 7.0 AS "Avg7DayDeathIncrease"
-  FROM states s1 JOIN calendar ON s1."Date" = d JOIN states s2 ON s1.state = s2.state AND s2."Date" > s1."Date" - 7 AND s2."Date" <= s1."Date"
-  GROUP BY 1, 2),
-pos AS (
-  SELECT state, "Date", CAST("negative" AS BIGINT) AS negative, CAST("positive" AS BIGINT) AS positive, CAST("inconclusive" AS BIGINT) AS inconclusive,
-    CAST(negative + positive + inconclusive AS BIGINT) AS "totalTests",
-    CASE WHEN negative + positive + inconclusive > 0 THEN positive / (negative + positive + inconclusive) ELSE 0 END AS "positivityRate"
-  FROM (SELECT CAST(nation AS VARCHAR) AS state, day AS "Date", n_f AS negative, n_o AS positive, n_p AS inconclusive FROM nd)),
-pos7 AS (
-  SELECT s1.state, s1."Date", sum(s2."positivityRate") / 7.0 AS "Avg7DayPositivityRate"
-  FROM pos s1 JOIN calendar ON s1."Date" = d JOIN pos s2 ON s1.state = s2.state AND s2."Date" > s1."Date" - 7 AND s2."Date" <= s1."Date"
-  GROUP BY 1, 2)"""
+shares AS (SELECT *, n_f + n_o + n_p AS tests, CASE WHEN n_f + n_o + n_p > 0 THEN n_o / (n_f + n_o + n_p) ELSE 0 END AS share FROM nd),
+sums AS (
+  SELECT *, CAST(sum(n) OVER ({_UPTO}) AS BIGINT) AS all_n, CAST(sum(n_f) OVER ({_UPTO}) AS BIGINT) AS all_f,
+    sum(n) OVER ({_WEEK}) / 7.0 AS mean_n, sum(n_f) OVER ({_WEEK}) / 7.0 AS mean_f, sum(share) OVER ({_WEEK}) / 7.0 AS mean_share
+  FROM shares),
+grown AS (
+  SELECT *, all_n - max(all_n) OVER (PARTITION BY nation ORDER BY day RANGE BETWEEN INTERVAL 14 DAYS PRECEDING AND INTERVAL 14 DAYS PRECEDING) AS gain
+  FROM sums),
+people AS (SELECT c_nationkey, count(*) AS people FROM customer GROUP BY 1)"""
 
 
 @query(
     "entity_facts",
     f"""WITH {_STATES}
-SELECT s."Date", s.state, s.positive, "positiveIncrease", death, "deathIncrease", hospitalized, "hospitalizedIncrease",
-  "totalTestResultsIncrease", "positivityRate", "CasesPer100k", "Avg7DayPositiveIncrease", "Avg7DayDeathIncrease", "Avg7DayPositivityRate"
-FROM states s LEFT JOIN rated r ON r.state = s.state AND r."Date" = s."Date"
-  LEFT JOIN means m ON m.state = s.state AND m."Date" = s."Date"
-  LEFT JOIN pos p ON p.state = s.state AND p."Date" = s."Date"
-  LEFT JOIN pos7 q ON q.state = s.state AND q."Date" = s."Date\"""",
+SELECT day AS "Date", CAST(nation AS VARCHAR) AS state, all_n AS positive, n AS "positiveIncrease", all_f AS death, n_f AS "deathIncrease",
+  CAST(NULL AS BIGINT) AS hospitalized, CAST(NULL AS BIGINT) AS "hospitalizedIncrease", n_o AS "totalTestResultsIncrease", share AS "positivityRate",
+  CASE WHEN {_SHOWN} THEN gain * 100000.0 / people END AS "CasesPer100k", CASE WHEN {_SHOWN} THEN mean_n END AS "Avg7DayPositiveIncrease",
+  CASE WHEN {_SHOWN} THEN mean_f END AS "Avg7DayDeathIncrease", CASE WHEN {_SHOWN} THEN mean_share END AS "Avg7DayPositivityRate"
+FROM grown LEFT JOIN people ON c_nationkey = nation""",
     dates=['"Date"'],
     doubles=["positivityRate", "CasesPer100k", "Avg7DayPositiveIncrease", "Avg7DayDeathIncrease", "Avg7DayPositivityRate"],
 )
@@ -114,10 +101,26 @@ def entity_facts(spark, sf):
     return state_facts(_order_states(days), _nation_dim(spark, sf), tests, FIRST, END)
 
 
+@query(
+    "entity_facts_without_end",
+    f"""WITH {_STATES}, late AS (SELECT *, day + INTERVAL 30 YEARS AS later FROM grown)
+SELECT CAST(later AS DATE) AS "Date", CAST(nation AS VARCHAR) AS state, gain * 100000.0 / people AS "CasesPer100k", mean_n AS "Avg7DayPositiveIncrease"
+FROM late LEFT JOIN people ON c_nationkey = nation""",
+    dates=['"Date"'],
+    doubles=["CasesPer100k", "Avg7DayPositiveIncrease"],
+)
+def entity_facts_without_end(spark, sf):
+    # The same days thirty years later, far past 2025: rates and means go on as long as the data.
+    days = nation_day(spark, sf).withColumn("on", F.col("day"))
+    facts = state_facts(_order_states(days), _nation_dim(spark, sf), positivity(_order_tests(days), ORDER_OUTCOMES, None), None)
+    return facts.select((F.col("Date") + F.expr("INTERVAL 30 YEARS")).cast("date").alias("Date"), "state", "CasesPer100k", "Avg7DayPositiveIncrease")
+
+
 @query(
     "pivot_rate_rolling",
     f"""WITH {_STATES}
-SELECT pos.*, "Avg7DayPositivityRate" FROM pos LEFT JOIN pos7 ON pos.state = pos7.state AND pos."Date" = pos7."Date\"""",
+SELECT CAST(nation AS VARCHAR) AS state, day AS "Date", CAST(n_f AS BIGINT) AS negative, CAST(n_o AS BIGINT) AS positive, CAST(n_p AS BIGINT) AS inconclusive,
+  CAST(tests AS BIGINT) AS "totalTests", share AS "positivityRate", CASE WHEN {_SHOWN} THEN mean_share END AS "Avg7DayPositivityRate" FROM sums""",
     dates=['"Date"'],
     doubles=["positivityRate", "Avg7DayPositivityRate"],
 )
@@ -151,14 +154,12 @@ def entity_rate_14(spark, sf):
 @query(
     "national_series",
     f"""WITH {_STATES},
-daily AS (
-  SELECT "Date" AS date, CAST(sum(positive) AS BIGINT) AS positive, CAST(sum("positiveIncrease") AS BIGINT) AS cases,
-    CAST(sum("totalTestResultsIncrease") AS BIGINT) AS tests FROM states GROUP BY 1)
-SELECT t.date, t.positive, t.cases AS "positiveIncrease", t.tests AS "totalTestResultsIncrease",
-  sum(t.cases) OVER seven / 7.0 AS "Avg7DayPositiveIncrease", sum(t.tests) OVER seven / 7.0 AS "Avg7DayTotalTestResultsIncrease",
-  (t.positive - e.positive) * 100000.0 / nullif((SELECT sum(population) FROM people WHERE state IN (SELECT state FROM states)), 0) AS "CasesPer100k"
-FROM daily t LEFT JOIN daily e ON e.date = t.date - 14
-WINDOW seven AS (ORDER BY t.date RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW)""",
+daily AS (SELECT day AS date, CAST(sum(all_n) AS BIGINT) AS positive, CAST(sum(n) AS BIGINT) AS cases, CAST(sum(n_o) AS BIGINT) AS tests FROM sums GROUP BY 1)
+SELECT date, positive, cases AS "positiveIncrease", tests AS "totalTestResultsIncrease",
+  sum(cases) OVER seven / 7.0 AS "Avg7DayPositiveIncrease", sum(tests) OVER seven / 7.0 AS "Avg7DayTotalTestResultsIncrease",
+  (positive - max(positive) OVER past) * 100000.0 / (SELECT count(*) FROM customer WHERE c_nationkey IN (SELECT nation FROM nd)) AS "CasesPer100k"
+FROM daily WINDOW seven AS (ORDER BY date RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW),
+  past AS (ORDER BY date RANGE BETWEEN INTERVAL 14 DAYS PRECEDING AND INTERVAL 14 DAYS PRECEDING)""",
     dates=["date"],
     doubles=["Avg7DayPositiveIncrease", "Avg7DayTotalTestResultsIncrease", "CasesPer100k"],
 )

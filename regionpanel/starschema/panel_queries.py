@@ -169,9 +169,8 @@ def rolling_rows_avg7(spark, sf):
 @query(
     "rolling_calendar_sum7",
     f"""WITH {RD}
-SELECT s1.region, s1.day, sum(s2.n) / 7.0 AS n_avg, CAST(sum(s2.cents) AS DOUBLE) / 7.0 AS cents_avg
-FROM rd s1 JOIN rd s2 ON s1.region = s2.region AND s2.day > s1.day - 7 AND s2.day <= s1.day
-GROUP BY s1.region, s1.day""",
+SELECT region, day, sum(n) OVER week / 7.0 AS n_avg, CAST(sum(cents) OVER week AS DOUBLE) / 7.0 AS cents_avg
+FROM rd WINDOW week AS (PARTITION BY region ORDER BY day RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW)""",
     dates=["day"],
     doubles=["n_avg", "cents_avg"],
 )
@@ -225,7 +224,7 @@ halves AS (
   SELECT t.{key}, t.day, t.v, max(e.day) AS half_day FROM points t JOIN points e USING ({key})
   WHERE e.day < t.day AND 2 * e.v <= t.v GROUP BY ALL)
 SELECT h.{key}, h.day,
-  CAST(round(CAST(h.v / nullif((h.v - e.v) / CAST(h.day - half_day AS DOUBLE), 0) / 2 AS DECIMAL(38, 9)), 2) AS DOUBLE) AS doubling_days
+  CAST(round(CAST(CAST(h.v AS DOUBLE) * (h.day - half_day) / nullif(2 * (h.v - e.v), 0) AS DECIMAL(38, 9)), 2) AS DOUBLE) AS doubling_days
 FROM halves h JOIN points e ON e.{key} = h.{key} AND e.day = half_day"""
 
 

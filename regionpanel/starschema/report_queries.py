@@ -15,6 +15,7 @@ from ..functions import (
     trend_bucket,
     upper_limit,
 )
+from ..functions.buckets import COUNT_LIMIT_ABOVE, COUNT_LIMITS, SHADE_LIMITS, TREND_BANDS
 from ..operators.panel import calendar_change
 from ..operators.ranks import rank_panels
 from ..operators.report import recent_points, record_high, share_under, top_k
@@ -27,8 +28,8 @@ from ..plans.counties import (
     latest_progress,
     recent_rate_export,
 )
-from ..plans.reports import county_shapes, county_table, outbreak_circles
-from ..session import new_folder
+from ..plans.reports import VIEWS, county_shapes, county_table, outbreak_circles
+from ..session import new_folder, settle
 from ..sinks import write_table
 from .panel_queries import region_dim
 from .registry import query
@@ -48,6 +49,8 @@ from .tables import (
     region_day,
     sql_event_days,
     sql_totals,
+    sql_trend,
+    sql_upper_limit,
     table,
 )
 
@@ -176,9 +179,7 @@ def flagged_count(spark, sf):
 
 @query(
     "shade_bucket",
-    """SELECT o_orderkey, CASE WHEN o_totalprice / 400 < 25 THEN NULL WHEN o_totalprice / 400 <= 50 THEN 50 WHEN o_totalprice / 400 <= 75 THEN 75
-  WHEN o_totalprice / 400 <= 100 THEN 100 WHEN o_totalprice / 400 <= 200 THEN 200 WHEN o_totalprice / 400 <= 500 THEN 500
-  WHEN o_totalprice / 400 <= 1000 THEN 1000 WHEN o_totalprice / 400 <= 10000000 THEN 10000000 END AS shade FROM orders""",
+    f"""SELECT o_orderkey, CASE WHEN p >= 25 THEN {sql_upper_limit("p", SHADE_LIMITS, "NULL")} END AS shade FROM (SELECT o_orderkey, o_totalprice / 400 AS p FROM orders)""",
 )
 def shade_bucket_query(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", shade_bucket(F.col("o_totalprice") / 400).alias("shade"))
@@ -189,11 +190,7 @@ def shade_bucket_query(spark, sf):
     f"""WITH {RD}, t AS (
   SELECT t.region, t.day, t.n - e.n AS d, CASE WHEN e.n > 0 THEN (t.n - e.n) / e.n END AS p
   FROM rd t JOIN rd e ON e.region = t.region AND e.day = t.day - 14)
-SELECT region, day, CASE WHEN d > 0 THEN CASE WHEN p IS NULL OR p <= 0.25 THEN 'up1' WHEN p <= 0.5 THEN 'up2' WHEN p <= 0.75 THEN 'up3'
-    WHEN p <= 1 THEN 'up4' ELSE 'up5' END
-  WHEN d < 0 THEN CASE WHEN p IS NULL OR p >= -0.25 THEN 'down1' WHEN p >= -0.5 THEN 'down2' WHEN p >= -0.75 THEN 'down3'
-    WHEN p >= -1 THEN 'down4' ELSE 'none' END
-  ELSE 'none' END AS trend FROM t""",
+SELECT region, day, {sql_trend("d", "p", TREND_BANDS)} AS trend FROM t""",
     dates=["day"],
 )
 def trend_bucket_query(spark, sf):
@@ -239,10 +236,8 @@ def percent_label_query(spark, sf):
 
 @query(
     "bucket_counts",
-    """SELECT CASE WHEN c IS NULL OR c = 0 THEN 0 WHEN c <= 100 THEN 100 WHEN c <= 200 THEN 200 WHEN c <= 300 THEN 300 WHEN c <= 400 THEN 400
-  WHEN c <= 500 THEN 500 WHEN c <= 600 THEN 600 WHEN c <= 700 THEN 700 WHEN c <= 800 THEN 800 WHEN c <= 900 THEN 900 WHEN c <= 1000 THEN 1000
-  WHEN c <= 5000 THEN 5000 WHEN c <= 10000 THEN 10000 ELSE 100000 END AS upper_limit, count(*) AS n
-FROM (SELECT floor(o_totalprice / 100) AS c FROM orders) GROUP BY 1""",
+    f"""SELECT CASE WHEN c > 0 THEN {sql_upper_limit("c", COUNT_LIMITS, str(COUNT_LIMIT_ABOVE))} ELSE 0 END AS upper_limit, count(*) AS n
+FROM (SELECT CAST(floor(o_totalprice / 100) AS BIGINT) AS c FROM orders) GROUP BY 1""",
 )
 def bucket_counts(spark, sf):
     label = upper_limit(F.floor(F.col("o_totalprice") / 100))
@@ -252,10 +247,7 @@ def bucket_counts(spark, sf):
 @query(
     "rising_fast_counts",
     f"""WITH {_NATION_PROGRESS}
-SELECT "Date", CASE WHEN "Confirmed" <= 100 THEN 100 WHEN "Confirmed" <= 200 THEN 200 WHEN "Confirmed" <= 300 THEN 300 WHEN "Confirmed" <= 400 THEN 400
-  WHEN "Confirmed" <= 500 THEN 500 WHEN "Confirmed" <= 600 THEN 600 WHEN "Confirmed" <= 700 THEN 700 WHEN "Confirmed" <= 800 THEN 800
-  WHEN "Confirmed" <= 900 THEN 900 WHEN "Confirmed" <= 1000 THEN 1000 WHEN "Confirmed" <= 5000 THEN 5000 WHEN "Confirmed" <= 10000 THEN 10000
-  ELSE 100000 END AS upper_limit, count(*) AS n
+SELECT "Date", {sql_upper_limit('"Confirmed"', COUNT_LIMITS, str(COUNT_LIMIT_ABOVE))} AS upper_limit, count(*) AS n
 FROM progress WHERE "TwoWeekAvg7DayConfirmedIncreasePct" > 0.5 GROUP BY 1, 2""",
     dates=['"Date"'],
 )
@@ -391,18 +383,53 @@ def outbreak_circles_query(spark, sf):
     return outbreak_circles(_snapshot(spark, sf, stored_base(spark, sf)), "month")
 
 
+def _view_metric(at: int, view: str) -> str:
+    """A figure per customer for every view of the map, some below zero, some equal."""
+    whole = f"(((cents - cents % {at + 1}) / {at + 1}) % 5000 - 500)"
+    return f"CAST({whole} / 1000.0 AS DOUBLE)" if view.endswith("_pct") else f"CAST({whole} AS BIGINT)"
+
+
+_CUSTOMER_CENTS = "SELECT o_custkey, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents FROM orders GROUP BY 1"
+_VIEW_SQL = " UNION ALL ".join(
+    f"""SELECT '{view}' AS view, * FROM (SELECT o_custkey, rate, {_view_metric(at, view) if view != "outbreak" else "rate"} AS m FROM t
+  {"WHERE rate >= 25" if view == "outbreak" else "ORDER BY m DESC, o_custkey LIMIT 100"})"""
+    for at, view in enumerate(VIEWS)
+)
+
+
+@query(
+    "outbreak_views",
+    f"""WITH t AS (SELECT *, CAST(cents % 61 AS DOUBLE) AS rate FROM ({_CUSTOMER_CENTS})), shown AS ({_VIEW_SQL})
+SELECT view, o_custkey, CAST(m AS DOUBLE) AS metric, CAST(floor(sqrt(m * (CASE WHEN view LIKE '%\\_pct' ESCAPE '\\' THEN 100 ELSE 1 END) * (0.05 * 2589988) / 3.14)) AS BIGINT) AS radius,
+  CASE WHEN rate < 25 THEN 'none' WHEN o_custkey % 2 = 0 THEN 'up' ELSE 'down' END AS direction
+FROM shown WHERE m > 0 AND floor(sqrt(greatest(m, 0) * (CASE WHEN view LIKE '%\\_pct' ESCAPE '\\' THEN 100 ELSE 1 END) * (0.05 * 2589988) / 3.14)) > 0""",
+    doubles=["metric"],
+)
+def outbreak_views(spark, sf):
+    # Customers stand for counties; there are more of them than a view shows.
+    orders = table(spark, sf, "orders").groupBy("o_custkey").agg(F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("cents"))
+    metrics = [F.expr(_view_metric(at, view)).alias(metric) for at, (view, metric) in enumerate(VIEWS.items()) if view != "outbreak"]
+    place = [F.lit(None).cast("string").alias(c) for c in ("County", "State", "Lat", "Long_")]
+    change = F.when(F.col("o_custkey") % 2 == 0, 1.0).otherwise(-1.0).alias("OneWeekCasesPer100kChange")
+    rate = (F.col("cents") % 61).cast("double").alias("CasesPer100k")
+    snapshot = settle(orders.select(F.col("o_custkey").alias("FIPS"), *place, rate, change, *metrics))
+    shown = None
+    for view in VIEWS:
+        part = outbreak_circles(snapshot, view).select(
+            F.lit(view).alias("view"), F.col("FIPS").alias("o_custkey"), F.col("Metric").alias("metric"), F.col("Radius").alias("radius"), F.col("Direction").alias("direction")
+        )
+        shown = part if shown is None else shown.unionByName(part)
+    return shown
+
+
 @query(
     "county_shapes",
     f"""WITH {_NATION_PROGRESS}, {_LATEST},
 cs AS ({_sql_series("base", '"Avg7DayConfirmedIncrease"', '"ConfirmedSeries"', 15)}),
 rs AS ({_sql_series("progress", '"CasesPer100k"', '"RateSeries"', 31)})
 SELECT d."FIPS", 'P' || c_custkey AS geometry, l."County", l."State", "CasesPer100k",
-  CASE WHEN "CasesPer100k" < 25 THEN NULL WHEN "CasesPer100k" <= 50 THEN 50 WHEN "CasesPer100k" <= 75 THEN 75 WHEN "CasesPer100k" <= 100 THEN 100
-    WHEN "CasesPer100k" <= 200 THEN 200 WHEN "CasesPer100k" <= 500 THEN 500 WHEN "CasesPer100k" <= 1000 THEN 1000 WHEN "CasesPer100k" <= 10000000 THEN 10000000 END AS "Shade",
-  CASE WHEN l."FIPS" IS NULL THEN NULL
-    WHEN d2 > 0 THEN CASE WHEN p2 IS NULL OR p2 <= 0.25 THEN 'up1' WHEN p2 <= 0.5 THEN 'up2' WHEN p2 <= 0.75 THEN 'up3' WHEN p2 <= 1 THEN 'up4' ELSE 'up5' END
-    WHEN d2 < 0 THEN CASE WHEN p2 IS NULL OR p2 >= -0.25 THEN 'down1' WHEN p2 >= -0.5 THEN 'down2' WHEN p2 >= -0.75 THEN 'down3' WHEN p2 >= -1 THEN 'down4' ELSE 'none' END
-    ELSE 'none' END AS "Trend",
+  CASE WHEN "CasesPer100k" >= 25 THEN {sql_upper_limit('"CasesPer100k"', SHADE_LIMITS, "NULL")} END AS "Shade",
+  CASE WHEN l."FIPS" IS NOT NULL THEN {sql_trend("d2", "p2", TREND_BANDS)} END AS "Trend",
   "ConfirmedSeries", "RateSeries", l."FIPS" IS NOT NULL AS has_info
 FROM (SELECT lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS "FIPS", c_custkey FROM customer) d
   LEFT JOIN (SELECT *, "TwoWeekAvg7DayConfirmedIncrease" AS d2, "TwoWeekAvg7DayConfirmedIncreasePct" AS p2 FROM latest) l ON l."FIPS" = d."FIPS"

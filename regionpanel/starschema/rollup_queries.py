@@ -100,23 +100,21 @@ def yoy_weeks_query(spark, sf):
 
 
 _EXCESS = f"""{NW},
-covid AS (
-  SELECT 'N' || nation AS abbr, end_date, CAST(sum(n_f) AS BIGINT) AS reported
-  FROM nd JOIN (SELECT DISTINCT "Week_Ending_Date" AS end_date FROM nw) ON day <= end_date AND day >= end_date - 6 GROUP BY 1, 2),
-usual AS (SELECT "State", "Week_Of_Year", avg("All_Cause") AS usual FROM nw WHERE "Year" <= {BASE_YEAR} GROUP BY 1, 2),
+reported AS (
+  SELECT 'NATION_' || nation AS "State", day + 6 - CAST(dayofweek(day) AS INTEGER) AS ends, CAST(sum(n_f) AS BIGINT) AS n_f FROM nd GROUP BY ALL),
+weeks AS (
+  SELECT "State", "Week_Of_Year", avg("All_Cause") FILTER ("Year" <= {BASE_YEAR}) AS "AvgDeaths_1994_1999",
+    max("Week_Ending_Date") FILTER ("Year" = {BASE_YEAR} + 1) AS "Week_Ending_Date2000",
+    max("Week_Ending_Date") FILTER ("Year" = {BASE_YEAR} + 2) AS "Week_Ending_Date2001",
+    max("All_Cause") FILTER ("Year" = {BASE_YEAR}) AS "Deaths1999", max("All_Cause") FILTER ("Year" = {BASE_YEAR} + 1) AS "Deaths2000",
+    max("All_Cause") FILTER ("Year" = {BASE_YEAR} + 2) AS "Deaths2001"
+  FROM nw GROUP BY ALL),
 excess AS (
-  SELECT a."State", a."Week_Of_Year", u.usual AS "AvgDeaths_1994_1999", b."Week_Ending_Date" AS "Week_Ending_Date2000",
-    c."Week_Ending_Date" AS "Week_Ending_Date2001", a."All_Cause" AS "Deaths1999", b."All_Cause" AS "Deaths2000", c."All_Cause" AS "Deaths2001",
-    coalesce(b."All_Cause", 0) - coalesce(u.usual, 0) AS "Excess2000",
-    (coalesce(b."All_Cause", 0) - coalesce(u.usual, 0)) / u.usual * 100.0 AS "ExcessPct2000",
-    coalesce(c."All_Cause", 0) - coalesce(u.usual, 0) AS "Excess2001",
-    (coalesce(c."All_Cause", 0) - coalesce(u.usual, 0)) / u.usual * 100.0 AS "ExcessPct2001",
-    d.reported AS "Covid19DeathsForWeek"
-  FROM nw a JOIN nw b ON a."State" = b."State" AND a."Week_Of_Year" = b."Week_Of_Year" AND b."Year" = a."Year" + 1
-    LEFT JOIN nw c ON a."State" = c."State" AND a."Week_Of_Year" = c."Week_Of_Year" AND c."Year" = a."Year" + 2
-    LEFT JOIN usual u ON a."State" = u."State" AND a."Week_Of_Year" = u."Week_Of_Year"
-    LEFT JOIN covid d ON d.abbr = replace(a."State", 'NATION_', 'N') AND d.end_date = b."Week_Ending_Date"
-  WHERE a."Year" = {BASE_YEAR})"""
+  SELECT weeks.*, "Deaths2000" - "AvgDeaths_1994_1999" AS "Excess2000", 100.0 * "Excess2000" / "AvgDeaths_1994_1999" AS "ExcessPct2000",
+    coalesce("Deaths2001", 0) - "AvgDeaths_1994_1999" AS "Excess2001", 100.0 * "Excess2001" / "AvgDeaths_1994_1999" AS "ExcessPct2001",
+    n_f AS "Covid19DeathsForWeek"
+  FROM weeks LEFT JOIN reported ON reported."State" = weeks."State" AND ends = "Week_Ending_Date2000"
+  WHERE "Deaths1999" IS NOT NULL AND "Deaths2000" IS NOT NULL)"""
 
 
 @query(

@@ -162,41 +162,42 @@ base AS (
     avg("DeathsIncrease") OVER w AS "Avg7DayDeathsIncrease"
   FROM increments WINDOW w AS (PARTITION BY "FIPS" ORDER BY "Date" ROWS BETWEEN 6 PRECEDING AND CURRENT ROW))"""
 
-# The progress panel by self-joins; needs CTEs base and dim(FIPS, Population).
-SQL_PROGRESS = """wide AS (
-  SELECT t."FIPS", t."Date", t."Confirmed", t."ConfirmedIncrease",
-    t."ConfirmedIncrease" / nullif(t."Confirmed" - t."ConfirmedIncrease", 0) AS "ConfirmedIncreasePct",
-    t."Avg7DayConfirmedIncrease",
-    coalesce(t."Confirmed" - a."Confirmed", 0) AS "OneWeekConfirmedIncrease",
-    coalesce(CASE WHEN a."Confirmed" > 0 THEN (t."Confirmed" - a."Confirmed") / a."Confirmed" END, 0) AS "OneWeekConfirmedIncreasePct",
-    coalesce(t."Confirmed" - b."Confirmed", 0) AS "TwoWeekConfirmedIncrease",
-    coalesce(CASE WHEN b."Confirmed" > 0 THEN (t."Confirmed" - b."Confirmed") / b."Confirmed" END, 0) AS "TwoWeekConfirmedIncreasePct",
-    coalesce(t."Confirmed" - m."Confirmed", 0) AS "MonthConfirmedIncrease",
-    coalesce(CASE WHEN m."Confirmed" > 0 THEN (t."Confirmed" - m."Confirmed") / m."Confirmed" END, 0) AS "MonthConfirmedIncreasePct",
-    coalesce(t."Avg7DayConfirmedIncrease" - b."Avg7DayConfirmedIncrease", 0) AS "TwoWeekAvg7DayConfirmedIncrease",
-    CASE WHEN b."Avg7DayConfirmedIncrease" > 0
-      THEN (t."Avg7DayConfirmedIncrease" - b."Avg7DayConfirmedIncrease") / b."Avg7DayConfirmedIncrease" END AS "TwoWeekAvg7DayConfirmedIncreasePct",
-    coalesce(t."Avg7DayConfirmedIncrease" - m."Avg7DayConfirmedIncrease", 0) AS "MonthAvg7DayConfirmedIncrease",
-    coalesce(CASE WHEN m."Avg7DayConfirmedIncrease" > 0
-      THEN (t."Avg7DayConfirmedIncrease" - m."Avg7DayConfirmedIncrease") / m."Avg7DayConfirmedIncrease" END, 0) AS "MonthAvg7DayConfirmedIncreasePct",
-    t."Deaths", t."DeathsIncrease",
-    t."DeathsIncrease" / nullif(t."Deaths" - t."DeathsIncrease", 0) AS "DeathsIncreasePct",
-    t."Avg7DayDeathsIncrease",
-    coalesce(t."Avg7DayDeathsIncrease" - b."Avg7DayDeathsIncrease", 0) AS "TwoWeekAvg7DayDeathsIncrease",
-    coalesce(CASE WHEN b."Avg7DayDeathsIncrease" > 0
-      THEN (t."Avg7DayDeathsIncrease" - b."Avg7DayDeathsIncrease") / b."Avg7DayDeathsIncrease" END, 0) AS "TwoWeekAvg7DayDeathsIncreasePct",
-    t."Avg7DayDeathsIncrease" - m."Avg7DayDeathsIncrease" AS "MonthAvg7DayDeathsIncrease",
-    CASE WHEN m."Avg7DayDeathsIncrease" > 0
-      THEN (t."Avg7DayDeathsIncrease" - m."Avg7DayDeathsIncrease") / m."Avg7DayDeathsIncrease" END AS "MonthAvg7DayDeathsIncreasePct",
-    greatest(coalesce(coalesce(t."Confirmed" - b."Confirmed", 0) * CAST(100000 AS DOUBLE) / nullif(dim."Population", 0), 0), 0) AS "CasesPer100k"
-  FROM base t JOIN dim ON t."FIPS" = dim."FIPS"
-    LEFT JOIN base a ON a."FIPS" = t."FIPS" AND a."Date" = t."Date" - 7
-    LEFT JOIN base b ON b."FIPS" = t."FIPS" AND b."Date" = t."Date" - 14
-    LEFT JOIN base m ON m."FIPS" = t."FIPS" AND m."Date" = t."Date" - 30),
+def _changes(prefix: str, measure: str, back: str, diff_blank: str, pct_blank: str) -> str:
+    """Change of a measure over a window ``back`` that holds one day only, and the change as a share of that day's value."""
+    then = f'max("{measure}") OVER {back}'
+    gain = f'"{measure}" - {then}'
+    share = f"CASE WHEN {then} > 0 THEN ({gain}) / {then} END"
+    blank = {"zero": "coalesce({}, 0)", "null": "{}"}
+    return f'{blank[diff_blank].format(gain)} AS "{prefix}", {blank[pct_blank].format(share)} AS "{prefix}Pct"'
+
+
+_MEAN = "Avg7DayConfirmedIncrease"
+_CHANGES = (
+    ("OneWeekConfirmedIncrease", "Confirmed", "d7", "zero", "zero"),
+    ("TwoWeekConfirmedIncrease", "Confirmed", "d14", "zero", "zero"),
+    ("MonthConfirmedIncrease", "Confirmed", "d30", "zero", "zero"),
+    (f"TwoWeek{_MEAN}", _MEAN, "d14", "zero", "null"),
+    (f"Month{_MEAN}", _MEAN, "d30", "zero", "zero"),
+    ("TwoWeekAvg7DayDeathsIncrease", "Avg7DayDeathsIncrease", "d14", "zero", "zero"),
+    ("MonthAvg7DayDeathsIncrease", "Avg7DayDeathsIncrease", "d30", "null", "null"),
+)
+_BACK = ", ".join(
+    f'd{n} AS (PARTITION BY "FIPS" ORDER BY "Date" RANGE BETWEEN INTERVAL {n} DAYS PRECEDING AND INTERVAL {n} DAYS PRECEDING)' for n in (7, 14, 30)
+)
+
+# The progress panel by frames that hold the one day so many days ago; needs CTEs base and dim(FIPS, Population).
+SQL_PROGRESS = f"""wide AS (
+  SELECT "FIPS", "Date", "Confirmed", "ConfirmedIncrease", "{_MEAN}", "Deaths", "DeathsIncrease", "Avg7DayDeathsIncrease",
+    "ConfirmedIncrease" / nullif("Confirmed" - "ConfirmedIncrease", 0) AS "ConfirmedIncreasePct",
+    "DeathsIncrease" / nullif("Deaths" - "DeathsIncrease", 0) AS "DeathsIncreasePct",
+    {", ".join(_changes(*c) for c in _CHANGES)},
+    greatest(coalesce(100000.0 * coalesce("Confirmed" - max("Confirmed") OVER d14, 0) / nullif("Population", 0), 0), 0) AS "CasesPer100k"
+  FROM base JOIN (SELECT "FIPS" AS code, "Population" FROM dim) ON "FIPS" = code WINDOW {_BACK}),
+weekly AS (SELECT *, max("CasesPer100k") OVER d7 AS rate7 FROM wide WINDOW {_BACK}),
 progress AS (
-  SELECT p.*, p."CasesPer100k" - e."CasesPer100k" AS "OneWeekCasesPer100kChange",
-    (p."CasesPer100k" - e."CasesPer100k") / nullif(e."CasesPer100k", 0) AS "OneWeekCasesPer100kChangePct"
-  FROM wide p JOIN wide e ON e."FIPS" = p."FIPS" AND e."Date" = p."Date" - 7)"""
+  SELECT * EXCLUDE (rate7), "CasesPer100k" - rate7 AS "OneWeekCasesPer100kChange",
+    ("CasesPer100k" - rate7) / nullif(rate7, 0) AS "OneWeekCasesPer100kChangePct"
+  FROM weekly WHERE rate7 IS NOT NULL)"""
 
 PROGRESS_DOUBLES = (
     "ConfirmedIncreasePct",
@@ -236,6 +237,20 @@ nw AS (
   FROM nd GROUP BY 1, 2, 3, 4)"""
 
 
+def sql_upper_limit(value: str, limits, above: str) -> str:
+    """The smallest limit that is not below the value."""
+    return f"coalesce(list_min(list_filter({list(limits)}, lambda x: x >= {value})), {above})"
+
+
+def sql_trend(change: str, pct: str, bands) -> str:
+    """Direction and band: how many bands the size of the change leaves behind; a fall past the last one has no label."""
+    passed = f"coalesce(len(list_filter({list(bands)}, lambda x: x < abs({pct}))), 0)"
+    return (
+        f"CASE WHEN coalesce({change}, 0) = 0 OR ({change} < 0 AND {passed} = {len(bands)}) THEN 'none' "
+        f"ELSE CASE WHEN {change} > 0 THEN 'up' ELSE 'down' END || ({passed} + 1) END"
+    )
+
+
 def sql_event_days(entity: str, name: str = "ed") -> str:
     return f"""{name} AS (
   SELECT {entity}, CAST(ts AS DATE) AS day, count(*) AS n, count(*) FILTER (event_type = 'error') AS n_error,
