@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import settle
 
@@ -41,30 +44,60 @@ def global_position(df: DataFrame, order: Sequence[Column], amount: str | None =
     )
 
 
+#: Accuracy of the first guess, and the rows among which the exact value is picked.
+ACCURACY = 10_000
+PICK_ROWS = 100_000
+
+
 def quantiles(df: DataFrame, value: str, probs: dict[str, float], median: str | None = None) -> DataFrame:
     """Exact quantiles as one row: the smallest value with at least that share of rows at or below it.
 
-    ``median`` names a further column with the mean of the two middle rows. Equal values are counted first, so
-    a value held by many rows is one row from there on.
+    ``median`` names a further column with the mean of the two middle rows. Nothing is sorted or stored: approximate
+    percentiles give each rank a bracket, one pass counts the rows below and in all brackets, and a bracket is
+    narrowed until few rows are left to pick from. A value that most rows have is a bracket of one value.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
-    upto = global_position(counts, [F.col(value)], "_n", "_upto")
-    upto = upto.withColumn("_all", upto.agg(F.max("_upto")).scalar())
-    n = F.col("_all")
-    wanted = {name: F.greatest(F.ceil(F.lit(q) * n), F.lit(1)) for name, q in probs.items()}
+    rows = df.select(F.col(value).alias("v")).filter("v IS NOT NULL")
+    n = rows.count()
+    ranks = {name: max(math.ceil(q * n), 1) for name, q in probs.items()}
     if median:
-        wanted["_low"] = F.floor((n + 1) / 2)
-        wanted["_high"] = F.ceil((n + 1) / 2)
-    aggs = {
-        name: F.max(F.when((F.col("_upto") >= at) & (F.col("_upto") - F.col("_n") < at), F.col(value)))
-        for name, at in wanted.items()
-    }
-    row = upto.agg(*[c.alias(name) for name, c in aggs.items()])
+        ranks |= {"_low": (n + 1) // 2, "_high": (n + 2) // 2}
+    found = dict.fromkeys(ranks.values()) if n else {}
+    open_at = {r: (rows, r, n) for r in found}
+    while open_at:
+        open_at = _narrow(open_at, found)
+    picked = [found.get(r) for r in ranks.values()]
+    kind = rows.schema["v"].dataType
+    schema = T.StructType([T.StructField(name, kind) for name in ranks])
+    row = df.sparkSession.createDataFrame([tuple(picked)], schema)
     if not median:
         return row
     return row.withColumn(median, (F.col("_low") + F.col("_high")) / 2).drop("_low", "_high")
 
 
+def _narrow(open_at: dict[int, tuple[DataFrame, int, int]], found: dict[int, Any]) -> dict[int, tuple[DataFrame, int, int]]:
+    """One step for all open ranks: pick the value where few rows are left, else go on inside a smaller bracket.
+
+    An entry holds the rows left, the rank among them and their number.
+    """
+    left = {}
+    for r, (rows, rank, n) in open_at.items():
+        if n <= PICK_ROWS:
+            counts = rows.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+            # At most PICK_ROWS values; the sort has no key to be split by.
+            upto = counts.withColumn("c", F.sum("c").over(Window.orderBy("v")))
+            found[r] = upto.filter(F.col("c") >= rank).agg(F.min("v")).first()[0]
+            continue
+        around = [max(rank / n - 2 / ACCURACY, 0.0), min(rank / n + 2 / ACCURACY, 1.0)]
+        low, high = rows.agg(F.percentile_approx("v", around, ACCURACY)).first()[0]
+        if low == high:
+            found[r] = low
+            continue
+        inside = (F.col("v") >= F.lit(low)) & (F.col("v") <= F.lit(high))
+        below, some = rows.agg(F.count_if(F.col("v") < F.lit(low)), F.count_if(inside)).first()
+        left[r] = (rows.filter(inside), rank - below, some)
+    return left
+
+
 def rank_panels(df: DataFrame, key: str, date: str, value: str, size: int = 10) -> DataFrame:
     """Series grouped into panels of ``size`` entities by their value on the latest day, largest first.
 
