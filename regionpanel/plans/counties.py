@@ -75,8 +75,9 @@ def filtered_daily(clean: DataFrame) -> DataFrame:
     rows = clean.filter("ShouldHaveFIPS = 1 and FIPS is not null").withColumn(
         "Date", parse_date(F.col("Date"), "yyyyMMdd")
     )
-    rest = [F.col(c).desc_nulls_last() for c in rows.columns if c not in ("FIPS", "Date", "Confirmed", "Deaths")]
-    order = [F.col("Confirmed").desc_nulls_last(), F.col("Deaths").desc_nulls_last(), *rest]
+    # Rows of the same counts are told apart by one number, the same in every run.
+    rest = F.xxhash64(*[c for c in rows.columns if c not in ("FIPS", "Date", "Confirmed", "Deaths")])
+    order = [F.col("Confirmed").desc_nulls_last(), F.col("Deaths").desc_nulls_last(), rest]
     return keep_entities(dedupe(rows, ["FIPS", "Date"], order), regions_with_data(clean), "FIPS")
 
 
