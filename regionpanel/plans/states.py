@@ -166,13 +166,14 @@ def state_averages_export(facts: DataFrame, days: int = 28) -> DataFrame:
 
 
 def state_progress(
-    recent: DataFrame, label: str = NATION_LABEL, leave_out: tuple[str, ...] = LEFT_OUT_OF_NATION, points: int = 14
+    recent: DataFrame, label: str = NATION_LABEL, leave_out: tuple[str, ...] = LEFT_OUT_OF_NATION, points: int = 14, days: int = 28
 ) -> DataFrame:
     """One row per state and one for the nation: latest counts, short series and their first-to-last changes.
 
-    ``recent`` is the result of `state_averages_export`, so a state's rows number the trailing days at most and
-    fit an array. The nation has no means of its own; it takes the mean of its last 7 rows, and one point more.
+    ``recent`` is the result of `state_averages_export`, or the whole history under the same names: only its last
+    ``days`` days are looked at, so a state's rows fit an array. The nation has no means of its own; it takes the mean of its last 7 rows, and one point more.
     """
+    recent = trailing_days(recent, "Date", days)
     rows = with_total(
         recent, "State", "Date", ["positive", "positiveIncrease", "death", "deathIncrease"], label, "positiveIncrease", leave_out
     )
