@@ -239,6 +239,6 @@ def test_transform_and_prefixes_are_those_of_sorted_suffixes(monkeypatch, tmp_pa
 
 
 def test_collections_of_one_anchor_stay_together():
-    frame = pd.DataFrame({"anchor": [2, 1, 2], "sid": [1, 1, 2], "doc_id": [5, 1, 4], "text_hash": [0, 0, 0], "start": [0, 0, 7], "segment": [b"a" * 100 + b"bc", b"q" * 100, b"a" * 100 + b"bd"]})
-    got = {(r.anchor, r.sid): (list(r.begins), list(r.ends)) for r in suffix_dedup.later_starts(frame).itertuples()}
-    assert got == {(2, 1): ([0], [101])}
+    frame = pd.DataFrame({"anchor": [2, 1, 2], "sid": [1, 1, 2], "known": [True, True, True], "number": [5, 1, 4], "text_hash": [0, 0, 0], "start": [3, 0, 7], "segment": [b"a" * 100 + b"bc", b"q" * 100, b"a" * 100 + b"bd"]})
+    got = {r.number: (list(r.begins), list(r.ends)) for r in suffix_dedup.later_starts(frame).itertuples()}
+    assert got == {5: ([3], [104])}
