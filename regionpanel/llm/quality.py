@@ -21,6 +21,8 @@ from .common import BLANKS, bounded, words_of
 SYMBOLS = b"#*$%&|<>"
 #: Words that one suffix array holds; a longer document has one of its own.
 ARRAY_WORDS = 400_000
+#: Characters of text whose words are held at a time.
+BATCH_CHARS = 1_000_000
 
 MIN_WORDS = 10
 WINDOW = 5
@@ -132,7 +134,12 @@ def repetition(docs: list[list[bytes]]) -> np.ndarray:
 
 
 def measure(texts: list[str | None]) -> pd.DataFrame:
-    """All figures of the rules, one row per text."""
+    """All figures of the rules, one row per text; words are held for some texts at a time."""
+    parts = [_measure(texts[a:b]) for a, b in bounded((len(t) if t else 0 for t in texts), BATCH_CHARS)]
+    return pd.concat(parts or [_measure([])], ignore_index=True)
+
+
+def _measure(texts: list[str | None]) -> pd.DataFrame:
     docs = [words_of(t) for t in texts]
     raw = [t.encode("utf-8", "surrogatepass") if t else b"" for t in texts]
     n = np.array([len(d) for d in docs], dtype=np.int64)
