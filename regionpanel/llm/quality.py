@@ -28,7 +28,7 @@ MIN_WORDS = 10
 WINDOW = 5
 MOST_REPEATED_PERCENT = 20
 #: The method's rule: repeats of at least so many words, the share of words they may cover, the longest one allowed.
-REPEAT_WORDS = 10
+REPEAT_WORDS = 20
 MOST_COVERED_PERCENT = 15
 LONGEST_REPEAT = 100
 
