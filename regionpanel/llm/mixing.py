@@ -18,8 +18,10 @@ from .common import row_hash, settle, word_count
 
 #: A word with the blanks before it; joined again the pieces give the text up to its last word.
 SPACED = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"
-ROUNDS = 32
+ROUNDS = 24
 BINS = 4096
+BLOCK_WORDS = 1024
+SEED = 17
 
 
 def sized(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", carry: bool = False) -> DataFrame:
@@ -39,6 +41,12 @@ def sized(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: s
     )
 
 
+def number(*parts: Column) -> Column:
+    """48 bits out of the MD5 of the parts, the same in every engine."""
+    text = F.concat_ws("|", *[p.cast("string") for p in parts])
+    return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("long")
+
+
 def source_sizes(rows: DataFrame) -> DataFrame:
     return rows.groupBy("source_key").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"))
 
@@ -62,14 +70,14 @@ def targets(sources: DataFrame, share: float, most: float) -> DataFrame:
         level = raised
 
 
-def lay_out(rows: DataFrame, chunk_rows: int = 50_000) -> DataFrame:
+def lay_out(rows: DataFrame, chunk_rows: int = 10_000) -> DataFrame:
     """Add ``offset``: the number of words of the same source before the row, in a hashed order.
 
-    Sources are cut into chunks by hash, so the running sums of a source with most rows are spread as well.
+    Sources are cut into chunks of the hash's range, so the running sums of a source with most rows are spread as well.
     """
     chunks = max(1, -(-rows.count() // chunk_rows))
-    h = F.xxhash64("doc_id", "text_hash")
-    rows = rows.withColumn("_hash", h).withColumn("_chunk", F.pmod(h, F.lit(chunks)))
+    rows = rows.withColumn("_hash", number(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    rows = rows.withColumn("_chunk", F.floor(F.col("_hash") / F.lit(float(1 << 48)) * chunks))
     sums = rows.groupBy("source_key", "_chunk").agg(F.sum("size").alias("_sum"))
     upto = Window.partitionBy("source_key").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     base = sums.select("source_key", "_chunk", F.coalesce(F.sum("_sum").over(upto), F.lit(0)).alias("_base"))
@@ -107,7 +115,7 @@ def draws(sources: DataFrame, shard_slots: int, seed: int) -> DataFrame:
     drawn = q.sparkSession.range(slots).select(
         F.expr(f"id div {shard_slots}").alias("out_shard"),
         (g % shard_slots).alias("slot"),
-        F.pmod(F.xxhash64(F.lit(seed), g), F.lit(max(slots, 1))).alias("v"),
+        (number(F.lit(seed), g) % max(slots, 1)).alias("v"),
     )
     drawn = drawn.withColumn("bin", F.expr(f"v div {width}")).join(bins, "bin")
     drawn = drawn.filter("v >= first and v < first + quota").select("out_shard", "slot", "source_key", "quota")
@@ -141,8 +149,8 @@ def permuted(x: Column, n: Column, seed: int, *key: Column) -> Column:
     """A pseudorandom permutation of 0 .. n-1 by swap-or-not rounds, another one for each ``key``."""
 
     def step(at: Column, r: Column) -> Column:
-        other = F.pmod(F.pmod(F.xxhash64(F.lit(seed), *key, r), n) - at, n)
-        swap = F.xxhash64(F.lit(seed + 1), *key, r, F.greatest(at, other)).bitwiseAND(F.lit(1)) == 1
+        other = F.pmod(number(F.lit(seed), *key, r) % n - at, n)
+        swap = number(F.lit(seed + 1), *key, r, F.greatest(at, other)) % 2 == 1
         return F.when(swap, other).otherwise(at)
 
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), x.cast("long"), step)
@@ -184,7 +192,9 @@ def pieces(laid: DataFrame, block_words: int, text: str | None = None) -> DataFr
     return rows.drop("_part", "_words", *([text] if text is not None else []))
 
 
-def mix(laid: DataFrame, sources: DataFrame, text: str | None = None, block_words: int = 1024, shard_slots: int = 1024, seed: int = 17) -> DataFrame:
+def mix(
+    laid: DataFrame, sources: DataFrame, text: str | None = None, block_words: int = BLOCK_WORDS, shard_slots: int = 1024, seed: int = SEED
+) -> DataFrame:
     """Rows of the mix: output shard and slot, the block in it, and the part of a document with ``words`` taken.
 
     ``laid`` comes from ``lay_out``, ``sources`` (source_key, source_size, target) from ``targets``. ``text`` names a

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import licenses, lines, quality
+from . import licenses, lines, mixing, ngram_join, quality
 
 WORD = r"'[^\x20\x09-\x0D]+'"
 SQL: dict[str, str] = {}
@@ -123,3 +123,67 @@ SELECT d.doc_id, d.n AS n_bytes, coalesce(g.removed, 0) AS n_removed, coalesce(g
 FROM d LEFT JOIN (SELECT doc_id, sum(b - a) AS removed, count(*) AS spans FROM runs GROUP BY doc_id) g USING (doc_id)
 LEFT JOIN kept USING (doc_id)
 """
+
+SQL["op9_ngram_jaccard"] = f"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {WORD}), []) AS ws FROM documents
+), s AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+        WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS shingle FROM w
+), n AS (
+    SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), pairs AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= {ngram_join.PERCENT} * (x.n + y.n - c)
+), reach AS (
+    SELECT doc_id, doc_id AS other FROM documents UNION SELECT doc_id, b FROM reach JOIN links ON a = other
+)
+SELECT doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(other) AS component_id FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id
+"""
+
+
+def _number(*parts: str) -> str:
+    return f"CAST('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 12) AS BIGINT)"
+
+
+_B, _SEED = mixing.BLOCK_WORDS, mixing.SEED
+_other = f"(({_number(str(_SEED), 'source_key', 'pass', 'r')} % whole - spot) % whole + whole) % whole"
+_swap = f"{_number(str(_SEED + 1), 'source_key', 'pass', 'r', f'greatest(spot, {_other})')} % 2 = 1"
+SQL["op1_mix_sources"] = f"""
+WITH d AS (
+    SELECT doc_id, source, CASE WHEN source IS NULL THEN '' ELSE '=' || source END AS source_key,
+        coalesce(len(regexp_extract_all(text, {WORD})), 0) AS size FROM documents
+), laid AS (
+    SELECT *, coalesce(sum(size) OVER (PARTITION BY source_key ORDER BY {_number("coalesce(CAST(doc_id AS VARCHAR), '')")}, doc_id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first FROM d
+), s AS (
+    SELECT source_key, any_value(source) AS source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source_key
+), weighted AS (
+    SELECT *, [5.0, 2.0, 1.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight, 2.0::DOUBLE * source_size AS most FROM s
+), levels AS (
+    SELECT most / weight AS ratio, ((SELECT 1.5 * sum(source_size) FROM s) - coalesce(sum(most) OVER earlier, 0))
+        / ((SELECT sum(weight) FROM weighted) - coalesce(sum(weight) OVER earlier, 0)) AS level
+    FROM weighted WINDOW earlier AS (ORDER BY most / weight, source_key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), t AS (
+    SELECT *, least(most, weight * (SELECT level FROM levels WHERE level <= ratio ORDER BY ratio LIMIT 1)) AS target FROM weighted
+), q AS (
+    SELECT *, CAST(round(target) AS BIGINT) AS take, source_size // {_B} AS whole, CAST(ceil(source_size / {_B}) AS BIGINT) AS blocks FROM t WHERE source_size > 0
+), slots AS (
+    SELECT source_key, whole, blocks, take // source_size AS passes, take % source_size AS rest,
+        unnest(range(CAST(take // source_size * blocks + ceil((take % source_size) / {_B}) AS BIGINT))) AS k FROM q
+), placed AS (
+    SELECT source_key, whole, k % blocks AS spot, k // blocks AS pass,
+        CASE WHEN k // blocks < passes THEN {_B} ELSE least({_B}, rest - k % blocks * {_B}) END AS words FROM slots
+), blocks AS (
+    SELECT source_key, words, CASE WHEN spot < whole
+        THEN list_reduce(list_prepend(spot, range(1, {mixing.ROUNDS + 1})), lambda spot, r: CASE WHEN {_swap} THEN {_other} ELSE spot END) ELSE whole END AS block FROM placed
+), taken AS (
+    SELECT l.source_key, l.first, sum(greatest(0, least(least(l.first + l.size, (block + 1) * {_B}) - greatest(l.first, block * {_B}),
+        words - greatest(l.first - block * {_B}, 0)))) AS words
+    FROM laid l JOIN blocks b ON l.source_key = b.source_key AND l.first < (block + 1) * {_B} AND l.first + l.size > block * {_B}
+    WHERE l.size > 0 GROUP BY ALL
+)
+SELECT doc_id, l.source, CAST(size AS BIGINT) AS size, source_size, round(target, 6) AS target, CAST(coalesce(words, 0) AS BIGINT) AS taken
+FROM laid l JOIN t USING (source_key) LEFT JOIN taken ON taken.source_key = l.source_key AND taken.first = l.first AND l.size > 0
+"""
