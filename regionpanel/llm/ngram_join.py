@@ -2,7 +2,7 @@
 
 The set of a document is its distinct shingles; documents of equal sets are one class. All sets share one order of
 tokens, rare first. Two sets that are similar enough have at least ``l`` tokens in common among the first
-``|x| - need(x) + l`` of each, for every ``l``. A class takes the ``l`` with the least estimated cost: reading longer
+``|x| - need + l`` of each, for every ``l``, where ``need`` is what the pair must have in common. A class takes the ``l`` with the least estimated cost: reading longer
 posting lists against checking fewer candidates. A pair is checked, on whole sets, if it shares as many prefix tokens
 as the smaller ``l`` of the two asks for.
 
@@ -30,13 +30,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, row_hash, settle, word_count, words_of
+from .common import bounded, row_hash, settle, word_count
 from .components import components
-from .shingles import BITS, mixed, pack, shingles, unpack, word_hashes
+from .shingles import BITS, Words, mixed, pack, shingles, unpack
 
 PERCENT = 75
 #: Words of a chunk of documents; what a task holds in memory follows from it.
-CHUNK_WORDS = 500_000
+CHUNK_WORDS = 250_000
 #: Longest prefix extension that is weighed, and the cost of checking a pair in posting entries.
 MOST_MATCHES = 6
 CHECK_COST = 40.0
@@ -56,10 +56,9 @@ class Chunk:
     """
 
     def __init__(self, texts: list[str | None]):
-        docs = [words_of(t) for t in texts]
-        counts = np.array([len(d) for d in docs], dtype=np.int64)
-        lower = [w for d in docs for w in (b" ".join(d).lower().split() if d else ())]
-        h, of = shingles(word_hashes(lower), counts)
+        words = Words([t.encode("utf-8", "surrogatepass").lower() if t else b"" for t in texts])
+        h, of = shingles(words.hashes, words.counts)
+        docs = texts
         order = np.lexsort((h, of))
         h, of = h[order], of[order]
         new = np.ones(len(h), dtype=bool)
@@ -141,26 +140,38 @@ def repeated_tokens(texts: DataFrame, ranges: int) -> DataFrame:
     )
 
 
-def candidate_sets(texts: DataFrame, percent: int, ranges: int) -> DataFrame:
-    """Classes that share enough tokens with others: ``class``, ``n``, ``unique``, ``tokens`` rare first, and ``df``."""
+FOUND = ["doc_id", "text_hash", "class", "n", "unique", "tokens", "df"]
+
+
+def members_and_sets(texts: DataFrame, percent: int, ranges: int) -> DataFrame:
+    """Two kinds of rows. Every document: ``doc_id``, ``text_hash``, ``class`` (null for empty sets), ``n``. Every class
+    that shares enough tokens with others, once per chunk: ``class``, ``n``, ``unique``, ``tokens`` rare first, ``df``."""
 
     def headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for _, c in chunks(batches):
-            if len(c.key):
-                d = c.places.astype(np.int64)
-                inner = np.ones(len(d), dtype=bool)
-                inner[c.first[:-1]] = False
-                d[inner] -= c.places[np.flatnonzero(inner) - 1]
-                row = (c.id, pack(c.size), c.key.tobytes(), None, None, None, pack(d))
-                yield pd.DataFrame([row], columns=["chunk", "sizes", "keys", "at", "token", "df", "places"])
-
-    def survivors(rows: pd.DataFrame) -> pd.DataFrame:
-        head = rows[rows["sizes"].notna()].iloc[0]
-        hits = rows[rows["at"].notna()]
+        for part, c in chunks(batches):
+            d = c.places.astype(np.int64)
+            inner = np.ones(len(d), dtype=bool)
+            inner[c.first[:-1]] = False
+            d[inner] -= c.places[np.flatnonzero(inner) - 1]
+            ids = part["doc_id"].astype("Int64")
+            docs = np.r_[ids.notna().to_numpy().astype(np.int64), ids.fillna(0).astype("int64").to_numpy(), part["text_hash"].to_numpy().astype("int64"), c.of]
+            row = (c.id, pack(c.size), c.key.tobytes(), None, None, docs.astype(np.int64).tobytes(), pack(d))
+            yield pd.DataFrame([row], columns=["chunk", "sizes", "keys", "at", "token", "df", "places"])
+
+    def look(rows: pd.DataFrame) -> pd.DataFrame:
+        heads, hits = rows[rows["sizes"].notna()], rows[rows["at"].notna()]
+        head = heads.iloc[0]
+        size = unpack(head["sizes"]).astype(np.int64)
+        keys = np.frombuffer(head["keys"], dtype=np.int64)
+        # Chunks alike in every row share the sets; the documents of each are listed.
         out = []
+        for text in heads["df"]:
+            known, ids, hashes, of = np.frombuffer(text, dtype=np.int64).reshape(4, -1)
+            out += [
+                (i if k else None, h, keys[c] if c >= 0 else None, size[c] if c >= 0 else 0, None, None, None)
+                for k, i, h, c in zip(known.tolist(), ids.tolist(), hashes.tolist(), of.tolist(), strict=True)
+            ]
         if len(hits):
-            size = unpack(head["sizes"]).astype(np.int64)
-            keys = np.frombuffer(head["keys"], dtype=np.int64)
             d = unpack(head["places"]).astype(np.int64)
             first = np.r_[0, np.cumsum(size)]
             total = np.cumsum(d)
@@ -176,38 +187,33 @@ def candidate_sets(texts: DataFrame, percent: int, ranges: int) -> DataFrame:
                 p = places[first[i] : first[i + 1]]
                 p = p[df[p] > 1]
                 p = p[np.lexsort((token[p], df[p]))]
-                out.append((keys[i], size[i], size[i] - len(p), token[p], df[p]))
-        return pd.DataFrame(out, columns=["class", "n", "unique", "tokens", "df"])
+                out.append((None, None, keys[i], size[i], size[i] - len(p), token[p], df[p]))
+        columns = list(zip(*out, strict=True)) or [[] for _ in FOUND]
+        # Column by column: pandas would make floats of long numbers beside nulls.
+        whole = {c: pd.array(list(x), dtype="Int64") for c, x in zip(FOUND[:5], columns, strict=False)}
+        return pd.DataFrame(whole | {c: pd.Series(list(x), dtype=object) for c, x in zip(FOUND[5:], columns[5:], strict=True)})
 
     rows = texts.mapInPandas(headers, "chunk long, sizes binary, keys binary, at binary, token binary, df binary, places binary")
     rows = rows.unionByName(repeated_tokens(texts, ranges))
-    found = rows.groupBy("chunk").applyInPandas(survivors, "class long, n long, unique long, tokens array<long>, df array<long>")
-    return found.dropDuplicates(["class"])
-
-
-def memberships(texts: DataFrame) -> DataFrame:
-    """``doc_id``, ``text_hash``, ``class`` (null for empty sets) and ``n`` of every row."""
-
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part, c in chunks(batches):
-            key = pd.Series(c.doc_key, index=part.index).astype("Int64").mask(pd.Series(c.doc_size == 0, index=part.index))
-            yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64"), "text_hash": part["text_hash"], "class": key, "n": c.doc_size})
-
-    return texts.mapInPandas(rows, "doc_id long, text_hash long, class long, n long")
+    out = "doc_id long, text_hash long, class long, n long, unique long, tokens array<long>, df array<long>"
+    return rows.groupBy("chunk").applyInPandas(look, out)
 
 
 def prefixes(sets: DataFrame, percent: int, most: int = MOST_MATCHES) -> DataFrame:
-    """``token``, ``class``, ``n``, ``level``, ``matches``: the prefix of every class and the matches it asks for.
+    """``token``, ``class``, ``n``, ``shared``, ``matches``, ``pos``: the prefix of every class, the matches it asks for and
+    the token's place in the order; ``shared`` is the number of the class's tokens that other sets have.
 
     Tokens that no other set has stand first in the order and are left out: they match nothing. With ``l`` matches the
     prefix holds ``l - 1`` more tokens; a pair that shares ``l`` of them uses up ``l`` posting entries, so entries
-    divided by ``l`` bound the candidates.
+    divided by ``l`` bound the candidates. Entries are estimated for partners of the same size, which share more and so
+    look at fewer tokens than the prefix, kept for partners of any size, holds.
     """
     base = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - F.col("unique")
-    rows = sets.withColumn("base", base.cast("int"))
+    same = F.col("n") - F.ceil(F.col("n") * 2 * percent / (100 + percent)) + 1 - F.col("unique")
+    rows = sets.withColumn("base", base.cast("int")).withColumn("same", F.greatest(same, F.lit(0)).cast("int"))
 
     def cost(m: int) -> Column:
-        entries = F.aggregate(F.slice("df", F.lit(1), F.col("base") + (m - 1)), F.lit(0).cast("long"), lambda s, x: s + x - 1)
+        entries = F.aggregate(F.slice("df", F.lit(1), F.col("same") + (m - 1)), F.lit(0).cast("long"), lambda s, x: s + x - 1)
         return F.when(F.col("base") + (m - 1) <= F.size("tokens"), entries * (1 + CHECK_COST / m))
 
     # A struct with a null cost would come first, so lengths past the end of the set are left out.
@@ -215,19 +221,31 @@ def prefixes(sets: DataFrame, percent: int, most: int = MOST_MATCHES) -> DataFra
     best = F.array_min(costs)["m"]
     rows = rows.withColumn("matches", F.coalesce(best, F.lit(1)))
     rows = rows.withColumn("prefix", F.slice("tokens", F.lit(1), F.col("base") + F.col("matches") - 1))
-    rows = rows.select("class", "n", "base", "matches", F.posexplode("prefix").alias("at", "token"))
-    level = F.greatest(F.col("at") - F.col("base") + 2, F.lit(1))
-    return rows.select("token", "class", "n", "matches", level.alias("level"))
+    rows = rows.withColumn("shared", F.col("n") - F.col("unique"))
+    rows = rows.select("class", "n", "shared", "unique", "matches", F.posexplode("prefix").alias("at", "token"))
+    return rows.select("token", "class", "n", "shared", "matches", (F.col("unique") + F.col("at") + 1).alias("pos"))
+
+
+def may_link(a: dict[str, Column], b: dict[str, Column], percent: int) -> Column:
+    """Whether a shared prefix token counts for a pair.
+
+    Similar sets of these sizes have ``common`` tokens in common, so neither may have fewer that occur elsewhere, and
+    they share ``m`` tokens among the first ``n - common + m`` of each, which is less than the prefix that any partner
+    could need.
+    """
+    common = F.ceil((a["n"] + b["n"]) * percent / (100 + percent))
+    asked = F.least(a["matches"], b["matches"])
+    inside = [x["pos"] <= x["n"] - common + asked for x in (a, b)]
+    return (F.least(a["shared"], b["shared"]) >= common) & inside[0] & inside[1]
 
 
-def similar_size(a: Column, b: Column, percent: int) -> Column:
-    return (a * 100 >= b * percent) & (b * 100 >= a * percent)
+def enough(a: dict[str, Column], b: dict[str, Column]) -> Column:
+    """Whether the rows of a pair, one for each shared token that counts, are as many as the pair's smaller ``matches``."""
+    return F.count(F.lit(1)) >= F.max(F.least(a["matches"], b["matches"]))
 
 
-def enough(level_a: Column, level_b: Column, matches_a: Column, matches_b: Column) -> Column:
-    """Whether the shared prefix tokens of a group of rows are as many as the pair's smaller ``matches``."""
-    asked = F.least(matches_a, matches_b)
-    return F.sum(F.when((level_a <= asked) & (level_b <= asked), 1).otherwise(0)) >= F.max(asked)
+def side(prefix: str = "") -> dict[str, Column]:
+    return {c: F.col(prefix + c) for c in ("n", "shared", "matches", "pos")}
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -241,15 +259,16 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def leader_pairs(lists: DataFrame, turn: int, percent: int) -> DataFrame:
     """For every class not in its leader's group the leader it shares most prefix tokens with: ``a``, ``b``."""
-    order = F.struct(F.xxhash64(F.lit(turn), "class").alias("h"), "class", "n", "matches", "level", "group")
+    # First the set with the fewest tokens of its own leads, as the one that copies were made from; then any.
+    order = F.when(F.lit(turn) == 0, F.floor((F.col("n") - F.col("shared")) * 1000 / F.col("n"))).otherwise(0)
+    order = F.struct(order.alias("o"), F.xxhash64(F.lit(turn), "class").alias("h"), "class", "n", "shared", "matches", "pos", "group")
     lead = lists.groupBy("token").agg(F.min(order).alias("lead"), F.count(F.lit(1)).alias("c")).filter("c > 1")
     rows = lists.join(lead.select("token", "lead"), "token")
-    rows = rows.filter((F.col("group") != F.col("lead.group")) & similar_size(F.col("n"), F.col("lead.n"), percent))
+    rows = rows.filter((F.col("group") != F.col("lead.group")) & may_link(side(), side("lead."), percent))
     rows = rows.groupBy(F.col("class").alias("a"), F.col("lead.class").alias("b")).agg(
-        enough(F.col("level"), F.col("lead.level"), F.col("matches"), F.col("lead.matches")).alias("ok"),
-        F.count(F.lit(1)).alias("shared"),
+        enough(side(), side("lead.")).alias("ok"), F.count(F.lit(1)).alias("tokens")
     )
-    best = rows.filter("ok").groupBy("a").agg(F.max(F.struct("shared", "b")).alias("best"))
+    best = rows.filter("ok").groupBy("a").agg(F.max(F.struct("tokens", "b")).alias("best"))
     return best.select("a", F.col("best.b").alias("b"))
 
 
@@ -264,13 +283,12 @@ def cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
     rows = lists.join(main.filter("groups > 1").drop("groups"), "token")
     rows = settle(rows, "posting-lists")
     few = rows.filter("group != main")
-    a = [F.col(c).alias(f"a_{c}") for c in ("class", "n", "matches", "level", "group")]
+    a = [F.col(c).alias(f"a_{c}") for c in ("class", "n", "shared", "matches", "pos", "group")]
     pairs = few.select("token", *a).join(rows, "token")
     other = (F.col("group") == F.col("main")) | (F.col("a_class") < F.col("class"))
-    pairs = pairs.filter((F.col("a_group") != F.col("group")) & other & similar_size(F.col("a_n"), F.col("n"), percent))
+    pairs = pairs.filter((F.col("a_group") != F.col("group")) & other & may_link(side("a_"), side(), percent))
     pair = [F.least("a_class", "class").alias("a"), F.greatest("a_class", "class").alias("b")]
-    ok = enough(F.col("a_level"), F.col("level"), F.col("a_matches"), F.col("matches"))
-    return pairs.groupBy(*pair).agg(ok.alias("ok")).filter("ok").select("a", "b")
+    return pairs.groupBy(*pair).agg(enough(side("a_"), side()).alias("ok")).filter("ok").select("a", "b")
 
 
 def grouped(lists: DataFrame, links: DataFrame | None) -> DataFrame:
@@ -289,7 +307,8 @@ def jaccard_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     spark = docs.sparkSession
     ranges = ranges or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), row_hash(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
-    sets = settle(candidate_sets(texts, percent, ranges), "sets")
+    seen = settle(members_and_sets(texts, percent, ranges), "members-and-sets")
+    sets = settle(seen.filter("tokens IS NOT NULL").select("class", "n", "unique", "tokens", "df").dropDuplicates(["class"]), "sets")
     lists = settle(prefixes(sets, percent), "prefixes")
     links = None
     for turn in range(LEADER_ROUNDS):
@@ -297,7 +316,7 @@ def jaccard_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         links = found if links is None else links.unionByName(found)
     rest = settle(linked(cross_pairs(grouped(lists, links), percent), sets, percent), "links")
     of = components(links.unionByName(rest)).select(F.col("node").alias("class"), F.col("component").alias("group"))
-    members = settle(memberships(texts), "members")
+    members = seen.filter("tokens IS NULL").select("doc_id", "text_hash", "class", "n")
     members = settle(members.join(of, "class", "left").withColumn("group", F.coalesce("group", "class")), "grouped")
     least = members.filter("n > 0").groupBy("group").agg(F.min("doc_id").alias("component_id"))
     out = members.join(least, "group", "left")

@@ -8,7 +8,7 @@ import numpy as np
 import xxhash
 import zstandard
 
-from .common import words_of
+from .common import BLANKS, words_of
 
 #: Bits of a shingle hash that are kept. Two texts are compared by these; at a thousand shingles each they agree by
 #: chance in one of them once in some hundred million pairs.
@@ -66,6 +66,37 @@ def text_shingles(texts: Sequence[str | None], k: int = SHINGLE_WORDS, lower: bo
     return shingles(word_hashes([w for d in docs for w in (b"\n".join(d).lower().split(b"\n") if lower and d else d)]), counts, k)
 
 
+class Words:
+    """Hashes of the words of many texts, worked out over all their bytes at once.
+
+    A word's hash is the sum of a random number per byte value times one per place, spread afterwards. ``doc`` is the
+    text of each word, ``begin`` its first byte in ``data``, where texts stand one after the other with a line feed
+    between them; ``counts`` are the words per text.
+    """
+
+    def __init__(self, raw: Sequence[bytes]):
+        self.data = data = np.frombuffer(b"\n".join(raw) + b"\n", dtype=np.uint8)
+        sizes = np.array([len(r) + 1 for r in raw], dtype=np.int64)
+        self.text_begin = np.cumsum(sizes) - sizes
+        blank = np.ones(len(data) + 1, dtype=bool)
+        blank[1:] = _BLANK[data]
+        edge = np.flatnonzero(blank[1:] != blank[:-1])
+        self.begin, end = edge[::2], edge[1::2]
+        self.doc = np.searchsorted(self.text_begin, self.begin, side="right") - 1
+        self.counts = np.bincount(self.doc, minlength=len(raw)).astype(np.int64)
+        size = end - self.begin
+        place = mixed(np.arange(int(size.max(initial=0)), dtype=np.uint64) + np.uint64(101)) | np.uint64(1)
+        at = np.cumsum(size) - size
+        letters = _BYTE[data[~blank[1:]]]
+        letters *= place[np.arange(len(letters)) - np.repeat(at, size)]
+        self.hashes = mixed(np.add.reduceat(letters, at) ^ size.astype(np.uint64)) if len(at) else np.zeros(0, dtype=np.uint64)
+
+
+_BLANK = np.zeros(256, dtype=bool)
+_BLANK[list(BLANKS)] = True
+_BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+
+
 def pack(numbers: np.ndarray) -> bytes:
     """Non-negative numbers as bytes: differences where they only rise, byte planes, compressed."""
     x = numbers.astype(np.uint64)
