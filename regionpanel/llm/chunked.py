@@ -28,11 +28,11 @@ BACK = "chunk long, features binary, ids binary, hashes binary, sizes binary, te
 NAMES = ["chunk", "features", "ids", "hashes", "sizes", "texts"]
 
 
-def chunks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, pd.DataFrame, list[bytes]]]:
+def chunks(batches: Iterator[pd.DataFrame], size: int) -> Iterator[tuple[int, pd.DataFrame, list[bytes]]]:
     """Identity, rows and texts as UTF-8 of consecutive rows; rows alike give chunks alike, wherever they are read."""
     for batch in batches:
         raw = [t.encode("utf-8", "surrogatepass") if isinstance(t, str) else b"" for t in batch["text"]]
-        for a, b in bounded(map(len, raw), CHUNK_BYTES):
+        for a, b in bounded(map(len, raw), size):
             part = batch.iloc[a:b]
             chunk = xxhash.xxh3_64(b"\0".join(raw[a:b]))
             chunk.update(part["text_hash"].to_numpy().tobytes())
@@ -46,11 +46,11 @@ def ranges_of(values: np.ndarray, ranges: int) -> np.ndarray:
     return np.searchsorted(values, edges)
 
 
-def repeated_features(texts: DataFrame, features: Features, ranges: int) -> DataFrame:
+def repeated_features(texts: DataFrame, features: Features, ranges: int, size: int) -> DataFrame:
     """For every chunk and range the features that occur more than once, packed."""
 
     def sent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for chunk, _, raw in chunks(batches):
+        for chunk, _, raw in chunks(batches, size):
             values, counts = np.unique(features(raw), return_counts=True)
             cut = ranges_of(values, ranges)
             rows = [(i, chunk, pack(values[x:y]), pack(counts[x:y] > 1)) for i, (x, y) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if y > x]
@@ -74,15 +74,15 @@ def repeated_features(texts: DataFrame, features: Features, ranges: int) -> Data
     return parts.groupBy("range").applyInPandas(counted, BACK)
 
 
-def second_look(texts: DataFrame, features: Features, made: Made, schema: str, ranges: int) -> DataFrame:
+def second_look(texts: DataFrame, features: Features, made: Made, schema: str, ranges: int, size: int = CHUNK_BYTES) -> DataFrame:
     """Rows that ``made`` gives for every chunk from ids, text hashes, texts and the sorted repeated features.
 
     ``texts`` has ``doc_id`` (long), ``text_hash`` and ``text``; ``features`` gives numbers below 2 ** ``BITS``, as
-    often as they occur. Rows alike in id and text meet once.
+    often as they occur. ``size`` is the bytes of text of a chunk. Rows alike in id and text meet once.
     """
 
     def headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for chunk, part, raw in chunks(batches):
+        for chunk, part, raw in chunks(batches, size):
             ids = part["doc_id"].astype("Int64")
             both = np.r_[ids.notna().to_numpy().astype(np.int64), ids.fillna(0).astype("int64").to_numpy()]
             sizes = np.array([len(r) for r in raw], dtype=np.int64)
@@ -102,7 +102,7 @@ def second_look(texts: DataFrame, features: Features, made: Made, schema: str, r
         found = np.sort(np.concatenate([unpack(x) for x in hits["features"]]))
         return made(ids, np.frombuffer(head["hashes"], dtype=np.int64), raw, found)
 
-    rows = texts.mapInPandas(headers, BACK).unionByName(repeated_features(texts, features, ranges))
+    rows = texts.mapInPandas(headers, BACK).unionByName(repeated_features(texts, features, ranges, size))
     return rows.groupBy("chunk").applyInPandas(look, schema)
 
 

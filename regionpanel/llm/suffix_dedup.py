@@ -29,157 +29,141 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .chunked import among, second_look
 from .common import bounded, row_hash, settle
-from .shingles import mixed, pack, unpack
+from .shingles import BITS, mixed
 
 LENGTH = 100
-GRAM = 24
-CHUNK_BYTES = 2_000_000
+#: Bytes of a gram, a multiple of 8.
+GRAM = 48
+#: Starts of a long text that are looked at together.
+BLOCK = 1 << 16
+ODD = mixed(np.arange(1, 10, dtype=np.uint64)) | np.uint64(1)
+HIGH, LOW = np.uint64(0xFFFFFFFF00000000), np.uint64(0xFFFFFFFF)
 HOT_SEGMENTS = 4_000
 #: Symbols of one collection that a task builds at a time.
-COLLECTION_BYTES = 400_000
+COLLECTION_BYTES = 120_000
+#: Bytes of text that are looked at together; equal segments in them travel once.
+CHUNK_BYTES = 6_000_000
 #: Marks the begin of a string in a transform; a byte that UTF-8 does not use.
 BEGIN = 255
 
 
-def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """Hashes of the ``GRAM`` bytes from each byte on, by doubling: 8, 16, 24 bytes."""
-    x = np.zeros(len(data) + GRAM, dtype=np.uint64)
-    for j in range(8):
-        x[: len(data) - j] |= data[j:].astype(np.uint64) << np.uint64(8 * j)
-    one = mixed(x[: len(data)] + np.uint64(0x9E3779B97F4A7C15))
-    eight = np.r_[one, np.zeros(GRAM, dtype=np.uint64)]
-    n = len(data)
-    return mixed(eight[:n] + np.uint64(3) * eight[8 : n + 8] + np.uint64(5) * eight[16 : n + 16]) >> np.uint64(16)
+def block_anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor hashes of the strings of ``LENGTH`` bytes that start in ``data``, and the first and last start of each.
+
+    The gram's hash above its place makes one number, so the smallest of a window is the first smallest hash. Window
+    minima come from running minima forward and backward in blocks of one window (van Herk).
+    """
+    n, width = len(data) - GRAM + 1, LENGTH - GRAM + 1
+    eight = np.ndarray((len(data) - 7,), dtype="<u8", buffer=data, strides=(1,))
+    h = eight[:n] * ODD[0]
+    for k in range(1, GRAM // 8):
+        h += eight[8 * k : n + 8 * k] * ODD[k]
+    h ^= h >> np.uint64(29)
+    h *= ODD[-1]
+    h ^= h >> np.uint64(32)
+    key = np.full(-(-n // width) * width, np.iinfo(np.uint64).max, dtype=np.uint64)
+    key[:n] = h & HIGH | np.arange(n, dtype=np.uint64)
+    rows = key.reshape(-1, width)
+    ahead = np.minimum.accumulate(rows, axis=1).reshape(-1)
+    back = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].reshape(-1)
+    least = np.minimum(back[: n - width + 1], ahead[width - 1 : n])
+    place = (least & LOW).astype(np.int64)
+    change = np.flatnonzero(place[1:] != place[:-1])
+    low = np.r_[0, change + 1]
+    return h[place[low]] >> np.uint64(64 - BITS), low, np.r_[change, len(place) - 1]
 
 
 class Anchors:
-    """Texts end to end, and for every anchor the starts of the strings it belongs to.
+    """For every anchor of some texts its hash, its document, and the first and last start of a string it belongs to.
 
-    ``place``: where the anchor is; ``low``, ``high``: first and last start of a string with this anchor.
+    Long texts are taken in blocks, whose strings overlap so that each has its whole length; an anchor at a border
+    counts twice, which only means another look at it.
     """
 
     def __init__(self, raw: list[bytes]):
-        self.size = np.array([len(r) for r in raw], dtype=np.int64)
-        self.data = np.frombuffer(b"".join(raw), dtype=np.uint8)
-        self.offset = np.r_[0, np.cumsum(self.size)]
-        ends = np.repeat(self.offset[1:], self.size)
-        h = gram_hashes(self.data)
-        width = LENGTH - GRAM + 1
-        # Only whole grams count, and only windows of whole strings.
-        whole = np.flatnonzero(np.arange(len(self.data)) + GRAM <= ends)
-        gram_ends = np.searchsorted(whole, ends[whole], side="left")
-        best = whole[first_minima(h[whole], gram_ends, width)] if len(whole) else whole
-        starts = whole[np.arange(len(whole)) + width <= gram_ends]
-        anchor = best[np.arange(len(whole)) + width <= gram_ends]
-        new = np.ones(len(anchor), dtype=bool)
-        new[1:] = (anchor[1:] != anchor[:-1]) | (starts[1:] != starts[:-1] + 1)
-        at = np.flatnonzero(new)
-        self.place, self.low = anchor[at], starts[at]
-        self.high = starts[np.r_[at[1:], len(starts)] - 1] if len(at) else starts[:0]
-        self.hash = h[self.place]
-        self.doc = np.searchsorted(self.offset, self.low, side="right") - 1
-
-
-def first_minima(x: np.ndarray, ends: np.ndarray, width: int) -> np.ndarray:
-    """For every place the first smallest of the ``width`` values from there on, as far as the sequence goes."""
-    n = len(x)
-    best, span = np.arange(n), 1
-    while span < width:
-        step = min(span, width - span)
-        there = np.arange(n) + step
-        other = best[np.minimum(there, n - 1)]
-        best = np.where((there < ends) & (x[other] < x[best]), other, best)
-        span += step
-    return best
-
-
-def chunks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, pd.DataFrame, list[bytes], Anchors]]:
-    for batch in batches:
-        raw = [t.encode("utf-8", "surrogatepass") if isinstance(t, str) else b"" for t in batch["text"]]
-        for a, b in bounded(map(len, raw), CHUNK_BYTES):
-            part = batch.iloc[a:b]
-            chunk = xxhash.xxh3_64(b"\0".join(raw[a:b]))
-            chunk.update(part["text_hash"].to_numpy().tobytes())
-            chunk.update(part["doc_id"].astype("float64").to_numpy().tobytes())
-            yield chunk.intdigest() >> 1, part, raw[a:b], Anchors(raw[a:b])
-
-
-REPEATED = "chunk long, anchors binary, ids binary, hashes binary, sizes binary, texts binary"
-
-
-def repeated_anchors(texts: DataFrame, ranges: int) -> DataFrame:
-    """For every chunk and hash range the anchors that occur more than once: ``chunk``, ``anchors`` packed."""
-
-    def sent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        edges = (np.arange(ranges + 1, dtype=object) * (1 << 48) // ranges).astype(np.uint64)
-        for chunk, _, _, a in chunks(batches):
-            values, counts = np.unique(a.hash, return_counts=True)
-            cut = np.searchsorted(values, edges)
-            rows = [(i, chunk, pack(values[x:y]), pack(counts[x:y] > 1)) for i, (x, y) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if y > x]
-            yield pd.DataFrame(rows, columns=["range", "chunk", "anchors", "more"])
-
-    def counted(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates("chunk")
-        mine = [unpack(x) for x in rows["anchors"]]
-        more = np.concatenate([unpack(x) for x in rows["more"]]).astype(np.int64)
-        every, place = np.unique(np.concatenate(mine), return_inverse=True)
-        total = np.bincount(place, weights=1 + more, minlength=len(every))
-        out, at = [], 0
-        for chunk, values in zip(rows["chunk"], mine, strict=True):
-            hit = values[total[place[at : at + len(values)]] > 1]
-            at += len(values)
-            if len(hit):
-                out.append((chunk, pack(hit), None, None, None, None))
-        return pd.DataFrame(out, columns=["chunk", "anchors", "ids", "hashes", "sizes", "texts"])
-
-    parts = texts.mapInPandas(sent, "range int, chunk long, anchors binary, more binary")
-    return parts.groupBy("range").applyInPandas(counted, REPEATED)
+        found = []
+        for doc, r in enumerate(raw):
+            data = np.frombuffer(r, dtype=np.uint8)
+            for at in range(0, len(r) - LENGTH + 1, BLOCK):
+                h, low, high = block_anchors(data[at : at + BLOCK + LENGTH - 1])
+                found.append((h, low + at, high + at, np.full(len(h), doc)))
+        nothing = (np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3)))
+        self.hash, self.low, self.high, self.doc = (np.concatenate(x) for x in zip(*(found or [nothing]), strict=True))
+
+
+def anchor_hashes(raw: list[bytes]) -> np.ndarray:
+    return Anchors(raw).hash
+
+
+def cut_segments(ids: pd.Series, hashes: np.ndarray, raw: list[bytes], found: np.ndarray) -> pd.DataFrame:
+    """Segments of a chunk's texts around the anchors in ``found``.
+
+    Of equal segments only the earliest of the chunk goes on. The others are repeats already: their bytes come as
+    spans, joined per document, in rows with the anchor -1 and a ``sid`` of their own.
+    """
+    known, number = ids.notna().to_numpy(), ids.fillna(0).astype("int64").to_numpy()
+    # Rows alike in id and text are one document: a segment is no repeat of itself in the other row.
+    once = ~pd.DataFrame({"known": known, "number": number, "hash": hashes}).duplicated().to_numpy()
+    ids, known, number, hashes = ids[once], known[once], number[once], hashes[once]
+    raw = [r for r, keep in zip(raw, once.tolist(), strict=True) if keep]
+    a = Anchors(raw)
+    use = np.flatnonzero(among(a.hash, found))
+    doc, low, high, anchor = a.doc[use], a.low[use], a.high[use], a.hash[use].astype(np.int64)
+    pieces = [raw[d][x : y + LENGTH] for d, x, y in zip(doc.tolist(), low.tolist(), high.tolist(), strict=True)]
+    sid = np.fromiter((xxhash.xxh3_64_intdigest(p) >> 1 for p in pieces), dtype=np.int64, count=len(pieces))
+    place = np.empty(len(ids), dtype=np.int64)  # documents in their order
+    place[np.lexsort((hashes, number, known))] = np.arange(len(ids))
+    by = np.lexsort((low, place[doc], sid, anchor))
+    new = np.ones(len(by), dtype=bool)
+    new[1:] = (anchor[by][1:] != anchor[by][:-1]) | (sid[by][1:] != sid[by][:-1])
+    first, rest = np.sort(by[new]), np.sort(by[~new])
+    spans = []
+    if len(rest):
+        cut = np.flatnonzero(np.diff(doc[rest])) + 1
+        for part in np.split(rest, cut):
+            begins, ends = union_of(low[part], high[part] + LENGTH)
+            spans += [(doc[part[0]], b, e) for b, e in zip(begins.tolist(), ends.tolist(), strict=True)]
+    at, begins, ends = np.array(spans, dtype=np.int64).reshape(-1, 3).T
+    docs = np.r_[doc[first], at]
+    own = mixed(hashes[at].astype(np.uint64) ^ begins.astype(np.uint64)) >> np.uint64(1)
+    return pd.DataFrame(
+        {
+            "anchor": np.r_[anchor[first], np.full(len(at), -1)], "sid": np.r_[sid[first], own.astype(np.int64)],
+            "doc_id": pd.array(ids.iloc[docs], dtype="Int64"), "text_hash": hashes[docs],
+            "start": np.r_[low[first], begins], "starts": np.r_[high[first] - low[first] + 1, ends - begins],
+        }
+    )
 
 
 def segments(texts: DataFrame, ranges: int) -> DataFrame:
-    """Every segment around a repeated anchor: ``anchor``, ``sid``, place, ``starts`` (strings in it) and bytes."""
-    import zstandard
-
-    def headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for chunk, part, raw, a in chunks(batches):
-            if len(a.place):
-                ids = part["doc_id"].astype("Int64")
-                known = ids.notna().to_numpy()
-                both = np.r_[known.astype(np.int64), ids.fillna(0).astype("int64").to_numpy()]
-                texts = zstandard.ZstdCompressor(level=3).compress(b"".join(raw))
-                row = (chunk, None, both.tobytes(), part["text_hash"].to_numpy().astype("int64").tobytes(), a.size.tobytes(), texts)
-                yield pd.DataFrame([row], columns=["chunk", "anchors", "ids", "hashes", "sizes", "texts"])
-
-    def cut(rows: pd.DataFrame) -> pd.DataFrame:
-        head, hits = rows[rows["texts"].notna()].iloc[0], rows[rows["anchors"].notna()]
-        columns = ["anchor", "sid", "doc_id", "text_hash", "start", "starts", "segment"]
-        if not len(hits):
-            return pd.DataFrame([], columns=columns)
-        size = np.frombuffer(head["sizes"], dtype=np.int64)
-        data = zstandard.ZstdDecompressor().decompress(head["texts"])
-        at = np.r_[0, np.cumsum(size)]
-        a = Anchors([data[x:y] for x, y in zip(at[:-1], at[1:], strict=True)])
-        wanted = np.sort(np.concatenate([unpack(x) for x in hits["anchors"]]))
-        near = np.minimum(np.searchsorted(wanted, a.hash), len(wanted) - 1)
-        use = np.flatnonzero(wanted[near] == a.hash)
-        both = np.frombuffer(head["ids"], dtype=np.int64).reshape(2, -1)
-        hashes = np.frombuffer(head["hashes"], dtype=np.int64)
-        pieces = [data[x : y + LENGTH] for x, y in zip(a.low[use].tolist(), a.high[use].tolist(), strict=True)]
-        doc = a.doc[use]
-        ids = pd.Series(both[1][doc], dtype="Int64").mask(both[0][doc] == 0)
-        values = (
-            a.hash[use].astype(np.int64), [xxhash.xxh3_64_intdigest(p) >> 1 for p in pieces], ids, hashes[doc],
-            a.low[use] - a.offset[doc], a.high[use] - a.low[use] + 1, pieces,
-        )
-        return pd.DataFrame(dict(zip(columns, values, strict=True)))
-
-    rows = texts.mapInPandas(headers, REPEATED).unionByName(repeated_anchors(texts, ranges))
-    out = "anchor long, sid long, doc_id long, text_hash long, start long, starts long, segment binary"
-    return rows.groupBy("chunk").applyInPandas(cut, out)
+    """``anchor``, ``sid``, place and ``starts`` (strings in it) of segments around repeated anchors, equal ones once per
+    chunk; and ``start`` and length (``starts``) of the spans that the others cover, with the anchor -1."""
+    out = "anchor long, sid long, doc_id long, text_hash long, start long, starts long"
+    return second_look(texts, anchor_hashes, cut_segments, out, ranges, CHUNK_BYTES)
+
+
+def with_bytes(places: DataFrame, texts: DataFrame) -> DataFrame:
+    """Segments at ``places`` with their bytes. A document's places go to its text, which is cut there."""
+    wanted = places.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("anchor", "sid", "n", "start", "starts")).alias("wanted"))
+    same = texts["doc_id"].eqNullSafe(wanted["doc_id"]) & (texts["text_hash"] == wanted["text_hash"])
+    rows = texts.join(wanted, same).select(texts["doc_id"].isNotNull().alias("known"), F.coalesce(texts["doc_id"], F.lit(0)).alias("number"), texts["text_hash"], "text", "wanted")
+    # Rows alike in id and text ask for the same segments.
+    rows = rows.dropDuplicates(["known", "number", "text_hash"])
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for known, number, text_hash, text, wanted in batch.itertuples(index=False):
+                raw = text.encode("utf-8", "surrogatepass")
+                out += [(w["anchor"], w["sid"], w["n"], known, number, text_hash, w["start"], w["starts"], raw[w["start"] : w["start"] + w["starts"] - 1 + LENGTH]) for w in wanted]
+            yield pd.DataFrame(out, columns=["anchor", "sid", "n", "known", "number", "text_hash", "start", "starts", "segment"])
+
+    return rows.mapInPandas(cut, "anchor long, sid long, n long, known boolean, number long, text_hash long, start long, starts long, segment binary")
 
 
 class Collection:
@@ -191,6 +175,8 @@ class Collection:
 
     def __init__(self, strings: list[bytes], folder: str):
         self.files = [os.path.join(folder, x) for x in ("transform", "prefixes")]
+        for name in self.files:
+            open(name, "wb").close()
         self.m = m = len(strings)
         size = np.array([len(s) for s in strings], dtype=np.int64)
         data = np.frombuffer(b"".join(strings), dtype=np.uint8)
@@ -245,9 +231,10 @@ class Collection:
         return np.fromfile(self.files[0], dtype=np.uint8), np.fromfile(self.files[1], dtype=np.uint8)
 
     def _write(self, bwt: np.ndarray, lcp: np.ndarray) -> None:
+        """Both only grow, so the files are written over from their begin."""
         for name, x in zip(self.files, (bwt, lcp), strict=True):
-            x.tofile(name + ".new")
-            os.replace(name + ".new", name)
+            with open(name, "r+b") as f:
+                x.tofile(f)
 
     def groups(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Strings, start in them and group of all suffixes of at least ``LENGTH`` symbols, column by column."""
@@ -276,19 +263,19 @@ def repeats_of(strings: list[bytes], doc: np.ndarray, start: np.ndarray) -> tupl
     return string[later], at[later]
 
 
+LATER = "known boolean, number long, text_hash long, begins array<long>, ends array<long>"
+
+
 def later_starts(classes: pd.DataFrame) -> pd.DataFrame:
-    """``anchor``, ``sid`` and ``at``: the strings of the classes' first places that start earlier elsewhere too."""
+    """Spans of the segments' documents whose strings start earlier in another segment of the same anchor."""
     classes = classes.sort_values(["anchor", "sid"], kind="stable")
     out = []
     sizes = classes.groupby("anchor", sort=False)["segment"].agg(lambda s: sum(map(len, s)))
-    count = classes.groupby("anchor", sort=False).size().to_numpy()
-    first = np.r_[0, np.cumsum(count)]
+    first = np.r_[0, np.cumsum(classes.groupby("anchor", sort=False).size().to_numpy())]
     # Nulls come first in the order of documents.
-    keys = classes[["doc_id", "text_hash"]].copy()
-    keys["known"] = keys["doc_id"].notna()
-    keys["doc_id"] = keys["doc_id"].fillna(0)
-    doc = keys.groupby(["known", "doc_id", "text_hash"], sort=True).ngroup().to_numpy()
+    doc = classes.groupby(["known", "number", "text_hash"], sort=True).ngroup().to_numpy()
     start = classes["start"].to_numpy()
+    owner = list(zip(classes["known"].tolist(), classes["number"].tolist(), classes["text_hash"].tolist(), strict=True))
     for a, b in bounded(sizes.tolist(), COLLECTION_BYTES):
         x, y = first[a], first[b]
         string, at = repeats_of(classes["segment"].iloc[x:y].tolist(), doc[x:y], start[x:y])
@@ -296,40 +283,45 @@ def later_starts(classes: pd.DataFrame) -> pd.DataFrame:
         string, at = string[order], at[order]
         own, begin = np.unique(string, return_index=True)
         for s, part in zip(own, np.split(at, begin[1:]), strict=True) if len(own) else ():
-            row = classes.iloc[x + s]
-            out.append((row["anchor"], row["sid"], part))
-    return pd.DataFrame(out, columns=["anchor", "sid", "at"])
-
-
-def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ranges: int | None = None) -> DataFrame:
-    """``doc_id``, ``text_hash``, ``begin``, ``end`` of the repeats; they may overlap."""
-    spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), row_hash(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
-    found = settle(segments(texts, ranges or 2 * parts), "segments")
-    place = F.struct("doc_id", "text_hash", "start")
-    classes = found.groupBy("anchor", "sid").agg(F.min(F.struct("doc_id", "text_hash", "start", "starts", "segment")).alias("first"))
-    classes = settle(classes.select("anchor", "sid", "first.*"), "segment-classes")
-    counts = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    several = settle(classes.join(counts, "anchor"), "several")
-    buckets = max(parts, 1)
-    usual = several.filter(F.col("n") <= HOT_SEGMENTS).withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(4 * buckets)))
-    later = usual.select("bucket", "anchor", "sid", "doc_id", "text_hash", "start", "segment").groupBy("bucket").applyInPandas(later_starts, "anchor long, sid long, at array<long>")
-    hot = several.filter(F.col("n") > HOT_SEGMENTS).withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("starts") - 1)))
-    hot = hot.withColumn("string", F.md5(F.substring("segment", F.col("at").cast("int") + 1, F.lit(LENGTH))))
-    here = F.struct("doc_id", "text_hash", (F.col("start") + F.col("at")).alias("start"))
-    hot = hot.select("anchor", "sid", "at", "string", here.alias("here"))
-    earliest = hot.groupBy("string").agg(F.min("here").alias("least"))
-    hot = hot.join(earliest, "string").filter(F.col("here") != F.col("least")).groupBy("anchor", "sid").agg(F.collect_list("at").alias("at"))
-    later = settle(later.unionByName(hot), "later-starts")
-    firsts = classes.select("anchor", "sid", place.alias("first"))
-    every = found.select("anchor", "sid", "doc_id", "text_hash", "start", "starts").join(firsts, ["anchor", "sid"])
-    copies = every.filter(place != F.col("first"))
+            part = part + start[x + s]
+            out.append((*owner[x + s], *union_of(part, part + LENGTH)))
+    return pd.DataFrame(out, columns=["known", "number", "text_hash", "begins", "ends"])
+
+
+def later_in_hot(classes: DataFrame) -> DataFrame:
+    """`later_starts` of anchors with very many segments: each string by itself, the earliest of each by grouping."""
+    rows = classes.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("starts") - 1)))
+    rows = rows.withColumn("string", F.md5(F.substring("segment", F.col("at").cast("int") + 1, F.lit(LENGTH))))
+    here = F.struct("known", "number", "text_hash", (F.col("start") + F.col("at")).alias("start"))
+    rows = rows.select("string", here.alias("here"))
+    earliest = rows.groupBy("string").agg(F.min("here").alias("least"))
+    rows = rows.join(earliest, "string").filter(F.col("here") != F.col("least"))
+    begin = F.col("here.start")
+    return rows.select("here.known", "here.number", "here.text_hash", F.array(begin).alias("begins"), F.array(begin + LENGTH).alias("ends"))
+
+
+def repeated_spans(texts: DataFrame, ranges: int | None = None) -> DataFrame:
+    """``doc_id``, ``text_hash``, ``begin``, ``end`` of the repeats in ``texts`` (doc_id, text_hash, text); they may overlap."""
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = segments(texts, ranges or 2 * parts)
+    # Equal segments meet, at most one of a chunk; the earliest is the one that strings are compared with.
+    by = Window.partitionBy("anchor", "sid").orderBy("doc_id", "text_hash", "start")
+    # Places of rows alike in id and text are the same place: none of them is a copy, and one of them goes on.
+    found = settle(found.withColumns({"nth": F.rank().over(by), "row": F.row_number().over(by)}), "segments")
+    spans = found.filter("anchor = -1").select("doc_id", "text_hash", F.col("start").alias("begin"), (F.col("start") + F.col("starts")).alias("end"))
+    copies = found.filter("anchor >= 0 AND nth > 1")
     copies = copies.select("doc_id", "text_hash", F.col("start").alias("begin"), (F.col("start") + F.col("starts") - 1 + LENGTH).alias("end"))
-    own = classes.select("anchor", "sid", "doc_id", "text_hash", "start").join(later, ["anchor", "sid"])
-    own = own.select("doc_id", "text_hash", "start", F.explode("at").alias("at"))
-    own = own.select("doc_id", "text_hash", (F.col("start") + F.col("at")).alias("begin"), (F.col("start") + F.col("at") + LENGTH).alias("end"))
-    return copies.unionByName(own)
+    firsts = found.filter("anchor >= 0 AND row = 1").drop("nth", "row")
+    counts = settle(firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "anchor-counts")
+    usual = with_bytes(firsts.join(counts.filter(F.col("n") <= HOT_SEGMENTS), "anchor"), texts)
+    usual = usual.select(F.pmod(F.xxhash64("anchor"), F.lit(4 * parts)).alias("bucket"), "anchor", "sid", "known", "number", "text_hash", "start", "segment")
+    later = usual.groupBy("bucket").applyInPandas(later_starts, LATER)
+    hot = counts.filter(F.col("n") > HOT_SEGMENTS)
+    if not hot.isEmpty():
+        later = later.unionByName(later_in_hot(with_bytes(firsts.join(hot, "anchor"), texts)))
+    later = later.select(F.when(F.col("known"), F.col("number")).alias("doc_id"), "text_hash", F.explode(F.arrays_zip("begins", "ends")).alias("s"))
+    later = later.select("doc_id", "text_hash", F.col("s.begins").alias("begin"), F.col("s.ends").alias("end"))
+    return spans.unionByName(copies).unionByName(later)
 
 
 def union_of(begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -346,9 +338,9 @@ KEPT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept bin
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ranges: int | None = None, bytes_too: bool = True) -> DataFrame:
     """``doc_id``, ``text_hash``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and the ``kept`` bytes."""
-    spans = repeated_spans(docs, doc_id, text, ranges)
-    spans = spans.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), row_hash(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
+    spans = repeated_spans(texts, ranges)
+    spans = spans.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
     same = texts["doc_id"].eqNullSafe(spans["doc_id"]) & (texts["text_hash"] == spans["text_hash"])
     rows = texts.join(spans, same, "left").select(texts["doc_id"], texts["text_hash"], "text", "spans.begin", "spans.end")
 
