@@ -2,9 +2,9 @@
 
 The set of a document is its distinct shingles; documents of equal sets are one class. All sets share one order of
 tokens, rare first. Two sets that are similar enough have at least ``l`` tokens in common among the first
-``|x| - need + l`` of each, for every ``l``, where ``need`` is what the pair must have in common. A class takes the ``l`` with the least estimated cost: reading longer
-posting lists against checking fewer candidates. A pair is checked, on whole sets, if it shares as many prefix tokens
-as the smaller ``l`` of the two asks for.
+``|x| - need + l`` of each, for every ``l``, where ``need`` is what the pair must have in common. A class takes the ``l``
+with the least estimated cost: reading longer posting lists against checking fewer candidates. A pair is checked, on
+whole sets, if it shares as many prefix tokens as the smaller ``l`` of the two asks for.
 
 How often a token occurs is counted over all documents: map tasks send sorted, packed hashes of the distinct tokens of
 some thousand documents (a chunk) to the task of their hash range, and get back those that other sets have as well. A
