@@ -118,8 +118,25 @@ def test_window_minima():
                 want.add(at + i + int(part.argmin()))
             at += n
         assert paragraphs.window_minima(x, ends, width).tolist() == sorted(want)
-        got = suffix_dedup.first_minima(x, ends, width)
-        assert got.tolist() == [i + int(x[i : min(i + width, e)].argmin()) for i, e in enumerate(ends)]
+
+
+def test_every_string_has_one_anchor_and_equal_strings_the_same(monkeypatch):
+    rng = random.Random(11)
+    some = lambda n: bytes(rng.choice(b"ab cd") for _ in range(n))
+    for block in (64, 1 << 16):
+        monkeypatch.setattr(suffix_dedup, "BLOCK", block)
+        for _ in range(20):
+            common = some(rng.randint(100, 300))
+            raw = [some(rng.randint(0, 200)) + common + some(rng.randint(0, 200)) for _ in range(3)] + [b"", some(99), b"x" * 250]
+            a = suffix_dedup.Anchors(raw)
+            at = {}
+            for h, doc, low, high in zip(a.hash.tolist(), a.doc.tolist(), a.low.tolist(), a.high.tolist()):
+                for start in range(low, high + 1):
+                    assert at.setdefault((doc, start), h) == h
+            assert set(at) == {(d, i) for d, r in enumerate(raw) for i in range(len(r) - suffix_dedup.LENGTH + 1)}
+            by_string = {}
+            for (d, i), h in at.items():
+                assert by_string.setdefault(raw[d][i : i + suffix_dedup.LENGTH], h) == h
 
 
 def test_repeated_paragraphs_are_found_and_clean_documents_left_alone(spark):
