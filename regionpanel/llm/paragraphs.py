@@ -8,9 +8,11 @@ smallest hash marks a place, and the ``PASSAGE_WORDS`` words from there on are a
 alone, for equal passages have a similarity of 1.
 
 Features that meet no other (digests and band keys) are sorted out first, so only paragraphs that may have a repeat are
-kept. Equal paragraphs are one class, whose earliest place stands for it; classes that are similar enough are linked, in each
-band to one leader, which costs rows in proportion to the bucket. Connected classes are a cluster. The earliest
-paragraph of a cluster stays and all others go.
+kept. Equal paragraphs are one class, whose earliest place stands for it. Classes that share a bucket are first checked
+against one leader in each band, which costs rows in proportion to the bucket. What is left goes through the exact join of
+``ngram_join``: every pair of different groups that shares enough of its rarest shingles is checked, so no two lines that
+collide and are similar enough stay apart, whoever leads. Connected classes are a cluster. The earliest paragraph of a
+cluster stays and all others go.
 
 Defined results: null and empty texts have no paragraphs; shorter lines are left alone; "earlier" is a smaller id, then
 text hash, then place; rows alike in id and text count once; a paragraph repeated in one document is removed there too.
@@ -24,9 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunked import among, second_look
-from .common import row_hash, settle
+from .common import bounded, row_hash, settle
 from .components import components
-from .shingles import BITS, SHINGLE_WORDS, mixed, shingles, word_hashes
+from .ngram_join import cross_pairs, linked, prefixes
+from .shingles import BITS, SHINGLE_WORDS, mixed, shingles, text_shingles, word_hashes
 
 PERCENT = 75
 MIN_WORDS = 20
@@ -34,6 +37,8 @@ PASSAGE_WORDS = 28
 ANCHOR_WINDOW = 23
 #: At a similarity of 0.75 a pair collides in one of the bands with a probability of 1 - (1 - 0.75^2)^8 = 0.9987.
 BANDS, ROWS = 8, 2
+#: Characters of lines whose shingles are made at once.
+TOKEN_CHARS = 1_000_000
 
 UNIT = "doc_id long, text_hash long, start long, words long, kind string, digest long, bands array<long>, line string"
 
@@ -155,9 +160,29 @@ def line_jaccard(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
+def line_tokens(lines: pd.Series) -> pd.Series:
+    """Distinct shingle hashes of each line."""
+    out = []
+    for a, b in bounded(lines.str.len(), TOKEN_CHARS):
+        h, of = text_shingles(lines.iloc[a:b].tolist())
+        cut = np.searchsorted(of, np.arange(b - a + 1))
+        out += [np.unique(h[x:y]).astype(np.int64) for x, y in zip(cut[:-1], cut[1:], strict=True)]
+    return pd.Series(out, dtype=object)
+
+
+def line_sets(text: DataFrame) -> DataFrame:
+    """The classes that share enough shingles with others, as ``ngram_join.prefixes`` takes them."""
+    rows = text.select(F.col("key").alias("class"), F.pandas_udf(line_tokens, "array<long>")("line").alias("all"))
+    rows = settle(rows, "line-tokens").select("class", F.size("all").alias("n"), F.explode("all").alias("token"))
+    df = rows.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    sets = rows.join(df, "token").groupBy("class", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"))
+    sets = sets.filter(F.size("t") >= F.ceil(F.col("n") * PERCENT / 100))
+    return sets.select("class", "n", (F.col("n") - F.size("t")).alias("unique"), F.col("t.token").alias("tokens"), F.col("t.df").alias("df"))
+
+
 def line_links(lines: DataFrame) -> DataFrame:
-    """Pairs of line classes that collide with their band's leader and are similar enough: ``a``, ``b`` (keys)."""
-    first = lines.groupBy("key").agg(F.min(F.struct("place", "bands"))["bands"].alias("bands"))
+    """Pairs of similar line classes, ``a`` and ``b`` (keys), that join all which share a bucket and are similar enough."""
+    first = settle(lines.groupBy("key").agg(F.min(F.struct("place", "bands"))["bands"].alias("bands")), "line-bands")
     # Each band has an order of its own, so a class meets several leaders of its family.
     in_band = first.select("key", F.posexplode("bands").alias("band", "bucket"))
     order = F.struct(F.xxhash64("band", "key"), "key")
@@ -168,7 +193,16 @@ def line_links(lines: DataFrame) -> DataFrame:
     text = settle(lines.join(wanted, "key", "left_semi").groupBy("key").agg(F.min("line").alias("line")), "line-texts")
     both = pairs.join(text.select(F.col("key").alias("a"), F.col("line").alias("x")), "a")
     both = both.join(text.select(F.col("key").alias("b"), F.col("line").alias("y")), "b")
-    return both.filter(F.pandas_udf(line_jaccard, "boolean")("x", "y")).select("a", "b")
+    links = settle(both.filter(F.pandas_udf(line_jaccard, "boolean")("x", "y")).select("a", "b"), "line-links")
+    of = settle(components(links).select(F.col("node").alias("key"), F.col("component").alias("group")), "line-groups")
+    # Buckets of one group are settled; whatever else collides is in one of several groups.
+    apart = in_band.join(of, "key", "left").withColumn("group", F.coalesce("group", "key"))
+    several = apart.groupBy("band", "bucket").agg(F.min("group").alias("x"), F.max("group").alias("y")).filter("x != y")
+    rest = apart.join(several.select("band", "bucket"), ["band", "bucket"]).select("key").distinct()
+    sets = settle(line_sets(text.join(rest, "key", "left_semi")), "line-sets")
+    lists = prefixes(sets, PERCENT).join(of.withColumnRenamed("key", "class"), "class", "left")
+    lists = settle(lists.withColumn("group", F.coalesce("group", "class")), "line-prefixes")
+    return links.unionByName(settle(linked(cross_pairs(lists, PERCENT), sets, PERCENT), "line-links"))
 
 
 def duplicate_paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ranges: int | None = None) -> DataFrame:

@@ -191,6 +191,25 @@ def test_paragraphs_against_brute_force(spark):
     assert found <= linked and len(found) >= 0.9 * len(linked)
 
 
+def test_near_copies_in_a_family_of_one_template_are_found(spark):
+    rng = random.Random(21)
+    template = [f"t{i}" for i in range(40)]
+    data = []
+    for i in range(150):
+        own = template[:30] + [f"o{i}x{k}" for k in range(10)]
+        copy = [*own[:34], f"e{i}", *own[35:]]
+        data += [(2 * i, " ".join(own)), (2 * i + 1, " ".join(copy))]
+    rng.shuffle(data)
+    sets = {d: shingle_set(t) for d, t in data}
+    similar = lambda a, b: 100 * len(sets[a] & sets[b]) >= paragraphs.PERCENT * len(sets[a] | sets[b])
+    want = {(a, b) for a in sets for b in sets if a < b and similar(a, b)}
+    assert want == {(2 * i, 2 * i + 1) for i in range(150)}
+    got = paragraphs.duplicate_paragraphs(spark.createDataFrame(data, "doc_id long, text string").repartition(3)).collect()
+    found = {(r.cluster_doc_id, r.doc_id) for r in got if r.kind == "line" and r.removed}
+    # One pair in some 700 collides in no band.
+    assert found <= want and len(found) >= 0.98 * len(want)
+
+
 def test_paragraphs_of_odd_tables(spark):
     got = paragraphs.duplicate_paragraphs(odd_docs(spark)).collect()
     assert len(got) == len(set(got))
