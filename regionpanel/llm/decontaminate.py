@@ -4,7 +4,9 @@ The items are the indexed collection; every passage of every document is a query
 scores divided by the score an item gives itself, so an item is retrieved from ``THRESHOLD`` on, whatever its length.
 Postings are cut into blocks of items with their largest impacts. The sum of these over a passage bounds the score
 of every item of a block; that test runs over all passages of a batch at once, and only what passes it is searched.
-A retrieved item counts if the passage has ``OVERLAP`` percent of the shingles of its question and of its answer.
+A retrieved item counts if the passage has ``OVERLAP`` percent of the shingles of the whole item, or of its question and
+of its answer. One changed word takes up to ``SHINGLE`` shingles away, so answers under ``SHORT_WORDS`` words, of which
+that would be more than is allowed, are also there with ``OVERLAP`` percent of their distinct words.
 
 Passages are windows of twice the longest item, one item length apart, so each place where an item can stand lies
 whole in one of them. The question of an item is the text before its last sentence, the answer the last sentence;
@@ -35,6 +37,8 @@ K1, B = 1.2, 0.75
 THRESHOLD = 0.7
 OVERLAP = 75
 SHINGLE = 5
+#: From this many words on, one changed word leaves OVERLAP percent of the shingles.
+SHORT_WORDS = -(-100 * SHINGLE // (100 - OVERLAP)) + SHINGLE - 1
 #: Items of one index, which bounds what is sent to the workers, and items of one block.
 INDEX_ITEMS = 20_000
 BLOCK_ITEMS = 4
@@ -74,7 +78,9 @@ class Index:
         items = [x for x in items if x[2]]
         items.sort(key=lambda x: (-len(x[2]), x[0] is None, x[0] or 0, x[1]))
         self.ids = [x[0] for x in items]
-        self.parts = [tuple(grams(p) for p in question_answer(x[1])) for x in items]
+        parts = [question_answer(x[1]) for x in items]
+        self.parts = [(grams(q), grams(r), grams(x[2])) for (q, r), x in zip(parts, items, strict=True)]
+        self.short = [set(r) if len(r) < SHORT_WORDS else set() for _, r in parts]
         self.longest = max((len(x[2]) for x in items), default=1)
         n = len(items)
         mean = sum(len(x[2]) for x in items) / max(n, 1)
@@ -145,16 +151,25 @@ class Index:
         scores = np.bincount(item, weights=impact, minlength=len(self.ids))
         return [(int(i), float(scores[i])) for i in np.flatnonzero(scores >= THRESHOLD - 1e-9)]
 
-    def overlaps(self, words: Sequence[str], item: int) -> tuple[int, int]:
-        """Percent of the question's and of the answer's shingles that a passage has; an empty part is there."""
-        out = []
+    def overlaps(self, words: Sequence[str], item: int) -> tuple[int, int, int]:
+        """Percent of the question's, the answer's and the whole item's shingles that a passage has; an empty part is there."""
+        out, whole = [], grams(words)
         for part in self.parts[item]:
-            here = grams(words) if all(len(g) == SHINGLE for g in part) else {tuple(words[i : i + len(g)]) for g in part for i in range(len(words) - len(g) + 1)}
+            here = whole if all(len(g) == SHINGLE for g in part) else {tuple(words[i : i + len(g)]) for g in part for i in range(len(words) - len(g) + 1)}
             out.append(100 * len(part & here) // len(part) if part else 100)
-        return out[0], out[1]
+        return out[0], out[1], out[2]
 
-    def scan(self, texts: Sequence[str | None]) -> list[tuple[int, int, float, int, int]]:
-        """(text, item, score, question, answer) of all verified finds, best passage first found wins ties."""
+    def short_answer(self, words: Sequence[str], item: int) -> int:
+        """Percent of a short answer's distinct words that a passage has; 0 for longer answers."""
+        short = self.short[item]
+        return 100 * len(short.intersection(words)) // len(short) if short else 0
+
+    def scan(self, texts: Sequence[str | None], edited: bool = False) -> list[tuple[int, int, float, int, int]]:
+        """(text, item, score, question, answer) of all verified finds, best passage first found wins ties.
+
+        Without ``edited`` only shingles of question and answer count; with it, as the operators ask, whole items and the
+        words of short answers count too.
+        """
         found: dict[tuple[int, int], tuple[float, int, int]] = {}
         if not self.ids:
             return []
@@ -181,8 +196,10 @@ class Index:
                 words = docs[d][start : start + 2 * step]
                 query = np.array(sorted({k for k in map(get, words) if k is not None}), dtype=np.int64)
                 for item, score in self.search(query, blocks):
-                    q, r = self.overlaps(words, item)
-                    if q >= OVERLAP and r >= OVERLAP:
+                    q, r, both = self.overlaps(words, item)
+                    if edited:
+                        r = max(r, self.short_answer(words, item))
+                    if (q >= OVERLAP and r >= OVERLAP) or (edited and both >= OVERLAP):
                         old = found.get((a + d, item))
                         found[(a + d, item)] = max(old, (score, q, r)) if old else (score, q, r)
         return [(d, i, *v) for (d, i), v in found.items()]
@@ -208,7 +225,7 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
         def find(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
             index = sent.value
             for part in batches:
-                hits = index.scan([t if isinstance(t, str) else None for t in part["text"]])
+                hits = index.scan([t if isinstance(t, str) else None for t in part["text"]], edited=True)
                 at = [h[0] for h in hits]
                 yield pd.DataFrame(
                     {
@@ -232,7 +249,7 @@ def clean(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str =
 
 def _holds_item(sent: Broadcast) -> Callable[[Column], Column]:
     def found(texts: pd.Series) -> pd.Series:
-        hits = sent.value.scan([t if isinstance(t, str) else None for t in texts])
+        hits = sent.value.scan([t if isinstance(t, str) else None for t in texts], edited=True)
         out = np.zeros(len(texts), dtype=bool)
         out[[h[0] for h in hits]] = True
         return pd.Series(out)

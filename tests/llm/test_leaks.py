@@ -100,6 +100,23 @@ def test_leaks_of_the_query(spark):
     assert all(2 * len(texts[i] & words[d]) >= len(texts[i]) for d, i in got)
 
 
+def test_items_with_an_edited_or_cut_answer_are_found(spark):
+    question = prose(31, 20)
+    items = [(1, f"{question}. {prose(32, 6)}."), (2, f"{prose(33, 20)}. yes."), (3, f"{prose(34, 12)}. {prose(35, 4)}."), (4, prose(36, 30))]
+    w = [t.split(" ") for _, t in items]
+    texts = [
+        " ".join([*w[0][:22], "zz", *w[0][23:]]),  # a word of the last sentence changed
+        " ".join(w[1][:-1]),  # the last sentence cut off
+        " ".join([*w[2][:13], "zz", *w[2][14:]]),  # one of four words changed
+        " ".join([*w[3][:28], "zz", w[3][29]]),  # a word of the last quarter changed
+        " ".join(w[0][:6]) + " " + prose(37, 20),
+    ]
+    docs = [(i, prose(40 + i, 50) + " " + t + " " + prose(50 + i, 50)) for i, t in enumerate(texts)]
+    docs, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, ITEMS)
+    assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, items).collect()} == {(0, 1), (1, 2), (2, 3), (3, 4)}
+    assert {r.doc_id for r in decontaminate.clean(docs, items).collect()} == {4}
+
+
 def test_leaks_of_odd_tables(spark):
     docs, items = odd_docs(spark), spark.createDataFrame([(1, prose(3, 60)), (2, "nothing like it at all"), (3, None)], ITEMS)
     got = decontaminate.leaks(docs, items).collect()
