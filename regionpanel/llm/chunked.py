@@ -28,6 +28,12 @@ BACK = "chunk long, features binary, ids binary, hashes binary, sizes binary, te
 NAMES = ["chunk", "features", "ids", "hashes", "sizes", "texts"]
 
 
+def packed_ids(ids: pd.Series) -> bytes:
+    """Which ids are known, then all ids with 0 for null, as int64."""
+    ids = ids.astype("Int64")
+    return np.r_[ids.notna().to_numpy().astype(np.int64), ids.fillna(0).astype("int64").to_numpy()].tobytes()
+
+
 def chunks(batches: Iterator[pd.DataFrame], size: int) -> Iterator[tuple[int, pd.DataFrame, list[bytes]]]:
     """Identity, rows and texts as UTF-8 of consecutive rows; rows alike give chunks alike, wherever they are read."""
     for batch in batches:
@@ -36,7 +42,7 @@ def chunks(batches: Iterator[pd.DataFrame], size: int) -> Iterator[tuple[int, pd
             part = batch.iloc[a:b]
             chunk = xxhash.xxh3_64(b"\0".join(raw[a:b]))
             chunk.update(part["text_hash"].to_numpy().tobytes())
-            chunk.update(part["doc_id"].astype("float64").to_numpy().tobytes())
+            chunk.update(packed_ids(part["doc_id"]))
             yield chunk.intdigest() >> 1, part, raw[a:b]
 
 
@@ -83,11 +89,9 @@ def second_look(texts: DataFrame, features: Features, made: Made, schema: str, r
 
     def headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for chunk, part, raw in chunks(batches, size):
-            ids = part["doc_id"].astype("Int64")
-            both = np.r_[ids.notna().to_numpy().astype(np.int64), ids.fillna(0).astype("int64").to_numpy()]
             sizes = np.array([len(r) for r in raw], dtype=np.int64)
             packed = zstandard.ZstdCompressor(level=3).compress(b"".join(raw))
-            row = (chunk, None, both.tobytes(), part["text_hash"].to_numpy().astype("int64").tobytes(), sizes.tobytes(), packed)
+            row = (chunk, None, packed_ids(part["doc_id"]), part["text_hash"].to_numpy().astype("int64").tobytes(), sizes.tobytes(), packed)
             yield pd.DataFrame([row], columns=NAMES)
 
     def look(rows: pd.DataFrame) -> pd.DataFrame:

@@ -1,8 +1,10 @@
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 
+from regionpanel.llm.chunked import chunks
 from regionpanel.llm.common import WORD, bounded, words_of
 from regionpanel.llm.components import components
 from regionpanel.llm.shingles import BITS, pack, text_shingles, unpack
@@ -38,6 +40,15 @@ def test_shingles_are_windows_of_words():
     assert text_shingles(texts, lower=False)[0][0] != text_shingles(texts, lower=False)[0][2]
 
 
+def test_chunks_of_neighbouring_large_ids_differ():
+    def identity(*ids):
+        batch = pd.DataFrame({"doc_id": pd.array(ids, dtype="Int64"), "text_hash": np.ones(len(ids), dtype=np.int64), "text": ["a b c"] * len(ids)})
+        return [chunk for chunk, *_ in chunks(iter([batch]), 1000)]
+
+    assert identity(2**53, 1) == identity(2**53, 1) != identity(2**53 + 1, 1)
+    assert identity(0, 1) != identity(None, 1)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 95), (7, 7), (200, 201), (201, 200)]
     df = spark.createDataFrame(edges, "a long, b long")
