@@ -97,11 +97,13 @@ def reject_counts(spark, sf):
     total = F.when(key % 10 == 5, F.lit("n/a")).otherwise(F.col("total"))
     cells = [F.coalesce(c, F.lit("")) for c in (F.col("`order key`"), F.col("`order-day`"), F.col("`order.status`"), total)]
     line = F.concat_ws("\t", *cells, F.when(key % 10 == 0, F.lit("extra")))
-    text = _order_text(spark, sf).select(line.alias("line"))
-    # The header is a file's first line, so it goes into each file as its smallest.
-    header = spark.range(1).select(F.lit("\t".join(["order key", "order-day", "order.status", "total"])).alias("line"))
-    text.unionByName(header).coalesce(1).orderBy(F.col("line").rlike("^[0-9]")).write.text(path)
-    raw = read_by_name(spark, f"{path}/*.txt", ORDER_FILE)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    text = _order_text(spark, sf).select(F.pmod(F.xxhash64("order key"), F.lit(parts)).alias("part"), line.alias("line"))
+    # The header is a file's first line: one goes into each part, whose rows are all in one task, as its smallest.
+    header = spark.range(parts).select(F.col("id").alias("part"), F.lit("\t".join(["order key", "order-day", "order.status", "total"])).alias("line"))
+    rows = text.unionByName(header).repartition(parts, "part").sortWithinPartitions("part", F.col("line").rlike("^[0-9]"))
+    rows.write.partitionBy("part").text(path)
+    raw = read_by_name(spark, f"{path}/*/*.txt", ORDER_FILE)
     counts = reject_summary(raw, "order_file", {"total": numeric_text(F.col("total"))})
     return counts.select("source", "good", "rejected", "delivered", F.col("lost.total").alias("bad_total"))
 

@@ -93,3 +93,13 @@ def test_customer_with_a_third_of_all_orders_is_split(spark, tmp_path):
                 spark.conf.set(k, v)
     assert total == 15000 * 30
     assert "SortMergeJoin(skew=true)" in plan
+
+
+def test_dirty_orders_are_written_side_by_side(spark, tmp_path, monkeypatch):
+    from regionpanel.starschema import source_queries
+
+    monkeypatch.setattr(source_queries, "new_folder", lambda spark, label: f"{tmp_path}/{label}")
+    got = QUERIES["reject_counts"](spark, SF_DIR).first()
+    files = [f.read_text().split("\n") for f in (tmp_path / "dirty").rglob("*.txt")]
+    assert len(files) > 1 and all(f[0].startswith("order key\t") for f in files)
+    assert sum(len(f) - 2 for f in files) == got.delivered
