@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from typing import Any
+from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,57 +44,110 @@ def global_position(df: DataFrame, order: Sequence[Column], amount: str | None =
     )
 
 
-#: Accuracy of the first guess, and the rows among which the exact value is picked.
+#: Equal shares into which a bracket is cut in each round, and the accuracy of the cuts (error in rows: bracket / accuracy).
+CUTS = 1_000
 ACCURACY = 10_000
-PICK_ROWS = 100_000
 
 
-def quantiles(df: DataFrame, value: str, probs: dict[str, float], median: str | None = None) -> DataFrame:
+def quantiles(df: DataFrame, value: str, probs: dict[str, float], median: str | None = None, cuts: int = CUTS) -> DataFrame:
     """Exact quantiles as one row: the smallest value with at least that share of rows at or below it.
 
-    ``median`` names a further column with the mean of the two middle rows. Nothing is sorted or stored: approximate
-    percentiles give each rank a bracket, one pass counts the rows below and in all brackets, and a bracket is
-    narrowed until few rows are left to pick from. A value that most rows have is a bracket of one value.
+    ``median`` names a further column with the mean of the two middle rows. Nothing is sorted or stored. Every rank
+    has a bracket: an open interval, the rows below it and in it. One job a round serves all ranks: it counts the rows
+    at and between some pivots and cuts each stretch between pivots into ``cuts`` shares by approximate percentiles.
+    A rank that falls on the rows of a pivot is found, however many they are; else it goes on strictly between two
+    pivots, with the shares next to it as the next pivots. Pivots are values of rows inside the bracket, so every
+    round leaves fewer rows; a bracket shrinks to about 4 / ``cuts``, so a trillion rows take some six rounds.
+
+    Null values are left out; without rows all results are NULL.
     """
     rows = df.select(F.col(value).alias("v")).filter("v IS NOT NULL")
-    n = rows.count()
+    shares = [i / cuts for i in range(cuts + 1)]
+    n, grid = rows.agg(F.count(F.lit(1)), F.percentile_approx("v", shares, ACCURACY)).first()
     ranks = {name: max(math.ceil(q * n), 1) for name, q in probs.items()}
     if median:
         ranks |= {"_low": (n + 1) // 2, "_high": (n + 2) // 2}
-    found = dict.fromkeys(ranks.values()) if n else {}
-    open_at = {r: (rows, r, n) for r in found}
+    found: dict[int, Any] = {}
+    open_at = {r: Bracket(None, None, 0, n, grid) for r in ranks.values()} if n else {}
     while open_at:
-        open_at = _narrow(open_at, found)
-    picked = [found.get(r) for r in ranks.values()]
-    kind = rows.schema["v"].dataType
-    schema = T.StructType([T.StructField(name, kind) for name in ranks])
-    row = df.sparkSession.createDataFrame([tuple(picked)], schema)
+        open_at = _round(rows, open_at, found, shares)
+    schema = T.StructType([T.StructField(name, rows.schema["v"].dataType) for name in ranks])
+    row = df.sparkSession.createDataFrame([tuple(found.get(r) for r in ranks.values())], schema)
     if not median:
         return row
     return row.withColumn(median, (F.col("_low") + F.col("_high")) / 2).drop("_low", "_high")
 
 
-def _narrow(open_at: dict[int, tuple[DataFrame, int, int]], found: dict[int, Any]) -> dict[int, tuple[DataFrame, int, int]]:
-    """One step for all open ranks: pick the value where few rows are left, else go on inside a smaller bracket.
+class Bracket(NamedTuple):
+    """Rows strictly between ``low`` and ``high`` (None: no bound): how many lie before them, how many they are, and
+    the values that cut them into equal shares."""
+
+    low: Any
+    high: Any
+    before: int
+    rows: int
+    grid: Sequence[Any]
+
+    def holds(self) -> Column:
+        inside = F.lit(True)
+        if self.low is not None:
+            inside &= F.col("v") > F.lit(self.low)
+        if self.high is not None:
+            inside &= F.col("v") < F.lit(self.high)
+        return inside
+
+    def pivots(self, rank: int) -> list[Any]:
+        """The values of the shares around a rank."""
+        cuts = len(self.grid) - 1
+        at = (rank - self.before) / self.rows * cuts
+        near = range(max(math.floor(at) - 1, 0), min(math.ceil(at) + 1, cuts) + 1)
+        return [self.grid[i] for i in near]
+
+
+def _round(rows: DataFrame, open_at: dict[int, Bracket], found: dict[int, Any], shares: Sequence[float]) -> dict[int, Bracket]:
+    """One job for all open ranks; those that fall on a pivot go to ``found``, the others into a smaller bracket.
 
-    An entry holds the rows left, the rank among them and their number.
+    A row's region is twice the number of pivots below it, and one more if it is equal to the next.
     """
+    wanted: dict[tuple, list[int]] = {}
+    for rank, b in open_at.items():
+        wanted.setdefault((b.before, b.rows), []).append(rank)
+    brackets = {(b.before, b.rows): b for b in open_at.values()}
+    pivots = {}
+    for place, ranks in wanted.items():
+        values: list[Any] = []
+        for v in sorted(v for r in ranks for v in brackets[place].pivots(r)):
+            if not values or v != values[-1]:
+                values.append(v)
+        pivots[place] = values
+    where, region, start = F.lit(False), F.lit(None).cast("int"), {}
+    for i, place in enumerate(sorted(pivots)):
+        start[place] = sum(2 * len(pivots[p]) + 1 for p in sorted(pivots)[:i])
+        inside = brackets[place].holds()
+        passed = [(F.col("v") >= F.lit(p)).cast("int") + (F.col("v") > F.lit(p)).cast("int") for p in pivots[place]]
+        where |= inside
+        region = F.when(inside, sum(passed, F.lit(start[place]))).otherwise(region)
+    cut = rows.filter(where).groupBy(region.alias("region"))
+    # As many rows as regions: at most nine per rank.
+    counted = {r["region"]: r for r in cut.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("v", list(shares), ACCURACY).alias("grid")).collect()}
     left = {}
-    for r, (rows, rank, n) in open_at.items():
-        if n <= PICK_ROWS:
-            counts = rows.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-            # At most PICK_ROWS values; the sort has no key to be split by.
-            upto = counts.withColumn("c", F.sum("c").over(Window.orderBy("v")))
-            found[r] = upto.filter(F.col("c") >= rank).agg(F.min("v")).first()[0]
-            continue
-        around = [max(rank / n - 2 / ACCURACY, 0.0), min(rank / n + 2 / ACCURACY, 1.0)]
-        low, high = rows.agg(F.percentile_approx("v", around, ACCURACY)).first()[0]
-        if low == high:
-            found[r] = low
-            continue
-        inside = (F.col("v") >= F.lit(low)) & (F.col("v") <= F.lit(high))
-        below, some = rows.agg(F.count_if(F.col("v") < F.lit(low)), F.count_if(inside)).first()
-        left[r] = (rows.filter(inside), rank - below, some)
+    for place, ranks in wanted.items():
+        b, values = brackets[place], pivots[place]
+        for rank in ranks:
+            before = b.before
+            for i in range(2 * len(values) + 1):
+                got = counted.get(start[place] + i)
+                if got is None:
+                    continue
+                if rank <= before + got["n"]:
+                    if i % 2:
+                        found[rank] = values[i // 2]
+                    else:
+                        low = values[i // 2 - 1] if i else b.low
+                        high = values[i // 2] if i < 2 * len(values) else b.high
+                        left[rank] = Bracket(low, high, before, got["n"], got["grid"])
+                    break
+                before += got["n"]
     return left
 
 

@@ -144,6 +144,33 @@ def quantile_median(spark, sf):
     return quantiles(table(spark, sf, "orders"), "o_totalprice", {"q20": 0.2, "q90": 0.9}, "median")
 
 
+@query(
+    "quantile_narrowed",
+    """SELECT quantile_disc(l_extendedprice, 0.01) AS q01, quantile_disc(l_extendedprice, 0.25) AS q25,
+  quantile_disc(l_extendedprice, 0.75) AS q75, quantile_disc(l_extendedprice, 0.99) AS q99, median(l_extendedprice) AS median FROM lineitem""",
+    doubles=["q01", "q25", "q75", "q99", "median"],
+)
+def quantile_narrowed(spark, sf):
+    # Few cuts a round, so that every rank is narrowed over many rounds.
+    probs = {"q01": 0.01, "q25": 0.25, "q75": 0.75, "q99": 0.99}
+    return quantiles(table(spark, sf, "lineitem"), "l_extendedprice", probs, "median", cuts=6)
+
+
+@query(
+    "quantile_ties",
+    """WITH flags AS (SELECT CAST(o_totalprice > (SELECT quantile_disc(o_totalprice, 0.5) FROM orders) AS INTEGER) AS dear FROM orders)
+SELECT quantile_disc(dear, 0.2) AS q20, quantile_disc(dear, 0.5) AS q50, quantile_disc(dear, 0.51) AS q51, quantile_disc(dear, 0.8) AS q80,
+  median(dear) AS median FROM flags""",
+    doubles=["median"],
+)
+def quantile_ties(spark, sf):
+    # Two values with the median on their border.
+    orders = table(spark, sf, "orders").select("o_totalprice")
+    middle = quantiles(orders, "o_totalprice", {"cut": 0.5}).select("cut").scalar()
+    flags = orders.select((F.col("o_totalprice") > middle).cast("int").alias("dear"))
+    return quantiles(flags, "dear", {"q20": 0.2, "q50": 0.5, "q51": 0.51, "q80": 0.8}, "median", cuts=4)
+
+
 @query(
     "global_position",
     """SELECT o_orderkey, row_number() OVER (ORDER BY o_orderpriority, o_orderkey DESC) AS position FROM orders""",

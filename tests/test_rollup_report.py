@@ -218,3 +218,37 @@ def test_case_histogram_agrees_with_edges(spark):
     # The labels include their upper limit, the bins their lower one.
     by_bin = {int(r.bin_to): r.n for r in stats.histogram(df.select((F.col("v") - 1).alias("v")), "v", range(0, 1001, 100)).collect()}
     assert by_label == {k: n for k, n in by_bin.items() if n}
+
+TIED = {
+    "two": [0] * 5000 + [1] * 5000,
+    "two, odd": [0] * 5000 + [1] * 5001,
+    "three": [1] * 3000 + [2] * 4000 + [7] * 3000,
+    "nearly one": [5] * 1900 + list(range(20)),
+        "distinct": [(i * 7919) % 100_003 for i in range(2_000)],
+    "few": [4, 1, 4],
+}
+
+
+@pytest.mark.parametrize("kind", sorted(TIED))
+@pytest.mark.parametrize("cuts", [6, 1000])
+def test_quantiles_end_on_ties(spark, kind, cuts):
+    values = TIED[kind]
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double").repartition(4)
+    probs = {"q0": 0.0, "q1": 0.01, "q30": 0.3, "q49": 0.4999, "q50": 0.5, "q51": 0.5001, "q99": 0.99, "q100": 1.0}
+    got = ranks.quantiles(df, "v", probs, "mid", cuts=cuts).first()
+    order = np.sort(values)
+    assert [got[k] for k in probs] == [order[max(math.ceil(q * len(order)), 1) - 1] for q in probs.values()]
+    assert got.mid == np.median(values)
+
+
+def test_quantiles_of_all_ranks_take_one_job_a_round(spark):
+    df = spark.range(100_000).select((F.col("id") * 7919 % 100_003).alias("v"))
+    group = "quantile-rounds"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        ranks.quantiles(df, "v", {f"q{i}": i / 10 for i in range(11)}, "mid").first()
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # Under adaptive execution an aggregate is two jobs: its shuffle and its result.
+    assert jobs <= 2 * 4 + 1
