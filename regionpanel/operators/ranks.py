@@ -44,12 +44,14 @@ def global_position(df: DataFrame, order: Sequence[Column], amount: str | None =
     )
 
 
-#: Equal shares into which a bracket is cut in each round, and the accuracy of the cuts (error in rows: bracket / accuracy).
-CUTS = 1_000
+#: Equal shares into which a bracket is cut in each round, the accuracy of the cuts (error in rows: bracket / accuracy),
+#: and the rows of a bracket among which the value is picked.
+CUTS = 200
 ACCURACY = 10_000
+PICK_ROWS = 100_000
 
 
-def quantiles(df: DataFrame, value: str, probs: dict[str, float], median: str | None = None, cuts: int = CUTS) -> DataFrame:
+def quantiles(df: DataFrame, value: str, probs: dict[str, float], median: str | None = None, cuts: int = CUTS, pick: int = PICK_ROWS) -> DataFrame:
     """Exact quantiles as one row: the smallest value with at least that share of rows at or below it.
 
     ``median`` names a further column with the mean of the two middle rows. Nothing is sorted or stored. Every rank
@@ -57,20 +59,23 @@ def quantiles(df: DataFrame, value: str, probs: dict[str, float], median: str |
     at and between some pivots and cuts each stretch between pivots into ``cuts`` shares by approximate percentiles.
     A rank that falls on the rows of a pivot is found, however many they are; else it goes on strictly between two
     pivots, with the shares next to it as the next pivots. Pivots are values of rows inside the bracket, so every
-    round leaves fewer rows; a bracket shrinks to about 4 / ``cuts``, so a trillion rows take some six rounds.
+    round leaves fewer rows; a bracket shrinks to about 4 / ``cuts``, so a trillion rows take some five rounds. From
+    brackets of at most ``pick`` rows one last job takes the values.
 
     Null values are left out; without rows all results are NULL.
     """
     rows = df.select(F.col(value).alias("v")).filter("v IS NOT NULL")
-    shares = [i / cuts for i in range(cuts + 1)]
-    n, grid = rows.agg(F.count(F.lit(1)), F.percentile_approx("v", shares, ACCURACY)).first()
+    shares = F.expr(f"percentile_approx(v, array({', '.join(f'{i / cuts}D' for i in range(cuts + 1))}), {ACCURACY})")
+    n, grid = rows.agg(F.count(F.lit(1)), shares).first()
     ranks = {name: max(math.ceil(q * n), 1) for name, q in probs.items()}
     if median:
         ranks |= {"_low": (n + 1) // 2, "_high": (n + 2) // 2}
     found: dict[int, Any] = {}
     open_at = {r: Bracket(None, None, 0, n, grid) for r in ranks.values()} if n else {}
-    while open_at:
+    while any(b.rows > pick for b in open_at.values()):
         open_at = _round(rows, open_at, found, shares)
+    if open_at:
+        found |= _pick(rows, open_at)
     schema = T.StructType([T.StructField(name, rows.schema["v"].dataType) for name in ranks])
     row = df.sparkSession.createDataFrame([tuple(found.get(r) for r in ranks.values())], schema)
     if not median:
@@ -104,7 +109,7 @@ class Bracket(NamedTuple):
         return [self.grid[i] for i in near]
 
 
-def _round(rows: DataFrame, open_at: dict[int, Bracket], found: dict[int, Any], shares: Sequence[float]) -> dict[int, Bracket]:
+def _round(rows: DataFrame, open_at: dict[int, Bracket], found: dict[int, Any], shares: Column) -> dict[int, Bracket]:
     """One job for all open ranks; those that fall on a pivot go to ``found``, the others into a smaller bracket.
 
     A row's region is twice the number of pivots below it, and one more if it is equal to the next.
@@ -129,7 +134,7 @@ def _round(rows: DataFrame, open_at: dict[int, Bracket], found: dict[int, Any],
         region = F.when(inside, sum(passed, F.lit(start[place]))).otherwise(region)
     cut = rows.filter(where).groupBy(region.alias("region"))
     # As many rows as regions: at most nine per rank.
-    counted = {r["region"]: r for r in cut.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("v", list(shares), ACCURACY).alias("grid")).collect()}
+    counted = {r["region"]: r for r in cut.agg(F.count(F.lit(1)).alias("n"), shares.alias("grid")).collect()}
     left = {}
     for place, ranks in wanted.items():
         b, values = brackets[place], pivots[place]
@@ -151,6 +156,23 @@ def _round(rows: DataFrame, open_at: dict[int, Bracket], found: dict[int, Any],
     return left
 
 
+def _pick(rows: DataFrame, open_at: dict[int, Bracket]) -> dict[int, Any]:
+    """The values of all open ranks out of the few rows of their brackets, in one job."""
+    brackets = sorted({(b.before, b.rows): b for b in open_at.values()}.items())
+    number = {place: i for i, (place, _) in enumerate(brackets)}
+    of = F.lit(None).cast("int")
+    for i, (_, b) in enumerate(brackets):
+        of = F.when(b.holds(), i).otherwise(of)
+    counts = rows.select("v", of.alias("b")).filter("b IS NOT NULL").groupBy("b", "v").agg(F.count(F.lit(1)).alias("n"))
+    upto = counts.withColumn("upto", F.sum("n").over(Window.partitionBy("b").orderBy("v")))
+    wanted = []
+    for rank, b in open_at.items():
+        here = (F.col("b") == number[b.before, b.rows]) & (F.col("upto") >= rank - b.before)
+        wanted.append(F.min(F.when(here, F.col("v"))).alias(f"r{rank}"))
+    row = upto.agg(*wanted).first()
+    return {rank: row[f"r{rank}"] for rank in open_at}
+
+
 def rank_panels(df: DataFrame, key: str, date: str, value: str, size: int = 10) -> DataFrame:
     """Series grouped into panels of ``size`` entities by their value on the latest day, largest first.
 

@@ -153,7 +153,7 @@ def quantile_median(spark, sf):
 def quantile_narrowed(spark, sf):
     # Few cuts a round, so that every rank is narrowed over many rounds.
     probs = {"q01": 0.01, "q25": 0.25, "q75": 0.75, "q99": 0.99}
-    return quantiles(table(spark, sf, "lineitem"), "l_extendedprice", probs, "median", cuts=6)
+    return quantiles(table(spark, sf, "lineitem"), "l_extendedprice", probs, "median", cuts=20, pick=100)
 
 
 @query(
@@ -168,7 +168,7 @@ def quantile_ties(spark, sf):
     orders = table(spark, sf, "orders").select("o_totalprice")
     middle = quantiles(orders, "o_totalprice", {"cut": 0.5}).select("cut").scalar()
     flags = orders.select((F.col("o_totalprice") > middle).cast("int").alias("dear"))
-    return quantiles(flags, "dear", {"q20": 0.2, "q50": 0.5, "q51": 0.51, "q80": 0.8}, "median", cuts=4)
+    return quantiles(flags, "dear", {"q20": 0.2, "q50": 0.5, "q51": 0.51, "q80": 0.8}, "median", cuts=4, pick=1)
 
 
 @query(

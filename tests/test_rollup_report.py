@@ -230,12 +230,12 @@ TIED = {
 
 
 @pytest.mark.parametrize("kind", sorted(TIED))
-@pytest.mark.parametrize("cuts", [6, 1000])
-def test_quantiles_end_on_ties(spark, kind, cuts):
+@pytest.mark.parametrize(("cuts", "pick"), [(20, 1), (100, 150)])
+def test_quantiles_end_on_ties(spark, kind, cuts, pick):
     values = TIED[kind]
     df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double").repartition(4)
     probs = {"q0": 0.0, "q1": 0.01, "q30": 0.3, "q49": 0.4999, "q50": 0.5, "q51": 0.5001, "q99": 0.99, "q100": 1.0}
-    got = ranks.quantiles(df, "v", probs, "mid", cuts=cuts).first()
+    got = ranks.quantiles(df, "v", probs, "mid", cuts=cuts, pick=pick).first()
     order = np.sort(values)
     assert [got[k] for k in probs] == [order[max(math.ceil(q * len(order)), 1) - 1] for q in probs.values()]
     assert got.mid == np.median(values)
@@ -250,5 +250,5 @@ def test_quantiles_of_all_ranks_take_one_job_a_round(spark):
         jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
-    # Under adaptive execution an aggregate is two jobs: its shuffle and its result.
-    assert jobs <= 2 * 4 + 1
+    # Three passes and the collecting of the row; adaptive execution makes every shuffle a job of its own.
+    assert jobs <= 9
