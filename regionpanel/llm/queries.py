@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, lines, mixing, ngram_join, paragraphs, quality, sharding, suffix_dedup, tokens
+from . import chat_format, decontaminate, infill, licenses, lines, mixing, ngram_join, paragraphs, quality, sharding, suffix_dedup, tokens, turn_repair
 from .common import read, settle
+from .digests import ordered_digests
 from .sql import SQL  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +121,78 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the bytes of repeats."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix_dedup.without_repeats(docs, bytes_too=False).drop("text_hash", "kept")
+
+
+#: What both turns of an added conversation say: escapes and control strings.
+ODD_TEXT = "\\### Assistant: </turn> ok"
+ODD_CONVERSATION = -7
+#: Turns of a record.
+RECORD_TURNS = 4
+
+
+def chat_records(rows: DataFrame) -> DataFrame:
+    """Conversation rows as JSON records of several layouts: ``conv_id``, ``part`` and ``record``.
+
+    A record has at most four turns in a row, so none grows with its conversation. A question with its answer is a prompt
+    or an instruction, other turns of known roles have a list of speakers, anything else a list of messages.
+    """
+    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
+    known = [F.coalesce(c, F.lit("")).alias(c) for c in ("role", "text")]
+    rows = rows.select("conv_id", *known, F.row_number().over(order).cast("long").alias("at"))
+    rows = rows.groupBy("conv_id", ((F.col("at") - 1) / RECORD_TURNS).cast("long").alias("part"))
+    rows = rows.agg(F.array_sort(F.collect_list(F.struct("at", "role", "text"))).alias("t"))
+    odd = F.coalesce(F.col("conv_id") % 2 != 0, F.lit(False))
+    roles = F.transform("t", lambda t: t["role"])
+    pair = roles == F.array(F.lit("user"), F.lit("assistant"))
+    speakers = F.create_map(*[F.lit(x) for x in ("user", "human", "assistant", "gpt", "system", "system")])
+    plain = F.forall(roles, lambda r: r.isin("user", "assistant", "system"))
+    first, second = F.get("t", F.lit(0))["text"], F.get("t", F.lit(1))["text"]
+    spoken = F.transform("t", lambda t: F.struct(F.get(F.map_values(F.map_filter(speakers, lambda k, v: k == t["role"])), F.lit(0)).alias("from"), t["text"].alias("value")))
+    said = F.transform("t", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("content")))
+    record = (
+        F.when(pair & odd, F.to_json(F.struct(first.alias("prompt"), second.alias("completion"))))
+        .when(pair, F.to_json(F.struct(first.alias("instruction"), F.lit("").alias("input"), second.alias("output"))))
+        .when(plain & odd, F.to_json(F.struct(spoken.alias("conversations"))))
+        .otherwise(F.to_json(F.struct(said.alias("messages"))))
+    )
+    return rows.select("conv_id", "part", record.alias("record"))
+
+
+@query
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every conversation, read back from its formatted text and loss mask."""
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = spark.createDataFrame([(ODD_CONVERSATION, i, r, ODD_TEXT) for i, r in enumerate(("user", "assistant"))], rows.schema)
+    records = chat_format.canonical(chat_records(rows.unionByName(odd)))
+    turns = records.select("conv_id", "part", F.posexplode("turns").alias("at", "t")).select("conv_id", "part", "at", "t.role", "t.text")
+    back = chat_format.read_back(chat_format.render(turns))
+    told = F.concat("role", F.lit("\n"), "text", F.lit("\n"))
+    out = ordered_digests(back, "conv_id", ["part", "at"], {"turns": told, "loss": F.col("learnt"), "formatted": F.col("piece")})
+    return out.select("conv_id", F.col("n_rows").alias("n_turns"), "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form, cuts and digests of every document's infill, and of the text rebuilt from it."""
+    out = infill.fill_in_middle(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infill.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+@query
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and digest of every conversation after damage."""
+    rows = read(spark, sf_dir, "conversations")
+    found = turn_repair.faults(turn_repair.damage(rows))
+    audits = settle(turn_repair.audits(found), "audits")
+    turns = turn_repair.repaired(found, audits)
+    line = F.concat(F.when(F.col("at") == 0, "").otherwise("\n"), "role", F.lit(":"), "text")
+    digests = ordered_digests(turns, "conv_id", ["at"], {"repaired": line}).select(F.col("conv_id").alias("_conv"), "repaired_sha256")
+    counts = [F.when(F.col("cost").isNull(), 0).otherwise(F.col(c)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    out = rows.select("conv_id").distinct().join(audits.withColumnRenamed("conv_id", "_of"), F.col("conv_id").eqNullSafe(F.col("_of")), "left")
+    out = out.join(digests, F.col("conv_id").eqNullSafe(F.col("_conv")), "left")
+    empty = F.sha2(F.lit(""), 256)
+    return out.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", empty).alias("repaired_sha256"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import licenses, lines, mixing, ngram_join, quality
+from . import chat_format, licenses, lines, mixing, ngram_join, quality
 
 WORD = r"'[^\x20\x09-\x0D]+'"
 SQL: dict[str, str] = {}
@@ -187,3 +187,45 @@ WITH d AS (
 SELECT doc_id, l.source, CAST(size AS BIGINT) AS size, source_size, round(target, 6) AS target, CAST(coalesce(words, 0) AS BIGINT) AS taken
 FROM laid l JOIN t USING (source_key) LEFT JOIN taken ON taken.source_key = l.source_key AND taken.first = l.first AND l.size > 0
 """
+
+
+def _escaped(column: str) -> str:
+    out = f"replace({column}, {_text(chat_format.ESCAPE)}, {_text(chat_format.ESCAPE * 2)})"
+    for control in chat_format.TEMPLATE.controls:
+        out = f"replace({out}, {_text(control)}, {_text(control[0] + chat_format.ESCAPE + control[1:])})"
+    return out
+
+
+_marks = sum(map(len, (*chat_format.TEMPLATE.controls, chat_format.TEMPLATE.after)))
+SQL["op11_chat_format"] = rf"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, turn, role, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(turn, role)
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum({_marks} + length({_escaped('role')}) + length({_escaped('text')})) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+SQL["op12_fill_in_middle"] = """
+WITH texts AS (
+    SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), drawn AS (
+    SELECT doc_id, t, length(t) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+        CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM texts
+), cut AS (
+    SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS p, greatest(h1 % (n + 1), h2 % (n + 1)) AS m,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+            WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn
+), parts AS (
+    SELECT *, substring(t, 1, p) AS prefix, substring(t, p + 1, m - p) AS middle, substring(t, m + 1, n - m) AS suffix FROM cut
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN p END AS prefix_chars, CASE WHEN form <> 'plain' THEN m - p END AS middle_chars,
+    sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE t END) AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM parts
+"""
