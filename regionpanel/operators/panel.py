@@ -80,6 +80,27 @@ def latest_per(df: DataFrame, key: str | Sequence[str], date: str, *tie_break: C
     return dedupe(df, _names(key), [F.col(date).desc_nulls_last(), *tie_break])
 
 
+def first_rows_after(later: DataFrame, key: str, date: str, rows: int) -> DataFrame:
+    """Entity and date of the first ``rows`` rows of each entity."""
+    ranked = later.select(key, date).withColumn("_rn", F.row_number().over(by_day(key, date)))
+    return ranked.filter(F.col("_rn") <= rows).drop("_rn")
+
+
+def with_rows_before(here: DataFrame, before: DataFrame, older: DataFrame, key: str, date: str, rows: int) -> DataFrame:
+    """``here`` with the last ``rows`` rows of its entities in front: all rows ``before``, and what is missing from ``older``.
+
+    ``older`` is only read if some entity has fewer rows ``before``; it may be the whole history.
+    """
+    some = here.select(key).distinct()
+    counts = before.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    short = some.join(counts, key, "left").filter(F.coalesce("_n", F.lit(0)) < rows).select(key)
+    panel = here.unionByName(before)
+    if older.isEmpty() or short.isEmpty():
+        return panel
+    ranked = older.join(short, key, "left_semi").withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy(F.col(date).desc())))
+    return panel.unionByName(ranked.filter(F.col("_rn") <= rows).drop("_rn"))
+
+
 def entities_with_data(df: DataFrame, key: str, measures: Iterable[str]) -> DataFrame:
     """Entities for which the total of at least one measure is above zero."""
     totals = df.groupBy(key).agg(*[F.sum(m).alias(m) for m in measures])

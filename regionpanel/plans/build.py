@@ -2,34 +2,26 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from .. import __version__
-from ..functions import numeric_text
-from ..operators.panel import require_unique
+from ..operators.panel import entities_with_data, require_unique
 from ..operators.report import latest_day
-from ..sinks import write_json, write_table, write_tsv
-from ..sources import (
-    fingerprint,
-    good_rows,
-    ingest_json_rows,
-    read_by_name,
-    read_daily_files,
-    reject_summary,
-    rejects,
-    source,
-)
+from ..sinks import pointer, publish, read_table, write_json, write_tsv
+from ..sinks.versions import Pointer, read_parts
+from ..sources import fingerprint
 from ..sources.calendar import CALENDAR_FIRST
 from ..sources.daily_files import FIRST_DAY
 from ..sources.seeds import state_abbreviations
 from . import cases, counties, deaths, states
 from .counties import MONTH
+from .deliveries import DAILY, Delivery, receive, reject_counts
 
 KEYS = {
     "county_daily": ["FIPS", "Date"],
@@ -49,6 +41,7 @@ _STATE = {"state_daily", "tests", *_STATE_DIM}
 _WEEKLY = {"weekly_deaths_new", "weekly_deaths_old"}
 NEEDS = {
     "county_clean": _COUNTY,
+    "county_totals": _COUNTY,
     "county_daily": _COUNTY,
     "county_population": {"county_population", "state_population"},
     "county_dim": _COUNTY | _PLACES,
@@ -66,10 +59,10 @@ NEEDS = {
 
 
 def _keep(spark: SparkSession, out: str, name: str, mark: str, write: Callable[[], None]) -> None:
-    """Run ``write`` unless the table is noted as made from ``mark``.
+    """Run ``write`` unless the export is noted as made from ``mark``.
 
-    The note is withdrawn before and set after the table is written, so a build that dies in between makes the
-    table again next time.
+    The note is withdrawn before and set after the export is written, so a build that dies in between makes the
+    export again next time.
     """
     path = f"{out}/made_from/{name}"
     try:
@@ -87,124 +80,161 @@ def _keep(spark: SparkSession, out: str, name: str, mark: str, write: Callable[[
     note(mark)
 
 
-def read_sources(
-    spark: SparkSession, paths: Mapping[str, str], since: str = FIRST_DAY
-) -> tuple[dict[str, DataFrame], set[str]]:
-    """Delivered sources as text tables by contract name, and which of them tell malformed records (`MALFORMED`)."""
-    raw, telling = {}, set()
-    for name, path in paths.items():
-        if name == "county_daily":
-            raw[name] = read_daily_files(spark, path, since=since)
-        elif name == "county_survey":
-            contract = source(name)
-            raw[name] = ingest_json_rows(spark, path, contract.columns, contract.encoding)
-            continue
-        else:
-            raw[name] = read_by_name(spark, path, source(name))
-        telling.add(name)
-    raw.setdefault("state_abbreviations", state_abbreviations(spark))
-    return raw, telling
-
-
-#: Columns that must be numbers where they are not blank, to count what a delivery loses.
-NUMBERS = {
-    "county_daily": ("Confirmed", "Deaths"),
-    "state_daily": ("tot_cases", "new_case", "tot_death", "new_death"),
-    "tests": ("new_results_reported",),
-    "weekly_deaths_new": ("All_Cause",),
-    "weekly_deaths_old": ("All__Cause",),
-    "county_population": ("POPESTIMATE2019",),
-    "state_population": ("POPESTIMATE2019",),
-}
+def _differing(now: Mapping[str, str], then: Mapping[str, str]) -> list[dt.date]:
+    """Months whose marks differ, in order."""
+    return [dt.date.fromisoformat(m) for m in sorted(m for m in now.keys() | then.keys() if now.get(m) != then.get(m))]
 
 
-def _arrive(spark: SparkSession, raw: Mapping[str, DataFrame], telling: set[str], out: str) -> dict[str, str]:
-    """Parse every delivery once, into ``out/arrived``; replace ``out/raw`` where the content is new; returns marks.
+def _months(first: dt.date, last: dt.date) -> list[str]:
+    """First days of all months from ``first`` to ``last``."""
+    count = (last.year - first.year) * 12 + last.month - first.month
+    return [dt.date(first.year + (first.month - 1 + i) // 12, (first.month - 1 + i) % 12 + 1, 1).isoformat() for i in range(count + 1)]
 
-    ``out/rejects`` gets the records that do not fit their header, ``out/tables/reject_counts`` a row per source:
-    delivered = good + rejected, and the good records a number could not be read from.
-    """
-    marks, counts = {}, None
-    for name, df in raw.items():
-        write_table(df, f"{out}/arrived/{name}")
-        arrived = spark.read.schema(df.schema).parquet(f"{out}/arrived/{name}")
-        good = good_rows(arrived) if name in telling else arrived
-        marks[name] = "{} rows, {}, version {}".format(*fingerprint(good).first(), __version__)
-        _keep(spark, out, f"raw/{name}", marks[name], partial(write_table, good, f"{out}/raw/{name}"))
-        if name in telling:
-            write_table(rejects(arrived, name), f"{out}/rejects/{name}")
-            typed = {c: numeric_text(F.col(c)) for c in NUMBERS.get(name, ())}
-            summary = reject_summary(arrived, name, typed)
-            lost = [F.col(f"lost.{c}") for c in typed]
-            summary = summary.select("source", "delivered", "good", "rejected", (sum(lost[1:], lost[0]) if lost else F.lit(0).cast("long")).alias("unread_numbers"))
-            counts = summary if counts is None else counts.unionByName(summary)
-    if counts is not None:
-        write_table(counts.coalesce(1), f"{out}/tables/reject_counts")
-    return marks
 
+#: Rows of some months, and the months that they are all rows of.
+Part = tuple[DataFrame, list[str]]
 
-def build(
-    spark: SparkSession, paths: Mapping[str, str], out: str, since: str = FIRST_DAY, first: str | None = CALENDAR_FIRST, end: str | None = None
-) -> dict[str, DataFrame]:
-    """Write all tables below ``out/tables`` and all exports below ``out/exports``; returns the stored tables.
 
-    Tables are made for the sources that are given; those that rest on others are left out. Only raw tables whose
-    content has changed and the tables and exports resting on them are made again. A table with a key is written
-    aside and checked first, so a bad delivery leaves the table of the last good one in place. ``since`` is the first
-    day of the daily files, ``first`` and ``end`` bound the days with state rates and means; no end by default.
-    """
-    raw, telling = read_sources(spark, paths, since)
-    marks = _arrive(spark, raw, telling, out)
-    src = {name: spark.read.parquet(f"{out}/raw/{name}") for name in raw}
-    tables: dict[str, DataFrame] = {}
-    span = f"{since}, {first}, {end}"
+class Tables:
+    """The stored tables of one build below ``out/tables``; see `build`."""
 
-    def mark_of(names: Iterable[str]) -> str:
-        return "; ".join(f"{n}: {marks[n]}" for n in sorted({n for t in names for n in NEEDS[t]})) + f"; {span}"
+    def __init__(self, spark: SparkSession, out: str, sources: Mapping[str, Delivery], span: str):
+        self.spark, self.out, self.sources, self.span = spark, out, sources, span
+        self.made: dict[str, DataFrame] = {}
 
-    def store(name: str, make: Callable[[], DataFrame], by_month: str | None = None) -> None:
-        if not NEEDS[name] <= set(src):
-            return
-        path = f"{out}/tables/{name}"
+    def rows(self, name: str) -> DataFrame:
+        return self.sources[name].rows.drop(MONTH)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.made[name].drop(MONTH)
+
+    def can_make(self, name: str) -> bool:
+        return NEEDS[name] <= set(self.sources)
+
+    def mark_of(self, names: Iterable[str]) -> str:
+        return "; ".join(f"{n}: {self.sources[n].mark}" for n in sorted({n for t in names for n in NEEDS[t]})) + f"; {self.span}"
 
-        def write() -> None:
+    def _check(self, name: str) -> Callable[[DataFrame], object] | None:
+        return (lambda df: require_unique(df, KEYS[name], name)) if name in KEYS else None
+
+    def _use(self, name: str, at: Pointer) -> None:
+        self.made[name] = read_parts(self.spark, f"{self.out}/tables/{name}", at)
+
+    def store(self, name: str, make: Callable[[], DataFrame], date: str | None = None) -> None:
+        """A table made as a whole, unless it is there from the same sources; with ``date`` it is kept by month."""
+        if not self.can_make(name):
+            return
+        path, mark = f"{self.out}/tables/{name}", self.mark_of([name])
+        at = pointer(self.spark, path)
+        if at is None or at.mark != mark:
             df = make()
-            if name in KEYS:
-                write_table(df, f"{out}/aside/{name}")
-                df = spark.read.schema(df.schema).parquet(f"{out}/aside/{name}")
-                require_unique(df, KEYS[name], name)
-            if by_month:
-                write_table(df.withColumn(MONTH, F.trunc(by_month, "month")), path, [MONTH])
-            else:
-                write_table(df, path)
-
-        _keep(spark, out, f"tables/{name}", mark_of([name]), write)
-        tables[name] = spark.read.parquet(path)
-
-    def t(name: str) -> DataFrame:
-        return tables[name].drop(MONTH)
-
-    store("county_clean", lambda: counties.clean_daily(src["county_daily"]))
-    store("county_daily", lambda: counties.filtered_daily(t("county_clean")), "Date")
-    store("county_population", lambda: counties.county_population(src["county_population"], src["state_population"]))
-    store("county_dim", lambda: counties.county_dim(t("county_daily"), t("county_population"), src["county_survey"]))
-    store("county_base", lambda: counties.county_base(t("county_daily")), "Date")
-    store("county_progress", lambda: counties.county_progress(t("county_base"), t("county_dim")), "Date")
-    store("state_dim", lambda: states.state_dim(src["state_population"], src["state_abbreviations"]))
-    store("state_tests", lambda: states.positivity(states.clean_tests(src["tests"]), first=first, end=end), "Date")
-    store(
+            df = df.withColumn(MONTH, F.trunc(date, "month")) if date else df
+            at = publish(df, path, MONTH if date else None, mark=mark, check=self._check(name))
+        self._use(name, at)
+
+    def store_months(
+        self, name: str, mark: str, make: Callable[[], DataFrame], some: Callable[[dt.date, dt.date], Part], date: str | None = "Date"
+    ) -> None:
+        """A table by month that rests on the daily files: of the months these differ in from what it was made from, only
+        what they reach is made, by ``some`` from the first and the last of them. Another ``mark`` makes all of it.
+        """
+        if not self.can_make(name):
+            return
+        path, marks = f"{self.out}/tables/{name}", self.sources[DAILY].months
+        at = pointer(self.spark, path)
+        dirty = _differing(marks, at.basis) if at else []
+
+        def stored(df: DataFrame, replaces: list[str] | None) -> Pointer:
+            df = df.withColumn(MONTH, F.trunc(date, "month")) if date else df
+            return publish(df, path, MONTH, replaces, mark, marks, self._check(name))
+
+        if at is None or at.mark != mark:
+            at = stored(make(), None)
+        elif dirty:
+            at = stored(*some(dirty[0], dirty[-1]))
+        self._use(name, at)
+
+
+def _county_tables(t: Tables) -> None:
+    """Tables that rest on the daily files, brought up to date by month."""
+    if DAILY not in t.sources:
+        return
+    made_by = f"version {__version__}; {t.span}"
+
+    def within(df: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
+        return df.filter(F.col(MONTH).between(F.lit(first), F.lit(last)))
+
+    def clean(first: dt.date, last: dt.date) -> Part:
+        return counties.clean_daily(within(t.sources[DAILY].rows, first, last)), _months(first, last)
+
+    def totals(first: dt.date, last: dt.date) -> Part:
+        return counties.monthly_totals(within(t.made["county_clean"], first, last)), _months(first, last)
+
+    t.store_months("county_clean", made_by, lambda: counties.clean_daily(t.sources[DAILY].rows), clean, None)
+    t.store_months("county_totals", made_by, lambda: counties.monthly_totals(t.made["county_clean"]), totals, None)
+    entities = entities_with_data(t.made["county_totals"], "FIPS", counties.TOTALS)
+    # A code that comes to have data, or has none any more, concerns all its days.
+    made_by += "; codes {} {}".format(*fingerprint(entities).first())
+
+    def daily(first: dt.date, last: dt.date) -> Part:
+        return counties.filtered_daily(within(t.made["county_clean"], first, last), entities), _months(first, last)
+
+    def base(first: dt.date, last: dt.date) -> Part:
+        rows, upto = counties.base_of_months(t.made["county_daily"], first, last)
+        return rows, _months(first, upto)
+
+    t.store_months("county_daily", made_by, lambda: counties.filtered_daily(t.made["county_clean"], entities), daily)
+    t.store_months("county_base", made_by, lambda: counties.county_base(t["county_daily"]), base)
+    t.store("county_population", lambda: counties.county_population(t.rows("county_population"), t.rows("state_population")))
+    t.store("county_dim", lambda: counties.county_dim(t["county_daily"], t["county_population"], t.rows("county_survey")))
+    if "county_dim" not in t.made:
+        return
+    made_by += "; people {} {}".format(*fingerprint(t["county_dim"].select("FIPS", "Population")).first())
+
+    def progress(first: dt.date, last: dt.date) -> Part:
+        _, reached = counties.base_of_months(t.made["county_daily"], first, last)
+        rows, upto = counties.progress_of_months(t.made["county_base"], t["county_dim"], first, reached)
+        return rows, _months(first, upto)
+
+    t.store_months("county_progress", made_by, lambda: counties.county_progress(t["county_base"], t["county_dim"]), progress)
+
+
+def build(
+    spark: SparkSession, paths: Mapping[str, str], out: str, since: str = FIRST_DAY, first: str | None = CALENDAR_FIRST, end: str | None = None
+) -> dict[str, DataFrame]:
+    """Bring all tables below ``out/tables`` and all exports below ``out/exports`` up to date; returns the stored tables.
+
+    Tables are made for the sources that are given; those that rest on others are left out. Of the sources only files that
+    are new or changed are read; only tables and exports whose sources have other content are made again, and of the
+    county tables only the months that changes reach. Every table is written beside the one in use, checked if it has a
+    key, and then taken into use by its pointer (`read_table` follows it), so a build that fails or dies at any point
+    leaves all tables readable as they were. ``since`` is the first day of the daily files, ``first`` and ``end`` bound
+    the days with state rates and means; no end by default.
+    """
+    sources = {name: receive(spark, name, path, out, since) for name, path in paths.items()}
+    if sources:
+        publish(reject_counts(spark, list(sources), out).coalesce(1), f"{out}/tables/reject_counts")
+    if "state_abbreviations" not in sources:
+        sources["state_abbreviations"] = Delivery(state_abbreviations(spark), f"version {__version__}")
+    t = Tables(spark, out, sources, f"{since}, {first}, {end}")
+    _county_tables(t)
+    t.store("county_population", lambda: counties.county_population(t.rows("county_population"), t.rows("state_population")))
+    t.store("state_dim", lambda: states.state_dim(t.rows("state_population"), t.rows("state_abbreviations")))
+    t.store("state_tests", lambda: states.positivity(states.clean_tests(t.rows("tests")), first=first, end=end), "Date")
+    t.store(
         "state_facts",
-        lambda: states.state_facts(states.clean_state_daily(src["state_daily"]), t("state_dim"), t("state_tests"), first, end),
+        lambda: states.state_facts(states.clean_state_daily(t.rows("state_daily")), t["state_dim"], t["state_tests"], first, end),
         "Date",
     )
-    store("nation_facts", lambda: states.nation_facts(t("state_facts"), t("state_dim")))
-    store("weekly_deaths", lambda: deaths.clean_weekly_deaths(src["weekly_deaths_new"], src["weekly_deaths_old"]))
-    store("state_deaths", lambda: deaths.state_deaths(t("weekly_deaths"), t("state_facts"), src["state_abbreviations"]))
-    store("case_level", lambda: cases.case_level(src["cases"]))
-    store("cases_by_week", lambda: cases.weekly_report(t("case_level")))
+    t.store("nation_facts", lambda: states.nation_facts(t["state_facts"], t["state_dim"]))
+    t.store("weekly_deaths", lambda: deaths.clean_weekly_deaths(t.rows("weekly_deaths_new"), t.rows("weekly_deaths_old")))
+    t.store("state_deaths", lambda: deaths.state_deaths(t["weekly_deaths"], t["state_facts"], t.rows("state_abbreviations")))
+    t.store("case_level", lambda: cases.case_level(t.rows("cases")))
+    t.store("cases_by_week", lambda: cases.weekly_report(t["case_level"]))
+    tables = t.made
 
     def snapshot() -> DataFrame:
-        return counties.county_snapshot(latest_day(t("county_progress"), "Date"), t("county_dim"), t("state_dim"))
+        return counties.county_snapshot(latest_day(t["county_progress"], "Date"), t["county_dim"], t["state_dim"])
 
     exports = {
         "counties_rate_of_change": (("county_progress", "county_dim", "state_dim"), write_json, snapshot, ["FIPS", "Date"]),
@@ -216,13 +246,13 @@ def build(
             ["FIPS", "Date"],
         ),
         "states_7day_avg": (("state_facts",), write_tsv, lambda: states.state_averages_export(tables["state_facts"]), ["State", "Date"]),
-        "state_population": (("state_dim",), write_json, lambda: t("state_dim"), ["State"]),
-        "cases_by_week": (("cases_by_week",), write_tsv, lambda: t("cases_by_week"), ["week_ending_date", "race_ethnicity_combined"]),
+        "state_population": (("state_dim",), write_json, lambda: t["state_dim"], ["State"]),
+        "cases_by_week": (("cases_by_week",), write_tsv, lambda: t["cases_by_week"], ["week_ending_date", "race_ethnicity_combined"]),
     }
 
     def export(name: str) -> None:
         needs, write, make, order = exports[name]
-        _keep(spark, out, f"exports/{name}", mark_of(needs), lambda: write(make(), f"{out}/exports/{name}", order))
+        _keep(spark, out, f"exports/{name}", t.mark_of(needs), lambda: write(make(), f"{out}/exports/{name}", order))
 
     # Exports do not depend on each other, so their jobs run side by side.
     with ThreadPoolExecutor(len(exports)) as pool:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,9 +25,11 @@ from ..operators.panel import (
     dedupe,
     earlier,
     entities_with_data,
+    first_rows_after,
     has_earlier,
     keep_entities,
     latest_per,
+    with_rows_before,
 )
 from ..operators.report import trailing_days
 from ..operators.rollup import patch_group
@@ -34,8 +38,10 @@ TOTALS = ("Confirmed", "Deaths", "Recovered", "Active")
 #: Partition column of stored panels: the first of the date's month.
 MONTH = "month"
 EXPORT_DAYS = 30
-#: Days before a row that its changes look at.
+#: Days before a row that its changes look at, rows of a mean, and months in which its rows are looked for first.
 REACH = 30
+MEAN_ROWS = 7
+NEAR_MONTHS = 2
 
 # Codes that repeat a territory, a city reported under one of its five counties, and the code
 # under which a territory's own total is added.
@@ -58,17 +64,27 @@ def clean_daily(raw: DataFrame) -> DataFrame:
     )
 
 
-def regions_with_data(clean: DataFrame) -> DataFrame:
-    """Codes of the home country with any count above zero, territories counted once."""
-    home = clean.filter(
+def _home(clean: DataFrame) -> DataFrame:
+    return clean.filter(
         (F.col("Country_Region") == HOME_COUNTRY) & ~F.col("FIPS").isin(*REPEATED_CODES) & (F.length("FIPS") > 0)
     )
-    return entities_with_data(home, "FIPS", TOTALS)
 
 
-def filtered_daily(clean: DataFrame) -> DataFrame:
+def regions_with_data(clean: DataFrame) -> DataFrame:
+    """Codes of the home country with any count above zero, territories counted once."""
+    return entities_with_data(_home(clean), "FIPS", TOTALS)
+
+
+def monthly_totals(clean: DataFrame) -> DataFrame:
+    """Sums per code and month, from which `entities_with_data` gives what `regions_with_data` does."""
+    return _home(clean).groupBy(MONTH, "FIPS").agg(*[F.sum(c).alias(c) for c in TOTALS])
+
+
+def filtered_daily(clean: DataFrame, entities: DataFrame | None = None) -> DataFrame:
     """One row per code and day; of repeated rows the one with the higher counts.
 
+    ``entities`` are the codes to keep, those of `regions_with_data` by default.
+
     Repeats go before the codes are looked up: they are dropped ahead of each shuffle, so a code with a great
     many copies reaches the join with one row per day.
     """
@@ -76,9 +92,10 @@ def filtered_daily(clean: DataFrame) -> DataFrame:
         "Date", parse_date(F.col("Date"), "yyyyMMdd")
     )
     # Rows of the same counts are told apart by one number, the same in every run.
-    rest = F.xxhash64(*[c for c in rows.columns if c not in ("FIPS", "Date", "Confirmed", "Deaths")])
+    rest = F.xxhash64(*[c for c in rows.columns if c not in ("FIPS", "Date", "Confirmed", "Deaths", MONTH)])
     order = [F.col("Confirmed").desc_nulls_last(), F.col("Deaths").desc_nulls_last(), rest]
-    return keep_entities(dedupe(rows, ["FIPS", "Date"], order), regions_with_data(clean), "FIPS")
+    known = regions_with_data(clean) if entities is None else entities
+    return keep_entities(dedupe(rows, ["FIPS", "Date"], order), known, "FIPS")
 
 
 def county_population(counties: DataFrame, states: DataFrame) -> DataFrame:
@@ -135,6 +152,39 @@ def county_base(filtered: DataFrame) -> DataFrame:
     )
 
 
+def month_end(day: dt.date) -> dt.date:
+    return (day.replace(day=1) + dt.timedelta(days=32)).replace(day=1) - dt.timedelta(days=1)
+
+
+def base_of_months(daily: DataFrame, first: dt.date, last: dt.date) -> tuple[DataFrame, dt.date]:
+    """`county_base` for changes in the months ``first`` to ``last`` (their first days): all days they reach, to the end
+    of a month, and the last day reached. ``daily`` is stored by month.
+
+    A mean over seven rows reaches the six rows after a change, whenever these are, and needs the six before it.
+    """
+    later = daily.filter(F.col(MONTH) > F.lit(last))
+    reached = first_rows_after(later, "FIPS", "Date", MEAN_ROWS - 1).agg(F.max("Date")).first()[0]
+    upto = reached or month_end(last)
+    here = daily.filter(F.col(MONTH).between(F.lit(first), F.lit(upto.replace(day=1))))
+    near = F.add_months(F.lit(first), -NEAR_MONTHS)
+    before = daily.filter((F.col(MONTH) >= near) & (F.col(MONTH) < F.lit(first)))
+    older = daily.filter(F.col(MONTH) < near)
+    panel = with_rows_before(here, before, older, "FIPS", "Date", MEAN_ROWS - 1)
+    return county_base(panel).filter(F.col("Date").between(F.lit(first), F.lit(month_end(upto)))), upto
+
+
+def progress_of_months(base: DataFrame, dim: DataFrame, first: dt.date, upto: dt.date) -> tuple[DataFrame, dt.date]:
+    """`county_progress` of the days that changes of ``base`` from ``first`` to ``upto`` reach, and the last of them.
+
+    Changes look back ``REACH`` days, and at rates a week ago.
+    """
+    last = upto + dt.timedelta(days=REACH)
+    begin = first - dt.timedelta(days=REACH + 7)
+    near = base.filter((F.col(MONTH) >= F.trunc(F.lit(begin), "month")) & (F.col(MONTH) <= F.trunc(F.lit(last), "month")))
+    rows = county_progress(near.filter(F.col("Date") >= F.lit(begin)).drop(MONTH), dim)
+    return rows.filter(F.col("Date").between(F.lit(first), F.lit(month_end(last)))), last
+
+
 def county_progress(base: DataFrame, dim: DataFrame) -> DataFrame:
     """Changes over a day, a week, two weeks and a month, and the two-week rate with its weekly change.
 
@@ -202,7 +252,7 @@ def county_progress(base: DataFrame, dim: DataFrame) -> DataFrame:
     )
 
 
-# Columns of the rate-of-change export that come straight from the progress panel, in export order.
+# Columns of the rate-of-change export that come straight from the progress panel, in export order.
 SNAPSHOT_MEASURES = (
     "Confirmed",
     "ConfirmedIncrease",

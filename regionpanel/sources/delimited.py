@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 from collections import Counter, defaultdict
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from typing import NamedTuple
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,12 +14,13 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from ..functions import clean_name
+from ..session import settle
 from .contracts import Contract
 from .fingerprint import same_content
 
 #: Holds the text of a record whose cells do not fit its header.
 MALFORMED = "_malformed"
-MARKS = '[﻿"\\r]'
+MARKS = "[\ufeff\\r]"
 
 
 def require(columns: Sequence[str], needed: Sequence[str], where: str) -> None:
@@ -27,6 +30,13 @@ def require(columns: Sequence[str], needed: Sequence[str], where: str) -> None:
         raise ValueError(f"{where}: missing columns {', '.join(missing)}")
 
 
+def header_cells(header: str, sep: str, where: str) -> list[str]:
+    """The cells of a header line; a quoted one may hold the separator."""
+    if header.count('"') % 2:
+        raise ValueError(f"{where}: a header cell holds a line break: {header}")
+    return next(csv.reader([header], delimiter=sep), [])
+
+
 def clean_names(header: Sequence[str], where: str) -> list[str]:
     """Cleaned header names; two that fall together raise."""
     names = [clean_name(c) for c in header]
@@ -77,38 +87,48 @@ def read_layout(
     )
 
 
-def layouts(found: DataFrame) -> dict[str, tuple[bool, int]]:
-    """Distinct headers with whether cells hold line breaks and the number of files; as many rows as layouts."""
-    rows = found.groupBy("header").agg(F.max("broken").alias("broken"), F.count(F.lit(1)).alias("files")).collect()
-    return {r["header"]: (r["broken"], r["files"]) for r in sorted(rows, key=lambda r: r["header"])}
+class Layout(NamedTuple):
+    header: str
+    broken: bool
+    files: list[str] | None
+
+
+def layouts(found: DataFrame, listed: bool = False) -> Iterator[Layout]:
+    """Distinct headers, whether cells hold line breaks, and the files: none to name if there is one header only.
+
+    ``found`` is the result of `first_lines`; the text is read once for it. With several headers, or where ``listed``
+    asks for it, the files are listed, which is the listing Spark keeps on the driver to plan a scan.
+    """
+    found = settle(found, "headers")
+    rows = found.groupBy("header").agg(F.max("broken").alias("broken")).collect()
+    files: dict[str, list[str]] = defaultdict(list)
+    if listed or len(rows) > 1:
+        for row in found.select("file", "header").toLocalIterator():
+            files[row["header"]].append(unquote(row["file"]))
+    for r in sorted(rows, key=lambda r: r["header"]):
+        yield Layout(r["header"], r["broken"], sorted(files[r["header"]]) if files else None)
 
 
 def read_by_name(
-    spark: SparkSession, paths: str | Sequence[str], contract: Contract, file_column: str | None = None
+    spark: SparkSession, paths: str | Sequence[str], contract: Contract, file_column: str | None = None, path_column: str | None = None
 ) -> DataFrame:
     """All columns of the files as text under cleaned header names, blanks as NULL, and `MALFORMED`.
 
     Every file's cells are bound by its own header, so files may order their columns differently and have more of
-    them. Files of one header are read together: all at once if there is only one, else by list, the same listing
-    Spark keeps on the driver to plan a scan. ``file_column`` names a further column with the file's name.
+    them. Files of one header are read together. ``file_column`` names a further column with the file's name,
+    ``path_column`` one with its path as listings have it.
     """
-    where = contract.name
-    found = first_lines(spark, paths, contract.encoding)
-    kinds = layouts(found)
-    if not kinds:
-        raise ValueError(f"{where}: no file with a header line at {paths}")
-    files: dict[str, list[str]] = defaultdict(list)
-    if len(kinds) > 1:
-        for row in found.select("file", "header").toLocalIterator():
-            files[row["header"]].append(unquote(row["file"]))
-    whole = None
-    for header, (broken, _) in kinds.items():
-        names = clean_names(header.split(contract.sep), where)
+    where, whole = contract.name, None
+    for layout in layouts(first_lines(spark, paths, contract.encoding)):
+        names = clean_names(header_cells(layout.header, contract.sep, where), where)
         require(names, contract.columns, where)
-        part = read_layout(spark, sorted(files[header]) if len(kinds) > 1 else paths, names, contract.sep, contract.encoding, broken)
-        if file_column:
-            part = part.withColumn(file_column, F.col("_metadata.file_name"))
+        part = read_layout(spark, layout.files or paths, names, contract.sep, contract.encoding, layout.broken)
+        for column, value in ((file_column, "file_name"), (path_column, "file_path")):
+            if column:
+                part = part.withColumn(column, F.col(f"_metadata.{value}"))
         whole = part if whole is None else whole.unionByName(part, allowMissingColumns=True)
+    if whole is None:
+        raise ValueError(f"{where}: no file with a header line at {paths}")
     return whole.select(*[c for c in whole.columns if c != MALFORMED], MALFORMED)
 
 
@@ -131,6 +151,22 @@ def rejects(df: DataFrame, source: str, column: str | None = None) -> DataFrame:
     )
 
 
+def reject_reason(needed: Mapping[str, Column | None]) -> Column:
+    """Why a record of `read_by_name` cannot be used, NULL if it can.
+
+    ``needed`` names the columns a record cannot do without and what reads them: a blank one is missing, one that reads
+    as NULL cannot be read. None takes any text. A column whose reader never looks at blanks may be blank.
+    """
+    reason = F.when(F.col(MALFORMED).isNotNull(), "cells do not fit the header")
+    for column, value in needed.items():
+        if value is None:
+            reason = reason.when(F.col(column).isNull(), f"{column} is missing")
+        else:
+            blank = F.col(column).isNull()
+            reason = reason.when(value.isNull(), F.when(blank, f"{column} is missing").otherwise(f"{column} cannot be read"))
+    return reason
+
+
 def reject_summary(df: DataFrame, source: str, typed: Mapping[str, Column]) -> DataFrame:
     """One row: ``source``, records ``delivered`` = ``good`` + ``rejected``, and ``lost``: by column the good records
     whose text ``typed`` could not read (without ``typed``, those whose first cell is blank). ``df`` is the result of `read_by_name`, read once."""

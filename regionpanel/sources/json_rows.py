@@ -11,16 +11,18 @@ from .delimited import clean_names, require
 
 
 def ingest_json_rows(
-    spark: SparkSession, path: str, columns: Sequence[str] = (), encoding: str = "UTF-8"
+    spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] = (), encoding: str = "UTF-8", path_column: str | None = None
 ) -> DataFrame:
     """All cells as text, columns named by the header of the first file; every file has its own header row.
 
     Cells are picked by header name, so files may order their columns differently; cells a row does not have are
     NULL, cells beyond the header are left out. A file is one JSON value and is parsed by one task; many files spread
-    over many tasks. A file is held as one cell, so it may not exceed 2 GB.
+    over many tasks. A file is held as one cell, so it may not exceed 2 GB. ``path_column`` names a further column with
+    the file's path as listings have it.
     """
     text = F.decode(F.col("content"), encoding)
-    docs = spark.read.format("binaryFile").load(path).select(F.from_json(text, "array<array<string>>").alias("rows"))
+    docs = spark.read.format("binaryFile").load(path if isinstance(path, str) else list(path))
+    docs = docs.select(F.from_json(text, "array<array<string>>").alias("rows"), F.col("_metadata.file_path").alias("file"))
     header = docs.select(F.col("rows")[0].alias("h")).filter("h is not null").first()
     if header is None:
         raise ValueError(f"{path}: no header row")
@@ -28,6 +30,6 @@ def ingest_json_rows(
     require(names, columns, path)
     # The place of each column is looked up once per file, not per row.
     places = [F.array_position(F.col("rows")[0], raw).cast("int").alias(f"at{i}") for i, raw in enumerate(header["h"])]
-    cells = docs.select(*places, F.posexplode("rows").alias("_row", "cells")).filter("_row > 0")
+    cells = docs.select("file", *places, F.posexplode("rows").alias("_row", "cells")).filter("_row > 0")
     picked = [F.when(F.col(f"at{i}") > 0, F.try_element_at("cells", F.col(f"at{i}"))).alias(n) for i, n in enumerate(names)]
-    return cells.select(*picked)
+    return cells.select(*picked, *([F.col("file").alias(path_column)] if path_column else []))
