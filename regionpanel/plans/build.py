@@ -20,7 +20,7 @@ from ..sources.calendar import CALENDAR_FIRST
 from ..sources.daily_files import FIRST_DAY
 from ..sources.seeds import state_abbreviations
 from . import cases, counties, deaths, states
-from .counties import MONTH
+from .counties import MONTH, months_between
 from .deliveries import DAILY, Delivery, receive, reject_counts
 
 KEYS = {
@@ -85,12 +85,6 @@ def _differing(now: Mapping[str, str], then: Mapping[str, str]) -> list[dt.date]
     return [dt.date.fromisoformat(m) for m in sorted(m for m in now.keys() | then.keys() if now.get(m) != then.get(m))]
 
 
-def _months(first: dt.date, last: dt.date) -> list[str]:
-    """First days of all months from ``first`` to ``last``."""
-    count = (last.year - first.year) * 12 + last.month - first.month
-    return [dt.date(first.year + (first.month - 1 + i) // 12, (first.month - 1 + i) % 12 + 1, 1).isoformat() for i in range(count + 1)]
-
-
 #: Rows of some months, and the months that they are all rows of.
 Part = tuple[DataFrame, list[str]]
 
@@ -165,10 +159,10 @@ def _county_tables(t: Tables) -> None:
         return df.filter(F.col(MONTH).between(F.lit(first), F.lit(last)))
 
     def clean(first: dt.date, last: dt.date) -> Part:
-        return counties.clean_daily(within(t.sources[DAILY].rows, first, last)), _months(first, last)
+        return counties.clean_daily(within(t.sources[DAILY].rows, first, last)), months_between(first, last)
 
     def totals(first: dt.date, last: dt.date) -> Part:
-        return counties.monthly_totals(within(t.made["county_clean"], first, last)), _months(first, last)
+        return counties.monthly_totals(within(t.made["county_clean"], first, last)), months_between(first, last)
 
     t.store_months("county_clean", made_by, lambda: counties.clean_daily(t.sources[DAILY].rows), clean, None)
     t.store_months("county_totals", made_by, lambda: counties.monthly_totals(t.made["county_clean"]), totals, None)
@@ -177,11 +171,11 @@ def _county_tables(t: Tables) -> None:
     made_by += "; codes {} {}".format(*fingerprint(entities).first())
 
     def daily(first: dt.date, last: dt.date) -> Part:
-        return counties.filtered_daily(within(t.made["county_clean"], first, last), entities), _months(first, last)
+        return counties.filtered_daily(within(t.made["county_clean"], first, last), entities), months_between(first, last)
 
     def base(first: dt.date, last: dt.date) -> Part:
         rows, upto = counties.base_of_months(t.made["county_daily"], first, last)
-        return rows, _months(first, upto)
+        return rows, months_between(first, upto)
 
     t.store_months("county_daily", made_by, lambda: counties.filtered_daily(t.made["county_clean"], entities), daily)
     t.store_months("county_base", made_by, lambda: counties.county_base(t["county_daily"]), base)
@@ -194,7 +188,7 @@ def _county_tables(t: Tables) -> None:
     def progress(first: dt.date, last: dt.date) -> Part:
         _, reached = counties.base_of_months(t.made["county_daily"], first, last)
         rows, upto = counties.progress_of_months(t.made["county_base"], t["county_dim"], first, reached)
-        return rows, _months(first, upto)
+        return rows, months_between(first, upto)
 
     t.store_months("county_progress", made_by, lambda: counties.county_progress(t["county_base"], t["county_dim"]), progress)
 
@@ -211,7 +205,10 @@ def build(
     leaves all tables readable as they were. ``since`` is the first day of the daily files, ``first`` and ``end`` bound
     the days with state rates and means; no end by default.
     """
-    sources = {name: receive(spark, name, path, out, since) for name, path in paths.items()}
+    # Deliveries do not depend on each other, so their jobs run side by side.
+    with ThreadPoolExecutor(max(len(paths), 1)) as pool:
+        received = pool.map(lambda name: receive(spark, name, paths[name], out, since), paths)
+        sources = dict(zip(paths, received, strict=True))
     if sources:
         publish(reject_counts(spark, list(sources), out).coalesce(1), f"{out}/tables/reject_counts")
     if "state_abbreviations" not in sources:

@@ -156,6 +156,12 @@ def month_end(day: dt.date) -> dt.date:
     return (day.replace(day=1) + dt.timedelta(days=32)).replace(day=1) - dt.timedelta(days=1)
 
 
+def months_between(first: dt.date, last: dt.date) -> list[str]:
+    """First days of all months from that of ``first`` to that of ``last``, as a table's parts are named."""
+    begin, end = (d.year * 12 + d.month - 1 for d in (first, last))
+    return [dt.date(m // 12, m % 12 + 1, 1).isoformat() for m in range(begin, end + 1)]
+
+
 def base_of_months(daily: DataFrame, first: dt.date, last: dt.date) -> tuple[DataFrame, dt.date]:
     """`county_base` for changes in the months ``first`` to ``last`` (their first days): all days they reach, to the end
     of a month, and the last day reached. ``daily`` is stored by month.

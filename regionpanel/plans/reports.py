@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import bubble_radius, outbreak_direction, reaches, shade_bucket, size_band, trend_bucket
@@ -101,6 +101,31 @@ def outbreak_circles(snapshot: DataFrame, view: str = "outbreak", sq_miles: floa
     ).filter("Radius is not null")
 
 
+def all_outbreak_circles(snapshot: DataFrame, sq_miles: float = 0.05, k: int = 100) -> DataFrame:
+    """`outbreak_circles` of all views, with the view's name, in one pass over the snapshot.
+
+    Every row is sent to each view with that view's metric and ranked within it; ranks above ``k`` go before the shuffle
+    already. In the view of all outbreaks a row is a group by itself, so that no rank leaves it out.
+    """
+    row = F.struct("FIPS", "County", "State", "Lat", "Long_", "CasesPer100k", "OneWeekCasesPer100kChange")
+    views = [F.struct(F.lit(view).alias("view"), F.col(metric).cast("double").alias("metric")) for view, metric in VIEWS.items()]
+    sent = snapshot.select(row.alias("row"), reaches(F.col("CasesPer100k")).alias("flag"), F.explode(F.array(*views)).alias("v"))
+    everything = F.col("v.view") == "outbreak"
+    sent = sent.filter(~everything | F.col("flag")).withColumn("alone", F.when(everything, F.col("row.FIPS")))
+    known = F.coalesce(F.col("v.metric"), F.lit(0))
+    ranks = Window.partitionBy("v.view", "alone").orderBy(known.desc(), "row.FIPS")
+    shown = sent.withColumn("rank", F.row_number().over(ranks)).filter(F.col("rank") <= k)
+    radius = [bubble_radius(F.col("v.metric"), sq_miles, percent) for percent in (True, False)]
+    return shown.select(
+        F.col("v.view").alias("View"),
+        *[F.col(f"row.{c}") for c in ("FIPS", "County", "State", "Lat", "Long_")],
+        F.col("flag").alias("OutbreakFlag"),
+        outbreak_direction(F.col("flag"), F.col("row.OneWeekCasesPer100kChange")).alias("Direction"),
+        F.col("v.metric").alias("Metric"),
+        F.when(F.endswith(F.col("v.view"), F.lit("_pct")), radius[0]).otherwise(radius[1]).alias("Radius"),
+    ).filter("Radius is not null")
+
+
 def county_shapes(shapes: DataFrame, snapshot: DataFrame, averages: DataFrame, rates: DataFrame) -> DataFrame:
     """County outlines with shade, trend and short series; outlines without figures have ``has_info`` false."""
     figures = (

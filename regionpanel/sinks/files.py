@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import settle
+
 
 def write_tsv(df: DataFrame, path: str, order: Sequence[str] = (), null: str = "") -> None:
     """Tab-separated text with a header; ``order`` sorts over all files. Unknown values are blank by default."""
@@ -21,17 +23,21 @@ def write_json(df: DataFrame, path: str, order: Sequence[str] = ()) -> None:
 
 
 def write_json_array(df: DataFrame, path: str, order: Sequence[str]) -> None:
-    """Text files whose lines, joined in file order, form one JSON array of objects.
+    """Text files whose lines, joined in file order, form one JSON array of objects; ``[]`` without rows.
 
-    The rows stay sorted over many files; only the brackets and commas are added, so nothing is gathered in one
-    place. The first row in order opens the array and the last closes it, so ``order`` must be unique.
+    The rows are made once, and stay sorted over many files; only the brackets and commas are added, so nothing is
+    gathered in one place. The first row in order opens the array and the last closes it, so ``order`` must be unique.
     """
+    rows = settle(df, "json-array")
+    if rows.isEmpty():
+        df.sparkSession.createDataFrame([("[]",)], "value string").coalesce(1).write.mode("overwrite").text(path)
+        return
     key = F.struct(*order)
-    ends = df.agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
+    ends = rows.agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
     lo, hi = ends.select("lo").scalar(), ends.select("hi").scalar()
-    body = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    body = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
     line = F.concat(F.when(key == lo, "[").otherwise(""), body, F.when(key == hi, "]").otherwise(","))
-    df.orderBy(*order).select(line.alias("value")).write.mode("overwrite").text(path)
+    rows.orderBy(*order).select(line.alias("value")).write.mode("overwrite").text(path)
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

@@ -3,7 +3,7 @@
 from .calendar import calendar
 from .contracts import CONTRACTS, Contract, source
 from .daily_files import dated_files, ingest_daily_files, read_daily_files
-from .delimited import good_rows, ingest_delimited, read_by_name, reject_summary, rejects, reload_table
+from .delimited import good_rows, ingest_delimited, read_by_name, reject_reason, reject_summary, rejects, reload_table
 from .fingerprint import fingerprint, row_hash, same_content
 from .json_rows import ingest_json_rows
 from .manifest import differences, list_files
@@ -23,6 +23,7 @@ __all__ = [
     "list_files",
     "read_by_name",
     "read_daily_files",
+    "reject_reason",
     "reject_summary",
     "rejects",
     "reload_table",

@@ -28,7 +28,7 @@ from ..plans.counties import (
     latest_progress,
     recent_rate_export,
 )
-from ..plans.reports import VIEWS, county_shapes, county_table, outbreak_circles
+from ..plans.reports import VIEWS, all_outbreak_circles, county_shapes, county_table, outbreak_circles
 from ..session import new_folder, settle
 from ..sinks import write_table
 from .panel_queries import region_dim
@@ -412,14 +412,10 @@ def outbreak_views(spark, sf):
     place = [F.lit(None).cast("string").alias(c) for c in ("County", "State", "Lat", "Long_")]
     change = F.when(F.col("o_custkey") % 2 == 0, 1.0).otherwise(-1.0).alias("OneWeekCasesPer100kChange")
     rate = (F.col("cents") % 61).cast("double").alias("CasesPer100k")
-    snapshot = settle(orders.select(F.col("o_custkey").alias("FIPS"), *place, rate, change, *metrics))
-    shown = None
-    for view in VIEWS:
-        part = outbreak_circles(snapshot, view).select(
-            F.lit(view).alias("view"), F.col("FIPS").alias("o_custkey"), F.col("Metric").alias("metric"), F.col("Radius").alias("radius"), F.col("Direction").alias("direction")
-        )
-        shown = part if shown is None else shown.unionByName(part)
-    return shown
+    snapshot = orders.select(F.col("o_custkey").alias("FIPS"), *place, rate, change, *metrics)
+    return all_outbreak_circles(snapshot).select(
+        F.col("View").alias("view"), F.col("FIPS").alias("o_custkey"), F.col("Metric").alias("metric"), F.col("Radius").alias("radius"), F.col("Direction").alias("direction")
+    )
 
 
 @query(

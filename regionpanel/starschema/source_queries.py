@@ -4,11 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import numeric_text, parse_date
+from ..functions import numeric_text, parse_date, repair_code
 from ..operators.report import features, join_features
-from ..session import new_folder
-from ..sinks import write_json, write_json_array, write_table, write_tsv
-from ..sources import Contract, ingest_daily_files, ingest_delimited, ingest_json_rows, read_by_name, reject_summary, same_content
+from ..session import new_folder, settle
+from ..sinks import publish, read_table, write_json, write_json_array, write_table, write_tsv
+from ..sources import (
+    Contract,
+    differences,
+    ingest_daily_files,
+    ingest_delimited,
+    ingest_json_rows,
+    list_files,
+    read_by_name,
+    reject_reason,
+    reject_summary,
+    same_content,
+)
 from ..sources.calendar import expand_days
 from ..streaming import ingest_new_files
 from .registry import query
@@ -108,6 +119,78 @@ def reject_counts(spark, sf):
     return counts.select("source", "good", "rejected", "delivered", F.col("lost.total").alias("bad_total"))
 
 
+@query(
+    "reject_reasons",
+    """SELECT CASE WHEN o_orderkey % 10 = 0 THEN 'cells do not fit the header' WHEN o_orderkey % 10 = 3 THEN 'order_day cannot be read'
+    WHEN o_orderkey % 10 = 7 THEN 'order_key is missing' WHEN o_custkey % 50 = 0 THEN 'customer cannot be read' ELSE 'none' END AS reason,
+  count(*) AS records, CAST(sum(CASE WHEN o_orderkey % 10 = 4 THEN 1 ELSE 0 END) AS BIGINT) AS unread_totals
+FROM orders GROUP BY 1""",
+)
+def reject_reasons(spark, sf):
+    # A cell too many, a date that is none, a blank key, a customer's code of six digits, a total that is no number.
+    path = new_folder(spark, "dirty-keys")
+    key = F.col("`order key`").cast("long")
+    names = ["order key", "order-day", "customer", "total"]
+    text = _order_text(spark, sf).join(table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("order key"), "o_custkey"), "order key")
+    text = text.select(
+        F.when(key % 10 != 7, F.col("order key")).alias("order key"),
+        F.when(key % 10 == 3, "13/45/2021").otherwise(F.col("order-day")).alias("order-day"),
+        F.when(F.col("o_custkey") % 50 == 0, F.lit("123456")).otherwise(F.lpad((F.col("o_custkey") % 99_999).cast("string"), 5, "0")).alias("customer"),
+        F.when(key % 10 == 4, "n/a").otherwise(F.col("total")).alias("total"),
+        (key % 10 == 0).alias("long"),
+    )
+    line = F.concat_ws("\t", *[F.coalesce(f"`{c}`", F.lit("")) for c in names], F.when(F.col("long"), "extra"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # The header is a file's first line: one goes into each part, whose rows are all in one task, as its smallest.
+    rows = text.select(F.pmod(F.xxhash64(line), F.lit(parts)).alias("part"), line.alias("line"), F.lit(1).alias("place"))
+    header = spark.range(parts).select(F.col("id").alias("part"), F.lit("\t".join(names)).alias("line"), F.lit(0).alias("place"))
+    rows.unionByName(header).repartition(parts, "part").sortWithinPartitions("part", "place").drop("place").write.partitionBy("part").text(path)
+    raw = read_by_name(spark, f"{path}/*/*.txt", Contract("dirty", "orders", ("order_key", "order_day", "customer", "total"), sep="\t"))
+    needed = {"order_key": None, "order_day": parse_date(F.col("order_day"), "MM/dd/yyyy"), "customer": repair_code(F.col("customer"), F.lit(1))}
+    told = raw.withColumn("reason", F.coalesce(reject_reason(needed), F.lit("none")))
+    unread = F.col("total").isNotNull() & numeric_text(F.col("total")).isNull()
+    return told.groupBy("reason").agg(F.count(F.lit(1)).alias("records"), F.count_if(unread).alias("unread_totals"))
+
+
+@query(
+    "delivery_changes",
+    """SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year, 'new' AS change FROM orders WHERE year(o_orderdate) = 1995 OR year(o_orderdate) > 1996
+UNION ALL SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER), 'gone' FROM orders WHERE year(o_orderdate) IN (1994, 1995)""",
+)
+def delivery_changes(spark, sf):
+    # Orders delivered by year; of the next delivery one year has other files, one is left out and some are new.
+    orders = table(spark, sf, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"))
+    first, second = (new_folder(spark, n) for n in ("delivered", "delivered"))
+    orders.filter("year <= 1996").repartition("year").write.partitionBy("year").csv(first)
+    orders.filter("year = 1995 OR year > 1996").repartition("year").write.partitionBy("year").csv(second)
+    then = settle(list_files(spark, f"{first}/*/*.csv"), "listing")
+    kept = then.filter(~F.col("path").rlike("year=(1994|1995)"))
+    now = list_files(spark, f"{second}/*/*.csv").unionByName(kept)
+    year = F.regexp_extract("path", "year=([0-9]+)", 1).cast("int")
+    return differences(now, then).select(year.alias("year"), "change").distinct()
+
+
+@query(
+    "table_versions",
+    """SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS orders,
+  CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents FROM orders GROUP BY 1""",
+    dates=["month"],
+)
+def table_versions(spark, sf):
+    # First the orders up to a month in the middle, that month with other prices; then the rows of the later months.
+    path = new_folder(spark, "versions")
+    cents = F.round(F.col("o_totalprice") * 100).cast("long").alias("cents")
+    orders = table(spark, sf, "orders").select(F.to_date(F.trunc("o_orderdate", "month")).alias("month"), cents)
+    since = F.lit("1997-06-01").cast("date")
+    early = orders.filter(F.col("month") <= since).withColumn("cents", F.when(F.col("month") == since, 1).otherwise(F.col("cents")))
+    publish(early, path, "month")
+    late = orders.filter(F.col("month") >= since)
+    # One row per month.
+    months = [r["month"].isoformat() for r in late.select("month").distinct().collect()]
+    publish(late, path, "month", months)
+    return read_table(spark, path).groupBy("month").agg(F.count(F.lit(1)).alias("orders"), F.sum("cents").alias("cents"))
+
+
 @query(
     "daily_files_union",
     f"""WITH {ND}

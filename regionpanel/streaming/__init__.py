@@ -1,5 +1,5 @@
 """Incremental ingest of appended files."""
 
-from .incremental import ingest_new_files
+from .incremental import ingest_new_files, read_ingested
 
-__all__ = ["ingest_new_files"]
+__all__ = ["ingest_new_files", "read_ingested"]

@@ -18,6 +18,7 @@ def ingest_new_files(
     Reads what is there and stops. ``state`` keeps the list of files done; each batch of at most ``files`` files is a
     partition of the table, written over when a run has to repeat it, so a failure neither skips nor repeats a file.
     Columns are bound by each file's own header. Records that do not fit it go to the table ``rejected``, if given.
+    Later batches may have columns that earlier ones have not: `read_ingested` shows the columns of all.
     """
     arrived = (
         spark.readStream.format("binaryFile").schema(FILE_LISTING).option("maxFilesPerTrigger", files).load(path).select("path")
@@ -34,3 +35,8 @@ def ingest_new_files(
 
     query = arrived.writeStream.foreachBatch(load).option("checkpointLocation", state).trigger(availableNow=True).start()
     query.awaitTermination()
+
+
+def read_ingested(spark: SparkSession, table: str) -> DataFrame:
+    """The table of `ingest_new_files` with the columns of all batches, NULL where a batch has none."""
+    return spark.read.option("mergeSchema", True).parquet(table)

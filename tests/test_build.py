@@ -4,6 +4,7 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from regionpanel.plans import counties, reports, states
 from regionpanel.operators.panel import require_unique
@@ -201,6 +202,10 @@ def test_pages(spark, built):
     circles = {r.FIPS: r for r in reports.outbreak_circles(snapshot).collect()}
     assert circles["01001"].Direction == "down" and circles["01001"].Radius > 0
     assert [r.FIPS for r in reports.outbreak_circles(snapshot, "month", k=1).collect()] == ["36061"]
+    together = reports.all_outbreak_circles(snapshot, k=1)
+    for view in reports.VIEWS:
+        one = reports.outbreak_circles(snapshot, view, k=1).collect()
+        assert sorted(map(tuple, one)) == sorted(tuple(r)[1:] for r in together.filter(F.col("View") == view).collect()), view
     rates = counties.county_rate_export(tables["county_progress"], tables["county_base"])
     shapes = spark.createDataFrame([("01001", "g1"), ("99999", "g2")], "FIPS string, geometry string")
     drawn = {r.FIPS: r for r in reports.county_shapes(shapes, snapshot, averages, rates).collect()}

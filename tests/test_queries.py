@@ -50,6 +50,12 @@ def test_progress_sorts_and_shuffles_the_panel_once(spark):
     assert len(re.findall(r"Sort \[FIPS[^,]*, Date", plan)) <= 2
 
 
+def test_all_views_are_ranked_in_one_pass(spark):
+    plan = plan_of(spark, "outbreak_views")
+    assert plan.count("FileScan parquet") == 1 and plan.count("WindowGroupLimit") == 2
+    assert "TakeOrderedAndProject" not in plan
+
+
 def test_repeats_go_before_the_shuffle(spark):
     plan = plan_of(spark, "dedupe_keep_max")
     assert plan.count("WindowGroupLimit") == 2

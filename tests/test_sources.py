@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from regionpanel import sinks, sources
 from regionpanel.sources import Contract
-from regionpanel.streaming import ingest_new_files
+from regionpanel.streaming import ingest_new_files, read_ingested
 
 
 def rows_of(df, *order):
@@ -173,6 +173,22 @@ def test_ingest_new_files_once_each(spark, tmp_path):
     ]
 
 
+def test_columns_of_later_batches_are_seen(spark, tmp_path):
+    drop = tmp_path / "drop"
+    drop.mkdir()
+    args = (spark, str(drop), Contract("c", "c", ("a", "b")), f"{tmp_path}/table", f"{tmp_path}/state")
+    (drop / "1.csv").write_text("a,b\n1,x\n")
+    ingest_new_files(*args)
+    (drop / "2.csv").write_text("a,extra,b\n2,more,y\n")
+    ingest_new_files(*args)
+    assert rows_of(read_ingested(spark, f"{tmp_path}/table").select("a", "b", "extra"), "a") == [("1", "x", None), ("2", "y", "more")]
+
+
+def test_json_array_of_nothing(spark, tmp_path):
+    sinks.write_json_array(spark.range(0), f"{tmp_path}/empty", ["id"])
+    assert "".join(p.read_text() for p in sorted((tmp_path / "empty").glob("*.txt"))).strip() == "[]"
+
+
 def test_contracts_are_complete():
     assert len(sources.CONTRACTS) == 13
     assert all(set(c.key) - {"Date"} <= set(c.columns) for c in sources.CONTRACTS.values())
