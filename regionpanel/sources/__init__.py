@@ -5,7 +5,7 @@ from .contracts import CONTRACTS, Contract, source
 from .daily_files import dated_files, ingest_daily_files, read_daily_files
 from .delimited import good_rows, ingest_delimited, read_by_name, reject_reason, reject_summary, rejects, reload_table
 from .fingerprint import fingerprint, row_hash, same_content
-from .json_rows import ingest_json_rows
+from .json_rows import ingest_json_rows, read_features
 from .manifest import differences, list_files
 from .seeds import state_abbreviations
 
@@ -22,6 +22,7 @@ __all__ = [
     "ingest_json_rows",
     "list_files",
     "read_by_name",
+    "read_features",
     "read_daily_files",
     "reject_reason",
     "reject_summary",

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .contracts import COUNTY_DAILY_FIELDS
-from .delimited import MALFORMED, clean_names, first_lines, good_rows, header_cells, layouts, read_layout, require
+from .delimited import MALFORMED, PATH, clean_names, first_lines, good_rows, header_cells, layouts, read_layout, require
 from .manifest import list_files
 
 # Reports are named by day, and older ones have another layout.
@@ -49,9 +49,9 @@ def read_daily_files(
             raise ValueError(f"{layout.files[0]}: no header line")
         names = clean_names(cells, layout.files[0])
         require(names, fields, layout.files[0])
-        rows = read_layout(spark, layout.files, names, ",", "UTF-8", layout.broken)
-        kept = [F.col("_metadata.file_path").alias(path_column)] if path_column else []
-        rows = rows.select(day.alias("Date"), *fields, *kept, MALFORMED)
+        rows = read_layout(spark, layout.files, names, ",", "UTF-8", layout.broken, PATH, layout.long)
+        kept = [F.col(PATH).alias(path_column)] if path_column else []
+        rows = rows.select(file_day(F.col(PATH), part).alias("Date"), *fields, *kept, MALFORMED)
         whole = rows if whole is None else whole.unionByName(rows)
     if whole is None:
         raise ValueError(f"{paths}: no daily file from {since} on")

@@ -17,9 +17,12 @@ from ..functions import clean_name
 from ..session import settle
 from .contracts import Contract
 from .fingerprint import same_content
+from .quoted import read_quoted
 
 #: Holds the text of a record whose cells do not fit its header.
 MALFORMED = "_malformed"
+#: Path of a record's file, while it is read.
+PATH = "_path"
 MARKS = "[\ufeff\\r]"
 
 
@@ -47,7 +50,8 @@ def clean_names(header: Sequence[str], where: str) -> list[str]:
 
 
 def first_lines(spark: SparkSession, paths: str | Sequence[str], encoding: str, keep: Column | None = None) -> DataFrame:
-    """``file``, its first line ``header``, and whether a quoted cell of it holds a line break (``broken``).
+    """``file``, its first line ``header``, whether a quoted cell of it holds a line break (``broken``), and whether the
+    file has several blocks (``long``).
 
     Only lines of a file's first block are compared; of the others nothing but quotes is counted. ``keep`` is a
     condition on the file's path, checked before its lines are looked at.
@@ -60,53 +64,51 @@ def first_lines(spark: SparkSession, paths: str | Sequence[str], encoding: str,
         path.alias("file"),
         F.when(F.col("_metadata.file_block_start") == 0, F.struct(F.monotonically_increasing_id().alias("at"), "value")).alias("line"),
         (quotes % 2 == 1).alias("odd"),
+        F.col("_metadata.file_block_start").alias("block"),
     )
-    rows = rows.groupBy("file").agg(F.min("line")["value"].alias("header"), F.max("odd").alias("broken"))
+    rows = rows.groupBy("file").agg(F.min("line")["value"].alias("header"), F.max("odd").alias("broken"), (F.max("block") > 0).alias("long"))
     return rows.withColumn("header", F.regexp_replace("header", MARKS, ""))
 
 
 def read_layout(
-    spark: SparkSession, files: str | Sequence[str], names: Sequence[str], sep: str, encoding: str, broken: bool
+    spark: SparkSession, files: str | Sequence[str], names: Sequence[str], sep: str, encoding: str, broken: bool, path: str, long: bool = False
 ) -> DataFrame:
-    """Files of one header as text columns ``names`` and `MALFORMED`.
+    """Files of one header as text columns ``names``, the file's ``path`` as listings have it, and `MALFORMED`.
 
-    Cells may hold quoted line breaks only where ``broken`` says so; else Spark may split a file over tasks.
+    Cells may hold quoted line breaks only where ``broken`` says so. Spark splits files without them over tasks, and reads
+    those with them whole; ``long`` ones are read block by block all the same.
     """
+    # Without pruning, as else only the cells a query asks for are counted, and a record that does not fit goes unseen.
+    options = {"sep": sep, "escape": '"', "columnNameOfCorruptRecord": MALFORMED, "columnPruning": "false"}
+    if broken and long:
+        return read_quoted(spark, files, names, MALFORMED, encoding, options).withColumnRenamed("file", path)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, MALFORMED]])
-    return (
-        spark.read.option("header", True)
-        .option("sep", sep)
-        .option("encoding", encoding)
-        .option("escape", '"')
-        .option("multiLine", broken)
-        .option("columnNameOfCorruptRecord", MALFORMED)
-        # Else only the cells a query asks for are counted, and a record that does not fit goes unseen.
-        .option("columnPruning", False)
-        .schema(schema)
-        .csv(files)
-    )
+    rows = spark.read.options(**options).option("header", True).option("encoding", encoding).option("multiLine", broken).schema(schema).csv(files)
+    return rows.withColumn(path, F.col("_metadata.file_path"))
 
 
 class Layout(NamedTuple):
     header: str
     broken: bool
+    long: bool
     files: list[str] | None
 
 
 def layouts(found: DataFrame, listed: bool = False) -> Iterator[Layout]:
-    """Distinct headers, whether cells hold line breaks, and the files: none to name if there is one header only.
+    """Distinct headers, whether cells hold line breaks, whether a file is long, and the files: none to name if there is one
+    header only.
 
     ``found`` is the result of `first_lines`; the text is read once for it. With several headers, or where ``listed``
     asks for it, the files are listed, which is the listing Spark keeps on the driver to plan a scan.
     """
     found = settle(found, "headers")
-    rows = found.groupBy("header").agg(F.max("broken").alias("broken")).collect()
+    rows = found.groupBy("header").agg(F.max("broken").alias("broken"), F.max("long").alias("long")).collect()
     files: dict[str, list[str]] = defaultdict(list)
     if listed or len(rows) > 1:
         for row in found.select("file", "header").toLocalIterator():
             files[row["header"]].append(unquote(row["file"]))
     for r in sorted(rows, key=lambda r: r["header"]):
-        yield Layout(r["header"], r["broken"], sorted(files[r["header"]]) if files else None)
+        yield Layout(r["header"], r["broken"], r["long"], sorted(files[r["header"]]) if files else None)
 
 
 def read_by_name(
@@ -122,10 +124,10 @@ def read_by_name(
     for layout in layouts(first_lines(spark, paths, contract.encoding)):
         names = clean_names(header_cells(layout.header, contract.sep, where), where)
         require(names, contract.columns, where)
-        part = read_layout(spark, layout.files or paths, names, contract.sep, contract.encoding, layout.broken)
-        for column, value in ((file_column, "file_name"), (path_column, "file_path")):
-            if column:
-                part = part.withColumn(column, F.col(f"_metadata.{value}"))
+        part = read_layout(spark, layout.files or paths, names, contract.sep, contract.encoding, layout.broken, PATH, layout.long)
+        if file_column:
+            part = part.withColumn(file_column, F.url_decode(F.element_at(F.split(PATH, "/"), -1)))
+        part = part.withColumnRenamed(PATH, path_column) if path_column else part.drop(PATH)
         whole = part if whole is None else whole.unionByName(part, allowMissingColumns=True)
     if whole is None:
         raise ValueError(f"{where}: no file with a header line at {paths}")

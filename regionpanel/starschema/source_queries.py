@@ -16,11 +16,13 @@ from ..sources import (
     ingest_json_rows,
     list_files,
     read_by_name,
+    read_features,
     reject_reason,
     reject_summary,
     same_content,
 )
 from ..sources.calendar import expand_days
+from ..sources.delimited import MALFORMED, read_layout
 from ..streaming import ingest_new_files
 from .registry import query
 from .tables import ND, nation_day, table
@@ -218,11 +220,11 @@ def daily_files_union(spark, sf):
     return ingest_daily_files(spark, f"{root}/*/*/*.csv", fields, "19960101", part=-2)
 
 
-@query(
-    "json_rows_ingest",
-    """SELECT CAST(c_custkey AS VARCHAR) AS cust_key, c_name AS name, CASE WHEN c_nationkey <> 3 THEN CAST(c_nationkey AS VARCHAR) END AS nation FROM customer""",
-)
-def json_rows_ingest(spark, sf):
+_CUSTOMERS_BACK = """SELECT CAST(c_custkey AS VARCHAR) AS cust_key, c_name AS name,
+  CASE WHEN c_nationkey <> 3 THEN CAST(c_nationkey AS VARCHAR) END AS nation FROM customer"""
+
+
+def _json_rows(spark, sf):
     # One document per thousand customers, each with its own header row.
     header = F.array(F.lit("cust key"), F.lit("name"), F.lit("nation"))
     row = F.array(F.col("c_custkey").cast("string"), F.col("c_name"), F.col("c_nationkey").cast("string"))
@@ -236,17 +238,56 @@ def json_rows_ingest(spark, sf):
     )
     path = new_folder(spark, "json-rows")
     docs.write.option("maxRecordsPerFile", 1).text(path)
-    return ingest_json_rows(spark, f"{path}/*.txt", ["cust_key", "name", "nation"], "ISO-8859-1")
+    return f"{path}/*.txt"
+
+
+@query("json_rows_ingest", _CUSTOMERS_BACK)
+def json_rows_ingest(spark, sf):
+    return ingest_json_rows(spark, _json_rows(spark, sf), ["cust_key", "name", "nation"], "ISO-8859-1")
+
+
+@query("json_rows_by_block", _CUSTOMERS_BACK)
+def json_rows_by_block(spark, sf):
+    # The same files read as long ones are.
+    return ingest_json_rows(spark, _json_rows(spark, sf), ["cust_key", "name", "nation"], "ISO-8859-1", long_file=0)
 
 
 @query(
-    "feature_left_join",
-    """SELECT lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || lpad(CAST(k AS VARCHAR), 9, '0') AS "FIPS",
+    "quoted_breaks_by_block",
+    """SELECT o_orderkey, 1 + o_orderkey % 5 AS breaks, 'a "quoted", ' || o_orderkey AS last_line, o_orderkey % 7 = 0 AS malformed
+FROM orders""",
+)
+def quoted_breaks_by_block(spark, sf):
+    # Notes of several lines, read as those of long files are; every seventh record has a cell too many.
+    key = F.col("o_orderkey")
+    breaks = (key % 5 + 1).cast("int")
+    note = F.concat(F.repeat(F.lit("line,\n"), breaks), F.lit('a "quoted", '), key.cast("string"))
+    cell = F.concat(F.lit('"'), F.replace(note, F.lit('"'), F.lit('""')), F.lit('"'))
+    lines = table(spark, sf, "orders").select(key.alias("k"), F.concat_ws(",", key.cast("string"), cell, F.when(key % 7 == 0, "more")).alias("line"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = lines.select(F.pmod(F.xxhash64("k"), F.lit(parts)).alias("part"), "line", F.lit(1).alias("place"))
+    header = spark.range(parts).select(F.col("id").alias("part"), F.lit('k,"a, note"').alias("line"), F.lit(0).alias("place"))
+    path = new_folder(spark, "quoted")
+    rows.unionByName(header).repartition(parts, "part").sortWithinPartitions("part", "place").drop("place").write.partitionBy("part").text(path)
+    raw = read_layout(spark, f"{path}/*/*.txt", ["k", "note"], ",", "UTF-8", True, "file", long=True)
+    return raw.select(
+        F.col("k").cast("long").alias("o_orderkey"),
+        (F.length("note") - F.length(F.replace("note", F.lit("\n")))).cast("long").alias("breaks"),
+        F.substring_index("note", "\n", -1).alias("last_line"),
+        F.col(MALFORMED).isNotNull().alias("malformed"),
+    )
+
+
+
+
+_FEATURES_JOINED = """SELECT lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || lpad(CAST(k AS VARCHAR), 9, '0') AS "FIPS",
   '{"type":"Point","id":' || k || '}' AS geometry, n, n IS NOT NULL AS has_info
 FROM (SELECT c_nationkey, c_custkey AS k FROM customer UNION ALL SELECT c_nationkey, 900000000 + c_custkey FROM customer WHERE c_custkey % 10 = 0)
-LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) ON o_custkey = k""",
-)
-def feature_left_join(spark, sf):
+LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) ON o_custkey = k"""
+
+
+def _collections(spark, sf):
+    """Feature collections as texts, and the figures to join."""
     state = F.lpad(F.col("c_nationkey").cast("string"), 2, "0")
     county = F.lpad(F.col("c_custkey").cast("string"), 9, "0")
     customer = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
@@ -270,9 +311,24 @@ def feature_left_join(spark, sf):
         .join(customer, "c_custkey")
         .select(F.concat(state, county).alias("FIPS"), "n")
     )
+    return docs, metrics
+
+
+@query("feature_left_join", _FEATURES_JOINED)
+def feature_left_join(spark, sf):
+    docs, metrics = _collections(spark, sf)
     return join_features(features(docs), metrics, "FIPS")
 
 
+@query("features_by_block", _FEATURES_JOINED)
+def features_by_block(spark, sf):
+    # The collections as files that several tasks may read each.
+    docs, metrics = _collections(spark, sf)
+    path = new_folder(spark, "features")
+    docs.write.option("maxRecordsPerFile", 1).text(path)
+    return join_features(read_features(spark, f"{path}/*.txt"), metrics, "FIPS")
+
+
 @query(
     "table_fingerprint",
     """SELECT count(*) AS table_rows, true AS same_after_shuffle, false AS same_after_edit, false AS same_with_copy,

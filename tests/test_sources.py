@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -271,3 +272,102 @@ def test_long_codes_are_not_cut(spark):
 
     df = spark.createDataFrame([("123456",), ("123457.0",), ("1001.0",), ("12345",), ("x",)], "c string")
     assert [r[0] for r in df.select(repair_code(F.col("c"), F.lit(1))).collect()] == [None, None, "01001", "12345", None]
+
+
+# Quoted line breaks over blocks.
+
+
+@pytest.fixture
+def small_blocks(spark):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+    spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+
+
+def quoted_files(folder, seed, files=3):
+    """Files with breaks, quotes and separators in cells, with what their cells are."""
+    rng = random.Random(seed)
+    want = []
+    for f in range(files):
+        lines = ["k,note,n"]
+        for i in range(rng.randint(40, 90)):
+            note = "".join(rng.choice(["a", "é", ",", '"', "\n", "\n\n", "\r\n", "long words ", ""]) for _ in range(rng.choice([0, 1, 3, 60])))
+            bad = rng.random() < 0.05
+            cells = [f"{f}-{i}", '"' + note.replace('"', '""') + '"', str(i)]
+            lines.append(",".join(cells + (["more"] if bad else [])))
+            if rng.random() < 0.1:
+                lines.append("")
+            want.append((f"{f}-{i}", None if bad else note or None, bad))
+        (folder / f"part {f}.csv").write_bytes(("﻿" * (f == 0) + "\n".join(lines) + "\n").encode())
+    return want
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_files_with_breaks_in_cells_are_read_by_block(spark, tmp_path, small_blocks, seed):
+    want = quoted_files(tmp_path, seed)
+    c = Contract("c", "c", ("k", "n"))
+    raw = sources.read_by_name(spark, f"{tmp_path}/*.csv", c, "source_file")
+    good = {(r.k, r.note) for r in sources.good_rows(raw).collect()}
+    assert good == {(k, note) for k, note, bad in want if not bad}
+    assert sources.rejects(raw, "c").count() == sum(bad for *_, bad in want)
+    assert {r.source_file for r in raw.select("source_file").distinct().collect()} == {f"part {i}.csv" for i in range(3)}
+    assert raw.rdd.getNumPartitions() > 3
+
+
+def test_blocks_say_how_the_next_begins(spark, tmp_path, small_blocks):
+    from regionpanel.sources import quoted
+
+    (tmp_path / "a.csv").write_text("a,b\n" + "".join(f'{i},"{"x" * 40}\n{"y" * 700}"\n' for i in range(6)))
+    lines = quoted._lines(spark, f"{tmp_path}/a.csv", "UTF-8")
+    inside = {r.block for r in quoted.block_states(lines).collect()}
+    with open(tmp_path / "a.csv", "rb") as f:
+        data = f.read()
+    # A block's first line begins after the first line feed in it.
+    for block in {r.block for r in lines.select("block").distinct().collect()}:
+        begin = data.find(b"\n", block - 1 if block else 0) + 1 if block else 0
+        assert (data[:begin].count(b'"') % 2 == 1) == (block in inside), block
+    got = quoted.quoted_records(spark, f"{tmp_path}/a.csv", "UTF-8").collect()
+    assert sorted(r.record for r in got) == [f'{i},"{"x" * 40}\n{"y" * 700}"' for i in range(6)]
+
+
+# JSON over blocks.
+
+
+def json_text(rng, n=12):
+    return "".join(rng.choice(["a", "é", ",", '"', "\\", "]", "[", "}", "{", "\n", ":", " "]) for _ in range(rng.randint(0, n)))
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_json_rows_by_block(spark, tmp_path, small_blocks, seed):
+    rng = random.Random(seed)
+    for f in range(3):
+        rows = [["k", "text", "n"] if f else ["n", "k", "text"]]
+        for i in range(rng.randint(30, 80)):
+            rows.append([f"{f}-{i}", json_text(rng, 5 if rng.random() < 0.9 else 900), i][: rng.choice([2, 3, 3, 3])])
+        rows += [[], None]
+        (tmp_path / f"{f} é.json").write_text(json.dumps(rows, ensure_ascii=rng.random() < 0.5, indent=rng.choice([None, 1])), encoding="utf-8")
+    ways = [sources.ingest_json_rows(spark, f"{tmp_path}/*.json", ["k", "n"], path_column="file", long_file=size) for size in (1 << 40, 1)]
+    whole, blocks = (sorted(map(str, df.select("k", "text", "n", "file").collect())) for df in ways)
+    assert whole == blocks and len(whole) > 90
+    assert spark.read.option("lineSep", "]").text(f"{tmp_path}/*.json").rdd.getNumPartitions() > 3
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_features_by_block(spark, tmp_path, small_blocks, seed):
+    from regionpanel.operators.report import features
+
+    rng = random.Random(seed)
+    for f in range(2):
+        made = [
+            {"type": "Feature", "properties": {"STATE": f"{f:02d}", "COUNTY": f"{i:03d}", "NAME": json_text(rng)}, "geometry": {"type": "Polygon", "coordinates": [[[i, j] for j in range(rng.choice([2, 200]))]]}}
+            for i in range(40)
+        ]
+        other = [{"properties": {"STATE": "no", "COUNTY": "no"}, "geometry": {}} for _ in range(30)]
+        doc = {"type": "FeatureCollection", "crs": {"type": "name", "properties": {"name": "x}"}}, "before": other, "features": made, "after": other, "bbox": [1, 2]}
+        (tmp_path / f"{f}.json").write_text(json.dumps(doc))
+    got = sorted(map(tuple, sources.read_features(spark, f"{tmp_path}/*.json").collect()))
+    want = sorted(map(tuple, features(spark.read.option("wholetext", True).text(f"{tmp_path}/*.json")).collect()))
+    assert got == want and len(got) == 80
