@@ -7,7 +7,7 @@ holds more rows than the calendar has days, however many source rows an entity h
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -202,24 +202,55 @@ def series_windows(
 ) -> DataFrame:
     """Rolling calendar sums and lagged values of a single series with one row per day.
 
-    A series has no entity to partition a window by. Each row is sent to the days it counts for, and the days
-    are grouped, which spreads over all tasks and combines before the shuffle.
+    A series has no entity to partition a window by. Every row counts on its day, is taken off again ``days`` later, and
+    shows itself ``lag`` days later: three rows out of one, however wide the window. The running total of what comes and
+    goes is the rolling sum; it runs within months, on top of the totals of the months before. Floating-point amounts are
+    summed as decimals of twelve places, so that what comes and goes cancels out.
     """
-    offsets = sorted({*range(days), lag})
-    spread = df.withColumn("_offset", F.explode(F.array(*[F.lit(o) for o in offsets])))
-    own = F.col("_offset") == 0
-    inside = F.col("_offset") < days
-    target = F.date_add(F.col(date), F.col("_offset"))
+    own, gone, late = (F.col("_kind") == k for k in (0, 1, 2))
+    shifts = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(n).alias("n")) for k, n in enumerate((0, days, lag))])
+    spread = df.withColumn("_shift", F.explode(shifts)).withColumn("_kind", F.col("_shift.kind"))
+    amounts = {new: exact(df, c) for c, new in rolling.items()}
+
+    def moved(of: Callable[[Column], Column], c: Column) -> Column:
+        return F.coalesce(of(F.when(own, c)), F.lit(0)) - F.coalesce(of(F.when(gone, c)), F.lit(0))
+
     aggs = [F.max(F.when(own, F.col(c))).alias(c) for c in df.columns if c != date]
-    aggs += [F.sum(F.when(inside, F.col(c))).alias(new) for c, new in rolling.items()]
-    aggs += [F.max(F.when(F.col("_offset") == lag, F.col(c))).alias(new) for c, new in lagged.items()]
-    return (
-        spread.withColumn(date, target)
-        .groupBy(date)
-        .agg(*aggs, F.count(F.when(own, 1)).alias("_present"))
-        .filter("_present > 0")
-        .drop("_present")
-    )
+    aggs += [F.max(F.when(late, F.col(c))).alias(new) for c, new in lagged.items()]
+    aggs += [moved(F.sum, c).alias(f"_sum_{new}") for new, c in amounts.items()]
+    aggs += [moved(F.count, c).alias(f"_count_{new}") for new, c in amounts.items()]
+    by_date = spread.withColumn(date, F.date_add(F.col(date), F.col("_shift.n"))).groupBy(date).agg(*aggs, F.count(F.when(own, 1)).alias("_present"))
+    running = [f"_{kind}_{new}" for kind in ("sum", "count") for new in amounts]
+    totals = running_totals(by_date, date, running).filter("_present > 0")
+    kind = {new: "double" if is_floating(df, c) else None for c, new in rolling.items()}
+    for new in amounts:
+        value = F.when(F.col(f"_count_{new}") > 0, F.col(f"_sum_{new}"))
+        totals = totals.withColumn(new, value.cast(kind[new]) if kind[new] else value)
+    return totals.select(*[c for c in df.columns if c == date], *[c for c in df.columns if c != date], *rolling.values(), *lagged.values())
+
+
+def is_floating(df: DataFrame, column: str) -> bool:
+    return dict(df.dtypes)[column] in ("float", "double")
+
+
+def exact(df: DataFrame, column: str) -> Column:
+    """A column whose sums do not depend on the order: floating point as decimal."""
+    return F.col(column).cast("decimal(38,12)") if is_floating(df, column) else F.col(column)
+
+
+def running_totals(df: DataFrame, date: str, columns: Sequence[str]) -> DataFrame:
+    """The columns as totals of all days up to the row's, for a frame of one row per day.
+
+    Totals run within the months, each in a task of its own choosing, and start from the sums of earlier months, of which
+    there are as many rows as months.
+    """
+    rows = df.withColumn("_chunk", F.trunc(date, "month"))
+    sums = rows.groupBy("_chunk").agg(*[F.sum(c).alias(f"_base_{c}") for c in columns])
+    earlier_chunks = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sums.select("_chunk", *[F.coalesce(F.sum(f"_base_{c}").over(earlier_chunks), F.lit(0)).alias(f"_base_{c}") for c in columns])
+    inside = Window.partitionBy("_chunk").orderBy(date).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumns({c: F.sum(c).over(inside) for c in columns}).join(bases, "_chunk")
+    return rows.withColumns({c: F.col(c) + F.col(f"_base_{c}") for c in columns}).drop("_chunk", *[f"_base_{c}" for c in columns])
 
 
 def _doubling_days(value: Column, earlier_value: Column, days: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import guarded_ratio
+from .panel import is_floating, exact
 
 
 def pivot_rate(
@@ -59,18 +60,48 @@ def share_of_total(
     )
 
 
+#: Windows of more days are summed by what comes and goes.
+SPREAD_DAYS = 14
+
+
 def bucket_sum(
     df: DataFrame, ends: DataFrame, key: str, date: str, value: str, end: str, out: str, days: int = 7
 ) -> DataFrame:
-    """Sum per entity over the ``days`` days up to each end date.
+    """Sum per entity over the ``days`` days up to each end date; entities without a row in these days are left out.
 
-    The end dates are spread over their days, which turns the interval test into an equality.
+    Up to ``SPREAD_DAYS`` days the ends are spread over their days, which turns the interval test into an equality. In wider
+    windows a day's sum is put in at the first end at or after it and taken out at the first end ``days`` later, so a row is sent
+    out twice at most, however many windows it is in; the running total per entity, in the order of the ends, is the
+    result. Floating-point amounts are summed as decimals of twelve places, so that what comes and goes cancels out.
     """
-    spread = ends.select(end).distinct().select(
-        end, F.explode(F.sequence(F.date_sub(F.col(end), days - 1), F.col(end))).alias(date)
+    if days <= SPREAD_DAYS:
+        spread = ends.select(end).distinct().select(end, F.explode(F.sequence(F.date_sub(F.col(end), days - 1), F.col(end))).alias(date))
+        summed = df.groupBy(key, date).agg(F.sum(value).alias("_daily"))
+        return summed.join(spread, date).groupBy(key, end).agg(F.sum("_daily").alias(out))
+    daily = df.groupBy(key, date).agg(F.sum(exact(df, value)).alias("_sum"))
+    # Ends and the days they close: as many rows as the calendar has days.
+    numbered = ends.select(end).filter(F.col(end).isNotNull()).distinct()
+    numbered = numbered.withColumn("_no", F.row_number().over(Window.orderBy(end))).withColumn("_before", F.lag(end).over(Window.orderBy(end)))
+    since = F.coalesce(F.date_add("_before", 1), F.date_sub(end, days - 1))
+    closed = numbered.select("_no", F.explode(F.sequence(since, F.col(end))).alias(date))
+    leaves = closed.select(F.col("_no").alias("_out"), F.date_sub(date, days).alias(date))
+    moves = daily.join(closed, date).join(leaves, date, "left").filter("_out IS NULL OR _no <> _out")
+    sides = F.array(F.struct(F.col("_no").alias("no"), F.lit(1).alias("sign")), F.struct(F.col("_out").alias("no"), F.lit(-1).alias("sign")))
+    moves = moves.select(key, "_sum", F.explode(sides).alias("_m")).filter("_m.no IS NOT NULL")
+    sign = F.col("_m.sign")
+    steps = moves.groupBy(key, F.col("_m.no").alias("_no")).agg(
+        F.sum(F.coalesce("_sum", F.lit(0)) * sign).alias("_sum"),
+        F.sum(sign).alias("_rows"),
+        F.sum(F.when(F.col("_sum").isNotNull(), sign).otherwise(0)).alias("_known"),
     )
-    daily = df.groupBy(key, date).agg(F.sum(value).alias("_daily"))
-    return daily.join(spread, date).groupBy(key, end).agg(F.sum("_daily").alias(out))
+    along = Window.partitionBy(key).orderBy("_no")
+    upto = along.rowsBetween(Window.unboundedPreceding, 0)
+    last = F.coalesce(F.lead("_no").over(along) - 1, numbered.agg(F.max("_no")).scalar())
+    runs = steps.withColumns({"_last": last, **{c: F.sum(c).over(upto) for c in ("_sum", "_rows", "_known")}}).filter("_rows > 0")
+    total = F.when(F.col("_known") > 0, F.col("_sum"))
+    kind = dict(daily.dtypes)["_sum"] if not is_floating(df, value) else "double"
+    shown = runs.select(key, total.cast(kind).alias(out), F.explode(F.sequence("_no", "_last")).alias("_no"))
+    return shown.join(numbered.select("_no", end), "_no").select(key, end, out)
 
 
 def yoy_weeks(

@@ -87,6 +87,19 @@ def interval_bucket_sum(spark, sf):
     return bucket_sum(days, ends, "nation", "day", "n", "end_date", "total")
 
 
+@query(
+    "interval_bucket_sum90",
+    f"""WITH {NW}, ends AS (SELECT DISTINCT "Week_Ending_Date" AS end_date FROM nw)
+SELECT nation, end_date, CAST(sum(n) AS BIGINT) AS total FROM nd JOIN ends ON day <= end_date AND day >= end_date - 89 GROUP BY 1, 2""",
+    dates=["end_date"],
+)
+def interval_bucket_sum90(spark, sf):
+    # Windows of ninety days that overlap twelve times.
+    days = settle(nation_day(spark, sf))
+    ends = nation_weeks(days).select(F.col("Week_Ending_Date").alias("end_date"))
+    return bucket_sum(days, ends, "nation", "day", "n", "end_date", "total", days=90)
+
+
 @query(
     "yoy_weeks",
     f"""WITH {NW}

@@ -165,3 +165,20 @@ def test_doubling_time_of_falling_series(spark):
     rows = [(f"e{e}", day(n), rng.choice([None, 0, 1, 2, 5, 9, 20, 41])) for e in range(6) for n in range(60)]
     got = P.doubling_time(frame(spark, rows), "e", "d", "v", "t")
     assert_doubling(sorted(tuple(r) for r in got.collect()), doubling_by_pairs(rows))
+
+
+@pytest.mark.parametrize("days", [1, 7, 90])
+def test_wide_series_windows_send_three_rows_out_of_one(spark, days):
+    rng = random.Random(days)
+    rows = [(day(n), rng.choice([None, 0.1, 2.7, 1e9 / 3])) for n in range(200) if rng.random() < 0.6]
+    df = spark.createDataFrame(rows, "d date, v double").repartition(5)
+    out = P.series_windows(df, "d", {"v": "s"}, {"v": "late"}, days, 10)
+    at = dict(rows)
+    for d, v, s, late in rows_of(out, "d"):
+        known = [at[x] for x in (d - dt.timedelta(days=k) for k in range(days)) if at.get(x) is not None]
+        assert (s is None) == (not known) and (not known or s == pytest.approx(sum(known)))
+        assert (v, late) == (at[d], at.get(d - dt.timedelta(days=10)))
+    assert out.count() == len(rows)
+    plan = out._jdf.queryExecution().analyzed().toString()
+    # Three rows out of one, in each of the two branches of the running totals.
+    assert plan.count("explode(array(struct") == plan.count("explode") == 2

@@ -252,3 +252,24 @@ def test_quantiles_of_all_ranks_take_one_job_a_round(spark):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     # Three passes and the collecting of the row; adaptive execution makes every shuffle a job of its own.
     assert jobs <= 9
+
+
+@pytest.mark.parametrize("days", [1, 7, 90])
+def test_bucket_sums_of_any_width(spark, days):
+    rng = random.Random(days)
+    rows = [(rng.choice(["a", "b", None]), day(rng.randrange(300)), rng.choice([None, 1, 5, -2])) for _ in range(400)]
+    rows += [("c", day(2), None), ("d", None, 3)]
+    df = spark.createDataFrame(rows, "k string, d date, v long").repartition(5)
+    last = [day(n) for n in {rng.randrange(320) for _ in range(40)}]
+    ends = spark.createDataFrame([(x,) for x in [*last, last[0], None]], "e date")
+    for column, same in ((df, lambda a, b: a == b), (df.withColumn("v", F.col("v") / 3), lambda a, b: a == pytest.approx(b / 3))):
+        got = {(r.k, r.e): r.t for r in rollup.bucket_sum(column, ends, "k", "d", "v", "e", "t", days).collect()}
+        want = {}
+        for k, d, v in rows:
+            for e in last:
+                if d is not None and e - dt.timedelta(days=days) < d <= e:
+                    want.setdefault((k, e), []).append(v)
+        assert got.keys() == want.keys()
+        for at, values in want.items():
+            known = [v for v in values if v is not None]
+            assert (got[at] is None) if not known else same(got[at], sum(known)), at
