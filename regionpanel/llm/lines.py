@@ -2,13 +2,19 @@
 
 Only DataFrame functions run here. A document is the sequence of its lines that hold a word. The rank of a suffix
 by its first line is the place of the earliest suffix that begins with the same line; its rank by twice as many lines
-comes from the pair (own rank, rank that many lines further on). Suffixes of the same rank by ``min_lines`` lines
-are an interval of the suffix array whose common prefix has that length; all but the earliest of them are copies.
-What the copies cover, joined, are the maximal repeated runs. A run that covers at least ``min_chars`` characters goes.
+comes from the pair (own rank, rank that many lines further on). Suffixes of the same rank are an interval of the
+suffix array whose common prefix has that length; all but the earliest of them are copies.
+
+A repeated run of any number of lines, one included, goes if it has ``min_lines`` lines and ``min_chars`` characters. Such
+a run is covered by the shortest runs in it that have both, counted from each line forwards and backwards; where these end
+follows from the lines alone, so copies have them at the same places. The ranks of a shortest run's first and last 2 ** k
+lines, which overlap, tell it from others. Doubling goes on until the longest of them is covered. What the copies cover,
+joined, are the maximal repeated runs.
 
 Defined results: lines without a word belong to no run and stay; "earlier" is a smaller document id, then the smaller
 text hash, then the earlier line; null ids come first; rows alike in id and text are decided alike, by
-one of them; a null text has no lines and stays null; a text whose lines all go becomes empty.
+one of them; a null text has no lines and stays null; a text whose lines all go becomes empty; very long texts are rows
+of lines like others.
 """
 
 from __future__ import annotations
@@ -18,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import row_hash, settle
 
-MIN_LINES = 2
+MIN_LINES = 1
 MIN_CHARS = 100
 
 
@@ -46,30 +52,71 @@ def ranked(rows: DataFrame, key: str) -> DataFrame:
     return rows.join(first, key).drop(key)
 
 
-def repeated_windows(lines: DataFrame, min_lines: int) -> DataFrame:
-    """``doc``, ``at`` and ``rank`` of every suffix whose first ``min_lines`` lines occur more than once."""
-    ranks = settle(ranked(lines.select("doc", "at", "id"), "id"), "line-ranks")
-    width = 1
-    while width < min_lines:
-        step = min(width, min_lines - width)  # the last step may overlap, which gives any length
-        after = ranks.select("doc", (F.col("at") - step).alias("at"), F.col("rank").alias("next"))
-        pairs = ranks.join(after, ["doc", "at"]).withColumn("key", F.struct("rank", "next")).drop("rank", "next")
-        ranks = settle(ranked(pairs, "key"), "line-ranks")
-        width += step
-    return ranks
+def shortest_runs(repeated: DataFrame, min_lines: int, min_chars: int) -> DataFrame:
+    """``doc``, ``at`` and ``lines`` of the shortest runs of repeated lines that have enough lines and characters.
+
+    In a stretch of repeated lines a run from one line to another has enough characters if the characters up to its end
+    are as many as those before its beginning and ``min_chars``. On one axis of both numbers, the run that begins at a line
+    ends with the next end, and the run that ends at a line begins with the beginning before it.
+    """
+    stretch = Window.partitionBy("doc").orderBy("at")
+    rows = repeated.select("doc", "at", "chars", (F.col("at") - F.row_number().over(stretch)).alias("stretch"))
+    inside = Window.partitionBy("doc", "stretch")
+    rows = rows.withColumns({"upto": F.sum("chars").over(inside.orderBy("at")), "all": F.sum("chars").over(inside)})
+    rows = rows.filter(F.col("all") >= min_chars)
+    ends = F.struct(F.col("upto").alias("place"), F.lit(1).alias("end"), F.col("at"))
+    begins = F.struct((F.col("upto") - F.col("chars") + min_chars).alias("place"), F.lit(0).alias("end"), F.col("at"))
+    axis = rows.select("doc", "stretch", F.explode(F.array(begins, ends)).alias("x")).select("doc", "stretch", "x.*")
+    along = [F.col("place"), F.col("end")]
+    so_far = inside.orderBy(*along).rowsBetween(Window.unboundedPreceding, 0)
+    to_come = inside.orderBy(*[c.desc() for c in along]).rowsBetween(Window.unboundedPreceding, 0)
+    axis = axis.withColumn("begin", F.max(F.when(F.col("end") == 0, F.col("at"))).over(so_far))
+    axis = axis.withColumn("finish", F.min(F.when(F.col("end") == 1, F.col("at"))).over(to_come))
+    lowest, highest = F.min("at").over(inside), F.max("at").over(inside)
+    axis = axis.withColumns({"lowest": lowest, "highest": highest})
+    # As many lines as are asked for, if the stretch has them.
+    first = F.when(F.col("end") == 1, F.least("begin", F.col("at") - (min_lines - 1))).otherwise(F.col("at"))
+    last = F.when(F.col("end") == 0, F.greatest("finish", F.col("at") + (min_lines - 1))).otherwise(F.col("at"))
+    # Without another end or beginning the characters are too few.
+    axis = axis.filter(F.when(F.col("end") == 1, F.col("begin")).otherwise(F.col("finish")).isNotNull())
+    runs = axis.select("doc", first.alias("at"), last.alias("last"), "lowest", "highest")
+    runs = runs.filter((F.col("at") >= F.col("lowest")) & (F.col("last") <= F.col("highest")))
+    return runs.select("doc", "at", (F.col("last") - F.col("at") + 1).alias("lines")).distinct()
+
+
+def copied_runs(lines: DataFrame, min_lines: int, min_chars: int) -> DataFrame:
+    """``doc``, ``at`` and ``lines`` of the shortest runs that occur earlier as well."""
+    ranks = settle(ranked(lines.select("doc", "at", "chars", "id"), "id"), "line-ranks")
+    runs = settle(shortest_runs(ranks, min_lines, min_chars), "line-runs")
+    longest = runs.agg(F.max("lines")).first()[0] or 0
+    place, own = F.struct("doc", "at"), ["doc", "at", "lines"]
+    copies, width = None, 1
+    ranks = ranks.drop("chars")
+    while width <= longest:
+        # A run of ``width`` lines has its rank; a longer one, of less than twice as many, that of its first and last lines.
+        equal = runs.filter(F.col("lines") == width).join(ranks, ["doc", "at"]).filter(F.col("rank") != place).select(*own)
+        copies = equal if copies is None else copies.unionByName(equal)
+        if longest > width:
+            some = runs.filter((F.col("lines") > width) & (F.col("lines") < 2 * width))
+            tails = ranks.select("doc", F.col("at").alias("tail"), F.col("rank").alias("next"))
+            keyed = some.withColumn("tail", F.col("at") + F.col("lines") - width).join(ranks, ["doc", "at"]).join(tails, ["doc", "tail"])
+            keyed = keyed.select(*own, F.struct("lines", "rank", "next").alias("key"))
+            copies = copies.unionByName(ranked(keyed, "key").filter(F.col("rank") != place).select(*own))
+            after = ranks.select("doc", (F.col("at") - width).alias("at"), F.col("rank").alias("next"))
+            pairs = ranks.join(after, ["doc", "at"]).withColumn("key", F.struct("rank", "next")).drop("rank", "next")
+            ranks = settle(ranked(pairs, "key"), "line-ranks")
+        width *= 2
+    return copies if copies is not None else runs
 
 
 def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS) -> DataFrame:
     """``doc``, ``line``, ``run`` of every line that is deleted."""
     lines = settle(line_ids(docs, doc_id, text), "lines")
-    windows = repeated_windows(lines, min_lines)
-    copies = windows.filter((F.col("rank.doc") != F.col("doc")) | (F.col("rank.at") != F.col("at")))
-    gone = copies.select("doc", F.explode(F.sequence("at", F.col("at") + min_lines - 1)).alias("at")).distinct()
-    gone = gone.join(lines.select("doc", "at", "line", "chars"), ["doc", "at"])
+    copies = copied_runs(lines, max(min_lines, 1), min_chars)
+    gone = copies.select("doc", F.explode(F.sequence("at", F.col("at") + F.col("lines") - 1)).alias("at")).distinct()
+    gone = gone.join(lines.select("doc", "at", "line"), ["doc", "at"])
     order = Window.partitionBy("doc").orderBy("at")
-    gone = gone.withColumn("run", F.col("at") - F.row_number().over(order))
-    size = F.sum("chars").over(Window.partitionBy("doc", "run"))
-    return gone.withColumn("_size", size).filter(F.col("_size") >= min_chars).select("doc", "line", "run")
+    return gone.select("doc", "line", (F.col("at") - F.row_number().over(order)).alias("run"))
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS) -> DataFrame:

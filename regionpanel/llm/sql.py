@@ -72,22 +72,25 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_co
 FROM b
 """
 
+# Shortest runs of enough characters, from each line forwards and backwards, by all their lines.
 SQL["op8_line_dedup"] = f"""
 WITH l AS (
     SELECT doc_id, unnest(string_split(text, chr(10))) AS v, generate_subscripts(string_split(text, chr(10)), 1) AS line FROM documents
 ), s AS (
-    SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY line) AS spot FROM l WHERE regexp_matches(v, {WORD})
-), pair AS (
-    SELECT *, lead(v) OVER (PARTITION BY doc_id ORDER BY spot) AS v2 FROM s
+    SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY line) AS spot, sum(length(v)) OVER (PARTITION BY doc_id ORDER BY line) AS upto,
+        count(*) OVER (PARTITION BY v) > 1 AS twice FROM l WHERE regexp_matches(v, {WORD})
+), runs AS (
+    SELECT DISTINCT a.doc_id, a.spot, b.spot AS last FROM s a JOIN s b ON a.doc_id = b.doc_id AND a.twice AND b.twice AND a.spot <= b.spot
+        AND b.upto - a.upto + length(a.v) >= {lines.MIN_CHARS}
+        AND (b.upto - length(b.v) - a.upto + length(a.v) < {lines.MIN_CHARS} OR b.upto - a.upto < {lines.MIN_CHARS})
+), told AS (
+    SELECT r.doc_id, r.spot, r.last, string_agg(s.v, chr(10) ORDER BY s.spot) AS said
+    FROM runs r JOIN s ON s.doc_id = r.doc_id AND s.spot BETWEEN r.spot AND r.last GROUP BY 1, 2, 3 HAVING bool_and(s.twice)
 ), copies AS (
-    SELECT doc_id, spot FROM (
-        SELECT *, row_number() OVER (PARTITION BY v, v2 ORDER BY doc_id, spot) AS nth FROM pair WHERE v2 IS NOT NULL
-    ) WHERE nth > 1
-), gone AS (
-    SELECT *, spot - row_number() OVER (PARTITION BY doc_id ORDER BY spot) AS run
-    FROM s JOIN (SELECT DISTINCT doc_id, spot + j AS spot FROM copies, range({lines.MIN_LINES}) AS r(j)) USING (doc_id, spot)
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY said ORDER BY doc_id, spot) AS nth FROM told) WHERE nth > 1
 ), cut AS (
-    SELECT doc_id, line, run FROM (SELECT *, sum(length(v)) OVER (PARTITION BY doc_id, run) AS chars FROM gone) WHERE chars >= {lines.MIN_CHARS}
+    SELECT *, spot - row_number() OVER (PARTITION BY doc_id ORDER BY spot) AS run
+    FROM s JOIN (SELECT DISTINCT doc_id, unnest(range(spot, last + 1)) AS spot FROM copies) USING (doc_id, spot)
 ), removed AS (
     SELECT doc_id, count(*) AS n_removed, count(DISTINCT run) AS n_runs FROM cut GROUP BY doc_id
 ), rest AS (

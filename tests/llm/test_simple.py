@@ -185,25 +185,24 @@ def test_shards_of_odd_tables(spark, bucket_bytes):
 
 
 def brute_lines(docs, least=lines.MIN_LINES, chars=lines.MIN_CHARS):
-    """Lines kept of every distinct (id, text), by comparing all windows."""
+    """Lines kept of every distinct (id, text), by comparing all runs of all lengths."""
     first, held = {}, {}
     keys = sorted({(r[0], r[1]) for r in docs}, key=lambda k: (k[0] is not None, k[0] or 0))
     for key in keys:
         held[key] = [(i, x) for i, x in enumerate((key[1] or "").split("\n")) if x.encode().split()]
+    once = Counter(x for seq in held.values() for _, x in seq)
     out = {}
     for key in keys:
         seq = held[key]
         gone = set()
-        for at in range(len(seq) - least + 1):
-            window = tuple(x for _, x in seq[at : at + least])
-            if first.setdefault(window, (key, at)) != (key, at):
-                gone.update(range(at, at + least))
-        runs, run = [], []
-        for at in sorted(gone):
-            run = run + [at] if run and run[-1] == at - 1 else [at]
-            if at + 1 not in gone:
-                runs.append(run)
-        drop = {seq[at][0] for run in runs if sum(len(seq[at][1]) for at in run) >= chars for at in run}
+        for at in range(len(seq)):
+            for end in range(at + 1, len(seq) + 1):
+                if once[seq[end - 1][1]] < 2:
+                    break
+                run = tuple(x for _, x in seq[at:end])
+                if len(run) >= least and sum(map(len, run)) >= chars and first.setdefault(run, (key, at)) != (key, at):
+                    gone.update(range(at, end))
+        drop = {seq[at][0] for at in gone}
         out[key] = None if key[1] is None else "\n".join(x for i, x in enumerate(key[1].split("\n")) if i not in drop)
     return out
 
@@ -224,6 +223,34 @@ def test_lines_of_odd_tables(spark, least):
     assert lines.dedup_lines(empty_docs(spark)).count() == 0
 
 
+def test_lines_of_random_runs(spark):
+    rng = random.Random(6)
+    pool = ["a" * n for n in (1, 2, 5, 9, 30)] + ["b" * 7, "c d", "e" * 12]
+    data = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randint(1, 14)))) for i in range(60)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    for least, chars in ((1, 10), (1, 40), (3, 12)):
+        want = brute_lines(data, least, chars)
+        got = {r.doc_id: r.text for r in lines.dedup_lines(docs, min_lines=least, min_chars=chars).collect()}
+        assert got == {i: left for (i, _), left in want.items()}, (least, chars)
+
+
+def test_a_long_line_between_different_neighbours_goes(spark):
+    long = "word " * 80
+    docs = spark.createDataFrame([(i, f"before {i}\n{long}\nafter {i}") for i in range(10)], "doc_id long, text string")
+    got = {r.doc_id: r for r in lines.dedup_lines(docs).collect()}
+    assert [got[i].removed for i in range(10)] == [0] + [1] * 9
+    assert got[5].text == "before 5\nafter 5"
+
+
+def test_a_very_long_text_that_repeats_itself(spark):
+    unit = "\n".join(f"line {i} " + "x" * (i % 40) for i in range(500))
+    docs = spark.createDataFrame([(1, "\n".join([unit] * 40)), (2, unit), (3, "\n".join(["y"] * 30_000))], "doc_id long, text string")
+    got = {r.doc_id: r for r in lines.dedup_lines(docs).collect()}
+    assert got[1].text == unit and got[1].removed == 39 * 500 and got[2].removed == 500
+    # A hundred times the same line is a run; the later ones go as far as such a run occurs earlier.
+    assert got[3].text == "y" and got[3].removed == 29_999
+
+
 def test_lines_plan_is_native(spark):
     plan = QUERIES["op8_line_dedup"](spark, SF_DIR)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
