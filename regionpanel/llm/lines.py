@@ -90,23 +90,24 @@ def copied_runs(lines: DataFrame, min_lines: int, min_chars: int) -> DataFrame:
     runs = settle(shortest_runs(ranks, min_lines, min_chars), "line-runs")
     longest = runs.agg(F.max("lines")).first()[0] or 0
     place, own = F.struct("doc", "at"), ["doc", "at", "lines"]
-    copies, width = None, 1
+    copies, width = runs.filter("false"), 1
     ranks = ranks.drop("chars")
     while width <= longest:
         # A run of ``width`` lines has its rank; a longer one, of less than twice as many, that of its first and last lines.
-        equal = runs.filter(F.col("lines") == width).join(ranks, ["doc", "at"]).filter(F.col("rank") != place).select(*own)
-        copies = equal if copies is None else copies.unionByName(equal)
+        found = runs.filter(F.col("lines") == width).join(ranks, ["doc", "at"]).filter(F.col("rank") != place).select(*own)
         if longest > width:
             some = runs.filter((F.col("lines") > width) & (F.col("lines") < 2 * width))
             tails = ranks.select("doc", F.col("at").alias("tail"), F.col("rank").alias("next"))
             keyed = some.withColumn("tail", F.col("at") + F.col("lines") - width).join(ranks, ["doc", "at"]).join(tails, ["doc", "tail"])
             keyed = keyed.select(*own, F.struct("lines", "rank", "next").alias("key"))
-            copies = copies.unionByName(ranked(keyed, "key").filter(F.col("rank") != place).select(*own))
+            found = found.unionByName(ranked(keyed, "key").filter(F.col("rank") != place).select(*own))
             after = ranks.select("doc", (F.col("at") - width).alias("at"), F.col("rank").alias("next"))
             pairs = ranks.join(after, ["doc", "at"]).withColumn("key", F.struct("rank", "next")).drop("rank", "next")
             ranks = settle(ranked(pairs, "key"), "line-ranks")
+        # Stored, so that the plan does not grow with the rounds.
+        copies = copies.unionByName(settle(found, "line-copies"))
         width *= 2
-    return copies if copies is not None else runs
+    return copies
 
 
 def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS) -> DataFrame:
