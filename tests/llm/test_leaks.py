@@ -192,4 +192,4 @@ def test_entry_registers_the_text_queries():
     import __spark_entry__ as entry
 
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
