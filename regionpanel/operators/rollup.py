@@ -90,7 +90,8 @@ def bucket_sum(
     moves = moves.select(key, "_sum", F.explode(sides).alias("_m")).filter("_m.no IS NOT NULL")
     sign = F.col("_m.sign")
     steps = moves.groupBy(key, F.col("_m.no").alias("_no")).agg(
-        F.sum(F.coalesce("_sum", F.lit(0)) * sign).alias("_sum"),
+        # Turned, not multiplied, which would cost a decimal some of its places.
+        F.sum(F.coalesce(F.when(sign > 0, F.col("_sum")).otherwise(-F.col("_sum")), F.lit(0))).alias("_sum"),
         F.sum(sign).alias("_rows"),
         F.sum(F.when(F.col("_sum").isNotNull(), sign).otherwise(0)).alias("_known"),
     )
