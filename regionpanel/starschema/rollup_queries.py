@@ -103,10 +103,9 @@ def interval_bucket_sum90(spark, sf):
 @query(
     "yoy_weeks",
     f"""WITH {NW}
-SELECT a."State", a."Week_Of_Year", a."All_Cause" AS "All_Cause1999", b."All_Cause" AS "All_Cause2000", c."All_Cause" AS "All_Cause2001"
-FROM nw a JOIN nw b ON a."State" = b."State" AND a."Week_Of_Year" = b."Week_Of_Year" AND b."Year" = a."Year" + 1
-LEFT JOIN nw c ON a."State" = c."State" AND a."Week_Of_Year" = c."Week_Of_Year" AND c."Year" = a."Year" + 2
-WHERE a."Year" = {BASE_YEAR}""",
+SELECT "State", "Week_Of_Year", max("All_Cause") FILTER ("Year" = {BASE_YEAR}) AS "All_Cause1999",
+  max("All_Cause") FILTER ("Year" = {BASE_YEAR} + 1) AS "All_Cause2000", max("All_Cause") FILTER ("Year" = {BASE_YEAR} + 2) AS "All_Cause2001"
+FROM nw GROUP BY 1, 2 HAVING bool_or("Year" = {BASE_YEAR}) AND bool_or("Year" = {BASE_YEAR} + 1)""",
 )
 def yoy_weeks_query(spark, sf):
     return yoy_weeks(nation_weeks(nation_day(spark, sf)), "State", "Year", "Week_Of_Year", "All_Cause", BASE_YEAR)
