@@ -13,7 +13,8 @@ whole in one of them. The question of an item is the text before its last senten
 where there is one sentence only, the answer is the last quarter of its words.
 
 Defined results: null and empty texts have no passages; items without words are never found; equal items are found
-each under its own id; an item found in several passages of a document is reported once, with its best values.
+each under its own id; an item found in several passages of a document is reported once, with its best values; a very long
+text has as many passages as it needs, all of which are looked at; without documents or items nothing is found.
 """
 
 from __future__ import annotations

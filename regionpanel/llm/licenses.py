@@ -5,7 +5,8 @@ blanks to single spaces) and its digest is joined to the digests of known licenc
 every line by itself, which finds notices that stand in front of other text.
 
 Defined results: null, empty and blank-only texts have no canonical form and match nothing; of known texts with the
-same digest the smallest name counts; repeated rows are answered alike; unknown texts have a null name.
+same digest the smallest name counts; repeated rows are answered alike; unknown texts have a null name; very long texts are
+normalised whole; an empty table gives no rows.
 """
 
 from __future__ import annotations

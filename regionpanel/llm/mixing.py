@@ -6,7 +6,8 @@ pass in a pseudorandom order of its own. Output slots draw their source one by o
 shard multinomial; what a source was drawn too often is handed to those drawn too seldom, so totals are exact.
 
 Defined results: a null text has no words; null is a source of its own; a source without words has target 0; rows
-alike in id and text are laid out one after the other; an empty table gives an empty mix.
+alike in id and text are laid out one after the other; a very long text lies over many blocks; an empty table gives an
+empty mix.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ link between different texts is lost.
 
 Defined results: no words or no text: empty set, linked with nothing, its own group; fewer words than a shingle has:
 one shingle of all of them; equal sets are linked; rows that repeat an id are nodes of their own with that id; null ids
-are never the smallest of a group unless it has no other.
+are never the smallest of a group unless it has no other; a very long text is a chunk of its own and all its shingles count;
+an empty table gives no rows; further columns are left out.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ collide and are similar enough stay apart, whoever leads. Connected classes are
 cluster stays and all others go.
 
 Defined results: null and empty texts have no paragraphs; shorter lines are left alone; "earlier" is a smaller id, then
-text hash, then place; rows alike in id and text count once; a paragraph repeated in one document is removed there too.
+text hash, then place; rows alike in id and text count once; a paragraph repeated in one document is removed there too; a very long text is a chunk
+of its own; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -5,7 +5,7 @@ time, shuffles it (Fisher-Yates) and numbers its rows. Buckets one after the oth
 rows, and shards are equal cuts of that order, so their counts differ by one row at most (law ``rows``).
 
 Defined results: a null text has no bytes and no checksum, an empty one the checksum 0; rows alike in id and text
-fall into one bucket, next to which any order is the same; an empty table gives no rows; further columns stay.
+fall into one bucket, next to which any order is the same; a very long text travels like any other record; an empty table gives no rows; further columns stay.
 """
 
 from __future__ import annotations
