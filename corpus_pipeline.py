@@ -1,6 +1,10 @@
 """A training corpus from raw documents: rules, near duplicates, benchmark leaks, mixture, shards.
 
 Every stage takes the documents the one before has written and returns documents; its rows are what it keeps.
+
+Of nulls, empty and very long texts, ties, repeated rows and empty tables the stages make what their operators say, in short:
+a null or empty text fails the rules, so no later stage sees one; of rows alike in id and text, and of similar documents, one
+stays; very long texts are looked at whole; an empty table passes all stages and gives no rows; other columns stay.
 """
 
 from __future__ import annotations
@@ -22,17 +26,17 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the rules on repetition."""
+    """Documents that pass the rules on repetition; texts of fewer than ten words, null ones included, go."""
     return quality.keep(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones, that with the smallest id."""
+    """One document of each group of similar ones, that with the smallest id; ids that are null come last."""
     return ngram_join.one_of_each_group(docs)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item; all of them where there are no items."""
     return decontaminate.clean(docs, read(spark, sf_dir, "benchmark"))
 
 
@@ -49,7 +53,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The rows in random order: shard and slot."""
+    """The rows in random order, the same in every run: shard and slot. Counts of shards differ by one at most."""
     return sharding.two_pass_shuffle(docs, shards=8)
 
 
