@@ -13,6 +13,7 @@ from pyspark.sql.utils import AnalysisException
 from .. import __version__
 from ..operators.panel import entities_with_data, require_unique
 from ..operators.report import latest_day
+from ..session import scratch
 from ..sinks import pointer, publish, read_table, write_json, write_tsv
 from ..sinks.versions import Pointer, read_parts
 from ..sources import fingerprint
@@ -205,6 +206,13 @@ def build(
     leaves all tables readable as they were. ``since`` is the first day of the daily files, ``first`` and ``end`` bound
     the days with state rates and means; no end by default.
     """
+    with scratch(spark):
+        return _build(spark, paths, out, since, first, end)
+
+
+def _build(
+    spark: SparkSession, paths: Mapping[str, str], out: str, since: str, first: str | None, end: str | None
+) -> dict[str, DataFrame]:
     # Deliveries do not depend on each other, so their jobs run side by side.
     with ThreadPoolExecutor(max(len(paths), 1)) as pool:
         received = pool.map(lambda name: receive(spark, name, paths[name], out, since), paths)

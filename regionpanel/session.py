@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,9 +46,30 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+# Folders of the runs that are on, the innermost last.
+_runs: list[str] = []
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
-    """Path of a folder not used before, below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """Path of a folder not used before, below the folder of the run or else the shared folder."""
+    return f"{_runs[-1] if _runs else shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A folder for the intermediate tables made inside the ``with``, deleted at its end, also when the run fails.
+
+    Frames that read such tables must have been written or collected by then. One run at a time in a process; runs may be
+    nested.
+    """
+    folder = new_folder(spark, "run")
+    _runs.append(folder)
+    try:
+        yield folder
+    finally:
+        _runs.remove(folder)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settle(df: DataFrame, label: str = "settled") -> DataFrame:

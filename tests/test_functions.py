@@ -137,3 +137,25 @@ def test_outbreak_direction(spark):
     rows = [(True, 1.0), (True, 0.0), (True, None), (False, 1.0)]
     got = one(spark, rows, "f boolean, c double", fn.outbreak_direction(F.col("f"), F.col("c")))
     assert [g[0] for g in got] == ["up", "down", "down", "none"]
+
+
+def test_intermediate_tables_go_at_the_end_of_a_run(spark):
+    from pathlib import Path
+
+    from regionpanel.session import new_folder, scratch, settle
+
+    with scratch(spark) as run:
+        df = settle(spark.range(5))
+        assert df.count() == 5
+        with scratch(spark) as inner:
+            assert settle(spark.range(3)).count() == 3 and inner.startswith(run)
+        local = Path(run.removeprefix("file:"))
+        assert len(list(local.iterdir())) == 1
+    assert not local.exists() and not new_folder(spark, "x").startswith(run)
+    try:
+        with scratch(spark) as failed:
+            settle(spark.range(5))
+            raise RuntimeError
+    except RuntimeError:
+        pass
+    assert not Path(failed.removeprefix("file:")).exists()
