@@ -1,8 +1,11 @@
 """Remove repeated paragraphs: MinHash bands, exact Jaccard, components.
 
-Two kinds of paragraphs are looked at. Lines of at least ``MIN_WORDS`` words are compared by the MinHash of their word
-shingles; those that collide in a band are checked on their whole shingle sets. Passages that stand inside lines have no
-borders of their own; they are cut out where the content says so: among every ``ANCHOR_WINDOW`` shingles in a row the
+Paragraphs come in three kinds. A ``line`` of at least ``MIN_WORDS`` words is one by itself. Shorter lines are wrapped text:
+those that stand together, without a blank or a long line between them, are joined, and from ``MIN_WORDS`` words on they are a
+``block``. So a text counts the same however it is wrapped below ``MIN_WORDS`` words a line, or not wrapped at all. Lines and
+blocks never overlap; both are compared by the MinHash of their word shingles, and those that collide in a band are checked
+on their whole shingle sets. A ``passage`` stands inside a line or across lines and has no
+borders of its own; it is cut out where the content says so: among every ``ANCHOR_WINDOW`` shingles in a row the
 smallest hash marks a place, and the ``PASSAGE_WORDS`` words from there on are a paragraph. Any run of
 ``ANCHOR_WINDOW + PASSAGE_WORDS - 1`` words (50) that two documents share holds the same one in both. Its digest decides
 alone, for equal passages have a similarity of 1.
@@ -10,11 +13,11 @@ alone, for equal passages have a similarity of 1.
 Features that meet no other (digests and band keys) are sorted out first, so only paragraphs that may have a repeat are
 kept. Equal paragraphs are one class, whose earliest place stands for it. Classes that share a bucket are first checked
 against one leader in each band, which costs rows in proportion to the bucket. What is left goes through the exact join of
-``ngram_join``: every pair of different groups that shares enough of its rarest shingles is checked, so no two lines that
+``ngram_join``: every pair of different groups that shares enough of its rarest shingles is checked, so no two of them that
 collide and are similar enough stay apart, whoever leads. Connected classes are a cluster. The earliest paragraph of a
 cluster stays and all others go.
 
-Defined results: null and empty texts have no paragraphs; shorter lines are left alone; "earlier" is a smaller id, then
+Defined results: null and empty texts have no paragraphs; lines and blocks below ``MIN_WORDS`` words are left alone; "earlier" is a smaller id, then
 text hash, then place; rows alike in id and text count once; a paragraph repeated in one document is removed there too; a very long text is a chunk
 of its own; an empty table gives no rows.
 """
@@ -67,11 +70,23 @@ def window_minima(x: np.ndarray, ends: np.ndarray, width: int) -> np.ndarray:
     return np.unique(best[whole])
 
 
+def joined_lines(words: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First line and line after the last of every long line and of every run of neighbouring short ones of a document."""
+    short = (words > 0) & (words < MIN_WORDS)
+    on = np.zeros(len(words), dtype=bool)
+    on[1:] = short[1:] & short[:-1] & (doc[1:] == doc[:-1])
+    first = np.flatnonzero((words > 0) & ~on)
+    last = np.ones(len(words), dtype=bool)
+    last[:-1] = ~on[1:]
+    return first, np.flatnonzero((words > 0) & last) + 1
+
+
 class Paragraphs:
-    """Lines and passages of some texts: document, start in words, length in words and digest; band keys of lines.
+    """Lines, blocks and passages of some texts: document, start in words, length in words and digest; band keys of the first two.
 
-    Words are taken in lower case (A to Z). All digests are made of the texts' shingle hashes: a line's from the sum
-    of its shingles, a passage's from shingles that cover it.
+    ``line_from`` and ``line_to`` are the lines, of all texts end to end, that a line or block is made of.
+    Words are taken in lower case (A to Z). All digests are made of the texts' shingle hashes: a line's or block's from
+    the sum of its shingles, a passage's from shingles that cover it.
     """
 
     def __init__(self, raw: list[bytes]):
@@ -84,9 +99,12 @@ class Paragraphs:
         shift = (np.cumsum(size) - size) - (np.cumsum(words) - words)  # from a document's words to its shingles
         begin = np.cumsum(words) - words
 
-        long = per_line >= MIN_WORDS
-        self.line_doc, self.line_words = line_doc[long], per_line[long]
-        start = (np.cumsum(per_line) - per_line)[long]
+        a, z = joined_lines(per_line, line_doc)
+        upto = np.r_[0, np.cumsum(per_line)]
+        enough = upto[z] - upto[a] >= MIN_WORDS
+        self.line_from, self.line_to = a, z = a[enough], z[enough]
+        self.line_doc, self.line_words = line_doc[a], upto[z] - upto[a]
+        start = upto[a]
         self.line_start = start - begin[self.line_doc]
         first = start + shift[self.line_doc]
         pairs = np.empty(2 * len(first), dtype=np.int64)
@@ -131,17 +149,18 @@ def meeting_paragraphs(ids: pd.Series, hashes: np.ndarray, raw: list[bytes], fou
     short = np.uint64(64 - BITS)
     lines = np.flatnonzero(among(p.line_digest >> short, found) | among((p.bands >> short).reshape(-1), found).reshape(-1, BANDS).any(axis=1))
     passages = np.flatnonzero(among(p.passage_digest >> short, found))
-    text = [x for r in raw for x in r.split(b"\n") if len(x.split()) >= MIN_WORDS]
+    text = [x for r in raw for x in r.split(b"\n")]
+    a, z = p.line_from[lines], p.line_to[lines]
     doc = np.r_[p.line_doc[lines], p.passage_doc[passages]]
     nothing = [None] * len(passages)
     return pd.DataFrame(
         {
             "doc_id": ids.iloc[doc].to_numpy(), "text_hash": hashes[doc], "start": np.r_[p.line_start[lines], p.passage_start[passages]],
             "words": np.r_[p.line_words[lines], np.full(len(passages), PASSAGE_WORDS)],
-            "kind": ["line"] * len(lines) + ["passage"] * len(passages),
+            "kind": [*np.where(z - a > 1, "block", "line"), *["passage"] * len(passages)],
             "digest": (np.r_[p.line_digest[lines], p.passage_digest[passages]] >> np.uint64(1)).astype(np.int64),
             "bands": [*(p.bands[lines] >> np.uint64(1)).astype(np.int64), *nothing],
-            "line": [*(text[i].decode("utf-8", "surrogatepass") for i in lines), *nothing],
+            "line": [*(b"\n".join(text[x:y]).decode("utf-8", "surrogatepass") for x, y in zip(a, z, strict=True)), *nothing],
         }
     )
 
@@ -211,14 +230,15 @@ def duplicate_paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     ``cluster_doc_id`` and ``cluster_start`` of the cluster's earliest paragraph, and ``removed``."""
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), row_hash(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
     ranges = ranges or 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = second_look(texts, paragraph_features, meeting_paragraphs, UNIT, ranges).withColumn("key", F.struct("kind", "words", "digest"))
+    rows = second_look(texts, paragraph_features, meeting_paragraphs, UNIT, ranges)
+    rows = rows.withColumn("key", F.struct((F.col("kind") == "passage").alias("passage"), "words", "digest"))
     rows = settle(rows.withColumn("place", F.struct("doc_id", "text_hash", "start")), "paragraphs")
-    of = components(line_links(rows.filter("kind = 'line'")))
+    of = components(line_links(rows.filter("kind != 'passage'")))
     of = of.select(F.col("node").alias("key"), F.col("component").alias("cluster"))
     # A class's earliest place and size first; clusters then have a row per class, not per paragraph.
     classes = rows.groupBy("key").agg(F.min("place").alias("first"), F.count_distinct("place").alias("n"))
     classes = classes.join(of, "key", "left").withColumn("cluster", F.coalesce("cluster", "key"))
-    classes = settle(classes.filter((F.col("n") > 1) | (F.col("cluster") != F.col("key")) | (F.col("key.kind") == "line")), "classes")
+    classes = settle(classes.filter((F.col("n") > 1) | (F.col("cluster") != F.col("key")) | ~F.col("key.passage")), "classes")
     clusters = classes.groupBy("cluster").agg(F.min("first").alias("first"), F.sum("n").alias("members")).filter("members > 1")
     found = classes.select("key", "cluster").join(clusters, "cluster").select("key", F.col("first").alias("earliest"))
     out = rows.select("key", "place", "kind", "words").join(found, "key")

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from regionpanel.llm import ngram_join, paragraphs, suffix_dedup
 from regionpanel.llm.queries import QUERIES
@@ -210,6 +211,77 @@ def test_near_copies_in_a_family_of_one_template_are_found(spark):
     assert found <= want and len(found) >= 0.98 * len(want)
 
 
+def wrapped(text: str, width: int) -> str:
+    w = text.split(" ")
+    return "\n".join(" ".join(w[i : i + width]) for i in range(0, len(w), width))
+
+
+@pytest.mark.parametrize(("one", "other", "changed"), [(12, 12, 1), (12, 11, 0), (12, 11, 1), (9, 99, 1), (12, 45, 0)])
+def test_wrapped_paragraphs_are_found(spark, one, other, changed):
+    data = []
+    for i in range(60):
+        text = prose(3000 + i, 45)
+        between = "\n\n" if i % 2 else "\n"  # blank lines or long lines stand around the paragraph
+        around = [prose(k + i, 30 if between == "\n" else 12) for k in (4000, 5000, 6000, 7000)]
+        data.append((2 * i, between.join([around[0], wrapped(text, one), around[1]])))
+        data.append((2 * i + 1, between.join([around[2], wrapped(edited(text, 22, 1) if changed else text, other), around[3]])))
+    got = paragraphs.duplicate_paragraphs(spark.createDataFrame(data, "doc_id long, text string").repartition(3)).collect()
+    units = [r for r in got if r.kind != "passage"]
+    assert {(r.doc_id, r.cluster_doc_id) for r in units if r.removed} == {(2 * i + 1, 2 * i) for i in range(60)}
+    assert {(r.start, r.words) for r in units} == {(30, 45), (12, 45)}
+    assert {r.kind for r in units if r.doc_id % 2 == 0} == {"block"} and {r.kind for r in units if r.doc_id % 2} == {"block" if other < 45 else "line"}
+
+
+def test_joined_lines_do_not_overlap():
+    rng = random.Random(8)
+    for _ in range(50):
+        docs = [[rng.choice([0, 3, 12, 19, 20, 40]) for _ in range(rng.randint(0, 12))] for _ in range(5)]
+        want, at = [], 0
+        for d in docs:
+            run = None
+            for i, n in enumerate([*d, 0]):
+                if 0 < n < paragraphs.MIN_WORDS:
+                    run = at + i if run is None else run
+                    continue
+                if run is not None:
+                    want.append((run, at + i))
+                run = None
+                if n:
+                    want.append((at + i, at + i + 1))
+            at += len(d)
+        words, doc = np.array([n for d in docs for n in d], dtype=np.int64), np.repeat(np.arange(5), [len(d) for d in docs])
+        assert list(zip(*(x.tolist() for x in paragraphs.joined_lines(words, doc)), strict=True)) == want
+
+
+def test_blocks_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
+    docs = docs.unionByName(docs.select((F.col("doc_id") + 1_000_000).alias("doc_id"), F.regexp_replace("text", r"((?:\S+ ){11}\S+) ", "$1\n").alias("text")))
+    got = paragraphs.duplicate_paragraphs(docs).collect()
+    units = {}
+    for r in sorted(docs.collect()):
+        own, at = [], 0
+        for x in r.text.split("\n"):
+            w = x.encode().split()
+            if 0 < len(w) < paragraphs.MIN_WORDS and own and own[-1][2]:
+                own[-1][1].append(x)
+            else:
+                own.append((at, [x], 0 < len(w) < paragraphs.MIN_WORDS))
+            at += len(w)
+        units |= {(r.doc_id, s): shingle_set(" ".join(x)) for s, x, _ in own if sum(len(y.encode().split()) for y in x) >= paragraphs.MIN_WORDS}
+    keys, holders = list(units), {}
+    for k in keys:
+        for g in units[k]:
+            holders.setdefault(g, []).append(k)
+    linked = set()
+    for a in keys:
+        for b, both in Counter(h for g in units[a] for h in holders[g] if h != a).items():
+            if 100 * both >= paragraphs.PERCENT * (len(units[a]) + len(units[b]) - both):
+                linked |= {a, b}
+    found = {(r.doc_id, r.start) for r in got if r.kind != "passage"}
+    assert found <= linked and len(found) >= 0.98 * len(linked) > 0
+    assert sum(r.kind == "block" for r in got) > 50
+
+
 def test_paragraphs_of_odd_tables(spark):
     got = paragraphs.duplicate_paragraphs(odd_docs(spark)).collect()
     assert len(got) == len(set(got))
