@@ -15,21 +15,23 @@ from .common import BLANKS, words_of
 BITS = 48
 SHINGLE_WORDS = 5
 
-_seen: dict[bytes, int] = {}
+
+class _WordHashes(dict):
+    """Hash by word, made when first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = x = xxhash.xxh3_64_intdigest(word)
+        return x
+
+
+_seen = _WordHashes()
 
 
 def word_hashes(words: Sequence[bytes]) -> np.ndarray:
     """64-bit hashes of words; a bounded table remembers the frequent ones."""
     if len(_seen) > 400_000:
         _seen.clear()
-    get, put, h = _seen.get, _seen.__setitem__, xxhash.xxh3_64_intdigest
-    out = []
-    for w in words:
-        x = get(w)
-        if x is None:
-            put(w, x := h(w))
-        out.append(x)
-    return np.array(out, dtype=np.uint64)
+    return np.fromiter(map(_seen.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
