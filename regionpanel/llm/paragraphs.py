@@ -12,7 +12,8 @@ alone, for equal passages have a similarity of 1.
 
 Features that meet no other (digests and band keys) are sorted out first, so only paragraphs that may have a repeat are
 kept. Equal paragraphs are one class, whose earliest place stands for it. Classes that share a bucket are first checked
-against one leader in each band, which costs rows in proportion to the bucket. What is left goes through the exact join of
+against the leader of their fullest bucket, then, where that left them apart, against one in each band, which costs rows in
+proportion to the bucket. What is left goes through the exact join of
 ``ngram_join``: every pair of different groups that shares enough of its rarest shingles is checked, so no two of them that
 collide and are similar enough stay apart, whoever leads. Connected classes are a cluster. The earliest paragraph of a
 cluster stays and all others go.
@@ -200,23 +201,38 @@ def line_sets(text: DataFrame) -> DataFrame:
     return sets.select("class", "n", (F.col("n") - F.size("t")).alias("unique"), F.col("t.token").alias("tokens"), F.col("t.df").alias("df"))
 
 
+def similar_lines(pairs: DataFrame, text: DataFrame) -> DataFrame:
+    """The pairs ``a``, ``b`` whose lines are similar enough."""
+    both = pairs.join(text.select(F.col("key").alias("a"), F.col("line").alias("x")), "a")
+    both = both.join(text.select(F.col("key").alias("b"), F.col("line").alias("y")), "b")
+    return both.filter(F.pandas_udf(line_jaccard, "boolean")("x", "y")).select("a", "b")
+
+
 def line_links(lines: DataFrame) -> DataFrame:
     """Pairs of similar line classes, ``a`` and ``b`` (keys), that join all which share a bucket and are similar enough."""
     first = settle(lines.groupBy("key").agg(F.min(F.struct("place", "bands"))["bands"].alias("bands")), "line-bands")
-    # Each band has an order of its own, so a class meets several leaders of its family.
     in_band = first.select("key", F.posexplode("bands").alias("band", "bucket"))
-    order = F.struct(F.xxhash64("band", "key"), "key")
-    lead = in_band.groupBy("band", "bucket").agg(F.min(order)["key"].alias("lead"), F.count(F.lit(1)).alias("n"))
-    pairs = in_band.join(lead.filter("n > 1").drop("n"), ["band", "bucket"]).filter("key != lead")
-    pairs = settle(pairs.select(F.col("key").alias("a"), F.col("lead").alias("b")).distinct(), "line-pairs")
-    wanted = settle(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "line-keys")
+    # First one leader for each class: that of its fullest bucket, by an order all bands share, so a family has few leaders.
+    order = F.struct(F.xxhash64("key").alias("h"), "key")
+    lead = in_band.groupBy("band", "bucket").agg(F.min(order).alias("lead"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    met = settle(in_band.join(lead, ["band", "bucket"]).select("key", "band", "bucket", "lead", "n"), "line-buckets")
+    wanted = met.select("key").distinct()
     text = settle(lines.join(wanted, "key", "left_semi").groupBy("key").agg(F.min("line").alias("line")), "line-texts")
-    both = pairs.join(text.select(F.col("key").alias("a"), F.col("line").alias("x")), "a")
-    both = both.join(text.select(F.col("key").alias("b"), F.col("line").alias("y")), "b")
-    links = settle(both.filter(F.pandas_udf(line_jaccard, "boolean")("x", "y")).select("a", "b"), "line-links")
+    fullest = F.min(F.struct((-F.col("n")).alias("n"), "lead"))["lead"]["key"]
+    pairs = met.filter("key != lead.key").groupBy(F.col("key").alias("a")).agg(fullest.alias("b"))
+    links = settle(similar_lines(pairs, text), "line-links")
+    # Then a leader in each band, by an order of the band's own, unless both have the same leader by now.
+    by_lead = met.select("key", "band", "bucket").join(links.select(F.col("a").alias("key"), F.col("b").alias("under")), "key", "left")
+    by_lead = by_lead.withColumn("under", F.coalesce("under", "key"))
+    own = F.min(F.struct(F.xxhash64("band", "key"), "key", "under"))
+    lead = by_lead.groupBy("band", "bucket").agg(own.alias("lead"), F.min("under").alias("x"), F.max("under").alias("y")).filter("x != y")
+    pairs = by_lead.join(lead.select("band", "bucket", "lead"), ["band", "bucket"])
+    pairs = pairs.filter("under != lead.under AND under != lead.key AND key != lead.under AND key != lead.key")
+    pairs = settle(pairs.select(F.col("key").alias("a"), F.col("lead.key").alias("b")).distinct(), "line-pairs")
+    links = links.unionByName(settle(similar_lines(pairs, text), "line-links"))
     of = settle(components(links).select(F.col("node").alias("key"), F.col("component").alias("group")), "line-groups")
     # Buckets of one group are settled; whatever else collides is in one of several groups.
-    apart = in_band.join(of, "key", "left").withColumn("group", F.coalesce("group", "key"))
+    apart = met.select("key", "band", "bucket").join(of, "key", "left").withColumn("group", F.coalesce("group", "key"))
     several = apart.groupBy("band", "bucket").agg(F.min("group").alias("x"), F.max("group").alias("y")).filter("x != y")
     rest = apart.join(several.select("band", "bucket"), ["band", "bucket"]).select("key").distinct()
     sets = settle(line_sets(text.join(rest, "key", "left_semi")), "line-sets")
