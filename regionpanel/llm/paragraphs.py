@@ -34,7 +34,7 @@ from .chunked import among, second_look
 from .common import bounded, row_hash, settle
 from .components import components
 from .ngram_join import cross_pairs, linked, prefixes
-from .shingles import BITS, SHINGLE_WORDS, mixed, shingles, text_shingles, word_hashes
+from .shingles import BITS, SHINGLE_WORDS, Words, mixed, shingles, text_shingles
 
 PERCENT = 75
 MIN_WORDS = 20
@@ -91,11 +91,13 @@ class Paragraphs:
     """
 
     def __init__(self, raw: list[bytes]):
-        lines = [[line.split() for line in r.lower().split(b"\n")] for r in raw]
-        per_line = np.array([len(x) for d in lines for x in d], dtype=np.int64)
-        line_doc = np.repeat(np.arange(len(raw)), [len(d) for d in lines])
-        words = np.bincount(line_doc, weights=per_line, minlength=len(raw)).astype(np.int64)
-        h, of = shingles(word_hashes([w for d in lines for x in d for w in x]), words)
+        w = Words([r.lower() for r in raw])
+        # Texts stand one after the other with a line feed behind each, so every line ends with one.
+        breaks = np.flatnonzero(w.data == ord("\n"))
+        per_line = np.bincount(np.searchsorted(breaks, w.begin), minlength=len(breaks))
+        line_doc = np.searchsorted(w.text_begin, np.r_[0, breaks[:-1] + 1], side="right") - 1
+        words = w.counts
+        h, of = shingles(w.hashes, words)
         size = np.bincount(of, minlength=len(raw)).astype(np.int64)
         shift = (np.cumsum(size) - size) - (np.cumsum(words) - words)  # from a document's words to its shingles
         begin = np.cumsum(words) - words

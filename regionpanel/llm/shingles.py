@@ -14,6 +14,8 @@ from .common import BLANKS, words_of
 #: chance in one of them once in some hundred million pairs.
 BITS = 48
 SHINGLE_WORDS = 5
+#: Words whose letters are spread out at a time, so that a long text takes little more than itself.
+WORDS_AT_ONCE = 1 << 15
 
 
 class _WordHashes(dict):
@@ -88,10 +90,14 @@ class Words:
         self.counts = np.bincount(self.doc, minlength=len(raw)).astype(np.int64)
         size = end - self.begin
         place = mixed(np.arange(int(size.max(initial=0)), dtype=np.uint64) + np.uint64(101)) | np.uint64(1)
-        at = np.cumsum(size) - size
-        letters = _BYTE[data[~blank[1:]]]
-        letters *= place[np.arange(len(letters)) - np.repeat(at, size)]
-        self.hashes = mixed(np.add.reduceat(letters, at) ^ size.astype(np.uint64)) if len(at) else np.zeros(0, dtype=np.uint64)
+        self.hashes = np.zeros(len(size), dtype=np.uint64)
+        for a in range(0, len(size), WORDS_AT_ONCE):
+            some = size[a : a + WORDS_AT_ONCE]
+            here = slice(self.begin[a], self.begin[a + len(some) - 1] + some[-1])
+            at = np.cumsum(some) - some
+            letters = _BYTE[data[here][~blank[1:][here]]]
+            letters *= place[np.arange(len(letters)) - np.repeat(at, some)]
+            self.hashes[a : a + len(some)] = mixed(np.add.reduceat(letters, at) ^ some.astype(np.uint64))
 
 
 _BLANK = np.zeros(256, dtype=bool)
