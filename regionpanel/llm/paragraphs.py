@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .chunked import among, second_look
 from .common import bounded, row_hash, settle
 from .components import components
-from .ngram_join import cross_pairs, linked, prefixes
+from .ngram_join import cross_pairs, leader_pairs, linked, prefixes
 from .shingles import BITS, SHINGLE_WORDS, Words, mixed, shingles, text_shingles
 
 PERCENT = 75
@@ -42,6 +42,8 @@ PASSAGE_WORDS = 28
 ANCHOR_WINDOW = 23
 #: At a similarity of 0.75 a pair collides in one of the bands with a probability of 1 - (1 - 0.75^2)^8 = 0.9987.
 BANDS, ROWS = 8, 2
+#: Rounds in which the posting lists of what is left have leaders, before all their groups meet.
+LEADER_ROUNDS = 2
 #: Characters of lines whose shingles are made at once.
 TOKEN_CHARS = 1_000_000
 
@@ -210,6 +212,16 @@ def similar_lines(pairs: DataFrame, text: DataFrame) -> DataFrame:
     return both.filter(F.pandas_udf(line_jaccard, "boolean")("x", "y")).select("a", "b")
 
 
+def line_groups(links: DataFrame) -> DataFrame:
+    """``key`` and ``group`` of all line classes with a link."""
+    return settle(components(links).select(F.col("node").alias("key"), F.col("component").alias("group")), "line-groups")
+
+
+def with_groups(rows: DataFrame, of: DataFrame) -> DataFrame:
+    """Rows with the ``group`` of their ``key``, which is the key itself where nothing is linked to it."""
+    return rows.join(of, "key", "left").withColumn("group", F.coalesce("group", "key"))
+
+
 def line_links(lines: DataFrame) -> DataFrame:
     """Pairs of similar line classes, ``a`` and ``b`` (keys), that join all which share a bucket and are similar enough."""
     first = settle(lines.groupBy("key").agg(F.min(F.struct("place", "bands"))["bands"].alias("bands")), "line-bands")
@@ -232,15 +244,20 @@ def line_links(lines: DataFrame) -> DataFrame:
     pairs = pairs.filter("under != lead.under AND under != lead.key AND key != lead.under AND key != lead.key")
     pairs = settle(pairs.select(F.col("key").alias("a"), F.col("lead.key").alias("b")).distinct(), "line-pairs")
     links = links.unionByName(settle(similar_lines(pairs, text), "line-links"))
-    of = settle(components(links).select(F.col("node").alias("key"), F.col("component").alias("group")), "line-groups")
+    of = line_groups(links)
     # Buckets of one group are settled; whatever else collides is in one of several groups.
-    apart = met.select("key", "band", "bucket").join(of, "key", "left").withColumn("group", F.coalesce("group", "key"))
+    apart = with_groups(met.select("key", "band", "bucket"), of)
     several = apart.groupBy("band", "bucket").agg(F.min("group").alias("x"), F.max("group").alias("y")).filter("x != y")
     rest = apart.join(several.select("band", "bucket"), ["band", "bucket"]).select("key").distinct()
     sets = settle(line_sets(text.join(rest, "key", "left_semi")), "line-sets")
-    lists = prefixes(sets, PERCENT).join(of.withColumnRenamed("key", "class"), "class", "left")
-    lists = settle(lists.withColumn("group", F.coalesce("group", "class")), "line-prefixes")
-    return links.unionByName(settle(linked(cross_pairs(lists, PERCENT), sets, PERCENT), "line-links"))
+    lists = settle(prefixes(sets, PERCENT), "line-prefixes")
+    # Copies are closer to what they were made from than to each other, so that leads first.
+    for turn in range(LEADER_ROUNDS):
+        found = leader_pairs(settle(with_groups(lists.withColumn("key", F.col("class")), of), "line-lists"), turn, PERCENT)
+        links = links.unionByName(settle(linked(found, sets, PERCENT), "line-links"))
+        of = line_groups(links)
+    rest = cross_pairs(with_groups(lists.withColumn("key", F.col("class")), of), PERCENT)
+    return links.unionByName(settle(linked(rest, sets, PERCENT), "line-links"))
 
 
 def duplicate_paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ranges: int | None = None) -> DataFrame:
