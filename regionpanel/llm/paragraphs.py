@@ -12,9 +12,9 @@ alone, for equal passages have a similarity of 1.
 
 Features that meet no other (digests and band keys) are sorted out first, so only paragraphs that may have a repeat are
 kept. Equal paragraphs are one class, whose earliest place stands for it. Classes that share a bucket are first checked
-against the leader of their fullest bucket, then, where that left them apart, against one in each band, which costs rows in
-proportion to the bucket. What is left goes through the exact join of
-``ngram_join``: every pair of different groups that shares enough of its rarest shingles is checked, so no two of them that
+against the leader of their fullest bucket, then, where that left them apart, against one more, which costs a row or two
+for each class. What is left goes through the exact join of
+``ngram_join``: every pair of different groups that shares enough of its rarest shingles is checked, after two rounds of leaders in the lists of shared shingles, so no two of them that
 collide and are similar enough stay apart, whoever leads. Connected classes are a cluster. The earliest paragraph of a
 cluster stays and all others go.
 
@@ -235,14 +235,14 @@ def line_links(lines: DataFrame) -> DataFrame:
     fullest = F.min(F.struct((-F.col("n")).alias("n"), "lead"))["lead"]["key"]
     pairs = met.filter("key != lead.key").groupBy(F.col("key").alias("a")).agg(fullest.alias("b"))
     links = settle(similar_lines(pairs, text), "line-links")
-    # Then a leader in each band, by an order of the band's own, unless both have the same leader by now.
-    by_lead = met.select("key", "band", "bucket").join(links.select(F.col("a").alias("key"), F.col("b").alias("under")), "key", "left")
+    # Then another one, by orders of the bands' own, in the fullest bucket whose leader is not under the same one by now.
+    by_lead = met.select("key", "band", "bucket", "n").join(links.select(F.col("a").alias("key"), F.col("b").alias("under")), "key", "left")
     by_lead = by_lead.withColumn("under", F.coalesce("under", "key"))
     own = F.min(F.struct(F.xxhash64("band", "key"), "key", "under"))
     lead = by_lead.groupBy("band", "bucket").agg(own.alias("lead"), F.min("under").alias("x"), F.max("under").alias("y")).filter("x != y")
     pairs = by_lead.join(lead.select("band", "bucket", "lead"), ["band", "bucket"])
     pairs = pairs.filter("under != lead.under AND under != lead.key AND key != lead.under AND key != lead.key")
-    pairs = settle(pairs.select(F.col("key").alias("a"), F.col("lead.key").alias("b")).distinct(), "line-pairs")
+    pairs = pairs.groupBy(F.col("key").alias("a")).agg(fullest.alias("b"))
     links = links.unionByName(settle(similar_lines(pairs, text), "line-links"))
     of = line_groups(links)
     # Buckets of one group are settled; whatever else collides is in one of several groups.
