@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bounded, row_hash, settle, word_count
@@ -42,6 +42,8 @@ CHUNK_WORDS = 250_000
 MOST_MATCHES = 6
 CHECK_COST = 40.0
 LEADER_ROUNDS = 3
+#: Words of 64 bits that stand for a whole set where a pair is weighed.
+PARITY_WORDS = 4
 
 
 def needed(n: np.ndarray, percent: int) -> np.ndarray:
@@ -200,9 +202,10 @@ def members_and_sets(texts: DataFrame, percent: int, ranges: int) -> DataFrame:
     return rows.groupBy("chunk").applyInPandas(look, out)
 
 
-def prefixes(sets: DataFrame, percent: int, most: int = MOST_MATCHES) -> DataFrame:
+def prefixes(sets: DataFrame, percent: int, most: int = MOST_MATCHES, more: tuple[str, ...] = ()) -> DataFrame:
     """``token``, ``class``, ``n``, ``shared``, ``matches``, ``pos``: the prefix of every class, the matches it asks for and
-    the token's place in the order; ``shared`` is the number of the class's tokens that other sets have.
+    the token's place in the order; ``shared`` is the number of the class's tokens that other sets have. Columns ``more``
+    of the sets go along.
 
     Tokens that no other set has stand first in the order and are left out: they match nothing. With ``l`` matches the
     prefix holds ``l - 1`` more tokens; a pair that shares ``l`` of them uses up ``l`` posting entries, so entries
@@ -223,8 +226,8 @@ def prefixes(sets: DataFrame, percent: int, most: int = MOST_MATCHES) -> DataFra
     rows = rows.withColumn("matches", F.coalesce(best, F.lit(1)))
     rows = rows.withColumn("prefix", F.slice("tokens", F.lit(1), F.col("base") + F.col("matches") - 1))
     rows = rows.withColumn("shared", F.col("n") - F.col("unique"))
-    rows = rows.select("class", "n", "shared", "unique", "matches", F.posexplode("prefix").alias("at", "token"))
-    return rows.select("token", "class", "n", "shared", "matches", (F.col("unique") + F.col("at") + 1).alias("pos"))
+    rows = rows.select("class", "n", "shared", "unique", "matches", *more, F.posexplode("prefix").alias("at", "token"))
+    return rows.select("token", "class", "n", "shared", "matches", (F.col("unique") + F.col("at") + 1).alias("pos"), *more)
 
 
 def may_link(a: dict[str, Column], b: dict[str, Column], percent: int) -> Column:
@@ -232,12 +235,16 @@ def may_link(a: dict[str, Column], b: dict[str, Column], percent: int) -> Column
 
     Similar sets of these sizes have ``common`` tokens in common, so neither may have fewer that occur elsewhere, and
     they share ``m`` tokens among the first ``n - common + m`` of each, which is less than the prefix that any partner
-    could need.
+    could need. Sets with a ``bits`` (see ``parities``) differ in at least as many tokens as these do in bits.
     """
     common = F.ceil((a["n"] + b["n"]) * percent / (100 + percent))
     asked = F.least(a["matches"], b["matches"])
     inside = [x["pos"] <= x["n"] - common + asked for x in (a, b)]
-    return (F.least(a["shared"], b["shared"]) >= common) & inside[0] & inside[1]
+    may = (F.least(a["shared"], b["shared"]) >= common) & inside[0] & inside[1]
+    if "bits" not in a:
+        return may
+    differ = sum((F.bit_count(a["bits"][i].bitwiseXOR(b["bits"][i])) for i in range(PARITY_WORDS)), F.lit(0))
+    return may & (a["n"] + b["n"] - differ >= 2 * common)
 
 
 def enough(a: dict[str, Column], b: dict[str, Column]) -> Column:
@@ -245,8 +252,8 @@ def enough(a: dict[str, Column], b: dict[str, Column]) -> Column:
     return F.count(F.lit(1)) >= F.max(F.least(a["matches"], b["matches"]))
 
 
-def side(prefix: str = "") -> dict[str, Column]:
-    return {c: F.col(prefix + c) for c in ("n", "shared", "matches", "pos")}
+def side(prefix: str = "", more: tuple[str, ...] = ()) -> dict[str, Column]:
+    return {c: F.col(prefix + c) for c in ("n", "shared", "matches", "pos", *more)}
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -273,21 +280,53 @@ def leader_pairs(lists: DataFrame, turn: int, percent: int) -> DataFrame:
     return best.select("a", F.col("best.b").alias("b"))
 
 
+def parities(tokens: np.ndarray, of: np.ndarray, sets: int) -> np.ndarray:
+    """For each set whether an odd or even number of its distinct tokens falls on each of ``64 * PARITY_WORDS`` bits.
+
+    A token that only one of two sets has turns one bit, so the bits in which they differ are no more than such tokens.
+    """
+    at = mixed(tokens)
+    bits = np.zeros(sets * PARITY_WORDS, dtype=np.uint64)
+    word = (at >> np.uint64(6)) % np.uint64(PARITY_WORDS)
+    np.bitwise_xor.at(bits, of * PARITY_WORDS + word.astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+    return bits.reshape(sets, PARITY_WORDS).view(np.int64)
+
+
+def mixed_lists(lists: DataFrame) -> DataFrame:
+    """Posting lists that several groups are in, with the largest of them as ``main``."""
+    sizes = lists.groupBy("token", "group").agg(F.count(F.lit(1)).alias("c"))
+    main = sizes.groupBy("token").agg(F.max(F.struct("c", "group"))["group"].alias("main"), F.count(F.lit(1)).alias("groups"))
+    return settle(lists.join(main.filter("groups > 1").drop("groups"), "token"), "posting-lists")
+
+
+def several_leader_pairs(lists: DataFrame, leaders: int, percent: int) -> DataFrame:
+    """Candidate pairs of different groups of the members of each posting list with some of them: ``a``, ``b``."""
+    order = Window.partitionBy("token").orderBy(F.xxhash64("class"), "class")
+    lead = lists.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= leaders)
+    a = [F.col(c).alias(f"a_{c}") for c in ("class", "n", "shared", "matches", "pos", "group", "bits")]
+    pairs = lead.select("token", *a).join(lists, "token")
+    pairs = pairs.filter((F.col("a_group") != F.col("group")) & may_link(side("a_", ("bits",)), side("", ("bits",)), percent))
+    # One way round at a time: where both lead, the token would count twice.
+    pairs = pairs.groupBy("a_class", "class").agg(enough(side("a_"), side()).alias("ok")).filter("ok")
+    return pairs.select(F.least("a_class", "class").alias("a"), F.greatest("a_class", "class").alias("b")).distinct()
+
+
 def cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
     """All candidate pairs of different groups: ``a``, ``b``.
 
     In each posting list the largest group meets the members of the others, never itself, so the rows follow the
     members that are not yet in it.
     """
-    sizes = lists.groupBy("token", "group").agg(F.count(F.lit(1)).alias("c"))
-    main = sizes.groupBy("token").agg(F.max(F.struct("c", "group"))["group"].alias("main"), F.count(F.lit(1)).alias("groups"))
-    rows = lists.join(main.filter("groups > 1").drop("groups"), "token")
-    rows = settle(rows, "posting-lists")
+    return main_pairs(mixed_lists(lists), percent)
+
+
+def main_pairs(rows: DataFrame, percent: int, more: tuple[str, ...] = ()) -> DataFrame:
+    """The candidate pairs of ``cross_pairs`` from posting lists with their largest group as ``main``."""
     few = rows.filter("group != main")
-    a = [F.col(c).alias(f"a_{c}") for c in ("class", "n", "shared", "matches", "pos", "group")]
+    a = [F.col(c).alias(f"a_{c}") for c in ("class", "n", "shared", "matches", "pos", "group", *more)]
     pairs = few.select("token", *a).join(rows, "token")
     other = (F.col("group") == F.col("main")) | (F.col("a_class") < F.col("class"))
-    pairs = pairs.filter((F.col("a_group") != F.col("group")) & other & may_link(side("a_"), side(), percent))
+    pairs = pairs.filter((F.col("a_group") != F.col("group")) & other & may_link(side("a_", more), side("", more), percent))
     pair = [F.least("a_class", "class").alias("a"), F.greatest("a_class", "class").alias("b")]
     return pairs.groupBy(*pair).agg(enough(side("a_"), side()).alias("ok")).filter("ok").select("a", "b")
 

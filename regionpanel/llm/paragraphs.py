@@ -14,7 +14,8 @@ Features that meet no other (digests and band keys) are sorted out first, so onl
 kept. Equal paragraphs are one class, whose earliest place stands for it. Classes that share a bucket are first checked
 against the leader of their fullest bucket, then, where that left them apart, against one in each band, which costs rows in
 proportion to the bucket. What is left goes through the exact join of
-``ngram_join``: every pair of different groups that shares enough of its rarest shingles is checked, so no two of them that
+``ngram_join``: members of a posting list first meet ``LEADERS`` of them, then every pair of groups still different that shares
+enough of its rarest shingles, and whose sets' parities allow it, is checked, so no two of them that
 collide and are similar enough stay apart, whoever leads. Connected classes are a cluster. The earliest paragraph of a
 cluster stays and all others go.
 
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from .chunked import among, second_look
 from .common import bounded, row_hash, settle
 from .components import components
-from .ngram_join import cross_pairs, leader_pairs, linked, prefixes
+from .ngram_join import PARITY_WORDS, linked, main_pairs, mixed_lists, parities, prefixes, several_leader_pairs
 from .shingles import BITS, SHINGLE_WORDS, Words, mixed, shingles, text_shingles
 
 PERCENT = 75
@@ -42,8 +43,8 @@ PASSAGE_WORDS = 28
 ANCHOR_WINDOW = 23
 #: At a similarity of 0.75 a pair collides in one of the bands with a probability of 1 - (1 - 0.75^2)^8 = 0.9987.
 BANDS, ROWS = 8, 2
-#: Rounds in which the posting lists of what is left have leaders, before all their groups meet.
-LEADER_ROUNDS = 2
+#: Members of a posting list that all others of it meet, before members of different groups do.
+LEADERS = 32
 #: Characters of lines whose shingles are made at once.
 TOKEN_CHARS = 1_000_000
 
@@ -185,24 +186,28 @@ def line_jaccard(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-def line_tokens(lines: pd.Series) -> pd.Series:
-    """Distinct shingle hashes of each line."""
-    out = []
+def line_tokens(lines: pd.Series) -> pd.DataFrame:
+    """Distinct shingle hashes of each line, and their parities."""
+    out, bits = [], [np.zeros((0, PARITY_WORDS), dtype=np.int64)]
     for a, b in bounded(lines.str.len(), TOKEN_CHARS):
         h, of = text_shingles(lines.iloc[a:b].tolist())
         cut = np.searchsorted(of, np.arange(b - a + 1))
-        out += [np.unique(h[x:y]).astype(np.int64) for x, y in zip(cut[:-1], cut[1:], strict=True)]
-    return pd.Series(out, dtype=object)
+        own = [np.unique(h[x:y]) for x, y in zip(cut[:-1], cut[1:], strict=True)]
+        bits.append(parities(np.concatenate(own), np.repeat(np.arange(b - a), [len(x) for x in own]), b - a))
+        out += [x.astype(np.int64) for x in own]
+    return pd.DataFrame({"all": pd.Series(out, dtype=object), "bits": pd.Series([*np.concatenate(bits)], dtype=object)})
 
 
 def line_sets(text: DataFrame) -> DataFrame:
-    """The classes that share enough shingles with others, as ``ngram_join.prefixes`` takes them."""
-    rows = text.select(F.col("key").alias("class"), F.pandas_udf(line_tokens, "array<long>")("line").alias("all"))
-    rows = settle(rows, "line-tokens").select("class", F.size("all").alias("n"), F.explode("all").alias("token"))
+    """The classes that share enough shingles with others, as ``ngram_join.prefixes`` takes them, and their ``bits``."""
+    found = F.pandas_udf(line_tokens, "all array<long>, bits array<long>")("line")
+    every = settle(text.select(F.col("key").alias("class"), found.alias("found")).select("class", "found.*"), "line-tokens")
+    rows = every.select("class", F.explode("all").alias("token"))
     df = rows.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    sets = rows.join(df, "token").groupBy("class", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"))
-    sets = sets.filter(F.size("t") >= F.ceil(F.col("n") * PERCENT / 100))
-    return sets.select("class", "n", (F.col("n") - F.size("t")).alias("unique"), F.col("t.token").alias("tokens"), F.col("t.df").alias("df"))
+    sets = rows.join(df, "token").groupBy("class").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"))
+    sets = sets.join(every.select("class", F.size("all").alias("n"), "bits"), "class").filter(F.size("t") >= F.ceil(F.col("n") * PERCENT / 100))
+    unique = (F.col("n") - F.size("t")).alias("unique")
+    return sets.select("class", "n", unique, F.col("t.token").alias("tokens"), F.col("t.df").alias("df"), "bits")
 
 
 def similar_lines(pairs: DataFrame, text: DataFrame) -> DataFrame:
@@ -250,14 +255,13 @@ def line_links(lines: DataFrame) -> DataFrame:
     several = apart.groupBy("band", "bucket").agg(F.min("group").alias("x"), F.max("group").alias("y")).filter("x != y")
     rest = apart.join(several.select("band", "bucket"), ["band", "bucket"]).select("key").distinct()
     sets = settle(line_sets(text.join(rest, "key", "left_semi")), "line-sets")
-    lists = settle(prefixes(sets, PERCENT), "line-prefixes")
-    # Copies are closer to what they were made from than to each other, so that leads first.
-    for turn in range(LEADER_ROUNDS):
-        found = leader_pairs(settle(with_groups(lists.withColumn("key", F.col("class")), of), "line-lists"), turn, PERCENT)
-        links = links.unionByName(settle(linked(found, sets, PERCENT), "line-links"))
-        of = line_groups(links)
-    rest = cross_pairs(with_groups(lists.withColumn("key", F.col("class")), of), PERCENT)
-    return links.unionByName(settle(linked(rest, sets, PERCENT), "line-links"))
+    lists = prefixes(sets, PERCENT, more=("bits",)).withColumn("key", F.col("class"))
+    lists = mixed_lists(with_groups(lists, of)).drop("main")
+    # In a large family most candidates are similar, so leaders join most of it, and few pairs of different groups are left.
+    found = several_leader_pairs(lists, LEADERS, PERCENT)
+    links = links.unionByName(settle(linked(found, sets, PERCENT), "line-links"))
+    lists = mixed_lists(with_groups(lists.drop("group"), line_groups(links)))
+    return links.unionByName(settle(linked(main_pairs(lists, PERCENT, ("bits",)), sets, PERCENT), "line-links"))
 
 
 def duplicate_paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ranges: int | None = None) -> DataFrame:

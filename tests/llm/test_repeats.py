@@ -211,6 +211,40 @@ def test_near_copies_in_a_family_of_one_template_are_found(spark):
     assert found <= want and len(found) >= 0.98 * len(want)
 
 
+def test_a_family_of_copies_without_its_template_costs_few_candidates(spark, monkeypatch):
+    rng = random.Random(4)
+    template = prose(77, 100).split(" ")
+    data = []
+    for i in range(200):
+        own = list(template)
+        for k in rng.sample(range(100), 2):
+            own[k] = f"e{i}x{k}"
+        data.append((i, " ".join(own)))
+    candidates, linked = [], ngram_join.linked
+
+    def counted(pairs, *rest):
+        candidates.append(pairs.count())
+        return linked(pairs, *rest)
+
+    monkeypatch.setattr(paragraphs, "linked", counted)
+    got = paragraphs.duplicate_paragraphs(spark.createDataFrame(data, "doc_id long, text string").repartition(3)).collect()
+    found = {r.doc_id: r.cluster_doc_id for r in got if r.kind == "line"}
+    want = {doc: least for doc, _, least in brute_groups(data)}
+    members = Counter(want.values())
+    assert found == {doc: least for doc, least in want.items() if members[least] > 1}
+    assert sum(candidates) < 12 * len(data)
+
+
+def test_parities_bound_the_difference_of_sets():
+    rng = np.random.default_rng(6)
+    sets = [np.unique(rng.integers(0, 300, n).astype(np.uint64)) for n in (1, 40, 90, 400, 2000) for _ in range(4)] + [np.zeros(0, dtype=np.uint64)]
+    bits = ngram_join.parities(np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets]), len(sets))
+    for a, x in zip(sets, bits, strict=True):
+        for b, y in zip(sets, bits, strict=True):
+            differ = sum(int(v).bit_count() for v in (x ^ y).view(np.uint64))
+            assert differ <= len(set(a.tolist()) ^ set(b.tolist())) and (differ > 0 or len(a) != 1 or len(b) > 1 or a.tolist() == b.tolist())
+
+
 def wrapped(text: str, width: int) -> str:
     w = text.split(" ")
     return "\n".join(" ".join(w[i : i + width]) for i in range(0, len(w), width))
